@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import table
+from tidemark.llm.ngram_join import near_copies
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.prefix_tokens import count_tokens
 
@@ -19,5 +20,9 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op1_prefix_token_counts, op6_best_fit_packing)}
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_prefix_token_counts, op6_best_fit_packing, op7_ngram_jaccard_join)}
 ORACLE: dict[str, str] = {}
