@@ -29,7 +29,7 @@ from tidemark.llm.common import materialize, parts_for
 from tidemark.llm.wordbpe import WordBpe
 
 #: Pieces of one length and chunk that meet in one sort, about.
-CHUNK_ROWS = 20_000
+CHUNK_ROWS = 1_000_000
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
@@ -176,7 +176,7 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     ``pieces`` is read twice, so pass a written table. Equal pieces are interchangeable;
     no rows give no rows. Columns of ``pieces`` stay, also such as are named like ours.
     """
-    chunks = parts_for(pieces.count(), CHUNK_ROWS, 4)
+    chunks = parts_for(pieces.count(), CHUNK_ROWS, 64)
     key = "__chunk"
     dealt = pieces.withColumn(key, F.pmod(F.xxhash64("doc_id", "piece"), F.lit(chunks)).cast("int"))
     counted = dealt.groupBy("length", key).agg(F.count("*").alias("__n"))
