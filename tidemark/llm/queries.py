@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm.common import table
 from tidemark.llm.ngram_join import near_copies
 from tidemark.llm.packing import pack_documents
+from tidemark.llm.pii import summarize
 from tidemark.llm.prefix_tokens import count_tokens
+from tidemark.llm.secret_scan import scan_documents
 
 
 def op1_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,5 +26,13 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_prefix_token_counts, op6_best_fit_packing, op7_ngram_jaccard_join)}
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_documents(table(spark, sf_dir, "documents"))
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summarize(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {name: f for name, f in sorted(globals().items()) if name.startswith("op") and callable(f)}
 ORACLE: dict[str, str] = {}
