@@ -6,10 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import table
+from tidemark.llm import licenses, mixing
 from tidemark.llm.ngram_join import near_copies
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.pii import summarize
 from tidemark.llm.prefix_tokens import count_tokens
+from tidemark.llm.quality_rules import judge
 from tidemark.llm.secret_scan import scan_documents
 
 
@@ -34,5 +36,22 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summarize(table(spark, sf_dir, "documents"))
 
 
+#: Target weights in whole hundredths: the first source and four others get more.
+MIX_UNITS = {"src0": 20} | {f"src{i}": 8 if i < 5 else 3 for i in range(1, 20)} | {"other": 3}
+BLOCK_CHARS = 20_000
+
+
+def op2_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), MIX_UNITS, BLOCK_CHARS)
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {name: f for name, f in sorted(globals().items()) if name.startswith("op") and callable(f)}
-ORACLE: dict[str, str] = {}
+ORACLE = {"op2_pfair_mixing": mixing.oracle(MIX_UNITS, BLOCK_CHARS), "op5_license_scan": licenses.oracle()}
