@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialize, parts_for
-from tidemark.llm.wordbpe import WordBpe
+from tidemark.llm.wordbpe import packer_of
 
 #: Pieces of one length and chunk that meet in one sort, about.
 CHUNK_ROWS = 1_000_000
@@ -40,7 +40,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id:
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, end = WordBpe(tokenizer), end_id.to_bytes(4, "little")
+        bpe, end = packer_of(tokenizer), end_id.to_bytes(4, "little")
         for batch in batches:
             rows: list[tuple] = []
             for doc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):

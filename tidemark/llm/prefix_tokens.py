@@ -14,6 +14,7 @@ prefix has, and where to cut for a budget, without encoding again.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,55 +35,71 @@ _BLANKS = regex.compile(r"\s\s")
 class PrefixCounter(dict):
     """Steps of the token count per character; as a mapping, those of one word."""
 
-    def __init__(self, path: str, keep: int = 300_000):
+    def __init__(self, path: str, keep: int = 400_000):
         super().__init__()
         self.library = Tokenizer.from_file(path)
         self.model = self.library.model
         self.alphabet = byte_alphabet()
         self.special = {t.content for t in self.library.get_added_tokens_decoder().values()}
         vocab = [t for t in self.library.get_vocab() if t not in self.special]
-        #: True for tokens that stand for themselves, False for other beginnings of tokens.
-        self.begins = {t[:n]: False for t in vocab for n in range(1, len(t))}
-        self.begins |= {t: True for t in vocab if len(self.model.tokenize(t)) == 1}
+        #: A number from 1 for tokens that stand for themselves, 0 for other beginnings of tokens.
+        self.begins = {t[:n]: 0 for t in vocab for n in range(1, len(t))}
+        alone = [t for t in vocab if len(self.model.tokenize(t)) == 1]
+        self.begins |= {t: k for k, t in enumerate(alone, 1)}
+        self.tokens = ["", *alone]
+        self.longest = max(map(len, alone))
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.keep = keep
-        self.stays: dict[tuple[str, str], bool] = {}
-        self.pieces: dict[str, list[int]] = {}
+        self.stays: dict[int, bool] = {}
+        self._forget()
 
-    def _two(self, pair: tuple[str, str]) -> bool:
+    def _two(self, left: int, right: int) -> bool:
         """Whether two tokens in a row are encoded as these two."""
         if len(self.stays) >= 4 * self.keep:
             self.stays.clear()
-        found = self.stays[pair] = [t.value for t in self.model.tokenize(pair[0] + pair[1])] == list(pair)
+        pair = [self.tokens[left], self.tokens[right]]
+        found = self.stays[left << 20 | right] = [t.value for t in self.model.tokenize("".join(pair))] == pair
         return found
 
+    def _forget(self) -> None:
+        """Drops the tree of prefixes: a child of (node, byte), each node's last token and count."""
+        self.child: dict[int, int] = {}
+        self.last, self.number = [0], [0]
+
     def counts(self, piece: str) -> list[int]:
-        """Tokens of each prefix of a pre-token, by character, each encoded as one pre-token."""
-        if found := self.pieces.get(piece):
-            return found
-        if len(self.pieces) >= self.keep:
-            self.pieces.clear()
-        if piece.isascii() and piece.isprintable() and " " not in piece:
-            mapped, ends = piece, None
+        """Tokens of each prefix of a pre-token, by character, each encoded as one pre-token.
+
+        A prefix's state doesn't depend on what follows, so pre-tokens share a tree.
+        """
+        if len(self.last) >= 3 * self.keep:
+            self._forget()
+        if piece.isascii() and piece.isprintable():
+            mapped, ends = piece.replace(" ", self.alphabet[32]), None
         else:
-            chars = [c.encode() for c in piece]
-            mapped = "".join([self.alphabet[b] for c in chars for b in c])
-            ends = np.cumsum([len(c) for c in chars]).tolist()
-        begins, stays, size = self.begins.get, self.stays, len(mapped)
-        last, number = [""] * (size + 1), [0] * (size + 1)
-        for start in range(size):
-            before, n = last[start], number[start] + 1
-            for end in range(start + 1, size + 1):
-                token = mapped[start:end]
-                known = begins(token)
-                if known:
-                    pair = (before, token)
-                    if not start or (stays[pair] if pair in stays else self._two(pair)):
-                        last[end], number[end] = token, n
-                elif known is None:
-                    break
-        found = self.pieces[piece] = [number[e] for e in ends] if ends else number[1:]
-        return found
+            raw = piece.encode()
+            mapped = "".join([self.alphabet[b] for b in raw])
+            ends = [k for k, b in enumerate(raw) if b & 192 != 128][1:] + [len(raw)]  # before each next character
+        child, last, number = self.child, self.last, self.number
+        begins, stays, longest = self.begins.get, self.stays.get, self.longest
+        node, path = 0, [0]
+        for end, byte in enumerate(map(ord, mapped), 1):
+            key = node << 9 | byte
+            node = child.get(key, 0)
+            if not node:
+                # Exactly one token both ends here and stays beside what it follows.
+                for start in range(end - 1, max(-1, end - 1 - longest), -1):
+                    token = begins(mapped[start:end])
+                    if token:
+                        before = last[path[start]]
+                        stay = stays(before << 20 | token) if start else True
+                        if self._two(before, token) if stay is None else stay:
+                            break
+                node = child[key] = len(last)
+                last.append(token)
+                number.append(number[path[start]] + 1)
+            path.append(node)
+        found = [number[n] for n in path[1:]]
+        return [found[e - 1] for e in ends] if ends else found
 
     def _pieces(self, text: str) -> list[str]:
         if not text.isascii() and _UNKNOWN.search(text):
@@ -141,6 +158,12 @@ class PrefixCounter(dict):
         return np.concatenate(found)
 
 
+@lru_cache(2)
+def counter_of(path: str) -> PrefixCounter:
+    """One counter per worker process, so that later tasks find its words."""
+    return PrefixCounter(path)
+
+
 def narrow(steps: np.ndarray) -> bytes:
     """One byte a step; where a step needs more, the byte -128 and four bytes of it."""
     if not len(steps) or (steps.min() > -128 and steps.max() < 128):
@@ -176,7 +199,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 512) -> DataFrame
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = PrefixCounter(tokenizer)
+        counter = counter_of(tokenizer)
         for batch in batches:
             size, tokens, fit, stored = [], [], [], []
             for text in batch.column(1).to_pylist():

@@ -9,6 +9,7 @@ library's own BPE model. Any other text goes to the library whole.
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -58,3 +59,9 @@ class WordBpe(dict):
         if _UNKNOWN.search(text) or ("<|" in text and any(s in text for s in self.special)):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         return b"".join(map(self.__getitem__, text.lower().split()))
+
+
+@lru_cache(2)
+def packer_of(path: str) -> WordBpe:
+    """One packer per worker process, so that later tasks find its words."""
+    return WordBpe(path)
