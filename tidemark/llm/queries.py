@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import table
 from tidemark.llm import licenses, mixing
+from tidemark.llm.language_id import identify
 from tidemark.llm.ngram_join import near_copies
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.pii import summarize
@@ -53,5 +54,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {name: f for name, f in sorted(globals().items()) if name.startswith("op") and callable(f)}
 ORACLE = {"op2_pfair_mixing": mixing.oracle(MIX_UNITS, BLOCK_CHARS), "op5_license_scan": licenses.oracle()}
