@@ -41,6 +41,14 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete what ``materialize`` wrote for ``df``; nothing may read it any more."""
+    session = df.sparkSession
+    for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
+        path = session._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(session._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def parts_for(rows: int, per_part: int, least: int = 1) -> int:
     """Partitions so that each holds about ``per_part`` rows."""
     return max(least, -(-rows // per_part))

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialize
+from tidemark.llm.common import discard, materialize
 
 
 def _toward_least(edges: DataFrame, at: str, other: str) -> DataFrame:
@@ -35,7 +35,8 @@ def components(links: DataFrame) -> DataFrame:
         large = _toward_least(both, "x", "y").filter("y > x").select(F.col("y").alias("x"), F.least("x", "m").alias("y")).distinct()
         small = _toward_least(large, "x", "y")
         parts = [small.select("x", F.col("m").alias("y")), small.filter("y <> m").select(F.col("y").alias("x"), F.col("m").alias("y"))]
-        edges = materialize(reduce(DataFrame.unionByName, parts).distinct(), "edges")
+        older, edges = edges, materialize(reduce(DataFrame.unionByName, parts).distinct(), "edges")
+        discard(older)
         if shape == (shape := _shape(edges)):
             break
     roots = edges.select(F.col("y").alias("node"), F.col("y").alias("component")).distinct()

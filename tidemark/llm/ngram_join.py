@@ -7,11 +7,14 @@ with one shingle deleted, are the index keys. Then, all in Spark:
 * a record whose segments differ from everybody else's by more than a link allows has
   no partner and is dropped with all its keys. Most keys belong to one record only, so
   this leaves near copies and little else, also where a passage is in many documents;
-* the least record of each key is compared with the others. Copies soon hang together,
-  however many there are, without listing their pairs;
+* one record of each key, first the best connected one, is compared with the others.
+  Copies soon hang together, however many there are, without listing their pairs. This
+  is repeated with other records while listing would still take too many;
 * keys whose records still lie in different groups are peeled again, now counting only
   other groups' records, and each record that remains takes its cheapest keys, just
-  as many as the bound asks for, and is compared with the other groups' records there.
+  as many as the bound asks for, and meets the other groups' records there. Of these
+  pairs only such are made whose parity bitmaps differ in no more bits than the sets
+  may differ in shingles.
 
 Every comparison intersects the two whole sets. Shingles and sets are told apart by
 64-bit hashes. The result is whole: no key, record or pair is capped.
@@ -26,14 +29,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialize
+from tidemark.llm.common import discard, materialize
 from tidemark.llm.components import components
-from tidemark.llm.shingles import BAND_AT, PART_AT, SIZE_AT, Bands, WordHashes, set_id, shingle_set
+from tidemark.llm.shingles import BAND_AT, PARITY_WORDS, PART_AT, SIZE_AT, Bands, parity, set_id, shingle_set, word_hashes
 
-#: Rounds of comparing with the least record before the rest is compared pair by pair.
-STAR_ROUNDS = 2
+#: Rounds of comparing with one record of each key end when a round leaves more than
+#: this part of the rows, or after so many.
+STAR_GAIN, STAR_ROUNDS = 0.9, 8
 #: Candidates of one record in such a round; what they miss is left for the last step.
-STAR_TRIES = 2
+STAR_TRIES = 3
 #: 64-bit words of the filter that spares sending texts without candidates through a shuffle.
 FILTER_WORDS = 1 << 19
 
@@ -46,7 +50,7 @@ def shingle_records(docs: DataFrame) -> DataFrame:
     """(doc_id, rec, n, overflow) of every row: its set's hash and size."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, bands = WordHashes(), Bands()
+        hashes, bands = word_hashes(), Bands()
         for batch in batches:
             sets = [shingle_set(text, hashes) for text in batch.column(1).to_pylist()]
             columns = [
@@ -64,7 +68,7 @@ def _index_rows(docs: DataFrame) -> DataFrame:
     """(sig, rec, tag): the index keys of each record, once a task."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, bands, seen = WordHashes(), Bands(), set()
+        hashes, bands, seen = word_hashes(), Bands(), set()
         for batch in batches:
             out: list[tuple] = []
             for text in batch.column(0).to_pylist():
@@ -94,38 +98,43 @@ def _with_bounds(rows: DataFrame) -> DataFrame:
     return rows.withColumn("spare", (total - most).cast("long")).withColumn("wide", wide)
 
 
-def _peel(rows: DataFrame) -> DataFrame:
+def _peel(rows: DataFrame, passes: int = 2) -> DataFrame:
     """Rows of records that can have a partner in another group (``comp``), with the keys' other records only.
 
-    Repeated until nothing more than a few rows would go; each pass is exact.
+    Each pass is exact; a pass may leave others with less, so there are two. ``ties``
+    says how many rows share the record's keys.
     """
-    for _ in range(2):
+    for _ in range(passes):
         key = Window.partitionBy("sig")
         full, cut = F.when(F.col("kind") == 0, F.col("comp")), F.when(F.col("kind") == 1, F.col("comp"))
         other = lambda a, b: F.coalesce((F.col(a) != F.col("comp")) | (F.col(b) != F.col("comp")), F.lit(False))
-        met = rows.select(
+        met = rows.drop("ties").select(
             "*",
             F.min(full).over(key).alias("f0"),
             F.max(full).over(key).alias("f1"),
             F.min(cut).over(key).alias("c0"),
             F.max(cut).over(key).alias("c1"),
+            F.count("*").over(key).alias("rows"),
         )
         met = met.withColumn(
             "near", F.when((F.col("kind") == 0) & other("f0", "f1"), 2).when(other("f0", "f1") | ((F.col("kind") == 0) & other("c0", "c1")), 1)
         )
-        met = met.filter("near is not null").drop("f0", "f1", "c0", "c1")
+        met = materialize(met.filter("near is not null").drop("f0", "f1", "c0", "c1"), "met")
         place = F.when(F.col("wide"), F.col("part")).otherwise(F.col("sig")).alias("place")
         by_place = met.groupBy("rec", "n", "band", place).agg(
-            F.max(F.when(F.col("wide"), F.col("near")).otherwise(1)).alias("lost"), F.max("spare").alias("spare")
+            F.max(F.when(F.col("wide"), F.col("near")).otherwise(1)).alias("lost"), F.max("spare").alias("spare"), F.sum("rows").alias("rows")
         )
-        able = by_place.groupBy("rec", "n", "band").agg(F.sum("lost").alias("lost"), F.max("spare").alias("spare")).filter("lost >= spare")
-        rows = materialize(met.drop("near").join(able.select("rec", "n", "band"), ["rec", "n", "band"], "left_semi"), "keys")
+        able = by_place.groupBy("rec", "n", "band").agg(F.sum("lost").alias("lost"), F.max("spare").alias("spare"), F.sum("rows").alias("ties"))
+        able = able.filter("lost >= spare").select("rec", "n", "band", "ties")
+        rows = materialize(met.drop("near", "rows").join(able, ["rec", "n", "band"]), "keys")
+        discard(met)
     return rows
 
 
 def _star_pairs(rows: DataFrame, turn: int) -> DataFrame:
-    """Each record with the records that are least in the most of its keys."""
-    who = F.struct(F.xxhash64("rec", F.lit(turn)).alias("order"), "rec", "n", "comp")
+    """Each record with the records that come first in the most of its keys."""
+    rank = F.when(F.lit(turn == 0), -F.col("ties")).otherwise(F.lit(0))
+    who = F.struct(rank.alias("rank"), F.xxhash64("rec", F.lit(turn)).alias("order"), "rec", "n", "comp")
     least = F.min(F.when(F.col("kind") == 0, who)).over(Window.partitionBy("sig"))
     pairs = (
         rows.withColumn("least", least)
@@ -137,17 +146,20 @@ def _star_pairs(rows: DataFrame, turn: int) -> DataFrame:
     return pairs.withColumn("try", best).filter(F.col("try") <= STAR_TRIES).select("a", "na", "b", "nb")
 
 
-def _rest_pairs(rows: DataFrame) -> DataFrame:
-    """All pairs of different groups that share a key which one of them needs."""
+def _rest_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """All pairs of different groups that share a key which one of them needs and that bitmaps don't rule out."""
+    rows = rows.join(sets.select("rec", "n", "bits"), ["rec", "n"])
     cost = F.count("*").over(Window.partitionBy("sig"))
     cheap = F.row_number().over(Window.partitionBy("rec", "n", "band").orderBy("cost", "sig"))
     held = F.count("*").over(Window.partitionBy("rec", "n", "band"))
     # Of the keys that others share too, as many may be left out as are spare.
     needed = rows.withColumn("cost", cost).withColumn("cheap", cheap).withColumn("held", held)
     needed = needed.filter(F.col("wide") | (F.col("cheap") <= F.col("held") - F.col("spare") + 1) | (F.col("spare") <= 0))
-    x = needed.select("sig", F.col("rec").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"), F.col("kind").alias("ka"))
-    y = rows.select("sig", F.col("rec").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"), F.col("kind").alias("kb"))
+    x = needed.select("sig", F.col("rec").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"), F.col("kind").alias("ka"), F.col("bits").alias("xa"))
+    y = rows.select("sig", F.col("rec").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"), F.col("kind").alias("kb"), F.col("bits").alias("xb"))
     met = x.join(y, "sig").filter("ca <> cb and ka + kb < 2 and 5 * least(na, nb) >= 4 * greatest(na, nb)")
+    apart = " + ".join(f"bit_count(xa[{i}] ^ xb[{i}])" for i in range(PARITY_WORDS))
+    met = met.filter(f"9 * ({apart}) <= na + nb")
     first = F.expr("a < b or (a = b and na < nb)")
     swap = [F.when(first, F.col(p)).otherwise(F.col(q)).alias(p) for p, q in (("a", "b"), ("na", "nb"), ("b", "a"), ("nb", "na"))]
     return met.select(*swap).distinct()
@@ -162,7 +174,7 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(rec, n, tokens) of the wanted records (rec, n, doc_id), one row each.
+    """(rec, n, tokens, bits) of the wanted records (rec, n, doc_id), one row each.
 
     A fixed-size bit filter over document ids keeps texts without a candidate where
     they are; it lets some through that needn't be, never the reverse.
@@ -180,21 +192,21 @@ def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     shared = spark.sparkContext.broadcast(table)
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, bits = WordHashes(), shared.value
+        hashes, bits = word_hashes(), shared.value
         for batch in batches:
             hit = np.ones(batch.num_rows, dtype=bool)
             for k in (1, 2):
                 spot = batch.column(k).to_numpy()
                 hit &= (bits[spot >> 6] >> (spot & 63)) & 1 == 1
             rows = [(shingle_set(batch.column(3)[int(i)].as_py(), hashes), batch.column(0)[int(i)].as_py()) for i in np.flatnonzero(hit)]
-            rows = [(doc, set_id(s), len(s), s.view(np.int64)) for s, doc in rows]
-            columns = list(zip(*rows, strict=True)) or [()] * 4
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["doc_id", "rec", "n", "tokens"])
+            rows = [(doc, set_id(s), len(s), s.view(np.int64), parity(s)) for s, doc in rows]
+            columns = list(zip(*rows, strict=True)) or [()] * 5
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["doc_id", "rec", "n", "tokens", "bits"])
 
     texts = _texts(docs).filter("doc_id is not null").select("doc_id", F.element_at(spots(), 1), F.element_at(spots(), 2), "text")
-    sets = texts.mapInArrow(fetch, "doc_id long, rec long, n long, tokens array<long>")
-    sets = sets.join(wanted, ["doc_id", "rec", "n"], "left_semi").groupBy("rec", "n").agg(F.first("tokens").alias("tokens"))
+    sets = texts.mapInArrow(fetch, "doc_id long, rec long, n long, tokens array<long>, bits array<long>")
+    sets = sets.join(wanted, ["doc_id", "rec", "n"], "left_semi").groupBy("rec", "n").agg(F.first("tokens").alias("tokens"), F.first("bits").alias("bits"))
     return materialize(sets, "sets")
 
 
@@ -231,16 +243,23 @@ def near_copies(docs: DataFrame) -> DataFrame:
     sets = _sets_of(docs, wanted)
     links = materialize(_verify(direct, sets), "links") if direct else None
     groups = components(links) if links else None
-    for turn in range(STAR_ROUNDS + 1):
+    turn, held, listed = 0, rows.count(), False
+    while held:
         if groups is not None:
             grouped = groups.select(F.col("node").alias("rec"), F.col("component").alias("g"))
-            rows = rows.join(grouped, "rec", "left").withColumn("comp", F.coalesce("g", "comp")).drop("g")
+            older, rows = rows, rows.join(grouped, "rec", "left").withColumn("comp", F.coalesce("g", "comp")).drop("g")
             rows = _peel(rows)
-        if not rows.limit(1).count():
-            break
-        new = materialize(_verify(_star_pairs(rows, turn) if turn < STAR_ROUNDS else _rest_pairs(rows), sets), "links")
+            discard(older)
+            before, held = held, rows.count()
+            if not held:
+                break
+            listed = held > STAR_GAIN * before or turn == STAR_ROUNDS
+        new = materialize(_verify(_rest_pairs(rows, sets) if listed else _star_pairs(rows, turn), sets), "links")
         links = new if links is None else links.unionByName(new)
         groups = components(links)
+        turn += 1
+        if listed:
+            break
     if groups is not None:
         linked = groups.join(recs, groups["node"] == recs["rec"]).select("rec", "n", "component", "doc_id")
         least = linked.groupBy("component").agg(F.min("doc_id").alias("least"))

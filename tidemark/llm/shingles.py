@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import xxhash
 
@@ -10,6 +12,7 @@ _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x9
 _S27, _S30, _S31, _S33 = (np.uint64(x) for x in (27, 30, 31, 33))
 #: Bits of a signature row's tag: set size, band, segment or number of empty segments, kind.
 SIZE_AT, BAND_AT, PART_AT = 31, 25, 1
+PARITY_WORDS = 16
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -31,6 +34,12 @@ class WordHashes(dict):
         return found
 
 
+@lru_cache(1)
+def word_hashes() -> WordHashes:
+    """One memory per worker process, so that later tasks find its words."""
+    return WordHashes()
+
+
 def shingle_set(text: str | None, hashes: WordHashes) -> np.ndarray:
     """Sorted distinct hashes of the text's five-word shingles (A-Z lower-cased).
 
@@ -54,6 +63,12 @@ def set_id(tokens: np.ndarray) -> int:
     return int(mix(total).view(np.int64)[0])
 
 
+def parity(tokens: np.ndarray) -> np.ndarray:
+    """Bits that each shingle flips; two sets' bits differ in no more places than the sets in shingles."""
+    spots = np.bincount(((tokens >> _S31) % np.uint64(64 * PARITY_WORDS)).astype(np.int64), minlength=64 * PARITY_WORDS) & 1
+    return np.packbits(spots.astype(np.uint8)).view(np.int64)
+
+
 class Bands:
     """Set sizes cut into bands, and how each band's universe of shingles is partitioned.
 
