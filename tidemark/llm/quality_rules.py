@@ -55,8 +55,7 @@ def statistics(docs: DataFrame) -> DataFrame:
     step = step.withColumn("n_repeat_words", F.expr("aggregate(transform(r, (i, k) -> least(3, coalesce(get(r, k + 1) - i, 3))), 0L, (a, x) -> a + x)"))
     lines = F.filter(F.split("t", "\n"), lambda x: F.btrim(x, F.lit(BLANK)) != "")
     step = step.withColumn("l", lines).withColumn("n_dup_lines", (F.size("l") - F.size(F.array_distinct("l"))).cast("long")).withColumn("n_lines", F.size("l"))
-    low = F.transform("w", lambda x: F.lower(x))
-    step = step.withColumn("n_stop", F.size(F.filter(low, lambda x: x.isin(*STOP))))
+    step = step.withColumn("n_stop", F.size(F.filter("w", lambda x: x.isin(*STOP))))
     step = step.withColumn("word_chars", F.length(_without(F.col("t"), BLANK)).cast("long"))
     step = step.withColumn("n_symbols", (F.length("t") - F.length(_without(F.col("t"), SYMBOLS))).cast("long"))
     step = step.withColumn("n_digits", F.length("t") - F.length(_without(F.col("t"), "0123456789")))
@@ -153,8 +152,8 @@ def _prune(rows: DataFrame, rule: Rule) -> tuple[Rule, tuple[int, int]]:
     return rule[:best], counts[str(best)]
 
 
-def learn(stats: DataFrame, labels: DataFrame) -> list[Rule]:
-    """Rules for bad documents, in order, from ``labels`` (doc_id, quality 0 or 1).
+def learn(docs: DataFrame, labels: DataFrame) -> list[Rule]:
+    """Rules for bad documents, in order, from ``labels`` (doc_id, quality 0 or 1) and their texts.
 
     At most ``MAX_LABELLED`` labelled rows are used. Rows with null labels, and ids
     labelled both ways, are left out; without rows of both kinds there are no rules.
@@ -162,8 +161,9 @@ def learn(stats: DataFrame, labels: DataFrame) -> list[Rule]:
     clear = labels.filter("quality in (0, 1)").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
     clear = clear.agg(F.min("quality").alias("q"), F.max("quality").alias("q1")).filter("q = q1").select("doc_id", (1 - F.col("q")).cast("int").alias("bad"))
     order = F.xxhash64("doc_id")
-    chosen = clear.orderBy(order, "doc_id").limit(MAX_LABELLED)
-    rows = materialize(stats.select("doc_id", *FEATURES).join(chosen, "doc_id").withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(3))), "labelled")
+    chosen = F.broadcast(materialize(clear.orderBy(order, "doc_id").limit(MAX_LABELLED), "chosen"))  # bounded
+    known = docs.join(chosen.select(F.col("doc_id").alias("known")), F.col("doc_id").cast("long") == F.col("known"), "left_semi")
+    rows = materialize(statistics(known).select("doc_id", *FEATURES).join(chosen, "doc_id").withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(3))), "labelled")
     grow, prune = rows.filter("part < 2"), rows.filter("part = 2")
     quantiles = grow.agg(*(F.percentile_approx(f, [k / (CUTS + 1) for k in range(1, CUTS + 1)], 1000).alias(f) for f in FEATURES)).first()
     cuts = {f: sorted({float(x) for x in quantiles[f]}) for f in FEATURES if quantiles[f]}
@@ -195,8 +195,8 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     names the learned one. Null and empty texts have no words and fail. Repeated rows
     are judged each.
     """
+    rules = learn(docs, labels)
     stats = statistics(docs)
-    rules = learn(stats, labels)
     number = verdict(rules)
     names = F.array(F.lit(""), *(F.lit(" and ".join(map(str, rule))) for rule in rules))
     return stats.withColumn("base_failed", base_failed()).select(
