@@ -1 +1,189 @@
-"""To be filled."""
+"""Queries over parsers. Payloads are folded from the tables, parsed, and compared with the tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidemark.functions import scalars as S
+from tidemark.plans.registry import query
+from tidemark.plans.series import events
+from tidemark.sources import parsers as A
+from tidemark.session import table
+
+
+@query("land_payloads", "SELECT DISTINCT page_id % 5 AS source_code, sha256(html) AS sha256, CAST(strlen(html) AS INTEGER) AS size, 'html' AS extension FROM pages")
+def land_payloads(spark, sf_dir):
+    return A.land_payloads(table(spark, sf_dir, "pages").withColumn("src", F.col("page_id") % 5), "src", "html", F.lit("text/html; charset=utf-8"))
+
+
+@query("payload_kind", "SELECT page_id, CASE WHEN page_id % 4 = 1 THEN 'json_rows' WHEN page_id % 4 = 2 THEN 'csv' WHEN page_id % 4 = 3 THEN 'json_metadata' WHEN lower(ltrim(html, chr(32) || chr(10) || chr(9))) LIKE '<!doctype html%' OR lower(html) LIKE '<html%' THEN 'html' WHEN html LIKE '<%' THEN 'xml' ELSE 'unknown' END AS kind FROM pages")
+def payload_kind(spark, sf_dir):
+    n = F.col("page_id") % 4
+    body = F.when(n == 1, F.concat(F.lit('{"data": ['), F.col("page_id").cast("string"), F.lit("]}"))).when(n == 2, F.lit("a,b\n1,2\n")).when(n == 3, F.lit('{"title": 1}')).otherwise(F.col("html"))
+    return table(spark, sf_dir, "pages").select("page_id", A.payload_kind(body).alias("kind"))
+
+
+@query("payload_checks", "SELECT page_id, CASE WHEN strlen(html) > 2000 THEN 'too_large' WHEN html NOT LIKE '%</html>%' THEN 'truncated' ELSE 'pass' END AS status FROM pages")
+def payload_checks(spark, sf_dir):
+    size = F.octet_length("html")
+    return table(spark, sf_dir, "pages").select("page_id", F.when(size > 2000, "too_large").when(~F.contains("html", F.lit("</html>")), "truncated").otherwise("pass").alias("status"))
+
+
+@query("parse_series_csv", """WITH d AS (SELECT event_type, CAST(ts AS DATE) AS day, CAST(round(sum(CAST(value AS DECIMAL(18,6))), 2) AS DOUBLE) AS value FROM events GROUP BY 1, 2)
+SELECT event_type, CASE WHEN event_type <> 'error' THEN day END AS day, CASE WHEN event_type <> 'error' THEN value END AS value, event_type = 'error' AS failed FROM d WHERE event_type <> 'error' AND day BETWEEN DATE '2024-01-05' AND DATE '2024-01-25' AND day(day) % 10 <> 7
+UNION SELECT 'error', NULL, NULL, TRUE""")
+def parse_series_csv(spark, sf_dir):
+    """Round trip: daily sums as one CSV a type; every tenth day is missing, one type has a bad number."""
+    d = events(spark, sf_dir).groupBy("event_type", F.col("utc_day").alias("day")).agg(F.round(F.sum("value"), 2).cast("decimal(18,2)").alias("value"))
+    cell = F.when((F.col("event_type") == "error") & (F.dayofmonth("day") == 9), "12x").when(F.dayofmonth("day") % 10 == 7, ".").otherwise(F.col("value").cast("string"))
+    lines = F.array_join(F.array_sort(F.collect_list(F.concat_ws(",", F.col("day").cast("string"), cell))), "\n")
+    docs = d.groupBy("event_type").agg(F.concat(F.lit("﻿observation_date,VALUE\n"), lines).alias("payload"))
+    out = A.parse_series_csv(docs, "event_type", "payload", ("date", "observation_date"), "value", "2024-01-05", "2024-01-25")
+    return out.withColumn("value", F.col("value").cast("double"))
+
+
+@query("parse_props_json", "SELECT event_id, CAST(json_extract(props, '$.k') AS DOUBLE) AS k FROM events")
+def parse_props_json(spark, sf_dir):
+    """`var q = {...};` around the JSON is stripped before the path is read."""
+    body = F.concat(F.lit("var q = "), F.col("props"), F.lit(";"))
+    plain = F.regexp_replace(F.regexp_replace(body, r"^\s*var\s+\w+\s*=\s*", ""), r";\s*$", "")
+    return table(spark, sf_dir, "events").select("event_id", F.try_variant_get(F.try_parse_json(plain), "$.k", "double").alias("k"))
+
+
+BARS_SQL = """SELECT c_mktsegment AS seg, CAST(date_trunc('month', o_orderdate) AS DATE) AS day, CAST(arg_min(o_totalprice, o_orderkey) AS DOUBLE) AS open, max(o_totalprice) AS high, min(o_totalprice) AS low, CAST(arg_max(o_totalprice, o_orderkey) AS DOUBLE) AS close
+FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1, 2"""
+
+
+@query("parse_bars", BARS_SQL)
+def parse_bars(spark, sf_dir):
+    """Round trip: monthly bars as one payload a segment, half named objects, half positional arrays."""
+    rows = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("c_custkey") == F.col("o_custkey"))
+    bars = rows.groupBy(F.col("c_mktsegment").alias("seg"), F.to_date(F.trunc("o_orderdate", "month")).alias("day")).agg(
+        F.min_by("o_totalprice", "o_orderkey").alias("open"), F.max("o_totalprice").alias("high"), F.min("o_totalprice").alias("low"), F.max_by("o_totalprice", "o_orderkey").alias("close")
+    )
+    bar = F.struct((F.unix_date("day").cast("long") * 86_400_000).alias("time"), "open", "high", "low", "close")
+    grouped = bars.groupBy("seg").agg(F.array_sort(F.collect_list(bar)).alias("data"))
+    arrays = F.transform("data", lambda b: F.array(b["time"].cast("double"), b["open"], b["high"], b["low"], b["close"]))
+    named, plain = F.to_json(F.struct("data")), F.to_json(F.struct(arrays.alias("rows")))
+    body = F.when(F.col("seg") < "H", named).otherwise(plain)
+    return A.parse_bars(grouped.select("seg", F.concat(F.lit("var kline = "), body, F.lit(";")).alias("payload")), "seg", "payload")
+
+
+@query("parse_fx_xml", "SELECT CAST(ts AS DATE) AS day, upper(event_type) AS code, round(CAST(CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS DOUBLE) / 100, 6) AS rate FROM events GROUP BY 1, 2")
+def parse_fx_xml(spark, sf_dir):
+    d = table(spark, sf_dir, "events").groupBy(F.to_date("ts").alias("day"), F.upper("event_type").alias("code")).agg(F.sum(F.col("value").cast("decimal(18,2)")).cast("decimal(18,2)").alias("v"))
+    text = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))
+    item = text("<Valute><CharCode>", F.col("code"), "</CharCode><Nominal>100</Nominal><Value>", F.replace(F.col("v").cast("string"), F.lit("."), F.lit(",")), "</Value></Valute>")
+    docs = d.groupBy("day").agg(text('<ValCurs Date="', F.first(F.date_format("day", "dd.MM.yyyy")), '">', F.array_join(F.collect_list(item), ""), "</ValCurs>").alias("payload"))
+    return A.parse_fx_xml(docs, "payload")
+
+
+@query("zip_arrays", """SELECT vec_id, CAST(p.p AS INTEGER) AS pos, CAST(p.p AS INTEGER) AS time, round(CAST(embedding[p.p + 1] AS DOUBLE), 6) AS mean, CASE WHEN p.p < 6 THEN round(CAST(embedding[p.p + 9] AS DOUBLE), 6) END AS rain, 'rain' AS missing FROM embeddings, range(8) p(p)""")
+def zip_arrays(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.sequence(F.lit(0), F.lit(7)).alias("t"), F.slice("embedding", 1, 8).alias("m"), F.slice("embedding", 9, 6).alias("r"))
+    out = A.zip_arrays(rows, ["vec_id"], "t", {"mean": "m", "rain": "r"})
+    return out.withColumns({c: F.round(F.col(c).cast("double"), 6) for c in ("mean", "rain")})
+
+
+@query("unpivot_series", """WITH m AS (SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS period, sum(CASE WHEN l_returnflag = 'A' THEN l_quantity END) AS a, sum(CASE WHEN l_returnflag = 'N' THEN l_quantity END) AS n FROM lineitem GROUP BY 1)
+SELECT period, last_day(period) AS period_end, 'accepted' AS series, a AS value FROM m WHERE a IS NOT NULL UNION ALL SELECT period, last_day(period), 'new', n FROM m WHERE n IS NOT NULL""")
+def unpivot_series(spark, sf_dir):
+    m = table(spark, sf_dir, "lineitem").groupBy(F.to_date(F.trunc("l_shipdate", "month")).alias("period")).pivot("l_returnflag", ["A", "N"]).agg(F.sum("l_quantity"))
+    return A.unpivot_series(m, ["period"], {"A": "accepted", "N": "new"}).withColumn("period_end", F.last_day("period"))
+
+
+@query("load_observations", "SELECT o_orderpriority AS metric, o_orderkey AS k, CAST(o_totalprice AS DOUBLE) AS value FROM orders WHERE o_orderkey % 20 = 0 AND o_orderkey % 7 <> 0")
+def load_observations(spark, sf_dir):
+    """Round trip: observations as one JSON document a metric; such as lack a required field are left out."""
+    o = table(spark, sf_dir, "orders").filter("o_orderkey % 20 = 0")
+    value = F.when(F.col("o_orderkey") % 7 != 0, F.col("o_totalprice").cast("string"))
+    docs = o.groupBy("o_orderpriority").agg(F.to_json(F.struct(F.collect_list(F.struct(F.col("o_orderpriority").alias("metric"), F.col("o_orderkey").alias("k"), value.alias("value"))).alias("observations"))).alias("payload"))
+    rows = docs.select(F.inline(F.from_json("payload", "observations array<struct<metric:string,k:bigint,value:string>>")["observations"]))
+    return rows.filter("value is not null").withColumn("value", F.col("value").cast("double"))
+
+
+@query("normalize_url", r"SELECT page_id, lower(regexp_extract(url, '^([^:]+://[^/?#]*)', 1)) || regexp_replace(regexp_replace(regexp_extract(url, '^[^:]+://[^/]*(.*)$', 1), '[?#].*$', ''), '/+$', '') AS url FROM pages")
+def normalize_url(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", S.normalize_url(F.col("url")).alias("url"))
+
+
+@query("articles_from_pages", r"SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, lower(regexp_extract(url, '^[^:]+://([^/?#:]*)', 1)) AS source_name FROM pages WHERE regexp_extract(html, '<title>([^<]*)</title>', 1) <> ''")
+def articles_from_pages(spark, sf_dir):
+    title = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
+    host = F.lower(F.regexp_extract("url", r"^[^:]+://([^/?#:]*)", 1))
+    return table(spark, sf_dir, "pages").select("page_id", title.alias("title"), host.alias("source_name")).filter("title <> ''")
+
+
+@query("canonical_decimal", r"SELECT l_orderkey, l_linenumber, regexp_replace(regexp_replace(CAST(CAST(l_discount AS DECIMAL(18,8)) AS VARCHAR), '(\.[0-9]*?)0+$', '\1'), '\.$', '') AS d, count(*) AS n FROM lineitem GROUP BY ALL")
+def canonical_decimal(spark, sf_dir):
+    d = S.canonical_decimal(F.col("l_discount").cast("decimal(18,8)"))
+    return table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber", d.alias("d")).agg(F.count("*").alias("n"))
+
+
+@query("lenient_casts", "SELECT o_orderkey, CASE WHEN o_orderkey % 9 <> 0 THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) END AS v FROM orders")
+def lenient_casts(spark, sf_dir):
+    text = F.when(F.col("o_orderkey") % 9 == 0, "N/A").otherwise(F.concat(F.lit('"'), F.format_number("o_totalprice", 2), F.lit('" ')))
+    return table(spark, sf_dir, "orders").select("o_orderkey", S.lenient_decimal(text).cast("double").alias("v"))
+
+
+@query("composite_id", "SELECT o_orderkey, coalesce(CASE WHEN o_orderkey % 4 = 0 THEN 'id-' || o_orderkey END, concat_ws('|', o_custkey, o_orderstatus, strftime(o_orderdate, '%Y-%m-%d'))) AS id FROM orders")
+def composite_id(spark, sf_dir):
+    explicit = F.when(F.col("o_orderkey") % 4 == 0, F.concat(F.lit("id-"), F.col("o_orderkey").cast("string")))
+    parts = (F.col("o_custkey").cast("string"), F.col("o_orderstatus"), F.date_format("o_orderdate", "yyyy-MM-dd"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", S.composite_id(explicit, *parts).alias("id"))
+
+
+@query("normalize_codes", "SELECT p_type, CASE replace(replace(lower(trim(p_type)), '-', '_'), ' ', '_') WHEN 'economy' THEN 'eco' WHEN 'promo' THEN 'promotion' ELSE replace(replace(lower(trim(p_type)), '-', '_'), ' ', '_') END AS code, count(*) AS n FROM part GROUP BY 1, 2")
+def normalize_codes(spark, sf_dir):
+    code = F.translate(F.lower(F.trim("p_type")), "- ", "__")
+    alias = F.create_map(*map(F.lit, ("economy", "eco", "promo", "promotion")))
+    return table(spark, sf_dir, "part").groupBy("p_type", F.coalesce(F.try_element_at(alias, code), code).alias("code")).agg(F.count("*").alias("n"))
+
+
+@query("normalize_enums", "SELECT o_orderstatus, CASE o_orderstatus WHEN 'F' THEN 'final' WHEN 'O' THEN 'open' ELSE 'unknown' END AS status, count(*) AS n FROM orders GROUP BY 1, 2")
+def normalize_enums(spark, sf_dir):
+    names = F.create_map(*map(F.lit, ("F", "final", "O", "open")))
+    return table(spark, sf_dir, "orders").groupBy("o_orderstatus", F.coalesce(F.try_element_at(names, F.col("o_orderstatus")), F.lit("unknown")).alias("status")).agg(F.count("*").alias("n"))
+
+
+@query("resolve_identity", "SELECT n_nationkey, CASE WHEN n_nationkey % 6 = 0 THEN 'NATION_1' WHEN n_nationkey % 5 = 0 THEN NULL ELSE n_name END AS resolved, n_nationkey % 6 = 0 AND n_nationkey <> 1 AS mismatch FROM nation")
+def resolve_identity(spark, sf_dir):
+    """A code and a name are resolved apart; the code wins where they differ."""
+    n = table(spark, sf_dir, "nation")
+    k = F.col("n_nationkey")
+    rows = n.select(k, F.when(k % 6 == 0, F.lit(1)).when(k % 5 != 0, k).alias("code"), F.when((k % 6 == 0) | (k % 5 != 0), F.lower("n_name")).alias("name"))
+    by_code = F.broadcast(n.select(F.col("n_nationkey").alias("code"), F.col("n_name").alias("x")))
+    by_name = F.broadcast(n.select(F.lower("n_name").alias("name"), F.col("n_name").alias("y")))
+    both = rows.join(by_code, "code", "left").join(by_name, "name", "left")
+    return both.select("n_nationkey", F.coalesce("x", "y").alias("resolved"), F.coalesce(F.col("x") != F.col("y"), F.lit(False)).alias("mismatch"))
+
+
+@query("missing_flags", "SELECT o_orderkey, nullif(concat_ws(',', CASE WHEN o_orderkey % 7 = 0 THEN 'no_status' END, CASE WHEN o_totalprice < 50000 THEN 'small' END), '') AS flags FROM orders")
+def missing_flags(spark, sf_dir):
+    flags = {"no_status": F.col("o_orderkey") % 7 == 0, "small": F.col("o_totalprice") < 50000}
+    return table(spark, sf_dir, "orders").select("o_orderkey", S.true_flags(flags).alias("flags"))
+
+
+@query("ordered_dedupe", "SELECT o_orderkey, CASE WHEN o_orderstatus = o_orderpriority[3:3] THEN o_orderstatus ELSE o_orderstatus || ',' || o_orderpriority[3:3] END AS flags FROM orders")
+def ordered_dedupe(spark, sf_dir):
+    flags = F.array("o_orderstatus", F.substring("o_orderpriority", 3, 1), "o_orderstatus")
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.array_join(F.array_distinct(flags), ",").alias("flags"))
+
+
+@query("tolerant_diff", "SELECT l_returnflag, count(*) AS n FROM lineitem WHERE round(l_extendedprice, 2) <> round(l_extendedprice + CASE WHEN l_orderkey % 10 = 0 THEN 0.01 ELSE 0.0000000001 END, 2) GROUP BY 1")
+def tolerant_diff(spark, sf_dir):
+    other = F.col("l_extendedprice") + F.when(F.col("l_orderkey") % 10 == 0, 0.01).otherwise(0.0000000001)
+    return table(spark, sf_dir, "lineitem").filter(~S.values_equal(F.col("l_extendedprice"), other, 2)).groupBy("l_returnflag").agg(F.count("*").alias("n"))
+
+
+@query("features_json", """SELECT o_orderkey, '{"day":"' || strftime(o_orderdate, '%Y-%m-%d') || '","price":"' || CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) || '","status":"' || o_orderstatus || '"}' AS j FROM orders""")
+def features_json(spark, sf_dir):
+    fields = F.struct(F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("price"), F.col("o_orderstatus").alias("status"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.to_json(fields).alias("j"))
+
+
+@query("select_entities", "SELECT DISTINCT c_mktsegment AS segment FROM customer WHERE c_mktsegment IN (SELECT c_mktsegment FROM customer JOIN orders ON o_custkey = c_custkey WHERE o_orderdate < TIMESTAMP '1995-03-01')")
+def select_entities(spark, sf_dir):
+    seen = table(spark, sf_dir, "orders").filter("o_orderdate < timestamp_ntz '1995-03-01'").join(table(spark, sf_dir, "customer"), F.col("c_custkey") == F.col("o_custkey"))
+    all_ = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("segment")).distinct()
+    return all_.join(seen.select(F.col("c_mktsegment").alias("segment")), "segment", "left_semi")
