@@ -1 +1,67 @@
-"""To be filled."""
+"""Streaming jobs over ``events`` run to their end, written as Parquet and read back."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidemark.operators import ingest as I
+from tidemark.plans.registry import query
+from tidemark.session import scratch_root, table
+from tidemark.streaming import jobs as J
+
+
+def _stream(spark, sf_dir) -> DataFrame:
+    schema = table(spark, sf_dir, "events").schema
+    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")
+    return stream.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def _run(stream: DataFrame, mode: str) -> DataFrame:
+    """Write the stream's output batch by batch and read it back whole; the last batch counts in complete mode."""
+    spark = stream.sparkSession
+    base = f"{scratch_root(spark)}/tidemark/stream-{uuid.uuid4().hex}"
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite" if mode == "complete" else "append").parquet(f"{base}/out")
+
+    writer = stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", f"{base}/state")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{base}/out")
+
+
+@query("stream_slot_dedupe", "SELECT user_id, event_type, date_trunc('day', ts) AS slot FROM events GROUP BY ALL")
+def stream_slot_dedupe(spark, sf_dir):
+    out = _run(J.slot_dedupe(_stream(spark, sf_dir), ["user_id", "event_type"], "ts", "1 day", "2 days"), "append")
+    return out.select("user_id", "event_type", F.date_format("slot", "yyyy-MM-dd").cast("date").alias("slot"))
+
+
+@query("stream_daily_bar", "SELECT user_id % 20 AS product, CAST(ts AS DATE) AS day, arg_min(value, (ts, event_id)) AS first, arg_max(value, (ts, event_id)) AS last, min(value) AS low, max(value) AS high, count(*) AS n FROM events GROUP BY 1, 2")
+def stream_daily_bar(spark, sf_dir):
+    s = _stream(spark, sf_dir).withColumn("product", F.col("user_id") % 20)
+    out = _run(J.daily_bars(s, ["product"], "ts", "value", "event_id", "2 days"), "complete")
+    return out.select("product", F.date_format("day_start", "yyyy-MM-dd").cast("date").alias("day"), "first", "last", "low", "high", "n")
+
+
+@query("stream_freshness", "SELECT user_id, CAST(max(ts) AS DATE) AS last_day FROM events GROUP BY 1 HAVING max(ts) < TIMESTAMP '2024-01-30 12:00:00'")
+def stream_freshness(spark, sf_dir):
+    out = _run(J.freshness(_stream(spark, sf_dir), "user_id", "ts"), "complete")
+    stale = out.filter(F.date_format("last_seen", "yyyy-MM-dd HH:mm:ss.SSSSSS") < "2024-01-30 12:00:00")
+    return stale.select("user_id", F.date_format("last_seen", "yyyy-MM-dd").cast("date").alias("last_day"))
+
+
+@query("stream_merge_actions", "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'insert' WHEN event_id % 5 = 0 THEN 'conflict' ELSE 'skip' END AS action FROM events")
+def stream_merge_actions(spark, sf_dir):
+    """The batch conflict policy, called for each micro-batch against what is stored."""
+    rows = lambda df: df.select("event_id", F.round(F.col("value") * 100).cast("long").alias("h"))
+    existing = rows(table(spark, sf_dir, "events").filter("event_id % 3 <> 0"))
+    changed = F.col("h") + F.when(F.col("event_id") % 5 == 0, 1).otherwise(0)
+    base = f"{scratch_root(spark)}/tidemark/stream-{uuid.uuid4().hex}"
+
+    def merge(batch: DataFrame, number: int) -> None:
+        I.merge_actions(existing, batch.withColumn("h", changed), ["event_id"], "h").select("event_id", "action").write.mode("append").parquet(f"{base}/out")
+
+    J.each_batch(rows(_stream(spark, sf_dir)), f"{base}/state", merge)
+    return spark.read.schema("event_id long, action string").parquet(f"{base}/out")
