@@ -128,11 +128,11 @@ def collection_plan(spark, sf_dir):
     return p.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("impact"), "country", "marketing_year")))
 
 
-@query("trade_rows", "SELECT l_orderkey, l_linenumber, round(l_extendedprice / nullif(CASE WHEN l_orderkey % 13 = 0 THEN 0 ELSE l_quantity END, 0), 4) AS unit_value, strftime(l_shipdate, '%Y%m') AS period, count(*) AS n FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY ALL")
+@query("trade_rows", "SELECT l_orderkey, l_linenumber, round(l_extendedprice / nullif(CASE WHEN l_orderkey % 13 = 0 THEN 0 ELSE l_quantity END, 0), 8) AS unit_value, strftime(l_shipdate, '%Y%m') AS period, count(*) AS n FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY ALL")
 def trade_rows(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders").select("o_orderkey"), F.col("o_orderkey") == F.col("l_orderkey"))
     q = F.when(F.col("l_orderkey") % 13 == 0, 0.0).otherwise(F.col("l_quantity"))
-    unit = F.round(S.safe_ratio(F.col("l_extendedprice"), q), 4)
+    unit = F.round(S.safe_ratio(F.col("l_extendedprice"), q), 8)
     return rows.groupBy("l_orderkey", "l_linenumber", unit.alias("unit_value"), F.date_format("l_shipdate", "yyyyMM").alias("period")).agg(F.count("*").alias("n"))
 
 
