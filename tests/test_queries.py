@@ -2,7 +2,6 @@
 
 import datetime
 import decimal
-import math
 from pathlib import Path
 
 import duckdb
@@ -16,7 +15,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 
 
 def plain(v):
-    if v is None or v is pd.NaT or (isinstance(v, float) and math.isnan(v)):
+    if v is None or pd.isna(v):
         return None
     if isinstance(v, pd.Timestamp):
         return str(v.tz_localize(None) if v.tz else v)

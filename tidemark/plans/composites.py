@@ -17,7 +17,7 @@ _BASKET = "basket(country, w) AS (VALUES " + ", ".join(f"('{k}', CAST({v} AS DOU
 
 @query("weather_daily", f"""WITH {WEATHER_SQL}, b AS (SELECT min(day) AS a, max(day) AS z FROM weather), spine AS (SELECT r.region, CAST(d.d AS DATE) AS day FROM (SELECT DISTINCT region FROM weather) r, (SELECT unnest(generate_series((SELECT a FROM b), (SELECT z FROM b), INTERVAL 1 DAY)) AS d) d),
 s AS (SELECT spine.region, spine.day, mean, hi, lo FROM spine LEFT JOIN weather x ON x.region = spine.region AND x.day = spine.day)
-SELECT region, day, round(avg(mean) OVER w7, 4) AS mean_7, max(hi) OVER w7 AS hi_7, min(lo) OVER w30 AS lo_30, count(mean) OVER w7 AS days_7, CASE WHEN count(mean) OVER w7 < 7 THEN 'incomplete_7d' END AS missing_flags FROM s
+SELECT region, day, round(avg(mean) OVER w7, 10) AS mean_7, max(hi) OVER w7 AS hi_7, min(lo) OVER w30 AS lo_30, count(mean) OVER w7 AS days_7, CASE WHEN count(mean) OVER w7 < 7 THEN 'incomplete_7d' END AS missing_flags FROM s
 WINDOW w7 AS (PARTITION BY region ORDER BY day RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW), w30 AS (PARTITION BY region ORDER BY day RANGE BETWEEN INTERVAL 29 DAY PRECEDING AND CURRENT ROW)""")
 def weather_daily(spark, sf_dir):
     x = weather(spark, sf_dir)
@@ -25,7 +25,7 @@ def weather_daily(spark, sf_dir):
     spine = P.date_spine(x.select("region").distinct(), bounds).join(x, ["region", "day"], "left")
     specs = {"mean_7": (F.avg("mean"), 7), "hi_7": (F.max("hi"), 7), "lo_30": (F.min("lo"), 30), "days_7": (F.count("mean"), 7)}
     out = P.calendar_windows(spine, ["region"], "day", specs)
-    return out.select("region", "day", F.round("mean_7", 4).alias("mean_7"), "hi_7", "lo_30", "days_7", S.true_flags({"incomplete_7d": F.col("days_7") < 7}).alias("missing_flags"))
+    return out.select("region", "day", F.round("mean_7", 10).alias("mean_7"), "hi_7", "lo_30", "days_7", S.true_flags({"incomplete_7d": F.col("days_7") < 7}).alias("missing_flags"))
 
 
 @query("trade_daily", f"""WITH {TRADE_SQL}, k AS (SELECT flow, period, max(known) AS known, sum(quantity) AS v FROM trade GROUP BY 1, 2), d AS (SELECT unnest(generate_series(DATE '1996-01-15', DATE '2001-01-15', INTERVAL 1 MONTH)) AS t), days AS (SELECT CAST(t AS DATE) AS day FROM d),

@@ -159,8 +159,8 @@ def weather(spark, sf_dir):
     return agg.select("region", "day", *(F.when(on, F.col(c)).alias(c) for c in ("mean", "hi", "lo")))
 
 
-@query("range_windows", f"""WITH {WEATHER_SQL} SELECT region, day, round(avg(mean) OVER w7, 4) AS mean_7, min(lo) OVER w7 AS lo_7, max(hi) OVER w7 AS hi_7, round(avg(mean) OVER w30, 4) AS mean_30,
-  count(CASE WHEN hi >= 30 THEN 1 END) OVER w7 AS heat_7, count(CASE WHEN lo <= 0 THEN 1 END) OVER w30 AS frost_30, round(sum(CASE WHEN mean IS NOT NULL THEN greatest(mean - 10, 0) END) OVER w30, 4) AS gdd_30 FROM weather
+@query("range_windows", f"""WITH {WEATHER_SQL} SELECT region, day, round(avg(mean) OVER w7, 10) AS mean_7, min(lo) OVER w7 AS lo_7, max(hi) OVER w7 AS hi_7, round(avg(mean) OVER w30, 10) AS mean_30,
+  count(CASE WHEN hi >= 30 THEN 1 END) OVER w7 AS heat_7, count(CASE WHEN lo <= 0 THEN 1 END) OVER w30 AS frost_30, round(sum(CASE WHEN mean IS NOT NULL THEN greatest(mean - 10, 0) END) OVER w30, 10) AS gdd_30 FROM weather
 WINDOW w7 AS (PARTITION BY region ORDER BY day RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW), w30 AS (PARTITION BY region ORDER BY day RANGE BETWEEN INTERVAL 29 DAY PRECEDING AND CURRENT ROW)""")
 def range_windows(spark, sf_dir):
     t = F.col
@@ -170,7 +170,7 @@ def range_windows(spark, sf_dir):
         "gdd_30": (F.sum(F.when(t("mean").isNotNull(), F.greatest(t("mean") - S.gdd_base(F.lit("wheat")), F.lit(0.0)))), 30),
     }
     out = P.calendar_windows(weather(spark, sf_dir), ["region"], "day", specs)
-    return out.select("region", "day", *(F.round(n, 4).alias(n) if n in ("mean_7", "mean_30", "gdd_30") else n for n in specs))
+    return out.select("region", "day", *(F.round(n, 10).alias(n) if n in ("mean_7", "mean_30", "gdd_30") else n for n in specs))
 
 
 @query("event_windows", """WITH d AS (SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1, 2)
