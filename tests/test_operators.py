@@ -1,12 +1,14 @@
 """Hand-made rows for the rules that decide correctness."""
 
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
 from tidemark.operators import ingest as I
 from tidemark.operators import pointintime as P
+from tidemark.plans import payloads
 from tidemark.sources import parsers as A
 
 
@@ -70,3 +72,28 @@ def test_csv_with_a_bad_number_fails_whole(spark):
     df = spark.createDataFrame([(1, "date,v\n2024-01-02,1.5\n2024-01-03,.\n"), (2, "date,v\n2024-01-02,1x\n2024-01-03,2\n")], "k int, p string")
     out = sorted(map(tuple, A.parse_series_csv(df, "k", "p", ("date",), "v", "2024-01-01", "2024-01-31").collect()), key=str)
     assert [(r[0], r[1], r[3]) for r in out] == [(1, day(2), False), (2, None, True)]
+
+
+def test_size_anomaly_of_one_large_source_is_dealt_by_ranges(spark):
+    rng = random.Random(7)
+    rows = [("big", n, rng.randrange(1, 400)) for n in range(3000)] + [(None, n, rng.randrange(1, 400)) for n in range(30)] + [("one", 5, 3), ("big", None, 7)]
+    df = spark.createDataFrame(rows, "source string, doc_id long, n_chars long").repartition(4)
+    out = I.size_anomaly(df, ["source"], "doc_id", "n_chars")
+    got = {(r.source, r.doc_id): (r.mean_before, r.status) for r in out.collect()}
+    want = {}
+    for source in {r[0] for r in rows}:
+        mine = sorted((r for r in rows if r[0] == source), key=lambda r: -1 if r[1] is None else r[1])
+        for i, (_, doc, n) in enumerate(mine):
+            past = [x[2] for x in mine[max(0, i - 20) : i]]
+            mean = sum(past) / len(past) if past else None
+            want[source, doc] = (mean, "skip" if mean is None else "fail" if n > 3 * mean or n * 3 < mean else "pass")
+    assert got == want and out.count() == len(rows)
+    assert "__range" in out._jdf.queryExecution().optimizedPlan().toString()
+    few = I.size_anomaly(df, ["source"], "doc_id", "n_chars", ranges=2000).collect()  # ranges of fewer rows than are looked back on
+    assert {(r.source, r.doc_id): (r.mean_before, r.status) for r in few} == want
+
+
+def test_all_orders_pass_through_observations_in_bounded_documents(spark):
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    want = sorted((r.o_orderpriority, r.o_orderkey, float(r.o_totalprice)) for r in orders.collect() if r.o_orderkey % 7)
+    assert sorted(map(tuple, payloads.observations(orders, 50).collect())) == want

@@ -86,9 +86,30 @@ def stale_keys(rows: DataFrame, key: str, time: str, cutoff: Column) -> DataFram
     return rows.groupBy(key).agg(F.max(time).alias("last_seen")).filter(F.col("last_seen") < cutoff)
 
 
-def size_anomaly(rows: DataFrame, keys: list[str], order: str, size: str, back: int = 20, factor: int = 3) -> DataFrame:
-    """Status of each size against the mean of up to ``back`` earlier ones of its key."""
-    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(-back, -1)
-    out = rows.withColumn("mean_before", F.avg(F.col(size).cast("double")).over(w))
+def size_anomaly(rows: DataFrame, keys: list[str], order: str, size: str, back: int = 20, factor: int = 3, ranges: int = 64) -> DataFrame:
+    """Status of each size against the mean of up to ``back`` earlier ones of its key.
+
+    A key's rows are dealt into about equal ranges of ``order`` (a number or time), so
+    that no key, however frequent, meets in one task. Each range also gets the last
+    ``back`` rows before it, at most ``ranges * back`` of a key being looked at for that.
+    """
+    steps = F.array(*(F.lit(n / ranges) for n in range(1, ranges)))
+    cuts = rows.groupBy(*(F.col(k).alias(f"__{k}") for k in keys)).agg(F.array_distinct(F.percentile_approx(order, steps)).alias("__cuts"))
+    same = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys))
+    at = F.size(F.filter("__cuts", lambda c: c < F.col(order)))
+    dealt = rows.join(cuts, same, "left").withColumn("__range", F.coalesce(F.when(F.col(order).isNotNull(), at), F.lit(0)))
+    dealt = dealt.select(*rows.columns, "__range")
+    late = F.row_number().over(Window.partitionBy(*keys, "__range").orderBy(F.desc(order)))
+    tail = F.struct("__range", *(F.col(c) for c in dict.fromkeys((order, size))))
+    tails = dealt.withColumn("__late", late).filter(F.col("__late") <= back).groupBy(*keys).agg(F.array_sort(F.collect_list(tail)).alias("__tails"))
+    # The last rows before a range may come from several ranges; a range without rows takes its share in vain.
+    before = lambda r: F.filter("__tails", lambda t: t["__range"] < r)
+    last = lambda x: F.slice(x, F.greatest(F.size(x) - back + 1, F.lit(1)), back)
+    carried = tails.select(*keys, "__tails", F.explode(F.sequence(F.lit(1), F.lit(ranges - 1))).alias("__to"))
+    carried = carried.select(*keys, "__to", F.explode(last(before(F.col("__to")))).alias("__t"))
+    carried = carried.select(*keys, F.col("__to").alias("__range"), *(F.col(f"__t.{c}").alias(c) for c in dict.fromkeys((order, size))))
+    every = dealt.withColumn("__own", F.lit(True)).unionByName(carried.withColumn("__own", F.lit(False)), allowMissingColumns=True)
+    w = Window.partitionBy(*keys, "__range").orderBy(order).rowsBetween(-back, -1)
+    out = every.withColumn("mean_before", F.avg(F.col(size).cast("double")).over(w)).filter("__own").select(*rows.columns, "mean_before")
     odd = (F.col(size) > factor * F.col("mean_before")) | (F.col(size) * factor < F.col("mean_before"))
     return out.withColumn("status", F.when(F.col("mean_before").isNull(), "skip").when(odd, "fail").otherwise("pass"))

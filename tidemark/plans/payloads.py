@@ -94,10 +94,18 @@ def unpivot_series(spark, sf_dir):
 
 @query("load_observations", "SELECT o_orderpriority AS metric, o_orderkey AS k, CAST(o_totalprice AS DOUBLE) AS value FROM orders WHERE o_orderkey % 20 = 0 AND o_orderkey % 7 <> 0")
 def load_observations(spark, sf_dir):
-    """Round trip: observations as one JSON document a metric; such as lack a required field are left out."""
-    o = table(spark, sf_dir, "orders").filter("o_orderkey % 20 = 0")
+    """Round trip: observations as JSON documents by metric; such as lack a required field are left out."""
+    return observations(table(spark, sf_dir, "orders").filter("o_orderkey % 20 = 0"))
+
+
+def observations(o, chunk_rows=10_000):
+    """All orders through JSON documents of about ``chunk_rows`` observations, by metric and chunk of the key, and back."""
+    chunks = max(1, -(-o.count() // chunk_rows))
     value = F.when(F.col("o_orderkey") % 7 != 0, F.col("o_totalprice").cast("string"))
-    docs = o.groupBy("o_orderpriority").agg(F.to_json(F.struct(F.collect_list(F.struct(F.col("o_orderpriority").alias("metric"), F.col("o_orderkey").alias("k"), value.alias("value"))).alias("observations"))).alias("payload"))
+    observation = F.struct(F.col("o_orderpriority").alias("metric"), F.col("o_orderkey").alias("k"), value.alias("value"))
+    docs = o.groupBy("o_orderpriority", F.pmod(F.xxhash64("o_orderkey"), F.lit(chunks)).alias("chunk")).agg(
+        F.to_json(F.struct(F.collect_list(observation).alias("observations"))).alias("payload")
+    )
     rows = docs.select(F.inline(F.from_json("payload", "observations array<struct<metric:string,k:bigint,value:string>>")["observations"]))
     return rows.filter("value is not null").withColumn("value", F.col("value").cast("double"))
 
