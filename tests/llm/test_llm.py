@@ -270,6 +270,26 @@ def test_forward_backward_equals_enumeration():
     assert np.allclose(language_id.marginals(scores, np.array([5]), moves), want)
 
 
+def test_every_letter_run_and_n_gram_is_read():
+    grams = lambda w: [zlib.crc32(b[i : i + 3]) % language_id.BUCKETS for b in [f"<{w}>".encode()] for i in range(len(b) - 2)]
+    for word in ("a", "x" * 39, "xy" * 20, "abcdefghij" * 30, "日本語の文" * 50):
+        pieces, whole = language_id.features(word), grams(word)
+        assert [len(p) for p in pieces] == [min(40, len(whole) - i) + 4 * (i == 0) + 3 * (i + 40 >= len(whole)) for i in range(0, len(whole), 40)]
+        assert collections.Counter(whole) <= collections.Counter(itertools.chain.from_iterable(pieces))
+    rng = random.Random(8)
+    vocab = {"aa": [f"kre{c}{d}um" for c in "abcdef" for d in "xyzw"], "bb": [f"ost{c}{d}lig" for c in "abcdef" for d in "xyzw"]}
+    made = [(lang, [rng.choice(v) for _ in range(30)]) for lang, v in vocab.items() for _ in range(100)]
+    model = language_id.fit([*made, ("cc", ["日本語" * 20, "漢字" * 30] * 5)] + [("dd", ["한국어" * 20] * 5)])
+    labeller = language_id.Labeller(model)
+    for sep in (",", "/", "-", "_", "4"):
+        text = sep.join(["kreaxumkreaxumx", *(rng.choice(vocab["bb"]) for _ in range(9))])
+        apart = re.sub("[,/_4-]", " ", text)
+        assert labeller.predict([text, "1 ;", apart])[0] == ["bb", "und", "bb"]
+        (_, _, _), (s, _, t) = labeller.predict([text, "1 ;", apart])
+        assert s == t
+    assert len(labeller._rows("kreaxum,ostbxlig  7 ostbxlig/" + "x" * 200)) == 3 + 5
+
+
 def test_language_of_held_out_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     out = language_id.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out").toPandas()

@@ -35,16 +35,21 @@ LEXICON = 400
 UNKNOWN = "und"
 #: Words in one stretch, and words worked on at once.
 STRETCH, BATCH_WORDS = 64, 200_000
+#: Three-byte n-grams at one place of the chain; a longer word takes several places in a row.
+PIECE = 40
+#: Blank-separated strings up to this length are remembered; longer ones hardly come again.
+LONG = 64
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
-def features(word: str) -> list[int]:
-    """Hashed affixes, three-byte n-grams and the word itself."""
+def features(word: str) -> list[list[int]]:
+    """Hashed three-byte n-grams of the whole word by piece; the first has the prefixes and the word itself, the last the suffixes."""
     w = b"<%b>" % word.encode("utf-8", "surrogatepass")
-    found = [crc32(w[i : i + 3]) % BUCKETS for i in range(min(len(w) - 2, 40))]
-    found += [crc32(w[:n], 1) % BUCKETS for n in (2, 3, 4)]
-    found += [crc32(w[-n:], 2) % BUCKETS for n in (2, 3, 4)]
-    found.append(crc32(w, 3) % BUCKETS)
+    grams = [crc32(w[i : i + 3]) % BUCKETS for i in range(len(w) - 2)]
+    found = [grams[i : i + PIECE] for i in range(0, len(grams), PIECE)]
+    found[0] += [crc32(w[:n], 1) % BUCKETS for n in (2, 3, 4)]
+    found[-1] += [crc32(w[-n:], 2) % BUCKETS for n in (2, 3, 4)]
+    found[0].append(crc32(w, 3) % BUCKETS)
     return found
 
 
@@ -58,10 +63,10 @@ class Field:
     lexicon: dict[str, int] = field(default_factory=dict)
     name: str = field(default_factory=lambda: uuid.uuid4().hex)
 
-    def of_word(self, word: str) -> list[int]:
+    def of_word(self, word: str) -> list[list[int]]:
         found = features(word)
         if word in self.lexicon:
-            found.append(BUCKETS + self.lexicon[word])
+            found[0].append(BUCKETS + self.lexicon[word])
         return found
 
 
@@ -135,10 +140,13 @@ def fit(texts: list[tuple[str, list[str]]]) -> Field | None:
                 known[word] = k
     model = Field(labels, np.zeros((BUCKETS + len(labels), len(labels))), np.zeros((len(labels),) * 2), known)
     types = sorted({w for _, words in texts for w in words})
-    number = {w: i for i, w in enumerate(types)}
-    each = [model.of_word(w) for w in types]
+    each, places = [], {}
+    for w in types:
+        pieces = model.of_word(w)
+        places[w] = range(len(each), len(each) + len(pieces))
+        each += pieces
     flat, starts = np.concatenate(each), np.r_[0, np.cumsum([len(x) for x in each])]
-    seqs = [(labels.index(lang), np.array([number[w] for w in words])) for lang, words in texts]
+    seqs = [(labels.index(lang), np.fromiter(chain.from_iterable(places[w] for w in words), dtype=np.int64)) for lang, words in texts]
     rng, past, past_moves = np.random.default_rng(0), np.full(model.weights.shape, 1e-6), np.full(model.moves.shape, 1e-6)
     for _ in range(EPOCHS):
         order = rng.permutation(len(seqs))
@@ -170,7 +178,11 @@ def fit(texts: list[tuple[str, list[str]]]) -> Field | None:
 
 
 class Labeller(dict):
-    """Predicts texts; as a mapping it gives a blank-separated word's row of scores, -1 without a letter."""
+    """Predicts texts; as a mapping it gives the row of scores of a blank-separated string.
+
+    Every letter run in it has a row for each of its pieces. A string without a letter
+    gives -1, one with several rows -2 and below, by which ``runs`` holds them in order.
+    """
 
     keep = 400_000
 
@@ -180,36 +192,60 @@ class Labeller(dict):
         self._forget()
 
     def __missing__(self, word: str) -> int:
-        parts = _LETTERS.findall(word)
-        row = len(self) - self.blanks if parts else -1
-        if parts:
-            self.new.append(max(parts, key=len))
+        rows = [row for part in _LETTERS.findall(word) for row in self._rows_of(part)]
+        if len(rows) > 1:
+            self.runs.append(np.array(rows, dtype=np.int64))
+            self.held += len(rows)
+            row = -1 - len(self.runs)
         else:
-            self.blanks += 1
-        self[word] = row
+            row = rows[0] if rows else -1
+        if len(word) <= LONG:
+            self[word] = row
         return row
 
+    def _rows_of(self, part: str) -> range:
+        rows = self.parts.get(part)
+        if rows is None:
+            pieces = self.model.of_word(part)
+            rows = self.parts[part] = range(self.rows, self.rows + len(pieces))
+            self.rows += len(pieces)
+            self.new += pieces
+        return rows
+
     def _forget(self) -> None:
         self.clear()
-        self.blanks, self.new = 0, []
+        self.parts: dict[str, range] = {}
+        self.runs: list[np.ndarray] = []
+        self.rows, self.held, self.new = 0, 0, []
         self.table = np.empty((0, len(self.model.labels)))
 
     def _scores(self) -> np.ndarray:
-        """The rows of all words so far."""
+        """The rows of all pieces so far."""
         if self.new:
-            each = [self.model.of_word(w) for w in self.new]
-            starts = np.cumsum([0, *map(len, each[:-1])])
-            fresh = np.add.reduceat(self.model.weights[np.fromiter(chain.from_iterable(each), dtype=np.int64)], starts, axis=0)
+            starts = np.cumsum([0, *map(len, self.new[:-1])])
+            fresh = np.add.reduceat(self.model.weights[np.fromiter(chain.from_iterable(self.new), dtype=np.int64)], starts, axis=0)
             self.table, self.new = np.concatenate([self.table, fresh]), []
         return self.table
 
+    def _rows(self, text: str) -> np.ndarray:
+        """The rows of the text's letter runs, in order."""
+        rows = np.fromiter(map(self.__getitem__, text.lower().split()), dtype=np.int64)
+        rows = rows[rows != -1]
+        several = np.flatnonzero(rows < -1)
+        if not len(several):
+            return rows
+        cut, at = [], 0
+        for k in several.tolist():
+            cut += [rows[at:k], self.runs[-2 - rows[k]]]
+            at = k + 1
+        return np.concatenate([*cut, rows[at:]])
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         labels, sure, n = [UNKNOWN] * len(texts), [0.0] * len(texts), 0
         held: list[tuple[int, np.ndarray]] = []
         for i, text in enumerate([*texts, None]):
             if i < len(texts) and text:
-                rows = np.fromiter(map(self.__getitem__, text.lower().split()), dtype=np.int64)
-                rows = rows[rows >= 0]
+                rows = self._rows(text)
                 if len(rows):
                     held.append((i, rows))
                     n += len(rows)
@@ -221,7 +257,7 @@ class Labeller(dict):
                 for (j, _), mean in zip(held, means, strict=True):
                     labels[j], sure[j] = self.model.labels[int(mean.argmax())], float(min(1.0, mean.max()))
                 held, n = [], 0
-                if len(self) > self.keep:
+                if max(len(self), self.rows, self.held) > self.keep:
                     self._forget()
         return labels, sure
 
@@ -245,7 +281,7 @@ def training_sample(docs: DataFrame) -> list[tuple[str, list[str]]]:
     """(language, words): at most ``MAX_TEXTS`` learnable rows, at most ``MAX_WORDS`` words of each."""
     learnable = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     learnable = learnable.filter(~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    words = F.split(F.lower("text"), r"[^\p{L}]+")
+    words = F.split(F.lower("text"), r"[^\p{L}\p{Nl}\p{No}]+")  # the runs of _LETTERS
     begin = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.greatest(F.size("w") - MAX_WORDS, F.lit(1))).cast("int") + 1
     # Ids first, so that the sort moves no texts; the sample is bounded, and so is what it broadcasts.
     ids = learnable.select("doc_id", F.xxhash64("doc_id").alias("h")).distinct().orderBy("h", "doc_id").limit(MAX_TEXTS).select("doc_id")
