@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialize, table
-from tidemark.llm.language_id import UNKNOWN, fit_documents, label_documents
+from tidemark.llm.language_id import UNKNOWN, fit_documents, label_rows
 from tidemark.llm.mixing import mixed_documents
 from tidemark.llm.ngram_join import near_copies
 from tidemark.llm.packing import pack_documents
@@ -23,21 +23,23 @@ from tidemark.llm.queries import BLOCK_CHARS, MIX_UNITS
 from tidemark.llm.secret_scan import redact
 
 
-def _of_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose ``doc_id`` is in ``ids`` (keep); the ids are distinct."""
-    return docs.join(ids, F.col("doc_id").cast("long") == F.col("keep"), "left_semi").select(*docs.columns)
-
-
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a language: text null or without a letter. The others stay."""
-    labels = label_documents(docs, fit_documents(docs))
-    return _of_ids(docs, labels.filter(F.col("lang_pred") != UNKNOWN).select(F.col("doc_id").alias("keep")).distinct())
+    """Drops rows without a language: text null or without a letter. The others stay, whatever their ids."""
+    return label_rows(docs, fit_documents(docs)).filter(F.col("__lang_pred") != UNKNOWN).select(*docs.columns)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near copies."""
-    groups = near_copies(docs)
-    return _of_ids(docs, groups.filter("doc_id = component_id").select(F.col("doc_id").alias("keep")).distinct())
+    """Keeps one row of each group of near copies, that with the smallest id; one without an id only where none has one.
+
+    Rows are told apart by a key written with them, so copies that share an id are copies too.
+    """
+    keyed = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "keyed")
+    groups = near_copies(keyed.select(F.col("__row").alias("doc_id"), "text")).select(F.col("doc_id").alias("__row"), "component_id")
+    id_ = F.col("doc_id").cast("long")
+    order = F.struct(id_.isNull().alias("none"), id_.alias("id"), F.xxhash64(*docs.columns).alias("hash"), F.col("__row").alias("row"))
+    ranked = keyed.select("__row", order.alias("order")).join(groups, "__row")
+    keep = ranked.groupBy("component_id").agg(F.min("order").alias("first")).select(F.col("first.row").alias("__row"))
+    return keyed.join(keep, "__row", "left_semi").select(*docs.columns)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

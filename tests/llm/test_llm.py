@@ -324,3 +324,18 @@ def test_pipeline_keeps_clean_documents(spark):
     want = sorted({r[2] for r in components([(r.doc_id, r.text) for r in docs.collect()])})
     assert sorted(ids) == want
     assert c.run(spark, DATA).select("doc_id").distinct().count() == len(want)
+
+
+def test_pipeline_stages_decide_by_row(spark):
+    import corpus_pipeline as c
+
+    one, two = "one two three four five six seven", "eight nine ten eleven twelve thirteen"
+    rows = [(None, one), (None, one), (None, two), (5, two), (5, two), (3, two), (7, "a b c d e f g h"), (7, "k l m n o p q r"), (8, None), (8, None), (None, "")]
+    docs = spark.createDataFrame([(d, t, "en", "src1", len(t or "")) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    see = lambda df: sorted(((r.doc_id, r.text) for r in df.collect()), key=repr)
+    assert see(c.language_id(spark, docs, DATA)) == sorted((r for r in rows if r[1]), key=repr)
+    kept = [(None, one), (3, two), (7, "a b c d e f g h"), (7, "k l m n o p q r"), (8, None), (8, None), (None, "")]
+    assert see(c.ngram_jaccard_join(spark, docs, DATA)) == sorted(kept, key=repr)
+    for stage in (c.secret_scan, c.pfair_mixing):
+        assert see(stage(spark, docs, DATA)) == sorted(rows, key=repr)
+    assert len(c.best_fit_packing(spark, docs, DATA).collect()) == len(rows)

@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: The fit takes at most so many labelled texts, the first by a hash of the id, and a run
 #: of at most so many words of each. Everything else reads whole texts.
@@ -314,6 +315,20 @@ def label_documents(docs: DataFrame, model: Field | None) -> DataFrame:
     return rows.mapInArrow(predict, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
+def label_rows(docs: DataFrame, model: Field | None, name: str = "__lang_pred") -> DataFrame:
+    """``docs`` with each row's language as ``name``, decided by its own text as in ``label_documents``."""
+    shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
+
+    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        labeller = _labeller_of(shared.value) if shared.value is not None else None
+        for batch in batches:
+            texts = batch.column(at).to_pylist()
+            labels = labeller.predict(texts)[0] if labeller is not None else [UNKNOWN] * len(texts)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(labels, pa.string())], [*batch.schema.names, name])
+
+    return docs.mapInArrow(predict, T.StructType([*docs.schema.fields, T.StructField(name, T.StringType())]))
+
+
 def identify(docs: DataFrame) -> DataFrame:
     """Fit on the rows that aren't held out, label all rows."""
     return label_documents(docs, fit_documents(docs))

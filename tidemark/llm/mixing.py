@@ -13,11 +13,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import materialize
+
 #: Chunks of a source whose rows are counted apart, so no source meets in one task.
 CHUNKS = 256
 #: The most sources and the longest period; both come from the configuration, not the data.
 MAX_UNITS = 10_000
 OTHER = "other"
+#: Stretches of slots whose rows are counted, to deal the schedule into partitions.
+STEPS = 1 << 16
 
 
 def period(spark: SparkSession, units: dict[str, int]) -> DataFrame:
@@ -66,19 +70,26 @@ def mix(docs: DataFrame, units: dict[str, int], block_chars: int = 20_000) -> Da
     is dropped or repeated: ``in_mix`` is false from the slot on at which some source
     has no more blocks, where the weights can't hold any longer.
     """
+    return _placed(docs, units, block_chars).select("doc_id", "mix_source", "n_mixed", "block", "slot", "place", "in_mix")
+
+
+def _placed(docs: DataFrame, units: dict[str, int], block_chars: int, whole: bool = False) -> DataFrame:
+    """The columns of ``mix``; with ``whole``, also the row itself as ``doc``."""
     spark = docs.sparkSession
     total = sum(units.values())
+    kept = [F.struct(*(docs[c] for c in docs.columns)).alias("doc")] if whole else []
     named = F.when(F.col("source").isin(*units), F.col("source").cast("string")).otherwise(F.lit(OTHER))
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         named.alias("mix_source"),
         F.coalesce(F.length(F.col("text").cast("string")), F.lit(0)).cast("long").alias("n_mixed"),
+        *kept,
     ).withColumn("chunk", _chunk(F.col("doc_id")))
     key = ["mix_source", "chunk"]
     sums = rows.groupBy(*key).agg(F.sum("n_mixed").alias("size"))
     ahead = Window.partitionBy("mix_source").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select(*key, F.coalesce(F.sum("size").over(ahead), F.lit(0)).alias("start"))
-    inside = Window.partitionBy(*key).orderBy("doc_id", "n_mixed").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*key).orderBy("doc_id", "n_mixed", *([F.xxhash64("doc")] if whole else [])).rowsBetween(Window.unboundedPreceding, -1)
     turns = F.broadcast(period(spark, units))  # at most MAX_UNITS rows, by the weights alone
     share = F.broadcast(turns.select("mix_source", "unit").distinct())
     placed = (
@@ -96,18 +107,29 @@ def mix(docs: DataFrame, units: dict[str, int], block_chars: int = 20_000) -> Da
     ends = ends.join(share, "mix_source").withColumn("next", F.col("last") + 1).withColumn("turn", F.col("next") % F.col("unit"))
     ends = ends.join(turns.drop("unit"), ["mix_source", "turn"])
     horizon = ends.agg(F.min(F.floor(F.col("next") / F.col("unit")) * total + F.col("at")).alias("horizon"))
-    return slotted.join(F.broadcast(horizon)).select(
-        "doc_id", "mix_source", "n_mixed", "block", "slot", "place", (F.col("slot") < F.col("horizon")).alias("in_mix")
-    )
+    return slotted.join(F.broadcast(horizon)).withColumn("in_mix", F.col("slot") < F.col("horizon"))
 
 
 def mixed_documents(docs: DataFrame, units: dict[str, int], block_chars: int = 20_000) -> DataFrame:
-    """All rows of ``docs`` in mixed order, with their columns; ``doc_id`` must be unique here."""
-    order = mix(docs, units, block_chars).select(F.col("doc_id").alias("__id"), "slot", "place")
-    joined = docs.join(order, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")))
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = joined.repartitionByRange(n, "slot", "place").sortWithinPartitions("slot", "place")
-    return ordered.select(*(docs[c] for c in docs.columns))
+    """All rows of ``docs`` in mixed order, with their columns.
+
+    The n-th partition holds the n-th stretch of slots, with about equally many rows, so
+    that files written from it follow the schedule by name. Rows are placed one by one:
+    repeated and null ids stay as often as they are there.
+    """
+    spark = docs.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    held = materialize(mix(docs, units, block_chars).groupBy("slot").agg(F.count("*").alias("n")), "slots")
+    end = (held.agg(F.max("slot")).first()[0] or 0) + 1
+    step = F.floor(F.col("slot") * F.lit(STEPS) / F.lit(end))
+    rows = sorted(map(tuple, held.groupBy(step.alias("step")).agg(F.sum("n")).collect()))  # at most STEPS rows
+    total, before, parts = sum(r[1] for r in rows), 0, []
+    for at, count in rows:
+        parts.append((at, before * n // total))
+        before += count
+    parts = F.broadcast(spark.createDataFrame(parts, "step long, part int"))
+    placed = _placed(docs, units, block_chars, whole=True).withColumn("step", step).join(parts, "step")
+    return placed.repartitionById(n, "part").sortWithinPartitions("slot", "place").select("doc.*")
 
 
 def oracle(units: dict[str, int], block_chars: int) -> str:
