@@ -11,6 +11,7 @@ only see them when called alone; there they are kept, as each operator says.
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +24,10 @@ from tidemark.llm.queries import BLOCK_CHARS, MIX_UNITS
 from tidemark.llm.secret_scan import redact
 
 
+#: Consecutive parts of the mixed order that are packed by themselves, at most.
+RANGES = 16
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops rows without a language: text null or without a letter. The others stay, whatever their ids."""
     return label_rows(docs, fit_documents(docs)).filter(F.col("__lang_pred") != UNKNOWN).select(*docs.columns)
@@ -56,9 +61,28 @@ def pfair_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return mixed_documents(docs, MIX_UNITS, BLOCK_CHARS)
 
 
+def _in_order(docs: DataFrame) -> DataFrame:
+    """Adds ``__range``: consecutive files of a written table, at most ``RANGES``; 0 where ``docs`` isn't one."""
+    names = sorted({path.rpartition("/")[2] for path in docs.inputFiles()})
+    try:
+        named = docs.withColumn("__file", F.col("_metadata.file_name"))
+        named.schema  # noqa: B018
+    except AnalysisException:
+        names = []
+    if not names:
+        return docs.withColumn("__range", F.lit(0))
+    n = min(RANGES, len(names))
+    ranges = docs.sparkSession.createDataFrame([(name, i * n // len(names)) for i, name in enumerate(names)], "__file string, __range int")
+    return named.join(F.broadcast(ranges), "__file")
+
+
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs the documents' tokens into sequences of 2048: one row a piece."""
-    packed = pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=2048)
+    """Packs the documents' tokens into sequences of 2048: one row a piece.
+
+    The files of ``docs`` are in mixed order; consecutive ones are packed together and
+    sequences are numbered in that order, so the target weights hold along the sequences.
+    """
+    packed = pack_documents(_in_order(docs), public_tokenizers.path("word_bpe_49k.json"), capacity=2048, by="__range")
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 

@@ -326,6 +326,21 @@ def test_pipeline_keeps_clean_documents(spark):
     assert c.run(spark, DATA).select("doc_id").distinct().count() == len(want)
 
 
+def test_pipeline_follows_the_target_weights(spark, monkeypatch):
+    import corpus_pipeline as c
+
+    key = lambda: sorted(tuple(r) for r in c.run(spark, DATA).collect())
+    rows = key()
+    assert rows == key()
+    last = max(r[5] for r in rows)
+    monkeypatch.setattr(c, "MIX_UNITS", {"src0": 1, "src1": 90, "other": 9})
+    other = key()
+    assert [r[:5] for r in other] == [r[:5] for r in rows] and other != rows
+    source = {r.doc_id: r.source for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
+    share = lambda out: sum(r[3] for r in out if source[r[0]] == "src1" and r[5] < last / 4)
+    assert share(other) >= share(rows)
+
+
 def test_pipeline_stages_decide_by_row(spark):
     import corpus_pipeline as c
 

@@ -32,29 +32,31 @@ from tidemark.llm.wordbpe import packer_of
 CHUNK_ROWS = 1_000_000
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32) of every document.
+def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, by: str | None = None) -> DataFrame:
+    """(doc_id, piece, start, length, ids_crc32) of every document, and its ``by`` (an int) if named.
 
     A null text counts as empty; an empty one is the end id alone. Repeated rows each
     give their own pieces.
     """
 
+    names = ["doc_id", "piece", "start", "length", "ids_crc32", *([by] if by else [])]
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, end = packer_of(tokenizer), end_id.to_bytes(4, "little")
         for batch in batches:
             rows: list[tuple] = []
-            for doc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for doc, text, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 ids = bpe.pack(text or "") + end
                 for n, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
-                    rows.append((doc, n, at // 4, len(part) // 4, zlib.crc32(part)))
-            columns = list(zip(*rows, strict=True)) or [()] * 5
-            types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            names = ("doc_id", "piece", "start", "length", "ids_crc32")
+                    rows.append((doc, n, at // 4, len(part) // 4, zlib.crc32(part), *rest))
+            columns = list(zip(*rows, strict=True)) or [()] * len(names)
+            types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32())[: len(names)]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, schema)
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + (f", `{by}` int" if by else "")
+    more = [F.col(by).cast("int")] if by else []
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *more).mapInArrow(cut, schema)
 
 
 class _Plan:
@@ -170,47 +172,54 @@ def plan(counts: np.ndarray, capacity: int) -> tuple[np.ndarray, int]:
     return np.array(p.runs, dtype=np.int64).reshape(-1, 5), p.sequences
 
 
-def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = 2048, by: str | None = None) -> DataFrame:
     """Give every piece (length 1 to ``capacity``) its ``sequence_id`` and ``offset``.
 
     ``pieces`` is read twice, so pass a written table. Equal pieces are interchangeable;
     no rows give no rows. Columns of ``pieces`` stay, also such as are named like ours.
+    With ``by``, an int column of few values, each value's pieces are packed by themselves
+    and the sequences are numbered in its order.
     """
     chunks = parts_for(pieces.count(), CHUNK_ROWS, 64)
-    key = "__chunk"
-    dealt = pieces.withColumn(key, F.pmod(F.xxhash64("doc_id", "piece"), F.lit(chunks)).cast("int"))
-    counted = dealt.groupBy("length", key).agg(F.count("*").alias("__n"))
-    before = Window.partitionBy("length").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-    first = counted.select("length", key, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__first"))
-    counts = np.zeros(capacity + 1, dtype=np.int64)
-    for row in counted.groupBy("length").agg(F.sum("__n").alias("n")).collect():  # capacity rows at most
-        counts[row["length"]] = row["n"]
-    runs, _ = plan(counts, capacity)
+    key, part = "__chunk", "__part"
+    dealt = pieces.withColumn(key, F.pmod(F.xxhash64("doc_id", "piece"), F.lit(chunks)).cast("int")).withColumn(part, F.col(by).cast("long") if by else F.lit(0).cast("long"))
+    counted = dealt.groupBy(part, "length", key).agg(F.count("*").alias("__n"))
+    before = Window.partitionBy(part, "length").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    first = counted.select(part, "length", key, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__first"))
+    counts: dict[int, np.ndarray] = {}
+    for row in counted.groupBy(part, "length").agg(F.sum("__n").alias("n")).collect():  # capacity rows a part at most
+        counts.setdefault(row[part], np.zeros(capacity + 1, dtype=np.int64))[row["length"]] = row["n"]
+    wide, before_it, plans = capacity + 1, 0, [np.empty((0, 5), dtype=np.int64)]
+    for at in sorted(counts):
+        own, n = plan(counts[at], capacity)
+        plans.append(own + np.array([at * wide, 0, before_it, 0, 0]))
+        before_it += n
+    runs = np.concatenate(plans)
     order = np.lexsort((runs[:, 1], runs[:, 0]))
     runs = runs[order]
-    starts = (runs[:, 0] << 44) + runs[:, 1]
+    starts = (runs[:, 0] << 40) + runs[:, 1]
 
     def seat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            length, rank = (batch.column(batch.schema.get_field_index(n)).to_numpy() for n in ("length", "__rank"))
-            run = runs[np.searchsorted(starts, (length << 44) + rank, side="right") - 1]
+            length, rank, at = (batch.column(batch.schema.get_field_index(n)).to_numpy() for n in ("length", "__rank", part))
+            run = runs[np.searchsorted(starts, (at * wide + length << 40) + rank, side="right") - 1]
             place = rank - run[:, 1]
-            kept = [i for i, name in enumerate(batch.schema.names) if name != "__rank"]
+            kept = [i for i, name in enumerate(batch.schema.names) if name not in ("__rank", part)]
             columns = [batch.column(i) for i in kept]
             columns += [pa.array(run[:, 2] + place // run[:, 4]), pa.array(run[:, 3] + place % run[:, 4] * length)]
             yield pa.RecordBatch.from_arrays(columns, [*(batch.schema.names[i] for i in kept), "sequence_id", "offset"])
 
-    rank = F.row_number().over(Window.partitionBy("length", key).orderBy("doc_id", "piece")) - 1
+    rank = F.row_number().over(Window.partitionBy(part, "length", key).orderBy("doc_id", "piece")) - 1
     ranked = (
         dealt.withColumn("__local", rank)
-        .join(first, ["length", key])
-        .select(*(F.col(c) for c in pieces.columns), (F.col("__local") + F.col("__first")).cast("long").alias("__rank"))
+        .join(first, [part, "length", key])
+        .select(*(F.col(c) for c in pieces.columns), (F.col("__local") + F.col("__first")).cast("long").alias("__rank"), part)
     )
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id long, offset long"
     return ranked.mapInArrow(seat, schema)
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, by: str | None = None) -> DataFrame:
     """Pack the documents' tokens into as few sequences of ``capacity`` as the method finds."""
-    pieces = materialize(token_pieces(docs, tokenizer, capacity), "pieces")
-    return pack(pieces, capacity)
+    pieces = materialize(token_pieces(docs, tokenizer, capacity, by=by), "pieces")
+    return pack(pieces, capacity, by)
