@@ -91,6 +91,20 @@ def test_packing_plan_is_close_to_optimal():
         assert packing.plan(np.bincount(items, minlength=cap + 1).astype(np.int64), cap)[1] <= optimum(items, cap) + 1
 
 
+def test_no_sequence_is_opened_while_a_piece_fits():
+    # 13 sequences of two 6s keep a room of 1 each, as many as are filled at once.
+    cap, counts = 13, {1: 84, 6: 26}
+    runs, n = packing.plan(np.bincount(list(counts), list(counts.values()), minlength=cap + 1).astype(np.int64), cap)
+    assert n == 19
+    fill = collections.Counter()
+    for length in counts:
+        own = sorted(r.tolist() for r in runs if r[0] == length)
+        for (_, first, sequence, _, per), end in zip(own, [*(r[1] for r in own[1:]), counts[length]], strict=True):
+            for place in range(end - first):
+                fill[sequence + place // per] += length
+    assert sorted(fill.values())[1:] == [cap] * 18
+
+
 def test_packed_pieces_round_trip(spark, texts):
     library = Tokenizer.from_file(WORD)
     every = [*texts, *EDGE]

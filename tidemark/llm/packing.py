@@ -162,7 +162,7 @@ def plan(counts: np.ndarray, capacity: int) -> tuple[np.ndarray, int]:
             full = min(there, n // per)
             if full:
                 p.place(length, full * per, first, capacity - room, per)
-                add(room - full and room - per * length, first, full)
+                add(room - per * length, first, full)
             rest = int(p.left[length]) if full < there else 0
             if 0 < rest < per:
                 p.place(length, rest, first + full, capacity - room, per)
