@@ -33,10 +33,11 @@ _BLANKS = regex.compile(r"\s\s")
 
 
 class PrefixCounter(dict):
-    """Steps of the token count per character; as a mapping, those of one word."""
+    """Steps of the token count per character, as ``narrow`` stores them; as a mapping, those of one pre-token."""
 
     def __init__(self, path: str, keep: int = 400_000):
         super().__init__()
+        self.words: dict[str, bytes] = {}
         self.library = Tokenizer.from_file(path)
         self.model = self.library.model
         self.alphabet = byte_alphabet()
@@ -106,18 +107,20 @@ class PrefixCounter(dict):
             return [text[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(text)]
         return _PATTERN.findall(text)
 
-    def _steps(self, text: str) -> list[int]:
-        """Steps over a text without special strings."""
+    def _of_piece(self, piece: str) -> list[int]:
+        if piece in ("'re", "'ve", "'ll"):
+            # Cut short, the apostrophe and the letter are two pre-tokens.
+            return [1, 1 + self.counts(piece[1])[-1], self.counts(piece)[-1]]
+        return self.counts(piece)
+
+    def _blank_steps(self, text: str) -> bytes:
+        """The stored steps of a text without special strings in which blanks may follow blanks."""
         steps: list[int] = []
         pieces = self._pieces(text)
         total = 0  # tokens of the finished pre-tokens
         shown = 0  # the count at the last prefix
         for n, piece in enumerate(pieces):
-            if piece in ("'re", "'ve", "'ll"):
-                # Cut short, the apostrophe and the letter are two pre-tokens.
-                counts = [1, 1 + self.counts(piece[1])[-1], self.counts(piece)[-1]]
-            else:
-                counts = [*self.counts(piece)]
+            counts = [*self._of_piece(piece)]
             after = total + counts[-1]
             if n and piece[0].isspace() and pieces[n - 1].isspace():
                 # A prefix that ends here ends in the whole blank run, which is then one pre-token.
@@ -127,35 +130,49 @@ class PrefixCounter(dict):
                 steps.append(total + count - shown)
                 shown = total + count
             total = after
-        return steps
+        return narrow(np.array(steps, dtype=np.int64))
 
-    def __missing__(self, word: str) -> bytes:
+    def __missing__(self, piece: str) -> bytes:
         if len(self) >= self.keep:
             self.clear()
-        steps = self[word] = np.array(self._steps(word), dtype="<i4").tobytes()
+        counts = self._of_piece(piece)
+        steps = self[piece] = narrow(np.diff(counts, prepend=0)) if len(counts) > 60 else _narrow([b - a for a, b in zip([0, *counts], counts)])
         return steps
 
+    def _of_word(self, word: str) -> bytes:
+        """The stored steps of a blank and the word after it: those of its pre-tokens in a row."""
+        words = self.words
+        if len(words) >= self.keep:
+            words.clear()
+        found = words[word] = b"".join(map(self.__getitem__, _PATTERN.findall(" " + word)))
+        return found
+
     def _plain(self, text: str) -> bytes:
-        if _BLANKS.search(text) or _UNKNOWN.search(text):
-            return np.array(self._steps(text), dtype="<i4").tobytes()
+        if _BLANKS.search(text) or not text.isascii() and _UNKNOWN.search(text):
+            return self._blank_steps(text)
         head, *rest = text.split(" ")
-        return b"".join([self[head], *(self[" " + word] for word in rest)])
+        get, missing = self.words.get, self._of_word
+        return b"".join([*map(self.__getitem__, _PATTERN.findall(head)), *[get(word) or missing(word) for word in rest]])
 
-    def steps(self, text: str) -> np.ndarray:
-        """The change of the token count with each character, special strings included."""
+    def stored(self, text: str) -> bytes:
+        """The change of the token count with each character as ``narrow`` stores it, special strings included."""
         parts = self.split_special.split(text) if self.split_special and "<|" in text else [text]
         if len(parts) == 1:
-            return np.frombuffer(self._plain(text), dtype="<i4")
-        found: list[np.ndarray] = []
+            return self._plain(text)
+        found: list[bytes] = []
         for part, special in zip(parts[::2], [*parts[1::2], ""], strict=True):
-            plain = np.frombuffer(self._plain(part), dtype="<i4")
+            plain = self._plain(part)
             found.append(plain)
             if special:
                 # Up to its last character the special string is ordinary text.
-                ends = [int(plain.sum())]
+                ends = [int(prefix_counts(plain)[-1]) if plain else 0]
                 ends += [len(self.library.encode(part + special[:k], add_special_tokens=False).ids) for k in range(1, len(special))]
-                found.append(np.diff([*ends, ends[0] + 1]).astype("<i4"))
-        return np.concatenate(found)
+                found.append(narrow(np.diff([*ends, ends[0] + 1])))
+        return b"".join(found)
+
+    def steps(self, text: str) -> np.ndarray:
+        """The change of the token count with each character."""
+        return np.diff(prefix_counts(self.stored(text)), prepend=0)
 
 
 @lru_cache(2)
@@ -164,18 +181,23 @@ def counter_of(path: str) -> PrefixCounter:
     return PrefixCounter(path)
 
 
+def _narrow(steps: list[int]) -> bytes:
+    if min(steps) > -128 and max(steps) < 128:
+        return bytes([s & 255 for s in steps])
+    return b"".join(bytes([s & 255]) if -128 < s < 128 else b"\x80" + s.to_bytes(4, "little", signed=True) for s in steps)
+
+
 def narrow(steps: np.ndarray) -> bytes:
-    """One byte a step; where a step needs more, the byte -128 and four bytes of it."""
+    """One byte a step; where a step needs more, the byte -128 and four bytes of it. Stretches of steps may be joined."""
     if not len(steps) or (steps.min() > -128 and steps.max() < 128):
         return steps.astype("i1").tobytes()
-    return b"".join(bytes([s & 255]) if -128 < s < 128 else b"\x80" + int(s).to_bytes(4, "little", signed=True) for s in steps.tolist())
+    return _narrow(steps.tolist())
 
 
 def prefix_counts(stored: bytes) -> np.ndarray:
     """Tokens of the prefixes of 1, 2, ... characters, from the stored steps."""
-    raw = np.frombuffer(stored, dtype="i1")
-    if -128 not in raw:
-        return np.cumsum(raw, dtype=np.int64)
+    if b"\x80" not in stored:
+        return np.cumsum(np.frombuffer(stored, dtype="i1"), dtype=np.int64)
     steps, at = [], 0
     while at < len(stored):
         wide = stored[at] == 128
@@ -203,12 +225,12 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 512) -> DataFrame
         for batch in batches:
             size, tokens, fit, stored = [], [], [], []
             for text in batch.column(1).to_pylist():
-                steps = counter.steps(text or "")
-                counts = np.cumsum(steps, dtype=np.int64)
+                steps = counter.stored(text or "")
+                counts = prefix_counts(steps)
                 size.append(len((text or "").encode()))
                 tokens.append(int(counts[-1]) if len(counts) else 0)
                 fit.append(len(counts) if tokens[-1] <= limit else longest_prefix(counts, limit))
-                stored.append(narrow(steps))
+                stored.append(steps)
             over = [n > limit for n in tokens]
             arrays = [batch.column(0), pa.array(size, pa.int64()), pa.array(tokens, pa.int64()), pa.array(over, pa.bool_()), pa.array(fit, pa.int64()), pa.array(stored, pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_bytes", "n_tokens", "over_limit", "fit_chars", "prefix_steps"])
