@@ -39,6 +39,16 @@ def _without(text: Column, characters: str) -> Column:
     return F.translate(text, characters, "")
 
 
+def _once(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """``rows`` with the array ``value`` as a column that is worked out once a row.
+
+    A filter that a caller puts on the result moves below projections, and their
+    expressions with it into lambdas, where they run for each element. It can't move
+    below a generator, so what comes out of one stays a plain column.
+    """
+    return rows.select("*", F.explode(F.array(value)).alias(name))
+
+
 def statistics(docs: DataFrame) -> DataFrame:
     """``doc_id``, the counts and the features of every row of ``docs``; a null text has none of anything."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -47,11 +57,11 @@ def statistics(docs: DataFrame) -> DataFrame:
     words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, "[\\x20\\x09-\\x0D]+"))
     # Windows are told apart by 64-bit hashes, sorted with their places: equal neighbours
     # are repeats. Their places, in order, cover three words each, less the overlap.
-    step = base.withColumn("w", words)
+    step = _once(base, "w", words)
     step = step.withColumn("n_words", F.size("w").cast("long"))
-    step = step.withColumn("places", F.expr("CASE WHEN size(w) >= 3 THEN sequence(0, size(w) - 3) ELSE CAST(array() AS array<int>) END"))
-    step = step.withColumn("s", F.expr("sort_array(transform(places, i -> struct(xxhash64(w[i], w[i + 1], w[i + 2]) AS h, i AS i)))"))
-    step = step.withColumn("r", F.expr("sort_array(transform(filter(s, (x, k) -> get(s, k - 1).h <=> x.h OR get(s, k + 1).h <=> x.h), x -> x.i))"))
+    windows = F.expr("CASE WHEN size(w) >= 3 THEN transform(sequence(0, size(w) - 3), i -> struct(xxhash64(w[i], w[i + 1], w[i + 2]) AS h, i AS i)) END")
+    step = _once(step, "s", F.coalesce(F.sort_array(windows), F.array().cast("array<struct<h:bigint,i:int>>")))
+    step = _once(step, "r", F.expr("sort_array(transform(filter(s, (x, k) -> get(s, k - 1).h <=> x.h OR get(s, k + 1).h <=> x.h), x -> x.i))"))
     step = step.withColumn("n_repeat_words", F.expr("aggregate(transform(r, (i, k) -> least(3, coalesce(get(r, k + 1) - i, 3))), 0L, (a, x) -> a + x)"))
     lines = F.filter(F.split("t", "\n"), lambda x: F.btrim(x, F.lit(BLANK)) != "")
     step = step.withColumn("l", lines).withColumn("n_dup_lines", (F.size("l") - F.size(F.array_distinct("l"))).cast("long")).withColumn("n_lines", F.size("l"))
