@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -368,3 +369,83 @@ def test_pipeline_stages_decide_by_row(spark):
     for stage in (c.secret_scan, c.pfair_mixing):
         assert see(stage(spark, docs, DATA)) == sorted(rows, key=repr)
     assert len(c.best_fit_packing(spark, docs, DATA).collect()) == len(rows)
+
+
+def elapsed(f):
+    begin = time.time()
+    f()
+    return time.time() - begin
+
+
+def test_pii_grows_with_matches_also_under_a_filter(spark):
+    made = lambda n: frame(spark, [" ".join(f"{i:05d}" for i in range(n)), " ".join(f"a{i}@b.cd" for i in range(n))]).repartition(1)
+    see = lambda n: pii.summarize(made(n)).filter("n_email > 0").collect()
+    see(100)
+    short, long = elapsed(lambda: see(8_000)), elapsed(lambda: see(16_000))
+    assert long < 2.5 * short + 2
+    row = see(1_000)[0]
+    at, spans = 0, []
+    for i in range(1_000):
+        spans.append(("email", at, at + len(f"a{i}@b.cd")))
+        at = spans[-1][2] + 1
+    assert (row.n_email, row.base_sha256) == (1_000, digest(spans))
+
+
+def test_quality_of_a_long_text_under_filters(spark):
+    rng = random.Random(9)
+    text = " ".join(rng.choice(["a", "b", "the", f"w{rng.randint(0, 5000)}"]) for _ in range(20_000))
+    out = quality_rules.judge(frame(spark, [text, None, "a b"]).repartition(1), spark.createDataFrame([], "doc_id long, quality int"))
+    rows = {r.doc_id: r for r in out.collect()}
+    assert rows[0].n_words == 20_000 and rows[0].n_repeat_words > 5
+    begin = time.time()
+    for keep, condition in ((lambda r: r.kept, "kept"), (lambda r: r.n_repeat_words > 5, "n_repeat_words > 5"), (lambda r: not r.base_failed, "not base_failed")):
+        assert sorted(r.doc_id for r in out.filter(condition).collect()) == [i for i, r in sorted(rows.items()) if keep(r)]
+    assert time.time() - begin < 60
+
+
+def test_rules_equal_a_plain_sequential_covering(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    rules = quality_rules.learn(docs, labels)
+    stats = quality_rules.statistics(docs).join(labels.groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("quality").alias("q1")).filter("q = q1"), "doc_id")
+    rows = stats.withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(3))).toPandas()
+    rows["bad"] = rows.q == 0
+    grow, prune = rows[rows.part < 2], rows[rows.part == 2]
+    n = quality_rules.CUTS + 1
+    # The least value that at least the k-th part of the rows doesn't exceed.
+    cuts = {f: sorted({sorted(grow[f])[max(0, -(-k * len(grow) // n) - 1)] for k in range(1, n)}) for f in quality_rules.FEATURES}
+
+    def covered(part, rule):
+        inside = np.ones(len(part), dtype=bool)
+        for f, above, cut in rule:
+            inside &= (part[f] > cut if above else part[f] <= cut).to_numpy()
+        return inside
+
+    want = []
+    while len(want) < quality_rules.MAX_RULES:
+        rule = []
+        while len(rule) < quality_rules.MAX_CONDITIONS:
+            inside = grow[covered(grow, rule)]
+            bad = inside.bad.mean() if len(inside) else 0
+            if not 0 < bad < 1:
+                break
+            best = None
+            for f, some in cuts.items():
+                for cut in some:
+                    for above in (False, True):
+                        left = inside[covered(inside, [(f, above, cut)])]
+                        if len(left) >= quality_rules.LEAST_ROWS:
+                            gain = left.bad.sum() * (np.log2(left.bad.mean()) - np.log2(bad)) if left.bad.any() else 0.0
+                            best = max(best or (0.0, ""), (gain, str(quality_rules.Condition(f, above, cut)), (f, above, cut)), key=lambda b: b[:2])
+            if best is None or best[0] <= 0:
+                break
+            rule.append(best[2])
+        if not rule:
+            break
+        worth = [(lambda p: (p.bad.sum() - (~p.bad).sum()) / max(1, len(p)))(prune[covered(prune, rule[:k])]) for k in range(1, len(rule) + 1)]
+        rule = rule[: int(np.argmax(worth)) + 1]
+        inside = prune[covered(prune, rule)]
+        if not len(inside) or inside.bad.sum() < quality_rules.LEAST_PURITY * len(inside):
+            break
+        want.append(rule)
+        grow, prune = grow[~covered(grow, rule)], prune[~covered(prune, rule)]
+    assert [[(c.feature, c.above, c.cut) for c in rule] for rule in rules] == want and want
