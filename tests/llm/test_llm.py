@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm import language_id, licenses, mixing, packing, pii, prefix_tokens, quality_rules, secret_scan, shingles, topk, wordbpe
-from tidemark.llm.ngram_join import near_copies
+from tidemark.llm.ngram_join import near_copies, near_links
 
 DATA = "/root/testdata/sf0.001"
 BYTE, WORD = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
@@ -449,3 +449,26 @@ def test_rules_equal_a_plain_sequential_covering(spark):
         want.append(rule)
         grow, prune = grow[~covered(grow, rule)], prune[~covered(prune, rule)]
     assert [[(c.feature, c.above, c.cut) for c in rule] for rule in rules] == want and want
+
+
+def test_near_links_are_all_links(spark):
+    rng = random.Random(11)
+    vocab, rows = [f"w{i}" for i in range(300)], []
+    for size in (3, 8, 15, 30, 60, 100, 200):
+        words = [rng.choice(vocab) for _ in range(size)]
+        for _ in range(8):
+            copy = list(words)
+            for _ in range(rng.randint(0, max(1, size // 40))):
+                copy[rng.randrange(size)] = rng.choice(vocab)
+            rows += [" ".join(copy)] * rng.choice([1, 1, 2])
+    rows += ["", None]
+    links, members = near_links(frame(spark, rows, True))
+    first, want = {}, set()
+    sets = [shingle_strings(t) for t in rows]
+    for i, s in enumerate(sets):
+        first.setdefault(s or i, i)
+    for (x, i), (y, j) in itertools.combinations([(s, i) for s, i in first.items() if not isinstance(s, int)], 2):
+        if 100 * len(x & y) >= 80 * len(x | y):
+            want.add((i, j, len(x & y), len(x), len(y)))
+    assert sorted(map(tuple, links.collect())) == sorted(want) and want
+    assert sorted(map(tuple, members.collect())) == [(i, first[s or i]) for i, s in enumerate(sets)]

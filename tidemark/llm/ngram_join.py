@@ -23,6 +23,7 @@ Every comparison intersects the two whole sets. Shingles and sets are told apart
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -31,13 +32,15 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import discard, materialize
 from tidemark.llm.components import components
-from tidemark.llm.shingles import BAND_AT, PARITY_WORDS, PART_AT, SIZE_AT, Bands, parity, set_id, shingle_set, word_hashes
+from tidemark.llm.shingles import BAND_AT, PARITY_WORDS, PART_AT, RECORD, SIZE_AT, Bands, mix, parity, set_id, shingle_set, word_hashes
 
 #: Rounds of comparing with one record of each key end when a round leaves more than
 #: this part of the rows, or after so many.
 STAR_GAIN, STAR_ROUNDS = 0.9, 8
 #: Candidates of one record in such a round; what they miss is left for the last step.
 STAR_TRIES = 3
+#: Rows of a key that meet all others of it in one task, about.
+SALT_ROWS = 4096
 #: 64-bit words of the filter that spares sending texts without candidates through a shuffle.
 FILTER_WORDS = 1 << 19
 
@@ -46,42 +49,38 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def shingle_records(docs: DataFrame) -> DataFrame:
-    """(doc_id, rec, n, overflow) of every row: its set's hash and size."""
-
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, bands = word_hashes(), Bands()
-        for batch in batches:
-            sets = [shingle_set(text, hashes) for text in batch.column(1).to_pylist()]
-            columns = [
-                batch.column(0),
-                pa.array([set_id(x) for x in sets], pa.int64()),
-                pa.array([len(x) for x in sets], pa.int64()),
-                pa.array([len(x) > 0 and bands.overflows(x) for x in sets], pa.bool_()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "rec", "n", "overflow"])
-
-    return _texts(docs).mapInArrow(measure, "doc_id long, rec long, n long, overflow boolean")
-
-
 def _index_rows(docs: DataFrame) -> DataFrame:
-    """(sig, rec, tag): the index keys of each record, once a task."""
+    """(sig, rec, tag, doc_id): a row of each document, in band ``RECORD``, and the index keys of each set, once a task.
+
+    Texts are read once for both. A document's row has a ``sig`` of its own, so that no
+    set, however often it comes, meets in one task.
+    """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, bands, seen = word_hashes(), Bands(), set()
+        hashes, bands, seen, count = word_hashes(), Bands(), set(), 0
+        names = ["sig", "rec", "tag", "doc_id"]
         for batch in batches:
             out: list[tuple] = []
-            for text in batch.column(0).to_pylist():
+            recs, tags = [], []
+            for text in batch.column(1).to_pylist():
                 tokens = shingle_set(text, hashes)
-                key = (set_id(tokens), len(tokens))
-                if len(tokens) and key not in seen:
-                    seen.add(key)
+                rec, n = set_id(tokens), len(tokens)
+                overflow = n > 0 and bands.overflows(tokens)
+                recs.append(rec)
+                tags.append(n << SIZE_AT | RECORD << BAND_AT | overflow << PART_AT)
+                if n and (rec, n) not in seen:
+                    seen.add((rec, n))
                     sig, tag = bands.signatures(tokens)
-                    out.append((sig.view(np.int64), np.full(len(sig), key[0]), tag))
+                    out.append((sig.view(np.int64), np.full(len(sig), rec), tag))
+            recs = np.array(recs, dtype=np.int64)
+            sig = mix(recs.view(np.uint64) + mix(np.arange(count, count + len(recs), dtype=np.uint64) + np.uint64(1))).view(np.int64)
+            count += len(recs)
+            yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(recs), pa.array(tags, pa.int64()), batch.column(0)], names)
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["sig", "rec", "tag"])
+                keys = [pa.array(np.concatenate(c)) for c in zip(*out, strict=True)]
+                yield pa.RecordBatch.from_arrays([*keys, pa.nulls(len(keys[0]), pa.int64())], names)
 
-    return _texts(docs).select("text").mapInArrow(emit, "sig long, rec long, tag long")
+    return _texts(docs).mapInArrow(emit, "sig long, rec long, tag long, doc_id long")
 
 
 def _field(at: int, bits: int) -> Column:
@@ -92,41 +91,52 @@ def _with_bounds(rows: DataFrame) -> DataFrame:
     """Adds ``spare``: by how much the record's differing segments may fall short before it can have a partner."""
     bands = Bands()
     at = F.col("band").cast("int") + 1
-    hi, m, wide = (F.element_at(F.array(*map(F.lit, x)), at) for x in (bands.edges[1:], bands.segments, bands.wide))
+    hi, m, wide = (F.get(F.array(*map(F.lit, x)), at - 1) for x in (bands.edges[1:], bands.segments, bands.wide))
     most = F.when(F.col("n") >= hi, F.expr("1L") * F.floor((F.col("n") + hi - 1) / 9)).otherwise(F.floor(F.col("n") / 4))
     total = F.when(wide, 2 * m).otherwise(F.when(at == 1, F.lit(1)).otherwise(m - F.col("part")))
     return rows.withColumn("spare", (total - most).cast("long")).withColumn("wide", wide)
 
 
-def _peel(rows: DataFrame, passes: int = 2) -> DataFrame:
+def _met(rows: DataFrame) -> DataFrame:
+    """Rows whose key is met by another group's (``near`` and ``rows`` say how), and documents' own."""
+    key = Window.partitionBy("sig")
+    full, cut = F.when(F.col("kind") == 0, F.col("comp")), F.when(F.col("kind") == 1, F.col("comp"))
+    other = lambda a, b: F.coalesce((F.col(a) != F.col("comp")) | (F.col(b) != F.col("comp")), F.lit(False))
+    met = rows.drop("ties").select(
+        "*",
+        F.min(full).over(key).alias("f0"),
+        F.max(full).over(key).alias("f1"),
+        F.min(cut).over(key).alias("c0"),
+        F.max(cut).over(key).alias("c1"),
+        F.count("*").over(key).alias("rows"),
+    )
+    met = met.withColumn(
+        "near", F.when((F.col("kind") == 0) & other("f0", "f1"), 2).when(other("f0", "f1") | ((F.col("kind") == 0) & other("c0", "c1")), 1)
+    )
+    return met.filter((F.col("band") == RECORD) | F.col("near").isNotNull()).drop("f0", "f1", "c0", "c1")
+
+
+def _able(met: DataFrame) -> DataFrame:
+    """Rows of records that differ from the groups they meet by no more than a link allows."""
+    place = F.when(F.col("wide"), F.col("part")).otherwise(F.col("sig")).alias("place")
+    by_place = met.groupBy("rec", "n", "band", place).agg(
+        F.max(F.when(F.col("wide"), F.col("near")).otherwise(1)).alias("lost"), F.max("spare").alias("spare"), F.sum("rows").alias("rows")
+    )
+    able = by_place.groupBy("rec", "n", "band").agg(F.sum("lost").alias("lost"), F.max("spare").alias("spare"), F.sum("rows").alias("ties"))
+    able = able.filter("lost >= spare").select("rec", "n", "band", "ties")
+    return materialize(met.drop("near", "rows").join(able, ["rec", "n", "band"]), "keys")
+
+
+def _peel(rows: DataFrame, passes: int) -> DataFrame:
     """Rows of records that can have a partner in another group (``comp``), with the keys' other records only.
 
-    Each pass is exact; a pass may leave others with less, so there are two. ``ties``
+    Each pass is exact; a pass may leave others with less, so there may be more. ``ties``
     says how many rows share the record's keys.
     """
     for _ in range(passes):
-        key = Window.partitionBy("sig")
-        full, cut = F.when(F.col("kind") == 0, F.col("comp")), F.when(F.col("kind") == 1, F.col("comp"))
-        other = lambda a, b: F.coalesce((F.col(a) != F.col("comp")) | (F.col(b) != F.col("comp")), F.lit(False))
-        met = rows.drop("ties").select(
-            "*",
-            F.min(full).over(key).alias("f0"),
-            F.max(full).over(key).alias("f1"),
-            F.min(cut).over(key).alias("c0"),
-            F.max(cut).over(key).alias("c1"),
-            F.count("*").over(key).alias("rows"),
-        )
-        met = met.withColumn(
-            "near", F.when((F.col("kind") == 0) & other("f0", "f1"), 2).when(other("f0", "f1") | ((F.col("kind") == 0) & other("c0", "c1")), 1)
-        )
-        met = materialize(met.filter("near is not null").drop("f0", "f1", "c0", "c1"), "met")
-        place = F.when(F.col("wide"), F.col("part")).otherwise(F.col("sig")).alias("place")
-        by_place = met.groupBy("rec", "n", "band", place).agg(
-            F.max(F.when(F.col("wide"), F.col("near")).otherwise(1)).alias("lost"), F.max("spare").alias("spare"), F.sum("rows").alias("rows")
-        )
-        able = by_place.groupBy("rec", "n", "band").agg(F.sum("lost").alias("lost"), F.max("spare").alias("spare"), F.sum("rows").alias("ties"))
-        able = able.filter("lost >= spare").select("rec", "n", "band", "ties")
-        rows = materialize(met.drop("near", "rows").join(able, ["rec", "n", "band"]), "keys")
+        met = materialize(_met(rows), "met")
+        discard(rows)
+        rows = _able(met)
         discard(met)
     return rows
 
@@ -147,17 +157,22 @@ def _star_pairs(rows: DataFrame, turn: int) -> DataFrame:
 
 
 def _rest_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """All pairs of different groups that share a key which one of them needs and that bitmaps don't rule out."""
+    """All pairs of different groups that share a key which one of them needs and that bitmaps don't rule out.
+
+    The pairs of a frequent key are dealt into several tasks.
+    """
     rows = rows.join(sets.select("rec", "n", "bits"), ["rec", "n"])
     cost = F.count("*").over(Window.partitionBy("sig"))
     cheap = F.row_number().over(Window.partitionBy("rec", "n", "band").orderBy("cost", "sig"))
     held = F.count("*").over(Window.partitionBy("rec", "n", "band"))
+    rows = rows.withColumn("cost", cost).withColumn("salts", F.ceil(F.col("cost") / SALT_ROWS).cast("int"))
     # Of the keys that others share too, as many may be left out as are spare.
-    needed = rows.withColumn("cost", cost).withColumn("cheap", cheap).withColumn("held", held)
+    needed = rows.withColumn("cheap", cheap).withColumn("held", held)
     needed = needed.filter(F.col("wide") | (F.col("cheap") <= F.col("held") - F.col("spare") + 1) | (F.col("spare") <= 0))
-    x = needed.select("sig", F.col("rec").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"), F.col("kind").alias("ka"), F.col("bits").alias("xa"))
-    y = rows.select("sig", F.col("rec").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"), F.col("kind").alias("kb"), F.col("bits").alias("xb"))
-    met = x.join(y, "sig").filter("ca <> cb and ka + kb < 2 and 5 * least(na, nb) >= 4 * greatest(na, nb)")
+    side = lambda r, n, c, k, x: (F.col("rec").alias(r), F.col("n").alias(n), F.col("comp").alias(c), F.col("kind").alias(k), F.col("bits").alias(x))
+    x = needed.select("sig", F.pmod(F.xxhash64("rec"), F.col("salts")).cast("int").alias("salt"), *side("a", "na", "ca", "ka", "xa"))
+    y = rows.select("sig", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), *side("b", "nb", "cb", "kb", "xb"))
+    met = x.join(y, ["sig", "salt"]).filter("ca <> cb and ka + kb < 2 and 5 * least(na, nb) >= 4 * greatest(na, nb)")
     apart = " + ".join(f"bit_count(xa[{i}] ^ xb[{i}])" for i in range(PARITY_WORDS))
     met = met.filter(f"9 * ({apart}) <= na + nb")
     first = F.expr("a < b or (a = b and na < nb)")
@@ -165,12 +180,17 @@ def _rest_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
     return met.select(*swap).distinct()
 
 
-def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b) of the pairs whose sets have a Jaccard similarity of at least 0.8."""
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs whose sets have a Jaccard similarity of at least 0.8, and how much they have in ``common``."""
     x, y = (sets.select(F.col("rec").alias(r), F.col("n").alias(n), F.col("tokens").alias(t)) for r, n, t in (("a", "na", "x"), ("b", "nb", "y")))
     both = pairs.join(y, ["b", "nb"]).join(x, ["a", "na"])
-    common = F.size(F.array_intersect("x", "y"))
-    return both.filter(100 * common >= 80 * (F.col("na") + F.col("nb") - common)).select("a", "b").distinct()
+    met = both.select("a", "na", "b", "nb", F.size(F.array_intersect("x", "y")).alias("common"))
+    return met.filter("100 * common >= 80 * (na + nb - common)")
+
+
+def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b) of the pairs that link."""
+    return _verified(pairs, sets).select("a", "b").distinct()
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -187,8 +207,9 @@ def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("spot").bitwiseAND(63).cast("int"))).alias("bits")
     )
     table = np.zeros(FILTER_WORDS, dtype=np.int64)
-    found = words.toPandas()  # FILTER_WORDS rows at most
+    found = words.toArrow()  # FILTER_WORDS rows at most
     table[found["word"].to_numpy()] = found["bits"].to_numpy()
+    del found
     shared = spark.sparkContext.broadcast(table)
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,28 +228,38 @@ def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     texts = _texts(docs).filter("doc_id is not null").select("doc_id", F.element_at(spots(), 1), F.element_at(spots(), 2), "text")
     sets = texts.mapInArrow(fetch, "doc_id long, rec long, n long, tokens array<long>, bits array<long>")
     sets = sets.join(wanted, ["doc_id", "rec", "n"], "left_semi").groupBy("rec", "n").agg(F.first("tokens").alias("tokens"), F.first("bits").alias("bits"))
-    return materialize(sets, "sets")
+    sets = materialize(sets, "sets")
+    shared.destroy()
+    return sets
 
 
-def near_copies(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text).
+@dataclass
+class _Join:
+    """What both results start from; all but ``recs`` and ``direct`` are written tables."""
 
-    The component is the smallest doc_id reachable over links of similarity 0.8 or
-    more. A null, empty or blank text has no shingles and no links. Rows without a
-    doc_id link like others, but name no component, and are compared only through
-    equal sets that have one. Equal rows stay rows of one component. No rows, no result.
-    """
-    of_docs = materialize(shingle_records(docs), "records")
-    recs = of_docs.filter("n > 0").groupBy("rec", "n").agg(F.min("doc_id").alias("doc_id"), F.bool_or("overflow").alias("overflow"))
+    of_docs: DataFrame
+    recs: DataFrame
+    rows: DataFrame
+    sets: DataFrame
+    #: Pairs of sets that the bands can't decide on, None where there are none.
+    direct: DataFrame | None
+
+
+def _prepare(docs: DataFrame) -> _Join:
     # Shuffle the narrow rows; what follows from the tag is worked out after it.
     rows = _index_rows(docs).repartition("sig").select(
-        "sig", "rec", "tag", F.shiftright("tag", SIZE_AT).alias("n"), _field(BAND_AT, 6).alias("band"),
+        "sig", "rec", "tag", "doc_id", F.shiftright("tag", SIZE_AT).alias("n"), _field(BAND_AT, 6).alias("band"),
         _field(PART_AT, BAND_AT - PART_AT).alias("part"), F.col("tag").bitwiseAND(1).alias("kind"), F.col("rec").alias("comp"),
     )
-    rows = _with_bounds(rows).drop("tag")
-    rows = _peel(rows)
+    met = materialize(_met(_with_bounds(rows).drop("tag")), "met")
+    of_docs = materialize(met.filter(F.col("band") == RECORD).select("doc_id", "rec", "n", (F.col("part") == 1).alias("overflow")), "records")
+    rows = _able(met.filter(F.col("band") != RECORD).drop("doc_id"))
+    discard(met)
+    rows = _peel(rows, 1)
+    recs = of_docs.filter("n > 0").groupBy("rec", "n").agg(F.min("doc_id").alias("doc_id"), F.bool_or("overflow").alias("overflow"))
     loose = materialize(recs.filter("overflow"), "loose")
     wanted = rows.select("rec", "n").distinct().join(recs.drop("overflow"), ["rec", "n"])
+    direct = None
     if loose.limit(1).count():
         near = recs.select(F.col("rec").alias("b"), F.col("n").alias("nb"))
         low, high = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25))), F.floor(F.log(F.col("nb").cast("double")) / F.log(F.lit(1.25)))
@@ -237,35 +268,78 @@ def near_copies(docs: DataFrame) -> DataFrame:
         direct = materialize(direct.select("a", "na", "b", "nb").distinct(), "direct")
         more = direct.select(F.explode(F.array(F.struct(F.col("a").alias("rec"), F.col("na").alias("n")), F.struct(F.col("b").alias("rec"), F.col("nb").alias("n")))).alias("r")).select("r.*")
         wanted = wanted.unionByName(more.distinct().join(recs.drop("overflow"), ["rec", "n"])).distinct()
-    else:
-        direct = None
+    discard(loose)
     wanted = materialize(wanted, "wanted")
     sets = _sets_of(docs, wanted)
-    links = materialize(_verify(direct, sets), "links") if direct else None
+    discard(wanted)
+    return _Join(of_docs, recs, rows, sets, direct)
+
+
+def near_copies(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text).
+
+    The component is the smallest doc_id reachable over links of similarity 0.8 or
+    more. A null, empty or blank text has no shingles and no links. Rows without a
+    doc_id link like others, but name no component, and are compared only through
+    equal sets that have one. Equal rows stay rows of one component. No rows, no result.
+    """
+    start = _prepare(docs)
+    recs, rows, sets = start.recs, start.rows, start.sets
+    links = materialize(_verify(start.direct, sets), "links") if start.direct else None
     groups = components(links) if links else None
     turn, held, listed = 0, rows.count(), False
     while held:
         if groups is not None:
             grouped = groups.select(F.col("node").alias("rec"), F.col("component").alias("g"))
-            older, rows = rows, rows.join(grouped, "rec", "left").withColumn("comp", F.coalesce("g", "comp")).drop("g")
-            rows = _peel(rows)
-            discard(older)
+            grouped = materialize(rows.join(grouped, "rec", "left").withColumn("comp", F.coalesce("g", "comp")).drop("g"), "grouped")
+            discard(rows)
+            rows = _peel(grouped, 2)
             before, held = held, rows.count()
             if not held:
                 break
             listed = held > STAR_GAIN * before or turn == STAR_ROUNDS
         new = materialize(_verify(_rest_pairs(rows, sets) if listed else _star_pairs(rows, turn), sets), "links")
         links = new if links is None else links.unionByName(new)
+        if groups is not None:
+            discard(groups)
         groups = components(links)
         turn += 1
         if listed:
             break
+    discard(rows)
+    discard(sets)
     if groups is not None:
         linked = groups.join(recs, groups["node"] == recs["rec"]).select("rec", "n", "component", "doc_id")
         least = linked.groupBy("component").agg(F.min("doc_id").alias("least"))
         recs = recs.join(linked.join(least, "component").select("rec", "n", "least"), ["rec", "n"], "left")
         recs = recs.withColumn("doc_id", F.coalesce("least", "doc_id"))
     named = recs.select("rec", "n", F.col("doc_id").alias("component"))
-    return of_docs.join(named, ["rec", "n"], "left").select(
+    return start.of_docs.join(named, ["rec", "n"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
     )
+
+
+def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All links between different texts, (a, b, common, n_a, n_b), and the members (doc_id, rep) of each text.
+
+    Equal sets are one text, named by its smallest doc_id; a is the smaller name. Every
+    pair of a similarity of 0.8 or more is there once, so the table grows with the square
+    of a group of different near copies; ``near_copies`` doesn't list them. Texts without
+    words have no links and are their own members; rows without a doc_id name no text.
+    """
+    start = _prepare(docs)
+    pairs = _rest_pairs(start.rows, start.sets)
+    if start.direct:
+        first = F.expr("a < b or (a = b and na < nb)")
+        swap = [F.when(first, F.col(p)).otherwise(F.col(q)).alias(p) for p, q in (("a", "b"), ("na", "nb"), ("b", "a"), ("nb", "na"))]
+        pairs = pairs.unionByName(start.direct.select(*swap)).distinct()
+    found = _verified(pairs, start.sets)
+    name = lambda r, n, d: start.recs.select(F.col("rec").alias(r), F.col("n").alias(n), F.col("doc_id").alias(d))
+    found = found.join(name("a", "na", "da"), ["a", "na"]).join(name("b", "nb", "db"), ["b", "nb"])
+    ahead = F.col("da") < F.col("db")
+    links = found.select(
+        F.least("da", "db").alias("a"), F.greatest("da", "db").alias("b"), "common",
+        F.when(ahead, F.col("na")).otherwise(F.col("nb")).alias("n_a"), F.when(ahead, F.col("nb")).otherwise(F.col("na")).alias("n_b"),
+    )
+    reps = start.recs.select("rec", "n", F.col("doc_id").alias("rep"))
+    return links, start.of_docs.join(reps, ["rec", "n"], "left").select("doc_id", F.coalesce("rep", "doc_id").alias("rep"))

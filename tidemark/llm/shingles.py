@@ -12,6 +12,8 @@ _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x9
 _S27, _S30, _S31, _S33 = (np.uint64(x) for x in (27, 30, 31, 33))
 #: Bits of a signature row's tag: set size, band, segment or number of empty segments, kind.
 SIZE_AT, BAND_AT, PART_AT = 31, 25, 1
+#: The band that marks a document's own row; sets lie in bands below it.
+RECORD = 63
 PARITY_WORDS = 16
 
 
