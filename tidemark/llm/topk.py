@@ -29,9 +29,9 @@ SCALE = 256
 
 
 def scaled(vectors: DataFrame) -> DataFrame:
-    """(vec_id, v): components as whole numbers; vectors null, empty or with null or non-finite parts left out."""
+    """(vec_id, v): components as whole numbers; vectors null or with null or non-finite parts left out."""
     ok = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf")))
-    kept = vectors.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & F.coalesce(ok, F.lit(False)) & (F.size("embedding") > 0))
+    kept = vectors.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & F.coalesce(ok, F.lit(False)))
     # floor() of a double gives a long; larger components stay doubles, which are whole by then.
     big = lambda x: F.abs(x.cast("double") * SCALE) >= 2.0**53
     v = F.transform("embedding", lambda x: F.when(big(x), x.cast("double") * SCALE).otherwise(F.floor(F.when(big(x), 0.0).otherwise(x.cast("double") * SCALE)).cast("double")))
@@ -109,12 +109,16 @@ def _blocks(rows: DataFrame, by: str, counts: list[tuple[int, int]], size: int)
     return rows.groupBy(by, part.alias("part")).agg(F.collect_list("vec_id").alias("ids"), F.collect_list("v").alias("vs"))
 
 
-def _scan(pairs: DataFrame, queries: DataFrame, blocks: DataFrame, index: Index, k: int) -> DataFrame:
+def _scan(pairs: DataFrame, queries: DataFrame, blocks: DataFrame, sizes: list[tuple[int, int]], index: Index, k: int) -> DataFrame:
     """(query_id, vec_id, score): each query's k best of every block it is paired with.
 
-    ``pairs`` has (query block, query part, cell, wanted): which of the block's queries scan the cell.
+    ``pairs`` has (query block, query part, cell, wanted): which of the block's queries
+    scan the cell. Each part of a cell is met by itself, so a frequent vector's cell is
+    spread over tasks.
     """
-    met = pairs.join(queries.select("qblock", "qpart", "qids", "qvs"), ["qblock", "qpart"]).join(blocks, "cell")
+    last = F.array(*(F.lit(parts_for(n, BLOCK_ROWS) - 1) for _, n in sizes))
+    pairs = pairs.withColumn("part", F.explode(F.sequence(F.lit(0), F.element_at(last, F.col("cell") + 1))))
+    met = pairs.join(queries.select("qblock", "qpart", "qids", "qvs"), ["qblock", "qpart"]).join(blocks, ["cell", "part"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -126,12 +130,8 @@ def _scan(pairs: DataFrame, queries: DataFrame, blocks: DataFrame, index: Index,
                 out: list[np.ndarray] = []
                 for i in range(len(q)):
                     own = ids != qid[i]
-                    order = np.lexsort((ids[own], -scores[i][own].astype(np.float64), -scores[i][own]))
-                    # Equal rows count once.
+                    order = np.lexsort((ids[own], -scores[i][own]))[:k]
                     best = np.stack([ids[own][order], scores[i][own][order]], axis=1)
-                    fresh = np.ones(len(best), dtype=bool)
-                    fresh[1:] = (best[1:] != best[:-1]).any(axis=1)
-                    best = best[fresh][:k]
                     out.append(np.column_stack([np.full(len(best), qid[i]), best]))
                 rows = np.concatenate(out) if out else np.empty((0, 3), dtype=np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(rows[:, c].astype(np.int64)) for c in range(3)], ["query_id", "vec_id", "score"])
@@ -145,23 +145,24 @@ def _best(scores: DataFrame, k: int) -> DataFrame:
     Each block gives a query k rows at most; they are cut to k again before and after the shuffle.
     """
     entry = F.struct((-F.col("score")).alias("minus"), F.col("vec_id").alias("vec_id"))
-    return scores.distinct().groupBy("query_id").agg(F.slice(F.sort_array(F.collect_list(entry)), 1, k).alias("best"))
+    return scores.groupBy("query_id").agg(F.slice(F.sort_array(F.collect_list(entry)), 1, k).alias("best"))
 
 
 def top_k(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     """(query_id, rank, vec_id, score): exact top k of each row whose id is divisible by ``every``.
 
     Vectors that are null or hold null or non-finite components take no part; shorter
-    ones count as filled up with zeros. A query's own id is no candidate of it. Equal
-    rows (id and vector) count once. Fewer than k candidates are all returned; no rows
-    give no rows. Scores beyond 64 bits stop at the limit.
+    ones, empty ones too, count as filled up with zeros. A query's own id is no candidate
+    of it. Repeated rows are candidates each, and one query where they are queries. Fewer
+    than k candidates are all returned; no rows give no rows. Scores beyond 64 bits stop
+    at the limit.
     """
     points = materialize(_packed(scaled(vectors)), "points")
     n, dim, radius2 = points.agg(F.count("*"), F.max(F.length("v") / 8), F.max("norm2")).first()
     empty = points.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     if not n:
         return empty
-    dim, cells_wanted = int(dim), min(MAX_PIVOTS * RINGS, parts_for(n, CELL_ROWS))
+    dim, cells_wanted = max(1, int(dim)), min(MAX_PIVOTS * RINGS, parts_for(n, CELL_ROWS))
     count = max(1, min(MAX_PIVOTS, round((cells_wanted * MAX_PIVOTS / RINGS) ** 0.5)))
     seeds = points.orderBy(F.xxhash64("vec_id"), "v").limit(count).select("v").collect()  # MAX_PIVOTS rows at most
     index = Index(dim, float(radius2), _matrix([bytes(r["v"]) for r in seeds], dim))
@@ -180,7 +181,7 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     sizes = [(i, r["n"]) for i, r in enumerate(found)]
     blocks = materialize(_blocks(celled, "cell", sizes, BLOCK_ROWS), "blocks")
     # A query block holds queries of one cell, so that they want the same annuli.
-    queries = _blocks(celled.filter(F.col("vec_id") % every == 0), "cell", sizes, QUERY_ROWS)
+    queries = _blocks(celled.filter(F.col("vec_id") % every == 0).dropDuplicates(["vec_id", "v"]), "cell", sizes, QUERY_ROWS)
     queries = materialize(queries.select(F.col("cell").alias("qblock"), F.col("part").alias("qpart"), F.col("ids").alias("qids"), F.col("vs").alias("qvs")), "queries")
     slack = 1e-6 * (1.0 + radius2**0.5)
 
@@ -212,13 +213,13 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
         return run
 
     schema = "qblock int, qpart int, cell int, wanted array<int>"
-    one = materialize(_best(_scan(queries.mapInArrow(choose(True), schema), queries, blocks, index, k), k), "first")
+    one = materialize(_best(_scan(queries.mapInArrow(choose(True), schema), queries, blocks, sizes, index, k), k), "first")
     # The k-th score of each query, in the order of its block.
     spread = queries.select("qblock", "qpart", F.posexplode("qids").alias("i", "query_id"))
     kth = F.when(F.size("best") >= k, -F.get("best", k - 1)["minus"])
     known = spread.join(one.select("query_id", kth.alias("kth")), "query_id", "left")
     lists = known.groupBy("qblock", "qpart").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "kth"))), lambda s: s["kth"]).alias("kth"))
-    two = _scan(queries.join(lists, ["qblock", "qpart"]).mapInArrow(choose(False), schema), queries, blocks, index, k)
+    two = _scan(queries.join(lists, ["qblock", "qpart"]).mapInArrow(choose(False), schema), queries, blocks, sizes, index, k)
     earlier = one.select("query_id", F.inline("best")).select("query_id", "vec_id", (-F.col("minus")).alias("score"))
     best = _best(earlier.unionByName(two), k).select("query_id", F.posexplode("best").alias("rank", "b"))
     return best.select("query_id", (F.col("rank") + 1).cast("int").alias("rank"), F.col("b.vec_id").alias("vec_id"), (-F.col("b.minus")).alias("score"))
