@@ -33,8 +33,10 @@ MORE = {
     "url_login": r"(?<![A-Za-z0-9+.-])[a-z][a-z0-9+.-]{1,20}://[^\s:/@]{1,64}:[^\s:/@]{3,64}@",
 }
 KINDS = (*BASE, *MORE)
+#: The fewest characters of a base kind's match, of an assignment's value.
+FEWEST = {"assign": 12, "access": 18, "hex": 16}
 #: Names the rules; part of the ledger's key, so changed rules scan every blob anew.
-RULE_VERSION = hashlib.sha256(repr((_ASSIGN, _ACCESS, _HEX, MORE)).encode()).hexdigest()[:16]
+RULE_VERSION = hashlib.sha256(repr((_ASSIGN, _ACCESS, _HEX, FEWEST, MORE)).encode()).hexdigest()[:16]
 
 Span = tuple[str, int, int]
 
@@ -42,7 +44,7 @@ Span = tuple[str, int, int]
 @lru_cache(1)
 def _compiled() -> dict[str, re.Pattern]:
     # A run of hex digits is skipped whole if it is short, so the length may stand in the pattern.
-    rules = {"assign": re.compile(_ASSIGN, re.IGNORECASE | re.ASCII), "access": re.compile(_ACCESS), "hex": re.compile(r"[0-9a-f]{16,}+")}
+    rules = {"assign": re.compile(_ASSIGN, re.IGNORECASE | re.ASCII), "access": re.compile(_ACCESS), "hex": re.compile(rf"[0-9a-f]{{{FEWEST['hex']},}}+")}
     return rules | {kind: re.compile(rule) for kind, rule in MORE.items()}
 
 
@@ -51,9 +53,9 @@ def find_secrets(text: str) -> list[Span]:
     rules, found = _compiled(), []
     folded = text.lower() if text.isascii() else text
     if not text.isascii() or any(w in folded for w in ("passw", "secret", "token", "api")):
-        found += [("assign", *m.span()) for m in rules["assign"].finditer(text) if m.end(1) - m.start(1) >= 12]
+        found += [("assign", *m.span()) for m in rules["assign"].finditer(text) if m.end(1) - m.start(1) >= FEWEST["assign"]]
     if "AKIA" in text:
-        found += [("access", *m.span()) for m in rules["access"].finditer(text) if m.end() - m.start() >= 18]
+        found += [("access", *m.span()) for m in rules["access"].finditer(text) if m.end() - m.start() >= FEWEST["access"]]
     found += [("hex", *m.span()) for m in rules["hex"].finditer(text)]
     for kind, sign in (("github", "gh"), ("slack", "xox"), ("jwt", "eyJ"), ("private_key", "-----BEGIN"), ("url_login", "://")):
         if sign in text:
