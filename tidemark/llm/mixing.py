@@ -55,9 +55,10 @@ def period(spark: SparkSession, units: dict[str, int]) -> DataFrame:
 
 
 def _chunk(key: Column) -> Column:
-    """A chunk by the id's residues; equal ids stay together, strides are spread."""
+    """A chunk by the id's residues, without an id by the text's hash; equal rows stay together, strides are spread."""
     prime = 2_147_483_647
-    return F.pmod(F.pmod(F.pmod(F.coalesce(key, F.lit(0)), F.lit(prime)) * 48_271, F.lit(prime)), F.lit(CHUNKS))
+    key = F.coalesce(key.cast("long"), F.xxhash64(F.col("text").cast("string")))
+    return F.pmod(F.pmod(F.pmod(key, F.lit(prime)) * 48_271, F.lit(prime)), F.lit(CHUNKS))
 
 
 def mix(docs: DataFrame, units: dict[str, int], block_chars: int = 20_000) -> DataFrame:
@@ -68,7 +69,8 @@ def mix(docs: DataFrame, units: dict[str, int], block_chars: int = 20_000) -> Da
     are characters; a null text has none. A row belongs to the block in which it starts,
     and ``place`` is its start within the source. Equal rows follow one another. No row
     is dropped or repeated: ``in_mix`` is false from the slot on at which some source
-    has no more blocks, where the weights can't hold any longer.
+    of ``units`` has no more blocks (one without rows: its first), where the weights
+    can't hold any longer.
     """
     return _placed(docs, units, block_chars).select("doc_id", "mix_source", "n_mixed", "block", "slot", "place", "in_mix")
 
@@ -83,8 +85,9 @@ def _placed(docs: DataFrame, units: dict[str, int], block_chars: int, whole: boo
         F.col("doc_id").cast("long").alias("doc_id"),
         named.alias("mix_source"),
         F.coalesce(F.length(F.col("text").cast("string")), F.lit(0)).cast("long").alias("n_mixed"),
+        _chunk(F.col("doc_id")).alias("chunk"),
         *kept,
-    ).withColumn("chunk", _chunk(F.col("doc_id")))
+    )
     key = ["mix_source", "chunk"]
     sums = rows.groupBy(*key).agg(F.sum("n_mixed").alias("size"))
     ahead = Window.partitionBy("mix_source").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
@@ -102,9 +105,9 @@ def _placed(docs: DataFrame, units: dict[str, int], block_chars: int, whole: boo
     placed = placed.withColumn("unit", F.coalesce("unit", F.raise_error(F.lit("a source has no weight: give 'other' one")).cast("long")))
     slotted = placed.withColumn("turn", F.col("block") % F.col("unit")).join(turns.drop("unit"), ["mix_source", "turn"])
     slotted = slotted.withColumn("slot", F.floor(F.col("block") / F.col("unit")) * total + F.col("at"))
-    # A source ends with its characters; sums has a row for each source and chunk.
-    ends = sums.groupBy("mix_source").agg(F.floor(F.greatest(F.sum("size") - 1, F.lit(0)) / block_chars).alias("last"))
-    ends = ends.join(share, "mix_source").withColumn("next", F.col("last") + 1).withColumn("turn", F.col("next") % F.col("unit"))
+    # A source ends with its characters, one without rows before its first turn; sums has a row for each source and chunk.
+    ends = sums.groupBy("mix_source").agg((F.floor(F.greatest(F.sum("size") - 1, F.lit(0)) / block_chars) + 1).alias("next"))
+    ends = share.join(ends, "mix_source", "left").withColumn("next", F.coalesce("next", F.lit(0))).withColumn("turn", F.col("next") % F.col("unit"))
     ends = ends.join(turns.drop("unit"), ["mix_source", "turn"])
     horizon = ends.agg(F.min(F.floor(F.col("next") / F.col("unit")) * total + F.col("at")).alias("horizon"))
     return slotted.join(F.broadcast(horizon)).withColumn("in_mix", F.col("slot") < F.col("horizon"))
@@ -159,7 +162,7 @@ placed AS (
   FROM rows r JOIN starts USING (mix_source, chunk)),
 blocks AS (SELECT *, place // {block_chars} AS block FROM placed JOIN units USING (mix_source)),
 ends AS (SELECT mix_source, CAST(greatest(sum(size) - 1, 0) AS BIGINT) // {block_chars} + 1 AS next FROM sums GROUP BY 1),
-horizon AS (SELECT min((next // unit) * {total} + spot) AS horizon FROM ends JOIN turns USING (mix_source) WHERE turn = next % unit)
+horizon AS (SELECT min((coalesce(next, 0) // unit) * {total} + spot) AS horizon FROM turns LEFT JOIN ends USING (mix_source) WHERE turn = coalesce(next, 0) % unit)
 SELECT doc_id, b.mix_source, n_mixed, CAST(block AS BIGINT) AS block, CAST((block // b.unit) * {total} + spot AS BIGINT) AS slot, place,
        (block // b.unit) * {total} + spot < horizon AS in_mix
 FROM blocks b JOIN turns t ON t.mix_source = b.mix_source AND t.turn = block % b.unit, horizon"""
