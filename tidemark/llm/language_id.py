@@ -5,7 +5,7 @@ character n-grams and a lexicon score each word, learned transitions tie neighbo
 and forward-backward gives each word's label probabilities over the whole text. A
 document's language is the one with the most probability over its words.
 
-The field is fitted on the driver to a bounded sample of labelled texts; prediction
+The field is fitted in one task to a bounded sample of labelled texts; prediction
 runs over every word of every text in Arrow batches. Chains are cut into stretches
 whose transfer matrices are multiplied first, so long texts cost no more a word than
 short ones.
@@ -13,7 +13,7 @@ short ones.
 
 from __future__ import annotations
 
-import re
+import pickle
 import uuid
 from collections import Counter
 from collections.abc import Iterator
@@ -23,13 +23,13 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: The fit takes at most so many labelled texts, the first by a hash of the id, and a run
-#: of at most so many words of each. Everything else reads whole texts.
-MAX_TEXTS, MAX_WORDS = 4_000, 96
+#: The fit takes at most so many labelled texts, the first by a hash of the id, each whole.
+MAX_TEXTS = 1_500
 EPOCHS, RATE, DECAY = 2, 0.3, 1e-4
 BUCKETS = 1 << 15
 LEXICON = 400
@@ -40,7 +40,7 @@ STRETCH, BATCH_WORDS = 64, 200_000
 PIECE = 40
 #: Blank-separated strings up to this length are remembered; longer ones hardly come again.
 LONG = 64
-_LETTERS = re.compile(r"[^\W\d_]+")
+_LETTERS = regex.compile(r"\p{L}+")
 
 
 def features(word: str) -> list[list[int]]:
@@ -278,21 +278,31 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 3 == 1, F.lit(False))
 
 
-def training_sample(docs: DataFrame) -> list[tuple[str, list[str]]]:
-    """(language, words): at most ``MAX_TEXTS`` learnable rows, at most ``MAX_WORDS`` words of each."""
+def training_sample(docs: DataFrame) -> DataFrame:
+    """(doc_id, lang, text) of at most ``MAX_TEXTS`` learnable rows; of those with one id, the least."""
     learnable = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     learnable = learnable.filter(~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    words = F.split(F.lower("text"), r"[^\p{L}\p{Nl}\p{No}]+")  # the runs of _LETTERS
-    begin = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.greatest(F.size("w") - MAX_WORDS, F.lit(1))).cast("int") + 1
     # Ids first, so that the sort moves no texts; the sample is bounded, and so is what it broadcasts.
     ids = learnable.select("doc_id", F.xxhash64("doc_id").alias("h")).distinct().orderBy("h", "doc_id").limit(MAX_TEXTS).select("doc_id")
-    chosen = learnable.join(F.broadcast(ids), "doc_id", "left_semi").withColumn("w", words).select("doc_id", "lang", F.slice("w", begin, MAX_WORDS).alias("w"))
-    rows = chosen.groupBy("doc_id").agg(F.min(F.struct("lang", "w")).alias("s")).orderBy("doc_id").select("s.*").collect()
-    return [(r["lang"], [w for w in r["w"] if w]) for r in rows]
+    chosen = learnable.join(F.broadcast(ids), "doc_id", "left_semi")
+    return chosen.groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("s")).select("doc_id", "s.lang", "s.text")
 
 
 def fit_documents(docs: DataFrame) -> Field | None:
-    return fit(training_sample(docs))
+    """The field of ``docs``' sample, fitted in one task, so that the driver holds the field alone; None without a sample."""
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shared: dict[str, str] = {}
+        texts = []
+        for batch in batches:
+            for lang, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                texts.append((lang, [shared.setdefault(w, w) for w in _LETTERS.findall(text.lower())]))
+        model = fit(texts)
+        if model is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    fitted = training_sample(docs).repartition(1).sortWithinPartitions("doc_id").mapInArrow(learn, "model binary").collect()
+    return pickle.loads(bytes(fitted[0][0])) if fitted else None
 
 
 def label_documents(docs: DataFrame, model: Field | None) -> DataFrame:
@@ -315,18 +325,33 @@ def label_documents(docs: DataFrame, model: Field | None) -> DataFrame:
     return rows.mapInArrow(predict, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def label_rows(docs: DataFrame, model: Field | None, name: str = "__lang_pred") -> DataFrame:
-    """``docs`` with each row's language as ``name``, decided by its own text as in ``label_documents``."""
+def label_rows(docs: DataFrame, model: Field | None, name: str = "__lang_pred", score: str = "__score") -> DataFrame:
+    """``docs`` with each row's language as ``name`` and its score, decided by its own text as in ``label_documents``."""
     shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = _labeller_of(shared.value) if shared.value is not None else None
         for batch in batches:
             texts = batch.column(at).to_pylist()
-            labels = labeller.predict(texts)[0] if labeller is not None else [UNKNOWN] * len(texts)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(labels, pa.string())], [*batch.schema.names, name])
+            labels, sure = labeller.predict(texts) if labeller is not None else ([UNKNOWN] * len(texts), [0.0] * len(texts))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(labels, pa.string()), pa.array(sure, pa.float64())], [*batch.schema.names, name, score])
 
-    return docs.mapInArrow(predict, T.StructType([*docs.schema.fields, T.StructField(name, T.StringType())]))
+    more = [T.StructField(name, T.StringType()), T.StructField(score, T.DoubleType())]
+    return docs.mapInArrow(predict, T.StructType([*docs.schema.fields, *more]))
+
+
+def recognized(docs: DataFrame, model: Field | None, least: float = 1.2) -> DataFrame:
+    """The rows of ``docs`` whose text is in some language, with their columns.
+
+    A text is rejected if it is null or has no letter, or if its best language is hardly
+    likelier than a guess: a score under ``least`` divided by the number of languages.
+    Where nothing was learned, or one language only, a letter is enough.
+    """
+    if model is None:
+        return docs.filter(F.col("text").cast("string").rlike(r"\p{L}"))
+    least = least / len(model.labels) if len(model.labels) > 1 else 0.0
+    labelled = label_rows(docs, model)
+    return labelled.filter((F.col("__lang_pred") != UNKNOWN) & (F.col("__score") >= least)).select(*docs.columns)
 
 
 def identify(docs: DataFrame) -> DataFrame:
