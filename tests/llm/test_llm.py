@@ -321,8 +321,9 @@ def test_top_k_equals_brute_force(spark):
     got = collections.defaultdict(list)
     for r in topk.top_k(df, 50, 5).orderBy("query_id", "rank").collect():
         got[r.query_id].append((r.vec_id, r.score))
-    whole = {i: np.floor(256 * np.array(v)).astype(np.int64) for i, v in rows if v and all(x is not None and np.isfinite(x) for x in v)}
-    want = {q: sorted(((x, int(whole[q] @ v)) for x, v in whole.items() if x != q), key=lambda p: (-p[1], p[0]))[:5] for q in whole if q % 50 == 0}
+    # As the contract and the query's SQL say, every row is a candidate, repeated ones too.
+    whole = [(i, np.floor(256 * np.array(v)).astype(np.int64)) for i, v in rows if v and all(x is not None and np.isfinite(x) for x in v)]
+    want = {q: sorted(((x, int(a @ b)) for x, b in whole if x != q), key=lambda p: (-p[1], p[0]))[:5] for q, a in whole if q % 50 == 0}
     assert dict(got) == want
     assert topk.top_k(df.limit(0)).count() == 0
 
@@ -472,3 +473,68 @@ def test_near_links_are_all_links(spark):
             want.add((i, j, len(x & y), len(x), len(y)))
     assert sorted(map(tuple, links.collect())) == sorted(want) and want
     assert sorted(map(tuple, members.collect())) == [(i, first[s or i]) for i, s in enumerate(sets)]
+
+
+def test_top_k_of_many_rows_with_a_frequent_vector(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 256)
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(20, 8))
+    vectors = np.concatenate([centres[rng.integers(0, 20, 4000)] + rng.normal(scale=0.1, size=(4000, 8)), np.tile(centres[0], (2000, 1))]).round(3)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vectors.tolist())] + [(9_999, [])], "vec_id long, embedding array<double>")
+    got = collections.defaultdict(list)
+    for r in topk.top_k(df, 50, 5).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    whole = np.vstack([np.floor(256 * vectors), np.zeros(8)]).astype(np.int64)
+    ids = np.array([*range(len(vectors)), 9_999])
+    for q in range(0, len(vectors), 50):
+        scores = whole @ whole[q]
+        order = np.lexsort((ids, -scores))
+        assert got[q] == [(int(ids[i]), int(scores[i])) for i in order if ids[i] != q][:5]
+    assert len(got) == len(range(0, len(vectors), 50))
+
+
+def test_a_source_without_rows_ends_the_mix(spark):
+    units = {"a": 50, "b": 30, "other": 20}
+    docs = spark.createDataFrame([(i, "x" * 10, "a" if i % 2 else "b") for i in range(200)] + [(None, "x" * i, None) for i in range(9)], "doc_id long, text string, source string")
+    out = mixing.mix(docs.filter("source is not null"), units, 50)
+    first = min(r.at for r in mixing.period(spark, units).collect() if r.mix_source == "other")
+    assert {(r.slot < first) == r.in_mix for r in out.collect()} == {True}
+    assert mixing.mix(docs, units, 50).count() == 209
+
+
+def test_language_of_numbers_and_without_labels(spark):
+    import corpus_pipeline as c
+
+    docs = frame(spark, ["the cat and the dog", "le chat et le chien", "½ ²", "Ⅷ ①", "1 2", None, "the end"]).withColumn("lang", F.expr("if(text like 'le %', 'fr', 'en')"))
+    labels = {r.doc_id: (r.lang_pred, r.score) for r in language_id.identify(docs).collect()}
+    assert [labels[i] for i in (2, 3, 4, 5)] == [("und", 0.0)] * 4
+    bare = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert sorted(r.doc_id for r in c.language_id(spark, bare, DATA).collect()) == [0, 1, 6]
+    model = language_id.fit([("en", "the cat and the dog".split()), ("fr", "le chat et le chien".split())] * 40)
+    assert sorted(r.doc_id for r in language_id.recognized(frame(spark, ["the dog and", "漢字", "!"]), model).collect()) == [0]
+
+
+def test_pipeline_of_nothing_and_of_more_columns(spark):
+    import corpus_pipeline as c
+
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    for given in (docs.limit(0), docs.limit(20).withColumn("chunk", F.lit(1)).withColumn("rec", F.lit("x")).withColumn("slot", F.lit(2.5))):
+        kept = given
+        for _, stage in c.STAGES[:-1]:
+            kept = stage(spark, kept, DATA)
+            assert kept.columns == given.columns
+        assert c.best_fit_packing(spark, kept, DATA).count() == 0 or given.count()
+
+
+def test_operators_of_nothing_and_of_repeated_rows(spark):
+    none, labels = frame(spark, ["x"]).limit(0), spark.createDataFrame([], "doc_id long, quality int")
+    runs = {
+        "op1": lambda d: prefix_tokens.count_tokens(d, BYTE), "op2": lambda d: mixing.mix(d, {"src1": 1, "other": 1}), "op3": secret_scan.scan_documents,
+        "op5": licenses.scan_licenses, "op6": lambda d: packing.pack_documents(d, WORD), "op7": near_copies, "op8": language_id.identify,
+        "op9": pii.summarize, "op10": lambda d: quality_rules.judge(d, labels),
+    }
+    twice = frame(spark, ["Released under the MIT license."])
+    twice = twice.union(twice)
+    for name, run in runs.items():
+        assert run(none).count() == 0, name
+        assert run(twice).count() == 2, name
