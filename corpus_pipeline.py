@@ -5,7 +5,8 @@ but the last return the columns of ``docs``. ``run`` writes every stage as Parqu
 the shared folder and reads it again for the next one.
 
 Null and empty texts: the first stage drops texts without a letter, so later stages
-only see them when called alone; there they are kept, as each operator says.
+only see them when called alone; there they are kept, as each operator says. Columns of
+``docs`` beside its own are carried along.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialize, table
-from tidemark.llm.language_id import UNKNOWN, fit_documents, label_rows
+from tidemark.llm.language_id import fit_documents, recognized
 from tidemark.llm.mixing import mixed_documents
 from tidemark.llm.ngram_join import near_copies
 from tidemark.llm.packing import pack_documents
@@ -29,14 +30,19 @@ RANGES = 16
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops rows without a language: text null or without a letter. The others stay, whatever their ids."""
-    return label_rows(docs, fit_documents(docs)).filter(F.col("__lang_pred") != UNKNOWN).select(*docs.columns)
+    """Drops rows whose language isn't recognized: text null or without a letter, or no language likelier than a guess.
+
+    The others stay, whatever their ids and however often they are there. Without
+    labelled rows every text with a letter stays; no rows give no rows.
+    """
+    return recognized(docs, fit_documents(docs))
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one row of each group of near copies, that with the smallest id; one without an id only where none has one.
 
-    Rows are told apart by a key written with them, so copies that share an id are copies too.
+    Rows are told apart by a key written with them, so copies that share an id are copies
+    too. Texts without words have no copies and all stay; no rows give no rows.
     """
     keyed = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "keyed")
     groups = near_copies(keyed.select(F.col("__row").alias("doc_id"), "text")).select(F.col("doc_id").alias("__row"), "component_id")
@@ -48,7 +54,7 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces every secret by a mark; ``n_chars`` follows the text. No document goes."""
+    """Replaces every secret by a mark; ``n_chars`` follows the text. No row goes, repeated ones included; no rows give no rows."""
     clean = redact(docs)
     if "n_chars" not in docs.columns:
         return clean
@@ -57,7 +63,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pfair_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Puts the documents in the order of the target weights. No document goes."""
+    """Puts the documents in the order of the target weights. No row goes, repeated ones included; no rows give no rows."""
     return mixed_documents(docs, MIX_UNITS, BLOCK_CHARS)
 
 
@@ -81,6 +87,7 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     The files of ``docs`` are in mixed order; consecutive ones are packed together and
     sequences are numbered in that order, so the target weights hold along the sequences.
+    Repeated rows give their pieces each; a null text is the end id alone; no rows give no rows.
     """
     packed = pack_documents(_in_order(docs), public_tokenizers.path("word_bpe_49k.json"), capacity=2048, by="__range")
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
