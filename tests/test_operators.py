@@ -3,12 +3,14 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
 from tidemark.operators import ingest as I
 from tidemark.operators import pointintime as P
 from tidemark.plans import payloads
+from tidemark.sources import export as E
 from tidemark.sources import parsers as A
 
 
@@ -46,13 +48,51 @@ def test_rolling_waits_for_a_full_window(spark):
 def test_second_upsert_skips_everything(spark):
     df = spark.createDataFrame([(1, 1.5), (2, None)], "k int, v double")
     out = I.feature_upsert(df, df, ["k"], S.values_equal(F.col("x.v"), F.col("y.v")))
-    assert {r.action for r in out.filter("k = 1").collect()} == {"skipped"}
+    assert sorted(map(tuple, out.collect())) == [(1, "skipped"), (2, "skipped")]
+    new = spark.createDataFrame([(1, None), (2, 2.0), (3, None)], "k int, v double")
+    out = I.feature_upsert(df, new, ["k"], S.values_equal(F.col("x.v"), F.col("y.v")))
+    assert sorted(map(tuple, out.collect())) == [(1, "updated"), (2, "updated"), (3, "created")]
 
 
 def test_merge_actions(spark):
     old = spark.createDataFrame([(1, "a"), (2, "b")], "k int, h string")
     new = spark.createDataFrame([(1, "a"), (2, "x"), (3, "c")], "k int, h string")
     assert {r.k: r.action for r in I.merge_actions(old, new, ["k"], "h").collect()} == {1: "skip", 2: "conflict", 3: "insert"}
+    old = spark.createDataFrame([(1, None), (2, None), (3, "a")], "k int, h string")
+    new = spark.createDataFrame([(1, "x"), (2, None), (3, None), (4, None)], "k int, h string")
+    assert {r.k: r.action for r in I.merge_actions(old, new, ["k"], "h").collect()} == {1: "conflict", 2: "skip", 3: "conflict", 4: "insert"}
+
+
+def test_identity_match_keeps_rows_where_stored_keys_repeat(spark):
+    old = spark.createDataFrame([(1, 9), (1, 4), (None, 7)], "k int, id int")
+    new = spark.createDataFrame([(1,), (None,), (2,)], "k int")
+    assert sorted(map(tuple, I.identity_match(new, old, ["k"], "id").collect()), key=str) == [(1, 4), (2, None), (None, 7)]
+
+
+def test_written_datasets_are_checked(spark, tmp_path):
+    rows = spark.createDataFrame([("b", day(1), None, 1.5), ("a", day(2), "x", None)], "k string, d date, f string, v double")
+    files = E.write_dataset(rows, str(tmp_path / "one"), ["k", "d"])
+    assert sorted(map(tuple, E.read_csv(spark, files, rows.columns).collect())) == [("a", "2024-01-02", "x", ""), ("b", "2024-01-01", "", "1.5")]
+    m = E.manifest(spark, files, rows.schema, "k", "d", "f").first()
+    assert (m.n_rows, m.entities, m.first_day, m.unflagged, m.csv_equals_parquet) == (2, "a,b", day(1), 1, True)
+    for n, bad in enumerate((rows.limit(0), rows.union(rows), rows.withColumn("k", F.lit(None).cast("string")))):
+        with pytest.raises(ValueError):
+            E.write_dataset(bad, str(tmp_path / f"bad{n}"), ["k", "d"])
+
+
+def test_keywords_stand_for_themselves(spark):
+    df = spark.createDataFrame([("the u.s. and us",), ("uxsx",), ("soybean meal soybeans",)], "t string")
+    hits = [sorted(r[0]) for r in df.select(S.keyword_hits(F.col("t"), ["u.s.", "soybean", "soybean meal", "and"])).collect()]
+    assert hits == [["and", "u.s."], [], ["soybean", "soybean meal"]]
+    assert [r[0] for r in df.select(S.keyword_match(F.col("t"), "u.s.")).collect()] == [True, False, False]
+
+
+def test_malformed_trade_rows_and_payloads(spark):
+    texts = ['{"data": [{"reporter": 1, "period": "2024-02", "value": 1, "qty": 0, "tradeValue": 6}, 5, {"period": "202413", "reporter": 1, "tradeValue": 1}]}', "no json", '[{"reporter": "2", "period": "202401", "tradeValue": "8", "quantity": 4}]', None]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, p string")
+    out = {(r.k, r.pos): (r.reporter, r.unit_value, r.malformed) for r in A.parse_trade_json(df, ["k"], "p").collect()}
+    assert out[0, 0] == (1, None, False) and out[2, 0] == (2, 2.0, False)
+    assert all(out[at][2] for at in ((0, 1), (0, 2), (1, None), (3, None)))
 
 
 def test_scalars(spark):

@@ -53,7 +53,22 @@ def keyword_match(text: Column, keyword: str) -> Column:
     """Phrases match anywhere; a single word only with no word character on either side."""
     if " " in keyword:
         return text.contains(keyword)
-    return text.rlike(rf"(?U)(?<!\w){keyword}(?!\w)")
+    return text.rlike(rf"(?U)(?<!\w){quoted(keyword)}(?!\w)")
+
+
+def keyword_hits(text: Column, keywords: list[str]) -> Column:
+    """Those of ``keywords`` that ``keyword_match`` finds: one pass for all single words, one for each phrase."""
+    single, phrases = [k for k in keywords if " " not in k], [k for k in keywords if " " in k]
+    found = F.array_compact(F.array(*(F.when(text.contains(p), F.lit(p)) for p in phrases)).cast("array<string>"))
+    if single:
+        either = "|".join(map(quoted, sorted(single, key=len, reverse=True)))
+        found = F.concat(F.array_distinct(F.regexp_extract_all(text, F.lit(rf"(?U)(?<!\w)(?:{either})(?!\w)"), F.lit(0))), found)
+    return found
+
+
+def quoted(keyword: str) -> str:
+    """The keyword as a pattern that stands for itself."""
+    return r"\Q" + keyword.replace(r"\E", r"\E\\E\Q") + r"\E"
 
 
 def canonical_decimal(value: Column) -> Column:

@@ -19,17 +19,20 @@ def insert_if_absent(existing: DataFrame, incoming: DataFrame, keys: list[str],
 
 
 def identity_match(incoming: DataFrame, existing: DataFrame, keys: list[str], found: str) -> DataFrame:
-    """Adds ``found`` of the existing row with the same key, nulls equal to nulls."""
-    other = existing.select(*(F.col(k).alias(f"__{k}") for k in keys), F.col(found).alias("found"))
+    """Adds ``found`` of the existing row with the same key, nulls equal to nulls; the least where keys repeat."""
+    other = existing.groupBy(*(F.col(k).alias(f"__{k}") for k in keys)).agg(F.min(found).alias("found"))
     same = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys))
     return incoming.join(other, same, "left").drop(*(f"__{k}" for k in keys))
 
 
 def merge_actions(existing: DataFrame, incoming: DataFrame, keys: list[str], digest: str) -> DataFrame:
-    """Incoming rows with ``action``: insert, skip (same digest) or conflict (never overwritten)."""
-    old = existing.select(*keys, F.col(digest).alias("__old"))
-    action = F.when(F.col("__old").isNull(), "insert").when(F.col("__old") == F.col(digest), "skip").otherwise("conflict")
-    return incoming.join(old, keys, "left").withColumn("action", action).drop("__old")
+    """Incoming rows with ``action``: insert, skip (same digest) or conflict (never overwritten).
+
+    A stored row counts as there whatever its digest; nulls equal nulls.
+    """
+    old = existing.select(*keys, F.col(digest).alias("__old"), F.lit(True).alias("__there"))
+    action = F.when(F.col("__there").isNull(), "insert").when(F.col("__old").eqNullSafe(F.col(digest)), "skip").otherwise("conflict")
+    return incoming.join(old, keys, "left").withColumn("action", action).drop("__old", "__there")
 
 
 def bar_revisions(existing: DataFrame, incoming: DataFrame, keys: list[str], day: str, digest: str) -> DataFrame:
@@ -48,10 +51,9 @@ def field_diff(old: DataFrame, new: DataFrame, keys: list[str], fields: list[str
 
 
 def feature_upsert(existing: DataFrame, built: DataFrame, keys: list[str], same: Column) -> DataFrame:
-    """Keys of ``built`` with created, updated or skipped; ``same`` compares columns of x (old) and y (new)."""
-    pairs = existing.alias("x").join(built.alias("y"), keys, "right")
-    old = F.col(f"x.{[c for c in existing.columns if c not in keys][0]}").isNull()
-    return pairs.select(*keys, F.when(old, "created").when(same, "skipped").otherwise("updated").alias("action"))
+    """Keys of ``built`` with created, updated or skipped; ``same`` compares columns of x (old) and y (new), null-safe."""
+    pairs = existing.withColumn("__there", F.lit(True)).alias("x").join(built.alias("y"), keys, "right")
+    return pairs.select(*keys, F.when(F.col("x.__there").isNull(), "created").when(same, "skipped").otherwise("updated").alias("action"))
 
 
 def row_checks(rows: DataFrame, row_id: list[Column], rules: dict[str, tuple[Column, str]]) -> DataFrame:
@@ -63,6 +65,39 @@ def row_checks(rows: DataFrame, row_id: list[Column], rules: dict[str, tuple[Col
     return rows.select(*row_id, F.inline(checks))
 
 
+def feature_checks(rows: DataFrame, by: list[str], keys: list[str], value: Column, day: Column, last_day: Column) -> DataFrame:
+    """Per group of ``by``: rows without the value, with one that isn't positive, of a repeated key, from after ``last_day``, and the coverage."""
+    copies = F.count("*").over(Window.partitionBy(*keys))
+    seen = rows.select(*by, value.alias("__v"), (day > last_day).alias("__late"), copies.alias("__copies"))
+    return seen.groupBy(*by).agg(
+        F.count("*").alias("n"), F.count_if(F.col("__v").isNull()).alias("missing"), F.count_if(F.col("__v") <= 0).alias("not_positive"),
+        F.count_if(F.col("__copies") > 1).alias("repeated"), F.count_if("__late").alias("future"), F.round(F.count("__v") / F.count("*"), 6).alias("coverage"),
+    )
+
+
+def coverage(rows: DataFrame, name: str, keys: list[str], day: Column, values: list[Column], fresh_from: Column) -> DataFrame:
+    """One row about a table: rows, distinct keys, first and last day, freshness, rows with all and with any of the values, last day with any."""
+    any_ = F.coalesce(*(v.cast("string") for v in values)).isNotNull()
+    all_ = reduce(Column.__and__, (v.isNotNull() for v in values))
+    return rows.agg(
+        F.lit(name).alias("table_name"), F.count("*").alias("n"), F.count_distinct(*keys).alias("keys"), F.min(day).alias("first_day"), F.max(day).alias("last_day"),
+        F.coalesce(F.max(day) >= fresh_from, F.lit(False)).alias("fresh"), F.count_if(all_).alias("complete"), F.count_if(any_).alias("with_any"), F.max(F.when(any_, day)).alias("last_with_any"),
+    )
+
+
+def source_health(rows: DataFrame, source: str, key: str, time: str, good: Column, since: Column) -> DataFrame:
+    """Per source: last success and failure, both counts since a time, keys not seen since then, and ok or degraded."""
+    per_key = rows.groupBy(source, key).agg(
+        F.max(F.when(good, F.col(time))).alias("s"), F.max(F.when(~good, F.col(time))).alias("f"),
+        F.count_if(good & (F.col(time) >= since)).alias("ns"), F.count_if(~good & (F.col(time) >= since)).alias("nf"), F.max(time).alias("t"),
+    )
+    out = per_key.groupBy(source).agg(
+        F.max("s").alias("last_success"), F.max("f").alias("last_failure"), F.sum("ns").alias("recent_successes"), F.sum("nf").alias("recent_failures"), F.count_if(F.col("t") < since).alias("stale_keys")
+    )
+    bad = F.col("last_success").isNull() | (F.col("recent_successes") <= F.col("recent_failures")) | (F.col("stale_keys") > 0)
+    return out.withColumn("status", F.when(bad, "degraded").otherwise("ok"))
+
+
 def problem_checks(checks: DataFrame) -> DataFrame:
     return checks.filter(~F.col("status").isin(*OK_STATUSES))
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import keyword_match
+from tidemark.functions.scalars import keyword_hits
 
 
 @dataclass(frozen=True)
@@ -22,34 +22,55 @@ class Rule:
     direction: str = "mixed"
 
 
-def _any(text: Column, words: tuple[str, ...]) -> Column:
-    return reduce(Column.__or__, (keyword_match(text, w) for w in words), F.lit(False))
+# An event's confidence, what a strong keyword and several keywords add, and the most.
+BASE, STRONG, SEVERAL, MOST = 0.70, 0.10, 0.05, 0.95
+HITS = "__hits"
 
 
-def _number(text: Column, words: tuple[str, ...]) -> Column:
-    return reduce(Column.__add__, (keyword_match(text, w).cast("int") for w in words), F.lit(0))
+def with_hits(rows: DataFrame, text: str, rules: list[Rule], words: dict[str, tuple[str, ...]]) -> DataFrame:
+    """``rows`` with the keywords that the text holds; the text is searched once for all rules and families."""
+    every = {k for r in rules for k in (*(w for g in r.groups for w in g), *r.negative, *r.strong)} | {k for w in words.values() for k in w}
+    return rows.withColumn(HITS, keyword_hits(F.col(text), sorted(every)))
 
 
-def detect(rows: DataFrame, text: str, rules: list[Rule]) -> DataFrame:
-    """One row per article and category that holds, with its direction and confidence.
+def _any(words: tuple[str, ...]) -> Column:
+    return reduce(Column.__or__, (F.array_contains(HITS, w) for w in words), F.lit(False))
+
+
+def _number(words: tuple[str, ...]) -> Column:
+    return reduce(Column.__add__, (F.array_contains(HITS, w).cast("int") for w in words), F.lit(0))
 
-    0.70, and 0.10 for a strong keyword, and 0.05 for more than one keyword, 0.95 at most.
-    """
-    t = F.col(text)
-    hits = []
+
+def _events(rules: list[Rule]) -> Column:
+    """array<struct<category, direction, confidence>> of the rules that hold."""
+    found = []
     for r in rules:
-        every = reduce(Column.__and__, (_any(t, g) for g in r.groups))
-        many = _number(t, tuple(dict.fromkeys(w for g in r.groups for w in g))) > 1
-        score = 0.70 + 0.10 * _any(t, r.strong).cast("int") + 0.05 * many.cast("int")
-        held = every & ~_any(t, r.negative)
-        hits.append(F.when(held, F.struct(F.lit(r.name).alias("category"), F.lit(r.direction).alias("direction"), F.round(F.least(F.lit(0.95), score), 2).alias("confidence"))))
-    return rows.select("*", F.inline(F.filter(F.array(*hits), lambda h: h.isNotNull())))
+        every = reduce(Column.__and__, (_any(g) for g in r.groups))
+        many = _number(tuple(dict.fromkeys(w for g in r.groups for w in g))) > 1
+        score = BASE + STRONG * _any(r.strong).cast("int") + SEVERAL * many.cast("int")
+        held = every & ~_any(r.negative)
+        found.append(F.when(held, F.struct(F.lit(r.name).alias("category"), F.lit(r.direction).alias("direction"), F.round(F.least(F.lit(MOST), score), 2).alias("confidence"))))
+    return F.array_compact(F.array(*found))
+
+
+def _families(words: dict[str, tuple[str, ...]]) -> Column:
+    return F.array_compact(F.array(*(F.when(_any(w), F.lit(n)) for n, w in words.items())))
+
+
+def detect(rows: DataFrame, text: str, rules: list[Rule]) -> DataFrame:
+    """One row per article and category that holds, with its direction and confidence."""
+    return with_hits(rows, text, rules, {}).select("*", F.inline(_events(rules))).drop(HITS)
 
 
 def families(rows: DataFrame, text: str, words: dict[str, tuple[str, ...]]) -> DataFrame:
     """One row per article and family with any of its keywords."""
-    found = F.array_compact(F.array(*(F.when(_any(F.col(text), w), F.lit(n)) for n, w in words.items())))
-    return rows.select("*", F.explode(found).alias("family"))
+    return with_hits(rows, text, [], words).select("*", F.explode(_families(words)).alias("family")).drop(HITS)
+
+
+def extract(rows: DataFrame, text: str, rules: list[Rule], words: dict[str, tuple[str, ...]]) -> DataFrame:
+    """One row per article, category and family, without the text: one pass over it and no join."""
+    found = with_hits(rows, text, rules, words).drop(text)
+    return found.select("*", F.inline(_events(rules))).select("*", F.explode(_families(words)).alias("family")).drop(HITS)
 
 
 def event_products(events: DataFrame, family: str, bridge: dict[str, tuple[str, ...]]) -> DataFrame:

@@ -78,8 +78,7 @@ def detect_families(spark, sf_dir):
 
 
 def extracted(spark, sf_dir) -> DataFrame:
-    fam = T.families(articles(spark, sf_dir), "t", FAMILIES).select("doc_id", "family")
-    return found(spark, sf_dir).drop("t").join(fam, "doc_id")
+    return T.extract(articles(spark, sf_dir), "t", RULES, FAMILIES)
 
 
 @query("extract_events", f"WITH {EVENTS_SQL} SELECT doc_id, day, category, family, direction FROM ev JOIN fam USING (doc_id)")
