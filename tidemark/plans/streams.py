@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.operators import ingest as I
 from tidemark.plans.registry import query
@@ -19,17 +20,32 @@ def _stream(spark, sf_dir) -> DataFrame:
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def _run(stream: DataFrame, mode: str) -> DataFrame:
-    """Write the stream's output batch by batch and read it back whole; the last batch counts in complete mode."""
-    spark = stream.sparkSession
-    base = f"{scratch_root(spark)}/tidemark/stream-{uuid.uuid4().hex}"
+def _folder(spark) -> str:
+    return f"{scratch_root(spark)}/tidemark/stream-{uuid.uuid4().hex}"
 
-    def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite" if mode == "complete" else "append").parquet(f"{base}/out")
 
-    writer = stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", f"{base}/state")
+def _write(batch: DataFrame, number: int, base: str) -> None:
+    """Each batch has a folder of its own, so one that runs again replaces what it wrote."""
+    batch.write.mode("overwrite").parquet(f"{base}/out/batch={number}")
+
+
+def _read(spark, base: str, schema: StructType | str, keys: list[str] | None = None) -> DataFrame:
+    """What the batches wrote; with ``keys``, the last batch's row of each."""
+    rows = spark.read.schema(schema).parquet(f"{base}/out/batch=*")
+    if not keys:
+        return rows
+    batch = F.regexp_extract(F.col("_metadata.file_path"), "batch=([0-9]+)", 1).cast("long").alias("__batch")
+    values = F.struct(*(c for c in rows.columns if c not in keys)).alias("v")
+    last = rows.select(*keys, batch, values).groupBy(*keys).agg(F.max_by("v", "__batch").alias("v"))
+    return last.select(*keys, "v.*")
+
+
+def _run(stream: DataFrame, mode: str, keys: list[str] | None = None) -> DataFrame:
+    """Write the stream's output batch by batch and read it back; in update mode the last row of each key counts."""
+    spark, base = stream.sparkSession, _folder(stream.sparkSession)
+    writer = stream.writeStream.outputMode(mode).foreachBatch(lambda batch, number: _write(batch, number, base)).option("checkpointLocation", f"{base}/state")
     writer.trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{base}/out")
+    return _read(spark, base, stream.schema, keys)
 
 
 @query("stream_slot_dedupe", "SELECT user_id, event_type, date_trunc('day', ts) AS slot FROM events GROUP BY ALL")
@@ -41,13 +57,13 @@ def stream_slot_dedupe(spark, sf_dir):
 @query("stream_daily_bar", "SELECT user_id % 20 AS product, CAST(ts AS DATE) AS day, arg_min(value, (ts, event_id)) AS first, arg_max(value, (ts, event_id)) AS last, min(value) AS low, max(value) AS high, count(*) AS n FROM events GROUP BY 1, 2")
 def stream_daily_bar(spark, sf_dir):
     s = _stream(spark, sf_dir).withColumn("product", F.col("user_id") % 20)
-    out = _run(J.daily_bars(s, ["product"], "ts", "value", "event_id", "2 days"), "complete")
+    out = _run(J.daily_bars(s, ["product"], "ts", "value", "event_id", "2 days"), "update", ["product", "day_start"])
     return out.select("product", F.date_format("day_start", "yyyy-MM-dd").cast("date").alias("day"), "first", "last", "low", "high", "n")
 
 
 @query("stream_freshness", "SELECT user_id, CAST(max(ts) AS DATE) AS last_day FROM events GROUP BY 1 HAVING max(ts) < TIMESTAMP '2024-01-30 12:00:00'")
 def stream_freshness(spark, sf_dir):
-    out = _run(J.freshness(_stream(spark, sf_dir), "user_id", "ts"), "complete")
+    out = _run(J.freshness(_stream(spark, sf_dir), "user_id", "ts"), "update", ["user_id"])
     stale = out.filter(F.date_format("last_seen", "yyyy-MM-dd HH:mm:ss.SSSSSS") < "2024-01-30 12:00:00")
     return stale.select("user_id", F.date_format("last_seen", "yyyy-MM-dd").cast("date").alias("last_day"))
 
@@ -58,10 +74,10 @@ def stream_merge_actions(spark, sf_dir):
     rows = lambda df: df.select("event_id", F.round(F.col("value") * 100).cast("long").alias("h"))
     existing = rows(table(spark, sf_dir, "events").filter("event_id % 3 <> 0"))
     changed = F.col("h") + F.when(F.col("event_id") % 5 == 0, 1).otherwise(0)
-    base = f"{scratch_root(spark)}/tidemark/stream-{uuid.uuid4().hex}"
+    base = _folder(spark)
 
     def merge(batch: DataFrame, number: int) -> None:
-        I.merge_actions(existing, batch.withColumn("h", changed), ["event_id"], "h").select("event_id", "action").write.mode("append").parquet(f"{base}/out")
+        _write(I.merge_actions(existing, batch.withColumn("h", changed), ["event_id"], "h").select("event_id", "action"), number, base)
 
     J.each_batch(rows(_stream(spark, sf_dir)), f"{base}/state", merge)
-    return spark.read.schema("event_id long, action string").parquet(f"{base}/out")
+    return _read(spark, base, "event_id long, action string")

@@ -15,7 +15,7 @@ def slot_dedupe(stream: DataFrame, keys: list[str], time: str, slot: str, delay:
 
 
 def daily_bars(stream: DataFrame, keys: list[str], time: str, value: str, row_id: str, delay: str, start: str = "0 hours") -> DataFrame:
-    """Daily bars per key; ``start`` shifts the day, as local days need. Appended once a day is behind the watermark."""
+    """Daily bars per key; ``start`` shifts the day, as local days need. State is dropped once a day is behind the watermark."""
     at = F.struct(F.col(time), F.col(row_id))
     day = F.window(time, "1 day", startTime=start)
     agg = stream.withWatermark(time, delay).groupBy(*keys, day.alias("w")).agg(
