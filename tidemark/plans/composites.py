@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
+from tidemark.operators import ingest as I
 from tidemark.operators import pointintime as P
-from tidemark.plans.registry import query
+from tidemark.plans.registry import ORACLE, query
 from tidemark.plans.series import WEATHER_SQL, product_daily, weather
 from tidemark.plans.weighted import BALANCE_SQL, BASKET, TRADE_SQL, balance, trade
-from tidemark.session import table
+from tidemark.session import scratch_root, table
+from tidemark.sources import export as E
 
 _BASKET = "basket(country, w) AS (VALUES " + ", ".join(f"('{k}', CAST({v} AS DOUBLE))" for k, v in BASKET.items()) + ")"
 
@@ -128,25 +132,18 @@ def collection_plan(spark, sf_dir):
     return p.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("impact"), "country", "marketing_year")))
 
 
-@query("trade_rows", "SELECT l_orderkey, l_linenumber, round(l_extendedprice / nullif(CASE WHEN l_orderkey % 13 = 0 THEN 0 ELSE l_quantity END, 0), 8) AS unit_value, strftime(l_shipdate, '%Y%m') AS period, count(*) AS n FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY ALL")
-def trade_rows(spark, sf_dir):
-    rows = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders").select("o_orderkey"), F.col("o_orderkey") == F.col("l_orderkey"))
-    q = F.when(F.col("l_orderkey") % 13 == 0, 0.0).otherwise(F.col("l_quantity"))
-    unit = F.round(S.safe_ratio(F.col("l_extendedprice"), q), 8)
-    return rows.groupBy("l_orderkey", "l_linenumber", unit.alias("unit_value"), F.date_format("l_shipdate", "yyyyMM").alias("period")).agg(F.count("*").alias("n"))
-
-
-@query("health_status", """SELECT event_type, max(ts) AS last_seen, count(*) FILTER (ts >= TIMESTAMP '2024-01-29 00:00:00') AS recent, CASE WHEN count(*) FILTER (ts >= TIMESTAMP '2024-01-29 00:00:00') >= 100 THEN 'ok' ELSE 'degraded' END AS status FROM events GROUP BY 1""")
+@query("health_status", """WITH k AS (SELECT event_type, user_id, max(CASE WHEN value > 5 THEN ts END) AS s, max(CASE WHEN NOT value > 5 THEN ts END) AS f, count(*) FILTER (value > 5 AND ts >= TIMESTAMP '2024-01-29 00:00:00') AS ns, count(*) FILTER (NOT value > 5 AND ts >= TIMESTAMP '2024-01-29 00:00:00') AS nf, max(ts) AS t FROM events GROUP BY 1, 2),
+o AS (SELECT event_type, max(s) AS last_success, max(f) AS last_failure, CAST(sum(ns) AS BIGINT) AS recent_successes, CAST(sum(nf) AS BIGINT) AS recent_failures, count(*) FILTER (t < TIMESTAMP '2024-01-29 00:00:00') AS stale_keys FROM k GROUP BY 1)
+SELECT *, CASE WHEN last_success IS NULL OR recent_successes <= recent_failures OR stale_keys > 0 THEN 'degraded' ELSE 'ok' END AS status FROM o""")
 def health_status(spark, sf_dir):
-    recent = F.count_if(F.col("ts") >= F.expr("timestamp_ntz '2024-01-29 00:00:00'"))
-    out = table(spark, sf_dir, "events").groupBy("event_type").agg(F.max("ts").alias("last_seen"), recent.alias("recent"))
-    return out.withColumn("status", F.when(F.col("recent") >= 100, "ok").otherwise("degraded"))
+    return I.source_health(table(spark, sf_dir, "events"), "event_type", "user_id", "ts", F.col("value") > 5, F.expr("timestamp_ntz '2024-01-29 00:00:00'"))
 
 
-@query("feature_checks", f"WITH {WEATHER_SQL}, x AS (SELECT region, day, mean, count(*) OVER (PARTITION BY region, day) AS n FROM weather) SELECT region, count(*) AS days, count(CASE WHEN mean IS NULL THEN 1 END) AS missing, count(CASE WHEN n > 1 THEN 1 END) AS repeated FROM x GROUP BY 1")
+@query("feature_checks", """WITH x AS (SELECT l_returnflag, CASE WHEN l_orderkey % 7 <> 0 THEN l_quantity - CASE WHEN l_orderkey % 11 = 0 THEN 20 ELSE 0 END END AS v, CAST(l_shipdate AS DATE) > DATE '2001-06-30' AS late, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS copies FROM lineitem)
+SELECT l_returnflag, count(*) AS n, count(*) FILTER (v IS NULL) AS missing, count(*) FILTER (v <= 0) AS not_positive, count(*) FILTER (copies > 1) AS repeated, count(*) FILTER (late) AS future, round(count(v) / count(*), 6) AS coverage FROM x GROUP BY 1""")
 def feature_checks(spark, sf_dir):
-    n = weather(spark, sf_dir).groupBy("region", "day").agg(F.count("*").alias("n"), F.max("mean").alias("mean"))
-    return n.groupBy("region").agg(F.sum("n").alias("days"), F.count_if(F.col("mean").isNull()).alias("missing"), F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0)).alias("repeated"))
+    v = F.when(F.col("l_orderkey") % 7 != 0, F.col("l_quantity") - F.when(F.col("l_orderkey") % 11 == 0, 20).otherwise(0))
+    return I.feature_checks(table(spark, sf_dir, "lineitem"), ["l_returnflag"], ["l_orderkey", "l_linenumber"], v, F.to_date("l_shipdate"), F.lit("2001-06-30").cast("date"))
 
 
 @query("export_projection", "SELECT o_orderkey, c_name, CAST(o_orderdate AS DATE) AS day FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderdate BETWEEN TIMESTAMP '1997-01-01' AND TIMESTAMP '1997-06-30'")
@@ -155,8 +152,25 @@ def export_projection(spark, sf_dir):
     return rows.join(table(spark, sf_dir, "customer"), F.col("c_custkey") == F.col("o_custkey")).select("o_orderkey", "c_name", F.to_date("o_orderdate").alias("day"))
 
 
-@query("dataset_export")
+_TEXT = {c: f"CAST({c} AS VARCHAR)" for c in ("product", "day", "price_observations", "calendar_day_of_week", "missing_flags")} | {
+    c: f"CAST(CAST({c} AS DECIMAL(18,6)) AS VARCHAR)"
+    for c in ("price_first", "price_last", "price_min", "price_max", "price_delta_abs_1d", "rolling_mean_3", "rolling_mean_7", "rolling_std_7", "click_rate", "error_rate", "temperature")
+}
+
+
+@query("dataset_export", f"SELECT {', '.join(f'coalesce({e}, {chr(39) * 2}) AS {c}' for c, e in _TEXT.items())} FROM ({ORACLE['product_daily']})")
 def dataset_export(spark, sf_dir):
-    """The flagship's rows as the export would write them: typed values as text, nulls as empty strings."""
+    """The flagship written as Parquet and CSV, checked, and read back from the CSV as text."""
+    rows = product_daily(spark, sf_dir)
+    exact = rows.select(*(F.col(c).cast("decimal(18,6)") if t == "double" else F.col(c) for c, t in rows.dtypes))
+    files = E.write_dataset(exact, f"{scratch_root(spark)}/tidemark/export-{uuid.uuid4().hex}", ["product", "day"])
+    return E.read_csv(spark, files, rows.columns)
+
+
+@query("export_manifest", f"SELECT count(*) AS n_rows, {len(_TEXT)} AS n_columns, '{','.join(sorted(_TEXT))}' AS columns, string_agg(DISTINCT CAST(product AS VARCHAR), ',' ORDER BY CAST(product AS VARCHAR)) AS entities, min(day) AS first_day, max(day) AS last_day, count(*) - count(missing_flags) AS unflagged, TRUE AS csv_equals_parquet FROM ({ORACLE['product_daily']})")
+def export_manifest(spark, sf_dir):
     rows = product_daily(spark, sf_dir)
-    return rows.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in rows.columns))
+    exact = rows.select(*(F.col(c).cast("decimal(18,6)") if t == "double" else F.col(c) for c, t in rows.dtypes))
+    files = E.write_dataset(exact, f"{scratch_root(spark)}/tidemark/export-{uuid.uuid4().hex}", ["product", "day"])
+    m = E.manifest(spark, files, exact.schema, "product", "day", "missing_flags")
+    return m.select("n_rows", "n_columns", "columns", "entities", "first_day", "last_day", "unflagged", "csv_equals_parquet")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -234,13 +236,21 @@ def leakage_guard(spark, sf_dir):
     return I.leaks(rows, "l_shipdate", "as_of").groupBy("l_returnflag").agg(F.count("*").alias("n"))
 
 
-@query("table_coverage", "SELECT count(*) AS n, count(DISTINCT source) AS sources, count(nullif(n_chars % 7, 0)) AS with_value, min(n_chars) AS least, max(n_chars) AS most, max(CASE WHEN lang = 'es' THEN doc_id END) AS last_es FROM documents")
+_COVERED = {
+    "orders": ("CAST(o_orderdate AS DATE)", "o_orderkey", ("nullif(o_orderkey % 7, 0)", "o_orderstatus"), "2001-08-01"),
+    "lineitem": ("CAST(l_shipdate AS DATE)", "l_orderkey", ("nullif(l_orderkey % 5, 0)", "nullif(l_linenumber % 2, 0)"), "2002-01-01"),
+    "events": ("CAST(ts AS DATE)", "user_id", ("nullif(event_id % 3, 0)", "nullif(event_id % 9, 0)"), "2024-01-30"),
+}
+
+
+@query("table_coverage", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS n, count(DISTINCT {k}) AS keys, min({d}) AS first_day, max({d}) AS last_day, max({d}) >= DATE '{c}' AS fresh, count(*) FILTER ({v[0]} IS NOT NULL AND {v[1]} IS NOT NULL) AS complete, count(*) FILTER ({v[0]} IS NOT NULL OR {v[1]} IS NOT NULL) AS with_any, max(CASE WHEN {v[0]} IS NOT NULL OR {v[1]} IS NOT NULL THEN {d} END) AS last_with_any FROM {t}"
+    for t, (d, k, v, c) in _COVERED.items()
+))
 def table_coverage(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
-    return d.agg(
-        F.count("*").alias("n"), F.count_distinct("source").alias("sources"), F.count(F.nullif(F.col("n_chars") % 7, F.lit(0))).alias("with_value"),
-        F.min("n_chars").alias("least"), F.max("n_chars").alias("most"), F.max(F.when(F.col("lang") == "es", F.col("doc_id"))).alias("last_es"),
-    )
+    """Each table is read once."""
+    parts = [I.coverage(table(spark, sf_dir, t), t, [k], F.expr(d), [F.expr(x) for x in v], F.lit(c).cast("date")) for t, (d, k, v, c) in _COVERED.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("export_validation", "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import scalars as S
 from tidemark.plans.registry import query
 from tidemark.plans.series import events
+from tidemark.plans.weighted import BALANCE_SQL, balance
 from tidemark.sources import parsers as A
 from tidemark.session import table
 
@@ -115,11 +116,66 @@ def normalize_url(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", S.normalize_url(F.col("url")).alias("url"))
 
 
-@query("articles_from_pages", r"SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, lower(regexp_extract(url, '^[^:]+://([^/?#:]*)', 1)) AS source_name FROM pages WHERE regexp_extract(html, '<title>([^<]*)</title>', 1) <> ''")
+@query("articles_from_pages", r"SELECT page_id, trim(regexp_extract(html, '<title>([^<]*)</title>', 1)) AS title, CASE WHEN page_id % 3 = 0 THEN 'source ' || page_id % 9 ELSE lower(regexp_extract(url, '^[^:]+://([^/?#:]*)', 1)) END AS source_name, CAST(DATE '2024-01-01' + CAST(page_id % 28 AS INTEGER) AS DATE) AS day FROM pages WHERE trim(regexp_extract(html, '<title>([^<]*)</title>', 1)) <> '' AND page_id % 25 <> 7")
 def articles_from_pages(spark, sf_dir):
-    title = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
-    host = F.lower(F.regexp_extract("url", r"^[^:]+://([^/?#:]*)", 1))
-    return table(spark, sf_dir, "pages").select("page_id", title.alias("title"), host.alias("source_name")).filter("title <> ''")
+    """Round trip: pages as JSON payloads of articles, their dates under several names and in several forms, some unreadable."""
+    k = F.col("page_id")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (k % 28).cast("int"))
+    title, bad = F.regexp_extract("html", "<title>([^<]*)</title>", 1), k % 25 == 7
+    fields = F.struct(
+        "url", title.alias("title"), F.when(k % 3 == 0, F.concat(F.lit("source "), (k % 9).cast("string"))).alias("domain"), F.lit("soon").alias("seendate"),
+        F.when((k % 2 == 0) & ~bad, F.date_format(day, "yyyyMMdd'T'HHmmss'Z'")).alias("published_at"), F.when((k % 2 == 1) & ~bad, F.date_format(day, "yyyy-MM-dd")).alias("date"),
+    )
+    body = F.concat(F.when(k % 2 == 0, '{"articles": [').otherwise('{"articles": 1, "documents": ['), F.to_json(fields), F.lit("]}"))
+    found = A.parse_article_json(table(spark, sf_dir, "pages").select("page_id", body.alias("payload")), ["page_id"], "payload").filter("not malformed")
+    return found.select("page_id", "title", "source_name", F.to_date("published_at").alias("day"))
+
+
+@query("trade_rows", "SELECT l_orderkey, l_linenumber, round(l_extendedprice / nullif(CASE WHEN l_orderkey % 13 = 0 THEN 0 ELSE l_quantity END, 0), 8) AS unit_value, strftime(l_shipdate, '%Y%m') AS period, count(*) AS n FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY ALL")
+def trade_rows(spark, sf_dir):
+    """Round trip: each order's lines as a JSON payload, fields under several names, with rows that are no objects."""
+    rows = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders").select("o_orderkey"), F.col("o_orderkey") == F.col("l_orderkey"))
+    even = F.col("l_orderkey") % 2 == 0
+    q = F.when(F.col("l_orderkey") % 13 == 0, 0.0).otherwise(F.col("l_quantity"))
+    fields = F.struct(
+        F.when(even, F.col("l_orderkey")).alias("reporterCode"), F.when(~even, F.col("l_orderkey").cast("string")).alias("reporter"), F.col("l_linenumber").alias("lineNumber"),
+        F.when(even, F.date_format("l_shipdate", "yyyyMM")).otherwise(F.date_format("l_shipdate", "yyyy-MM")).alias("period"),
+        F.when(even, q).alias("qty"), F.when(~even, q).alias("quantity"), F.when(even, F.col("l_extendedprice")).alias("primaryValue"), F.when(~even, F.col("l_extendedprice")).alias("tradeValue"),
+    )
+    lines = F.array_join(F.collect_list(F.to_json(fields)), ",")
+    docs = rows.groupBy("l_orderkey").agg(F.concat(F.when(F.first(even), '{"data": [').otherwise('{"count": 2, "results": ["n/a", 7, {"period": "199601"}, '), lines, F.lit("]}")).alias("payload"))
+    found = A.parse_trade_json(docs, [], "payload").filter("not malformed")
+    return found.groupBy(F.col("reporter").alias("l_orderkey"), F.col("line").alias("l_linenumber"), F.round("unit_value", 8).alias("unit_value"), F.date_format("period", "yyyyMM").alias("period")).agg(F.count("*").alias("n"))
+
+
+#: Metric names and codes, countries and years of the balance round trip.
+BALANCE_METRICS = {"1-urgent": "urgent", "2-high": "high", "3-medium": "medium"}
+BALANCE_SCOPE, BALANCE_YEARS = ("NATION_0", "NATION_1", "NATION_2", "NATION_7"), (1996, 1999)
+
+
+@query("balance_rows", f"""WITH {BALANCE_SQL}, r AS (SELECT country, CASE lower(metric) {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in BALANCE_METRICS.items())} END AS metric, marketing_year, report_month, CASE WHEN NOT (report_month = 2 AND marketing_year = 1997) THEN CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) END AS value FROM balance)
+SELECT country, metric, CAST(marketing_year AS INTEGER) AS marketing_year, CAST(report_month AS INTEGER) AS report_month, value, make_date(marketing_year, 1, 1) AS year_start, make_date(marketing_year, 12, 31) AS year_end, CASE WHEN value IS NULL THEN 'malformed' WHEN metric IS NULL OR country NOT IN {BALANCE_SCOPE} OR marketing_year NOT BETWEEN 1996 AND 1999 THEN 'skipped' ELSE 'parsed' END AS route FROM r""")
+def balance_rows(spark, sf_dir):
+    """Round trip: balances as one CSV payload a country and year, headers written two ways, some values no numbers."""
+    b = balance(spark, sf_dir)
+    bad = (F.col("report_month") == 2) & (F.col("marketing_year") == 1997)
+    value = F.when(bad, "not-a-number").otherwise(F.col("value").cast("decimal(18,2)").cast("string"))
+    line = F.concat_ws(",", "country", "metric", F.col("marketing_year").cast("string"), F.col("report_month").cast("string"), value)
+    head = F.when(F.col("marketing_year") % 2 == 0, "Country Name,Attribute Description,Market Year,Month,Value\n").otherwise("Country_Name,Attribute_Description,Market_Year,Month,Value\r\n")
+    docs = b.groupBy("country", "marketing_year").agg(F.concat(F.first(head), F.array_join(F.collect_list(line), "\n")).alias("payload"))
+    return A.parse_balance_csv(docs.select("payload"), [], "payload", BALANCE_METRICS, BALANCE_SCOPE, BALANCE_YEARS)
+
+
+@query("parse_quotes", "SELECT event_id, CASE WHEN event_type <> 'error' AND event_id % 11 <> 0 THEN CAST(CAST(value AS DECIMAL(18,6)) AS DOUBLE) END AS price FROM events")
+def parse_quotes(spark, sf_dir):
+    """Round trip: prices as JSON or CSV in a script's variable, by instrument; one has no mapping, some are no numbers."""
+    v = F.when(F.col("event_id") % 11 == 0, "x").otherwise(F.col("value").cast("decimal(18,6)").cast("string"))
+    nested = F.concat(F.lit('var q = {"data": {"last": ["'), v, F.lit('"]}};'))
+    listed = F.concat(F.lit('var hq_str = "name,0,'), v, F.lit(',1";'))
+    body = F.when(F.col("event_type").isin("click", "view"), nested).otherwise(listed)
+    paths = {"click": "$.data.last[0]", "view": "$.data.last[0]", "purchase": 2, "signup": 2}
+    quotes = A.parse_quotes(table(spark, sf_dir, "events").select("event_id", "event_type", body.alias("payload")), "event_type", "payload", paths)
+    return quotes.select("event_id", F.col("price").cast("double"))
 
 
 @query("canonical_decimal", r"SELECT l_orderkey, l_linenumber, regexp_replace(regexp_replace(CAST(CAST(l_discount AS DECIMAL(18,8)) AS VARCHAR), '(\.[0-9]*?)0+$', '\1'), '\.$', '') AS d, count(*) AS n FROM lineitem GROUP BY ALL")

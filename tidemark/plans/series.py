@@ -133,7 +133,7 @@ def asof_delta(spark, sf_dir):
 
 def monthly(spark, sf_dir):
     """Average unit price per part type and month; May is left out to make gaps."""
-    rows = table(spark, sf_dir, "lineitem").filter(F.month("l_shipdate") != 5).join(F.broadcast(table(spark, sf_dir, "part")), F.col("p_partkey") == F.col("l_partkey"))
+    rows = table(spark, sf_dir, "lineitem").filter(F.month("l_shipdate") != 5).join(table(spark, sf_dir, "part"), F.col("p_partkey") == F.col("l_partkey"))
     value = F.round(F.sum("l_extendedprice") / F.sum("l_quantity"), 6).cast("decimal(18,6)")
     return rows.groupBy(F.col("p_type").alias("series"), F.to_date(F.trunc("l_shipdate", "month")).alias("at")).agg(value.alias("value"))
 

@@ -68,7 +68,7 @@ TRADE_SQL = """trade AS (SELECT p_brand AS code, s_nationkey AS reporter, CASE l
 
 def trade(spark, sf_dir) -> DataFrame:
     """Monthly flows per brand, reporting nation and direction, with the day they were known."""
-    rows = table(spark, sf_dir, "lineitem").join(F.broadcast(table(spark, sf_dir, "supplier")), F.col("s_suppkey") == F.col("l_suppkey"))
+    rows = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "supplier"), F.col("s_suppkey") == F.col("l_suppkey"))
     rows = rows.join(table(spark, sf_dir, "part"), F.col("p_partkey") == F.col("l_partkey"))
     flow = F.when(F.col("l_returnflag") == "A", "export").when(F.col("l_returnflag") == "N", "import").otherwise("re_export")
     period = F.to_date(F.trunc("l_shipdate", "month"))

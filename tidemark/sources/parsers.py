@@ -80,6 +80,103 @@ def zip_arrays(rows: DataFrame, key: list[str], times: str, arrays: dict[str, st
     return long.select(*key, "pos", "time", *(F.get(a, F.col("pos")).alias(n) for n, a in arrays.items()), "missing")
 
 
+# Where JSON payloads hold their rows, and the names that a field may have.
+TRADE_ROWS = ("data", "dataset", "results", "items")
+ARTICLE_ROWS = ("articles", "documents", "items")
+TRADE_FIELDS = {
+    "reporter": ("reporterCode", "reporter_code", "reporter"),
+    "line": ("lineNumber", "line_number"),
+    "period": ("period", "refPeriodId", "time_period"),
+    "quantity": ("qty", "quantity"),
+    "value": ("primaryValue", "tradeValue", "trade_value_usd"),
+    "unit_value": ("unitValue", "unit_value"),
+}
+ARTICLE_DATES = ("seendate", "published_at", "publishedAt", "date", "datetime")
+DATE_FORMATS = ("yyyyMMdd'T'HHmmss'Z'", "yyyyMMddHHmmss", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy-MM-dd")
+
+
+def _rows_of(payload: Column, names: tuple[str, ...]) -> Column:
+    """The array of variants under the first of the names that holds one, or the payload itself if it is an array."""
+    doc = F.try_parse_json(payload)
+    found = [F.try_variant_get(doc, f"$.{n}", "array<variant>") for n in names]
+    return F.coalesce(*found, F.try_variant_get(doc, "$", "array<variant>"))
+
+
+def _field(row: Column, names: tuple[str, ...]) -> Column:
+    """The first of the fields that is there and not blank, as text."""
+    return F.coalesce(*(F.nullif(F.trim(F.try_variant_get(row, f"$.{n}", "string")), F.lit("")) for n in names))
+
+
+def parse_trade_json(payloads: DataFrame, keys: list[str], payload: str) -> DataFrame:
+    """(keys, pos, the fields of ``TRADE_FIELDS``, malformed) of each row of JSON trade payloads.
+
+    Periods are yyyyMM or yyyy-MM and give a first day; a unit value that is missing is
+    the value by the quantity, null where that is 0. A row that is no object or lacks
+    period, reporter or value is ``malformed``, as is (with pos null) a payload without rows.
+    """
+    rows = payloads.select(*keys, F.posexplode_outer(_rows_of(F.col(payload), TRADE_ROWS)).alias("pos", "row"))
+    text = rows.select(*keys, "pos", *(_field(F.col("row"), names).alias(n) for n, names in TRADE_FIELDS.items()))
+    number = lambda n: F.col(n).try_cast("double")
+    period = F.try_to_date(F.concat(F.regexp_extract("period", "^([0-9]{4})-?([0-9]{2})$", 1), F.lit("-"), F.regexp_extract("period", "^([0-9]{4})-?([0-9]{2})$", 2), F.lit("-01")), "yyyy-MM-dd")
+    unit = F.coalesce(number("unit_value"), F.try_divide(number("value"), number("quantity")))
+    out = text.select(
+        *keys, "pos", F.col("reporter").try_cast("long").alias("reporter"), F.col("line").try_cast("int").alias("line"), period.alias("period"),
+        number("quantity").alias("quantity"), number("value").alias("value"), unit.alias("unit_value"),
+    )
+    return out.withColumn("malformed", F.col("reporter").isNull() | F.col("period").isNull() | F.col("value").isNull())
+
+
+def parse_article_json(payloads: DataFrame, keys: list[str], payload: str) -> DataFrame:
+    """(keys, pos, url, title, published_at, source_name, malformed) of each article of JSON payloads.
+
+    The date is the first of ``ARTICLE_DATES`` that reads in one of ``DATE_FORMATS``. A
+    source without a name is called by its host. Without address, title or date an
+    article is ``malformed``.
+    """
+    rows = payloads.select(*keys, F.posexplode_outer(_rows_of(F.col(payload), ARTICLE_ROWS)).alias("pos", "row"))
+    at = F.coalesce(*(F.try_to_timestamp(_field(F.col("row"), (n,)), F.lit(f)).cast("timestamp_ntz") for n in ARTICLE_DATES for f in DATE_FORMATS))
+    text = rows.select(*keys, "pos", _field(F.col("row"), ("url", "link")).alias("url"), _field(F.col("row"), ("title",)).alias("title"), at.alias("published_at"), _field(F.col("row"), ("source_name", "domain")).alias("name"))
+    host = F.lower(F.regexp_extract("url", r"^[^:]+://([^/?#:]*)", 1))
+    out = text.withColumn("source_name", F.coalesce("name", F.nullif(host, F.lit("")))).drop("name")
+    return out.withColumn("malformed", F.col("url").isNull() | F.col("title").isNull() | F.col("published_at").isNull())
+
+
+def parse_balance_csv(payloads: DataFrame, keys: list[str], payload: str, metrics: dict[str, str], countries: tuple[str, ...], years: tuple[int, int]) -> DataFrame:
+    """(keys, country, metric, marketing_year, report_month, value, year_start, year_end, route) of each line of CSV payloads.
+
+    Headers may be written with blanks or underscores. ``metrics`` maps names to codes;
+    rows of other metrics, countries or years are ``skipped``, rows whose year or value
+    is no number ``malformed``, the others ``parsed``. A marketing year runs from
+    January to December.
+    """
+    lines = F.filter(F.split(F.regexp_replace(F.col(payload), "^\ufeff", ""), r"\r?\n"), lambda x: F.trim(x) != "")
+    head = F.transform(F.split(F.get(lines, 0), ","), lambda x: F.regexp_replace(F.lower(F.trim(x)), "[ _]+", "_"))
+    names = {"country": "country_name", "metric": "attribute_description", "year": "market_year", "month": "month", "value": "value"}
+    places = payloads.select(*keys, *(F.array_position(head, n).cast("int").alias(f"__{c}") for c, n in names.items()), F.explode(F.slice(lines, 2, F.size(lines))).alias("line"))
+    cell = lambda c: F.trim(F.get(F.split("line", ","), F.col(f"__{c}") - 1))
+    text = places.select(*keys, *(cell(c).alias(c) for c in names))
+    code = F.try_element_at(F.create_map(*(F.lit(x) for kv in metrics.items() for x in kv)), F.lower("metric"))
+    typed = text.select(*keys, "country", code.alias("metric"), F.col("year").try_cast("int").alias("marketing_year"), F.col("month").try_cast("int").alias("report_month"), S.lenient_decimal(F.col("value")).cast("double").alias("value"))
+    bad = F.col("marketing_year").isNull() | F.col("value").isNull()
+    out = F.col("metric").isNull() | ~F.col("country").isin(*countries) | ~F.col("marketing_year").between(*years)
+    year = lambda m, d: F.make_date("marketing_year", F.lit(m), F.lit(d))
+    return typed.select("*", year(1, 1).alias("year_start"), year(12, 31).alias("year_end"), F.when(bad, "malformed").when(out, "skipped").otherwise("parsed").alias("route"))
+
+
+def parse_quotes(payloads: DataFrame, instrument: str, payload: str, paths: dict[str, str | int]) -> DataFrame:
+    """``payloads`` with ``price``: by instrument the number at a JSON path, or of a CSV field counted from 0.
+
+    A leading ``var x =`` and a closing semicolon are dropped. Unknown instruments and
+    what is no number have no price.
+    """
+    body = F.regexp_replace(F.regexp_replace(F.col(payload), r"^\s*var\s+\w+\s*=\s*", ""), r"\s*;\s*$", "")
+    price = F.lit(None).cast("string")
+    for name, path in paths.items():
+        at = F.trim(F.get(F.split(F.regexp_replace(body, '^"|"$', ""), ","), F.lit(path))) if isinstance(path, int) else F.try_variant_get(F.try_parse_json(body), path, "string")
+        price = F.when(F.col(instrument) == name, at).otherwise(price)
+    return payloads.withColumn("price", price.try_cast("decimal(18,6)"))
+
+
 def unpivot_series(rows: DataFrame, ids: list[str], headers: dict[str, str], name: str = "series", value: str = "value") -> DataFrame:
     """A wide sheet as a long series; ``headers`` maps columns to series names."""
     renamed = rows.select(*ids, *(F.col(c).cast("double").alias(n) for c, n in headers.items()))
