@@ -538,3 +538,12 @@ def test_operators_of_nothing_and_of_repeated_rows(spark):
     for name, run in runs.items():
         assert run(none).count() == 0, name
         assert run(twice).count() == 2, name
+
+
+def test_license_over_lines_and_in_longer_lines(spark):
+    grant = licenses.TEMPLATES["MIT-grant"].split()
+    wrapped = "/*\n * " + "\n * ".join(" ".join(grant[i : i + 7]) for i in range(0, len(grant), 7)) + "\n */"
+    texts = [wrapped, "Copyright by them.\nReleased under the MIT License. See the file for details and more.", wrapped.replace("charge", "cost"), "permission is granted to any person", None, "x\n" + licenses.TEMPLATES["MIT"]]
+    found = {(r.doc_id, r.line, r.license): r.dice for r in licenses.scan_licenses(frame(spark, texts, True)).collect()}
+    assert set(found) == {(0, 1, "MIT-grant"), (1, 1, "MIT"), (2, 1, "MIT-grant"), (5, 1, "MIT")}
+    assert found[0, 1, "MIT-grant"] == found[1, 1, "MIT"] == 1.0 > found[2, 1, "MIT-grant"]

@@ -3,10 +3,17 @@
 Every line of a text is normalised to lower-case words and compared with the notices'
 bigram sets. A Dice coefficient of d needs set sizes within a factor (2 - d) / d of
 each other, so only notices of fitting size are compared.
+
+Notices that run over several lines, or stand in a longer one, are found by windows of
+the text's words, as long as the notice. A window is compared where one of the notice's
+``ANCHORS`` longest word pairs stands at its place.
 """
 
 from __future__ import annotations
 
+import itertools
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +36,8 @@ TEMPLATES = {
     "all-rights": "All rights reserved.",
 }
 LEAST = 0.8
+#: Word pairs of a notice, those of the most characters, that windows are placed by.
+ANCHORS = 3
 
 
 def words(line: Column) -> Column:
@@ -42,32 +51,92 @@ def bigrams(found: Column) -> Column:
     return F.when(F.size(found) == 1, found).otherwise(F.array_distinct(pairs))
 
 
+def anchors(templates: dict[str, str]) -> list[tuple[str, str, int, int]]:
+    """(license, pair, place, words of the notice) of each notice's anchors."""
+    found = []
+    for name, notice in templates.items():
+        w = re.findall("[a-z0-9]+", notice.lower())
+        pairs = sorted(((f"{x} {y}", k) for k, (x, y) in enumerate(itertools.pairwise(w))), key=lambda p: (-len(p[0]), p[1]))
+        found += [(name, pair, k, len(w)) for pair, k in pairs[:ANCHORS]]
+    return found
+
+
+def _dice(t: Column, grams: Column) -> Column:
+    return 2.0 * F.size(F.array_intersect(t["grams"], grams)) / (t["size"] + F.size(grams))
+
+
+_MATCH = "struct<license:string,line:bigint,dice:double>"
+
+
+def _windows(texts: DataFrame, templates: dict[str, str], least: float) -> DataFrame:
+    """``texts`` (doc_id, text, known) with ``windows``: array of (license, line, dice), the best of overlapping ones.
+
+    A window that begins in a line which matches the notice by itself isn't named again.
+    """
+    by_pair: dict[str, list[tuple[str, int, int]]] = {}
+    for name, pair, k, n in anchors(templates):
+        by_pair.setdefault(pair, []).append((name, k, n))
+    pairs = sorted(by_pair)
+    sign = "(?<![a-z0-9])(?:" + "|".join(p.replace(" ", "[^a-z0-9]+") for p in pairs) + ")(?![a-z0-9])"
+    told = F.transform(F.split("text", "\n"), lambda line, i: F.transform(words(line), lambda w: F.struct(w.alias("w"), i.cast("long").alias("line"))))
+    none = F.array().cast("array<struct<w:string,line:bigint>>")
+    # Each array comes out of a generator, so that lambdas refer to plain columns.
+    rows = texts.select("*", F.explode(F.array(F.when(F.lower("text").rlike(sign), F.flatten(told)).otherwise(none))).alias("ws"))
+    pair = lambda p: F.concat_ws(" ", F.get("ws", p)["w"], F.get("ws", p + 1)["w"])
+    places = F.when(F.size("ws") > 1, F.sequence(F.lit(0), F.size("ws") - 2))
+    hits = F.filter(places, lambda p: pair(p).isin(*pairs))
+    spots = F.create_map(*(x for q in pairs for x in (F.lit(q), F.array(*(F.struct(F.lit(n).alias("license"), F.lit(k).alias("k"), F.lit(t).alias("t")) for n, k, t in by_pair[q])))))
+    starts = F.flatten(F.transform(hits, lambda p: F.transform(F.element_at(spots, pair(p)), lambda a: F.struct(a["license"].alias("license"), (p - a["k"]).alias("start"), a["t"].alias("t")))))
+    starts = F.array_distinct(F.filter(F.coalesce(starts, F.array().cast("array<struct<license:string,start:int,t:int>>")), lambda s: s["start"] >= 0))
+    rows = rows.select("*", F.explode(F.array(starts)).alias("starts"))
+
+    def measure(s: Column) -> Column:
+        t = F.get(F.filter("known", lambda x: x["license"] == s["license"]), F.lit(0))
+        line = F.get("ws", s["start"])["line"]
+        of = lambda some: bigrams(F.transform(some, lambda x: x["w"]))
+        own = of(F.filter("ws", lambda x: x["line"] == line))
+        return F.struct(s["license"].alias("license"), s["start"].alias("start"), s["t"].alias("t"), line.alias("line"), _dice(t, of(F.slice("ws", s["start"] + 1, s["t"]))).alias("dice"), _dice(t, own).alias("own"))
+
+    rows = rows.select("*", F.explode(F.array(F.filter(F.transform("starts", measure), lambda m: m["dice"] >= least))).alias("met"))
+    better = lambda m, o: (o["license"] == m["license"]) & (F.abs(o["start"] - m["start"]) < m["t"]) & ((o["dice"] > m["dice"]) | ((o["dice"] == m["dice"]) & (o["start"] < m["start"])))
+    best = F.filter("met", lambda m: (m["own"] < least) & ~F.exists("met", lambda o: better(m, o)))
+    shown = F.transform(best, lambda m: F.struct(m["license"].alias("license"), m["line"].alias("line"), m["dice"].alias("dice")))
+    return rows.select(*texts.columns, shown.alias("windows"))
+
+
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, least: float = LEAST) -> DataFrame:
-    """(doc_id, line, license, dice) of every line that is like a notice; lines count from 0.
+    """(doc_id, line, license, dice) of every line, and every window of words, that is like a notice.
 
-    A line may match several notices and gives a row for each. Null and empty texts and
-    lines without words match nothing. Repeated rows give their matches again.
+    Lines count from 0; a window is told by the line in which it begins. A line may match
+    several notices and gives a row for each. Null and empty texts and lines without
+    words match nothing. Repeated rows give their matches again.
     """
     templates = TEMPLATES if templates is None else templates
     stretch = (2 - least) / least
-    # The configured notices, a handful: one row that rides along with every line.
+    # The configured notices, a handful: one row that rides along with every text.
     notices = F.array(*(F.struct(F.lit(k).alias("license"), F.lit(v).alias("notice")) for k, v in templates.items()))
     graded = docs.sparkSession.range(1).select(F.inline(notices)).select("license", bigrams(words(F.col("notice"))).alias("grams"))
     known = graded.agg(F.collect_list(F.struct("license", "grams", F.size("grams").alias("size"))).alias("known"))
-    shortest = min(len(t.split()) for t in templates.values())
-    lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split(F.col("text").cast("string"), "\n")).alias("line", "text"))
-    # A line needs about as many words as the shortest notice at least; this is the lower size bound.
-    lines = lines.select("doc_id", "line", words(F.col("text")).alias("words")).filter(F.size("words") >= max(1, int((shortest - 1) / stretch)))
-    lines = lines.select("doc_id", "line", bigrams(F.col("words")).alias("grams")).withColumn("size", F.size("grams"))
-    fits = lambda t: (t["size"] <= F.col("size") * stretch) & (F.col("size") <= t["size"] * stretch)
-    joined = lines.join(F.broadcast(known)).withColumn("fitting", F.filter("known", fits)).filter(F.size("fitting") > 0)
-    dice = lambda t: F.struct(t["license"].alias("license"), (2.0 * F.size(F.array_intersect(t["grams"], F.col("grams"))) / (t["size"] + F.col("size"))).alias("dice"))
-    found = joined.select("doc_id", F.col("line").cast("long"), F.inline(F.filter(F.transform("fitting", dice), lambda m: m["dice"] >= least)))
+    # A line needs about as many words as the smallest notice has bigrams at least; this is the lower size bound.
+    shortest = min(len({*itertools.pairwise(re.findall("[a-z0-9]+", t.lower()))}) or 1 for t in templates.values())
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(known))
+    texts = _windows(texts, templates, least)
+    lines = texts.select("doc_id", "known", "windows", F.posexplode(F.split("text", "\n")).alias("line", "text"))
+    first = F.when(F.col("line") == 0, F.col("windows")).otherwise(F.array().cast(f"array<{_MATCH}>"))
+    lines = lines.select("doc_id", "known", "line", first.alias("windows"), words(F.col("text")).alias("words"))
+    enough = F.size("words") >= max(1, int(shortest / stretch))
+    lines = lines.filter(enough | (F.size("windows") > 0))
+    lines = lines.select("doc_id", "known", "line", "windows", F.explode(F.array(F.when(F.size("words") > 0, bigrams(F.col("words"))).otherwise(F.array().cast("array<string>")))).alias("grams"))
+    n = F.size("grams")
+    fitting = F.filter("known", lambda t: (t["size"] <= n * stretch) & (n <= t["size"] * stretch))
+    matches = F.transform(fitting, lambda t: F.struct(t["license"].alias("license"), F.col("line").cast("long").alias("line"), _dice(t, F.col("grams")).alias("dice")))
+    found = lines.select("doc_id", F.inline(F.concat(F.filter(matches, lambda m: m["dice"] >= least), F.col("windows"))))
     return found.select("doc_id", "line", "license", F.round("dice", 6).alias("dice"))
 
 
 def oracle(templates: dict[str, str] | None = None, least: float = LEAST) -> str:
-    """The same rows in DuckDB SQL, every line against every notice."""
+    """The same rows in DuckDB SQL, every line against every notice and every anchored window against its own."""
+    places = ", ".join(f"('{name}', '{pair}', {k}, {n})" for name, pair, k, n in anchors(templates or TEMPLATES))
     quoted = lambda s: "'" + s.replace("'", "''") + "'"
     values = ", ".join(f"({quoted(k)}, {quoted(v)})" for k, v in (templates or TEMPLATES).items())
     grams = lambda w: f"CASE WHEN len({w}) = 1 THEN {w} ELSE list_distinct(list_transform(range(1, len({w})), lambda i: {w}[i] || ' ' || {w}[i + 1])) END"
@@ -76,5 +145,15 @@ WITH notice(license, notice) AS (VALUES {values}),
 known AS (SELECT license, {grams('w')} AS g FROM (SELECT license, regexp_extract_all(lower(notice), '[a-z0-9]+') AS w FROM notice)),
 lines AS (SELECT doc_id, unnest(range(len(parts))) AS line, unnest(parts) AS part FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents)),
 cut AS (SELECT doc_id, line, {grams('w')} AS h FROM (SELECT doc_id, line, regexp_extract_all(lower(part), '[a-z0-9]+') AS w FROM lines) WHERE len(w) > 0),
-met AS (SELECT doc_id, line, license, 2.0 * len(list_intersect(g, h)) / (len(g) + len(h)) AS dice FROM cut, known)
-SELECT doc_id, CAST(line AS BIGINT) AS line, license, CAST(round(dice, 6) AS DOUBLE) AS dice FROM met WHERE dice >= {least}"""
+met AS (SELECT doc_id, line, license, 2.0 * len(list_intersect(g, h)) / (len(g) + len(h)) AS dice FROM cut, known),
+anchor(license, pair, k, t) AS (VALUES {places}),
+told AS (SELECT doc_id, line, unnest(w) AS word, generate_subscripts(w, 1) AS n FROM (SELECT doc_id, line, regexp_extract_all(lower(part), '[a-z0-9]+') AS w FROM lines) WHERE len(w) > 0),
+placed AS (SELECT doc_id, line, word, row_number() OVER (PARTITION BY doc_id ORDER BY line, n) - 1 AS pos FROM told),
+pairs AS (SELECT doc_id, pos, word || ' ' || lead(word) OVER (PARTITION BY doc_id ORDER BY pos) AS pair FROM placed),
+starts AS (SELECT DISTINCT doc_id, license, pos - k AS start, t FROM pairs JOIN anchor USING (pair) WHERE pos >= k),
+wins AS (SELECT s.doc_id, license, start, t, arg_min(line, pos) AS line, list(word ORDER BY pos) AS w FROM starts s JOIN placed p ON p.doc_id = s.doc_id AND pos >= start AND pos < start + t GROUP BY ALL),
+close AS (SELECT * FROM (SELECT doc_id, license, start, t, line, 2.0 * len(list_intersect(g, {grams('w')})) / (len(g) + len({grams('w')})) AS dice FROM wins JOIN known USING (license)) WHERE dice >= {least}),
+best AS (SELECT doc_id, line, license, dice FROM close c WHERE NOT EXISTS (SELECT 1 FROM close o WHERE o.doc_id = c.doc_id AND o.license = c.license AND abs(o.start - c.start) < c.t AND (o.dice > c.dice OR (o.dice = c.dice AND o.start < c.start)))),
+every AS (SELECT doc_id, line, license, dice FROM met WHERE dice >= {least}
+  UNION ALL SELECT doc_id, line, license, dice FROM best b WHERE NOT EXISTS (SELECT 1 FROM met m WHERE m.doc_id = b.doc_id AND m.line = b.line AND m.license = b.license AND m.dice >= {least}))
+SELECT doc_id, CAST(line AS BIGINT) AS line, license, CAST(round(dice, 6) AS DOUBLE) AS dice FROM every"""
