@@ -78,10 +78,12 @@ def _windows(texts: DataFrame, templates: dict[str, str], least: float) -> DataF
         by_pair.setdefault(pair, []).append((name, k, n))
     pairs = sorted(by_pair)
     sign = "(?<![a-z0-9])(?:" + "|".join(p.replace(" ", "[^a-z0-9]+") for p in pairs) + ")(?![a-z0-9])"
-    told = F.transform(F.split("text", "\n"), lambda line, i: F.transform(words(line), lambda w: F.struct(w.alias("w"), i.cast("long").alias("line"))))
-    none = F.array().cast("array<struct<w:string,line:bigint>>")
+    told = F.transform(F.split("text", "\n"), lambda line, i: F.transform(words(line), lambda w, k: F.struct(w.alias("w"), i.cast("long").alias("line"), k.alias("at"))))
+    sizes = F.transform(F.split("text", "\n"), lambda line: F.size(words(line)))
+    none, signed = F.array().cast("array<struct<w:string,line:bigint,at:int>>"), F.lower("text").rlike(sign)
     # Each array comes out of a generator, so that lambdas refer to plain columns.
-    rows = texts.select("*", F.explode(F.array(F.when(F.lower("text").rlike(sign), F.flatten(told)).otherwise(none))).alias("ws"))
+    rows = texts.select("*", F.explode(F.array(F.when(signed, F.flatten(told)).otherwise(none))).alias("ws"))
+    rows = rows.select("*", F.explode(F.array(F.when(F.size("ws") > 0, sizes).otherwise(F.array().cast("array<int>")))).alias("sizes"))
     pair = lambda p: F.concat_ws(" ", F.get("ws", p)["w"], F.get("ws", p + 1)["w"])
     places = F.when(F.size("ws") > 1, F.sequence(F.lit(0), F.size("ws") - 2))
     hits = F.filter(places, lambda p: pair(p).isin(*pairs))
@@ -92,9 +94,10 @@ def _windows(texts: DataFrame, templates: dict[str, str], least: float) -> DataF
 
     def measure(s: Column) -> Column:
         t = F.get(F.filter("known", lambda x: x["license"] == s["license"]), F.lit(0))
-        line = F.get("ws", s["start"])["line"]
+        first = F.get("ws", s["start"])
+        line = first["line"]
         of = lambda some: bigrams(F.transform(some, lambda x: x["w"]))
-        own = of(F.filter("ws", lambda x: x["line"] == line))
+        own = of(F.slice("ws", s["start"] - first["at"] + 1, F.get("sizes", line.cast("int"))))
         return F.struct(s["license"].alias("license"), s["start"].alias("start"), s["t"].alias("t"), line.alias("line"), _dice(t, of(F.slice("ws", s["start"] + 1, s["t"]))).alias("dice"), _dice(t, own).alias("own"))
 
     rows = rows.select("*", F.explode(F.array(F.filter(F.transform("starts", measure), lambda m: m["dice"] >= least))).alias("met"))
