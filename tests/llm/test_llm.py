@@ -547,3 +547,21 @@ def test_license_over_lines_and_in_longer_lines(spark):
     found = {(r.doc_id, r.line, r.license): r.dice for r in licenses.scan_licenses(frame(spark, texts, True)).collect()}
     assert set(found) == {(0, 1, "MIT-grant"), (1, 1, "MIT"), (2, 1, "MIT-grant"), (5, 1, "MIT")}
     assert found[0, 1, "MIT-grant"] == found[1, 1, "MIT"] == 1.0 > found[2, 1, "MIT-grant"]
+
+
+def test_every_line_like_a_notice_holds_a_sign():
+    rng = random.Random(5)
+    grams = lambda w: {*zip(w, w[1:])} if len(w) > 1 else {(x,) for x in w}
+    notices = {**licenses.TEMPLATES, "one": "Proprietary", "same": "free free free free"}
+    held, signs = 0, {least: set(licenses.signs(notices, least)) for least in (0.5, 0.8, 1.0)}
+    known = [re.findall("[a-z0-9]+", n.lower()) for n in notices.values()]
+    for _ in range(4000):
+        line = [w for w in rng.choice(known) if rng.random() > rng.choice((0.02, 0.1, 0.3))]
+        for _ in range(rng.randrange(4)):
+            line.insert(rng.randrange(len(line) + 1), rng.choice(("the", "x")))
+        for least, some in signs.items():
+            best = max((2 * len(grams(line) & grams(k)) / (len(grams(line)) + len(grams(k))) for k in known), default=0) if line else 0
+            if best >= least:
+                held += 1
+                assert some & set(line), (least, line)
+    assert held > 1000

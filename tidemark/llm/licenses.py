@@ -2,7 +2,8 @@
 
 Every line of a text is normalised to lower-case words and compared with the notices'
 bigram sets. A Dice coefficient of d needs set sizes within a factor (2 - d) / d of
-each other, so only notices of fitting size are compared.
+each other, so only notices of fitting size are compared, and only lines that hold one
+of the words (``signs``) without which none can reach it.
 
 Notices that run over several lines, or stand in a longer one, are found by windows of
 the text's words, as long as the notice. A window is compared where one of the notice's
@@ -47,10 +48,27 @@ def words(line: Column) -> Column:
 
 def bigrams(found: Column) -> Column:
     """Distinct neighbours; a single word stands for itself."""
-    pairs = F.transform(F.slice(found, 2, F.greatest(F.size(found) - 1, F.lit(1))), lambda w, i: F.concat(F.get(found, i), F.lit(" "), w))
+    many = F.greatest(F.size(found) - 1, F.lit(0))
+    # Zipped, since a lambda that looks into ``found`` would work it out again for every word.
+    pairs = F.zip_with(F.slice(found, 1, many), F.slice(found, 2, many), lambda a, b: F.concat(a, F.lit(" "), b))
     return F.when(F.size(found) == 1, found).otherwise(F.array_distinct(pairs))
 
 
+def signs(templates: dict[str, str], least: float) -> list[str]:
+    """Words of which a line holds one if it matches any notice.
+
+    A match has at least ``least / (2 - least)`` of the notice's bigrams, so it holds one of
+    any set of bigrams larger than the rest; those of the longest words are taken.
+    """
+    found = set()
+    for notice in templates.values():
+        w = re.findall("[a-z0-9]+", notice.lower())
+        longest = sorted((max(pair, key=len) for pair in {*itertools.pairwise(w)} or {(x,) for x in w}), key=lambda x: (-len(x), x))
+        spare = int(len(longest) * (1 - least / (2 - least)) + 1e-9)
+        found.update(longest[: spare + 1])
+    return sorted(found)
+
+
 def anchors(templates: dict[str, str]) -> list[tuple[str, str, int, int]]:
     """(license, pair, place, words of the notice) of each notice's anchors."""
     found = []
@@ -92,15 +110,19 @@ def _windows(texts: DataFrame, templates: dict[str, str], least: float) -> DataF
     starts = F.array_distinct(F.filter(F.coalesce(starts, F.array().cast("array<struct<license:string,start:int,t:int>>")), lambda s: s["start"] >= 0))
     rows = rows.select("*", F.explode(F.array(starts)).alias("starts"))
 
+    of = lambda some: bigrams(F.transform(some, lambda x: x["w"]))
+    notice = lambda s: F.get(F.filter("known", lambda x: x["license"] == s["license"]), F.lit(0))
+
     def measure(s: Column) -> Column:
-        t = F.get(F.filter("known", lambda x: x["license"] == s["license"]), F.lit(0))
-        first = F.get("ws", s["start"])
-        line = first["line"]
-        of = lambda some: bigrams(F.transform(some, lambda x: x["w"]))
-        own = of(F.slice("ws", s["start"] - first["at"] + 1, F.get("sizes", line.cast("int"))))
-        return F.struct(s["license"].alias("license"), s["start"].alias("start"), s["t"].alias("t"), line.alias("line"), _dice(t, of(F.slice("ws", s["start"] + 1, s["t"]))).alias("dice"), _dice(t, own).alias("own"))
-
-    rows = rows.select("*", F.explode(F.array(F.filter(F.transform("starts", measure), lambda m: m["dice"] >= least))).alias("met"))
+        dice = _dice(notice(s), of(F.slice("ws", s["start"] + 1, s["t"])))
+        return F.struct(s["license"].alias("license"), s["start"].alias("start"), s["t"].alias("t"), F.get("ws", s["start"])["line"].alias("line"), dice.alias("dice"))
+
+    def with_own(m: Column) -> Column:
+        own = of(F.slice("ws", m["start"] - F.get("ws", m["start"])["at"] + 1, F.get("sizes", m["line"].cast("int"))))
+        return F.struct(*(m[c].alias(c) for c in ("license", "start", "t", "line", "dice")), _dice(notice(m), own).alias("own"))
+
+    rows = rows.select("*", F.explode(F.array(F.filter(F.transform("starts", measure), lambda m: m["dice"] >= least))).alias("close"))
+    rows = rows.select("*", F.explode(F.array(F.transform("close", with_own))).alias("met"))
     better = lambda m, o: (o["license"] == m["license"]) & (F.abs(o["start"] - m["start"]) < m["t"]) & ((o["dice"] > m["dice"]) | ((o["dice"] == m["dice"]) & (o["start"] < m["start"])))
     best = F.filter("met", lambda m: (m["own"] < least) & ~F.exists("met", lambda o: better(m, o)))
     shown = F.transform(best, lambda m: F.struct(m["license"].alias("license"), m["line"].alias("line"), m["dice"].alias("dice")))
@@ -126,8 +148,8 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, leas
     texts = _windows(texts, templates, least)
     lines = texts.select("doc_id", "known", "windows", F.posexplode(F.split("text", "\n")).alias("line", "text"))
     first = F.when(F.col("line") == 0, F.col("windows")).otherwise(F.array().cast(f"array<{_MATCH}>"))
-    lines = lines.select("doc_id", "known", "line", first.alias("windows"), words(F.col("text")).alias("words"))
-    enough = F.size("words") >= max(1, int(shortest / stretch))
+    lines = lines.select("doc_id", "known", "line", first.alias("windows"), F.explode(F.array(words(F.col("text")))).alias("words"))
+    enough = (F.size("words") >= max(1, int(shortest / stretch))) & F.arrays_overlap("words", F.array(*map(F.lit, signs(templates, least))))
     lines = lines.filter(enough | (F.size("windows") > 0))
     lines = lines.select("doc_id", "known", "line", "windows", F.explode(F.array(F.when(F.size("words") > 0, bigrams(F.col("words"))).otherwise(F.array().cast("array<string>")))).alias("grams"))
     n = F.size("grams")
