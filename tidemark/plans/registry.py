@@ -8,7 +8,7 @@ from collections.abc import Callable
 QUERIES: dict[str, Callable] = {}
 ORACLE: dict[str, str] = {}
 
-MODULES = ("series", "weighted", "ingest", "payloads", "textevents", "composites", "streams")
+MODULES = ("series", "weighted", "ingest", "payloads", "textevents", "composites", "features", "streams")
 
 
 def query(name: str, sql: str | None = None):
