@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import scalars as S
 from tidemark.operators import pointintime as P
 from tidemark.plans.registry import ORACLE, QUERIES, query
-from tidemark.plans.series import BARS_SQL, RATES_SQL, WEATHER_SQL, bars, events, rates, weather
+from tidemark.plans.series import BARS_SQL, MONTHLY_SQL, RATES_SQL, WEATHER_SQL, bars, events, monthly, rates, weather
 from tidemark.plans.weighted import BALANCE_SQL, BASKET, LEAST_WEIGHT, TRADE_SQL, VALID, WEIGHTS_SQL, balance, trade, weights
 from tidemark.session import table
 
@@ -164,6 +164,7 @@ def basket_supply_daily(spark, sf_dir):
 
 _CURRENCIES = {"click": "click", "signup": "signup", "error": "error"}
 _ENERGY = {str(k): f"energy_{k}" for k in range(4)}
+_BENCHMARKS = {t: f"benchmark_{t.lower()}" for t in ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")}
 _SHIFTS = {"value": 0, "value_1d": 1, "value_7d": 7}
 #: Months by which the tables of orders lie before the events.
 _BEFORE = 312
@@ -176,6 +177,11 @@ eg AS (SELECT day, series FROM days, (SELECT DISTINCT series FROM es)),
 ej AS (SELECT g.day, g.series, a.ad, a.value, b.value AS b, c.value AS c FROM eg g ASOF LEFT JOIN es a ON a.series = g.series AND a.ad <= g.day ASOF LEFT JOIN es b ON b.series = g.series AND b.ad <= g.day - INTERVAL 1 DAY ASOF LEFT JOIN es c ON c.series = g.series AND c.ad <= g.day - INTERVAL 7 DAY),
 energy AS (SELECT day, {_cases("series", _ENERGY, {"": "value", "_delta_1d": "round(value - b, 6)", "_delta_7d": "round(value - c, 6)"})} FROM ej GROUP BY 1)"""
 
+BENCHMARK_SQL = f"""{MONTHLY_SQL.replace("s AS (", "bm AS (", 1)},
+bg AS (SELECT d.day, m.series FROM (SELECT DISTINCT past AS day FROM base) d, (SELECT DISTINCT series FROM bm) m),
+bj AS (SELECT g.day, g.series, a.ad, CAST(a.value AS DOUBLE) AS value, CAST(b.value AS DOUBLE) AS b, CAST(c.value AS DOUBLE) AS c FROM bg g ASOF LEFT JOIN bm a ON a.series = g.series AND a.ad <= g.day ASOF LEFT JOIN bm b ON b.series = g.series AND b.ad <= g.day - INTERVAL 1 MONTH ASOF LEFT JOIN bm c ON c.series = g.series AND c.ad <= g.day - INTERVAL 3 MONTH),
+bx AS (SELECT day, max(ad) AS benchmark_as_of, {_cases("series", _BENCHMARKS, {"": "value", "_as_of": "ad", "_delta_1m": "round(value - b, 6)", "_delta_3m": "round(value - c, 6)"})} FROM bj GROUP BY 1)"""
+
 
 def fx_group(spark, sf_dir, days: DataFrame) -> DataFrame:
     """Per day each currency's rate and its change against the rate before."""
@@ -197,8 +203,18 @@ def energy_group(spark, sf_dir, days: DataFrame) -> DataFrame:
     return got.groupBy("day").agg(*_pivoted("series", _ENERGY, {"": F.col("value"), "_delta_1d": change("value_1d"), "_delta_7d": change("value_7d")}))
 
 
+def benchmark_group(spark, sf_dir, days: DataFrame) -> DataFrame:
+    """Per day each monthly series' last value, its month, and its changes against those one and three months before."""
+    day, now = F.col("day"), F.col("now.value")
+    s = monthly(spark, sf_dir).select("series", "at", F.struct(F.col("value").cast("double").alias("value"), "at").alias("level"))
+    probes = days.withColumn("series", F.explode(F.array(*map(F.lit, _BENCHMARKS))))
+    got = P.asof_offsets(probes, s, ["series"], "day", "at", "level", {"now": day, "month": F.add_months(day, -1), "quarter": F.add_months(day, -3)})
+    columns = {"": now, "_as_of": F.col("now.at"), "_delta_1m": F.round(now - F.col("month.value"), 6), "_delta_3m": F.round(now - F.col("quarter.value"), 6)}
+    return got.groupBy("day").agg(F.max("now.at").alias("benchmark_as_of"), *_pivoted("series", _BENCHMARKS, columns))
+
+
 _NEWS = ("events_1d", "events_7d", "events_30d", "bullish_7d", "bearish_7d", "sentiment")
-_FLAGS = {"missing_fx": "click_rub", "missing_energy": "energy_0", "missing_weather": "weather_temperature_7d_mean", "missing_news": "news_events_30d", "missing_trade": "export_volume_1m", "missing_supply": "production"}
+_FLAGS = {"missing_fx": "click_rub", "missing_energy": "energy_0", "missing_benchmark": "benchmark_economy", "missing_weather": "weather_temperature_7d_mean", "missing_news": "news_events_30d", "missing_trade": "export_volume_1m", "missing_supply": "production"}
 _CAL_SQL = ORACLE["calendar"].replace("SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders", "SELECT DISTINCT CAST(ts + INTERVAL 3 HOUR AS DATE) AS day FROM events WHERE event_type IN ('purchase', 'view')")
 _WIDE_SQL = f"""WITH {BARS_SQL}, {RATES_SQL}, days AS ({_DAYS}), {FX_SQL}, {ENERGY_SQL}, {TRADE_STEPS_SQL}, {SUPPLY_SQL},
 base AS (SELECT product, day, price_observations, price_first, price_last, price_min, price_max, price_delta_abs_1d, rolling_mean_3, rolling_mean_7, rolling_std_7, CASE WHEN price_observations > 1 THEN round(price_last - price_first, 6) END AS price_intraday_abs, CAST(day - INTERVAL {_BEFORE} MONTH AS DATE) AS past FROM ({ORACLE["product_daily"]})),
@@ -206,18 +222,19 @@ wx AS (SELECT product, day, {", ".join(f"{n} AS weather_{n}" for n in _WEATHER)}
 nx AS (SELECT product AS letter, day, {", ".join(f"{n} AS news_{n}" for n in _NEWS)} FROM ({ORACLE["news_daily"]})),
 tx AS ({_trade_sql("(SELECT DISTINCT product % 4 AS product, past AS day FROM base)")}),
 sx AS ({_supply_sql("(SELECT DISTINCT past AS day FROM base)")}),
+{BENCHMARK_SQL},
 cal AS ({_CAL_SQL}),
-wide AS (SELECT base.*, cal.* EXCLUDE (day), fx.* EXCLUDE (day), energy.* EXCLUDE (day), wx.* EXCLUDE (product, day), nx.* EXCLUDE (letter, day), tx.* EXCLUDE (product, day), sx.* EXCLUDE (day)
+wide AS (SELECT base.*, cal.* EXCLUDE (day), fx.* EXCLUDE (day), energy.* EXCLUDE (day), bx.* EXCLUDE (day), wx.* EXCLUDE (product, day), nx.* EXCLUDE (letter, day), tx.* EXCLUDE (product, day), sx.* EXCLUDE (day)
 FROM base LEFT JOIN cal USING (day) LEFT JOIN fx USING (day) LEFT JOIN energy USING (day) LEFT JOIN wx ON wx.product = base.product % 4 AND wx.day = base.day LEFT JOIN nx ON nx.letter = chr(CAST(65 + base.product % 3 AS INTEGER)) AND nx.day = base.day
-LEFT JOIN tx ON tx.product = base.product % 4 AND tx.day = base.past LEFT JOIN sx ON sx.day = base.past)
+LEFT JOIN tx ON tx.product = base.product % 4 AND tx.day = base.past LEFT JOIN sx ON sx.day = base.past LEFT JOIN bx ON bx.day = base.past)
 SELECT * EXCLUDE (past), nullif(concat_ws(',', {", ".join(f"CASE WHEN {c} IS NULL THEN '{n}' END" for n, c in _FLAGS.items())}), '') AS missing_flags FROM wide"""
 
 
 @query("product_features", _WIDE_SQL)
 def product_features(spark, sf_dir):
-    """One row per product and price day with the groups price, calendar, rates, energy, weather, news, trade and balances.
+    """One row per product and price day with the groups price, calendar, rates, energy, benchmarks, weather, news, trade and balances.
 
-    Trade and balances are as known 26 years before, where the order tables have rows.
+    Benchmarks, trade and balances are as known 26 years before, where the order tables have rows.
     Groups are joined by day, or by product and day; each is one row per such key, so
     that the joins neither multiply rows nor move more than the product days.
     """
@@ -234,7 +251,8 @@ def product_features(spark, sf_dir):
     nx = QUERIES["news_daily"](spark, sf_dir).select(c("product").alias("letter"), "day", *(c(n).alias(f"news_{n}") for n in _NEWS))
     tx = trade_as_of(spark, sf_dir, past).withColumnsRenamed({"product": "part", "day": "past"})
     sx = supply_as_of(spark, sf_dir, past.select("day").distinct()).withColumnRenamed("day", "past")
+    bx = benchmark_group(spark, sf_dir, past.select("day").distinct()).withColumnRenamed("day", "past")
     wide = base.join(fx_group(spark, sf_dir, days), "day", "left").join(energy_group(spark, sf_dir, days), "day", "left")
-    wide = wide.join(wx, ["part", "day"], "left").join(nx, ["letter", "day"], "left").join(tx, ["part", "past"], "left").join(sx, ["past"], "left")
+    wide = wide.join(wx, ["part", "day"], "left").join(nx, ["letter", "day"], "left").join(tx, ["part", "past"], "left").join(sx, ["past"], "left").join(bx, ["past"], "left")
     wide = wide.withColumns(S.calendar_features(c("day")))
     return wide.withColumn("missing_flags", S.true_flags({n: c(x).isNull() for n, x in _FLAGS.items()})).drop("past", "part", "letter")
