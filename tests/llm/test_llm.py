@@ -565,3 +565,11 @@ def test_every_line_like_a_notice_holds_a_sign():
                 held += 1
                 assert some & set(line), (least, line)
     assert held > 1000
+
+
+def test_license_windows_with_their_longest_pairs_changed(spark):
+    words = licenses.TEMPLATES["GPL-grant"].split()
+    longest = sorted(range(len(words)), key=lambda k: -len(words[k]))[:2]
+    changed = " ".join("x" if k in longest else w for k, w in enumerate(words))
+    found = licenses.scan_licenses(frame(spark, [f"some words before it\n{changed} and some more after it", changed])).collect()
+    assert {(r.doc_id, r.license) for r in found} == {(0, "GPL-grant"), (1, "GPL-grant")}

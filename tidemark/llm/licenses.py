@@ -7,7 +7,8 @@ of the words (``signs``) without which none can reach it.
 
 Notices that run over several lines, or stand in a longer one, are found by windows of
 the text's words, as long as the notice. A window is compared where one of the notice's
-``ANCHORS`` longest word pairs stands at its place.
+anchors stands at its place: so many of its longest word pairs that a match can't be
+without all of them, and ``ANCHORS`` at least.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ TEMPLATES = {
     "all-rights": "All rights reserved.",
 }
 LEAST = 0.8
-#: Word pairs of a notice, those of the most characters, that windows are placed by.
+#: Fewest word pairs of a notice, those of the most characters, that windows are placed by.
 ANCHORS = 3
 
 
@@ -54,6 +55,11 @@ def bigrams(found: Column) -> Column:
     return F.when(F.size(found) == 1, found).otherwise(F.array_distinct(pairs))
 
 
+def _unavoidable(n: int, least: float) -> int:
+    """How many of a notice's ``n`` bigrams no match can be without all of."""
+    return int(n * (1 - least / (2 - least)) + 1e-9) + 1
+
+
 def signs(templates: dict[str, str], least: float) -> list[str]:
     """Words of which a line holds one if it matches any notice.
 
@@ -64,18 +70,19 @@ def signs(templates: dict[str, str], least: float) -> list[str]:
     for notice in templates.values():
         w = re.findall("[a-z0-9]+", notice.lower())
         longest = sorted((max(pair, key=len) for pair in {*itertools.pairwise(w)} or {(x,) for x in w}), key=lambda x: (-len(x), x))
-        spare = int(len(longest) * (1 - least / (2 - least)) + 1e-9)
-        found.update(longest[: spare + 1])
+        found.update(longest[: _unavoidable(len(longest), least)])
     return sorted(found)
 
 
-def anchors(templates: dict[str, str]) -> list[tuple[str, str, int, int]]:
+def anchors(templates: dict[str, str], least: float) -> list[tuple[str, str, int, int]]:
     """(license, pair, place, words of the notice) of each notice's anchors."""
     found = []
     for name, notice in templates.items():
         w = re.findall("[a-z0-9]+", notice.lower())
-        pairs = sorted(((f"{x} {y}", k) for k, (x, y) in enumerate(itertools.pairwise(w))), key=lambda p: (-len(p[0]), p[1]))
-        found += [(name, pair, k, len(w)) for pair, k in pairs[:ANCHORS]]
+        pairs = [f"{x} {y}" for x, y in itertools.pairwise(w)]
+        chosen = sorted({*pairs}, key=lambda p: (-len(p), pairs.index(p)))
+        chosen = chosen[: max(ANCHORS, _unavoidable(len(chosen), least))]
+        found += [(name, pair, k, len(w)) for k, pair in enumerate(pairs) if pair in chosen]
     return found
 
 
@@ -92,7 +99,7 @@ def _windows(texts: DataFrame, templates: dict[str, str], least: float) -> DataF
     A window that begins in a line which matches the notice by itself isn't named again.
     """
     by_pair: dict[str, list[tuple[str, int, int]]] = {}
-    for name, pair, k, n in anchors(templates):
+    for name, pair, k, n in anchors(templates, least):
         by_pair.setdefault(pair, []).append((name, k, n))
     pairs = sorted(by_pair)
     sign = "(?<![a-z0-9])(?:" + "|".join(p.replace(" ", "[^a-z0-9]+") for p in pairs) + ")(?![a-z0-9])"
@@ -161,7 +168,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, leas
 
 def oracle(templates: dict[str, str] | None = None, least: float = LEAST) -> str:
     """The same rows in DuckDB SQL, every line against every notice and every anchored window against its own."""
-    places = ", ".join(f"('{name}', '{pair}', {k}, {n})" for name, pair, k, n in anchors(templates or TEMPLATES))
+    places = ", ".join(f"('{name}', '{pair}', {k}, {n})" for name, pair, k, n in anchors(templates or TEMPLATES, least))
     quoted = lambda s: "'" + s.replace("'", "''") + "'"
     values = ", ".join(f"({quoted(k)}, {quoted(v)})" for k, v in (templates or TEMPLATES).items())
     grams = lambda w: f"CASE WHEN len({w}) = 1 THEN {w} ELSE list_distinct(list_transform(range(1, len({w})), lambda i: {w}[i] || ' ' || {w}[i + 1])) END"
