@@ -93,10 +93,10 @@ def unpivot_series(spark, sf_dir):
     return A.unpivot_series(m, ["period"], {"A": "accepted", "N": "new"}).withColumn("period_end", F.last_day("period"))
 
 
-@query("load_observations", "SELECT o_orderpriority AS metric, o_orderkey AS k, CAST(o_totalprice AS DOUBLE) AS value FROM orders WHERE o_orderkey % 20 = 0 AND o_orderkey % 7 <> 0")
+@query("load_observations", "SELECT o_orderpriority AS metric, o_orderkey AS k, CAST(o_totalprice AS DOUBLE) AS value FROM orders WHERE o_orderkey % 7 <> 0")
 def load_observations(spark, sf_dir):
     """Round trip: observations as JSON documents by metric; such as lack a required field are left out."""
-    return observations(table(spark, sf_dir, "orders").filter("o_orderkey % 20 = 0"))
+    return observations(table(spark, sf_dir, "orders"))
 
 
 def observations(o, chunk_rows=10_000):

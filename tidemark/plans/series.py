@@ -118,13 +118,13 @@ def _offset_sql(table_sql: str, shifts: dict[str, str]) -> str:
     return f"WITH {table_sql}, p AS (SELECT x.series, d.ad AS day FROM (SELECT DISTINCT series FROM s) x, (SELECT DISTINCT ad FROM s) d) SELECT p.series, p.day, {cols} FROM p"
 
 
-ENERGY_SQL = "s AS (SELECT user_id % 4 AS series, CAST(ts AS DATE) AS ad, arg_max(CAST(value AS DECIMAL(18,6)), (ts, event_id)) AS value FROM events WHERE event_type = 'error' AND user_id % 3 = 0 GROUP BY 1, 2)"
+ENERGY_SQL = "s AS (SELECT user_id % 4 AS series, CAST(ts AS DATE) AS ad, arg_max(CAST(value AS DECIMAL(18,6)), (ts, event_id)) AS value FROM events WHERE event_type = 'error' GROUP BY 1, 2)"
 MONTHLY_SQL = "s AS (SELECT p_type AS series, CAST(date_trunc('month', l_shipdate) AS DATE) AS ad, CAST(round(sum(l_extendedprice) / sum(l_quantity), 6) AS DECIMAL(18,6)) AS value FROM lineitem JOIN part ON p_partkey = l_partkey WHERE month(l_shipdate) <> 5 GROUP BY 1, 2)"
 
 
 @query("asof_delta", _offset_sql(ENERGY_SQL, {"value": "p.day", "value_1d": "p.day - INTERVAL 1 DAY", "value_7d": "p.day - INTERVAL 7 DAY"}))
 def asof_delta(spark, sf_dir):
-    s = P.daily_bar(events(spark, sf_dir).filter("event_type = 'error' and user_id % 3 = 0").withColumn("series", F.col("user_id") % 4), ["series"], "utc_day", "ts", "value", "event_id")
+    s = P.daily_bar(events(spark, sf_dir).filter("event_type = 'error'").withColumn("series", F.col("user_id") % 4), ["series"], "utc_day", "ts", "value", "event_id")
     s = s.select("series", F.col("utc_day").alias("at"), F.col("last").alias("value"))
     probes = s.select("series").distinct().join(F.broadcast(s.select(F.col("at").alias("day")).distinct()))
     day = F.col("day")
