@@ -38,15 +38,20 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/tidemark/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return written_in(spark.read.schema(df.schema).parquet(path), path)
+
+
+def written_in(df: DataFrame, folder: str) -> DataFrame:
+    """``df``, marked as reading the written ``folder`` and no other."""
+    df.written_folder = folder
+    return df
 
 
 def discard(df: DataFrame) -> None:
-    """Delete what ``materialize`` wrote for ``df``; nothing may read it any more."""
+    """Delete the folder that ``materialize`` wrote for ``df``; nothing may read it any more."""
     session = df.sparkSession
-    for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
-        path = session._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(session._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+    path = session._jvm.org.apache.hadoop.fs.Path(df.written_folder)
+    path.getFileSystem(session._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def parts_for(rows: int, per_part: int, least: int = 1) -> int:

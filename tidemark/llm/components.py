@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import discard, materialize
+from tidemark.llm.common import discard, materialize, written_in
 
 
 def _toward_least(edges: DataFrame, at: str, other: str) -> DataFrame:
@@ -40,4 +40,5 @@ def components(links: DataFrame) -> DataFrame:
         if shape == (shape := _shape(edges)):
             break
     roots = edges.select(F.col("y").alias("node"), F.col("y").alias("component")).distinct()
-    return edges.select(F.col("x").alias("node"), F.col("y").alias("component")).unionByName(roots)
+    found = edges.select(F.col("x").alias("node"), F.col("y").alias("component")).unionByName(roots)
+    return written_in(found, edges.written_folder)
