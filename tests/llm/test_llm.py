@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm import language_id, licenses, mixing, packing, pii, prefix_tokens, quality_rules, secret_scan, shingles, topk, wordbpe
+from tidemark.llm import language_id, licenses, mixing, ngram_join, packing, pii, prefix_tokens, quality_rules, secret_scan, shingles, topk, wordbpe
 from tidemark.llm.ngram_join import near_copies, near_links
 
 DATA = "/root/testdata/sf0.001"
@@ -169,6 +169,25 @@ def test_near_copies_equal_brute_force(spark):
     assert sorted(map(tuple, got)) == components(rows)
 
 
+def test_near_copies_with_frequent_keys_dealt(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "HOT_PART", 1.0)
+    monkeypatch.setattr(ngram_join, "HOT_HITS", 3)
+    rng, rows = random.Random(8), []
+    vocab = [f"w{i}" for i in range(300)]
+    for size in (4, 30, 90, 250):
+        words = [rng.choice(vocab) for _ in range(size)]
+        for _ in range(12):
+            copy = list(words)
+            for _ in range(rng.randint(0, max(1, size // 25))):
+                copy[rng.randrange(size)] = rng.choice(vocab)
+            rows.append((len(rows), " ".join(copy)))
+    rows += [(len(rows) + i, t) for i, t in enumerate([None, "", *[rows[20][1]] * 5])]
+    docs = frame(spark, [t for _, t in rows], True).repartition(3)
+    hot = ngram_join._hot_keys(docs)
+    assert hot is not None and ngram_join._dealt(ngram_join._index_rows(docs), hot).filter("salt > 0").count() > hot.count()
+    assert sorted(map(tuple, near_copies(docs).collect())) == components(rows)
+
+
 def test_near_copies_of_nothing(spark):
     assert near_copies(frame(spark, ["x"]).limit(0)).count() == 0
 

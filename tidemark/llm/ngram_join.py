@@ -16,6 +16,10 @@ with one shingle deleted, are the index keys. Then, all in Spark:
   pairs only such are made whose parity bitmaps differ in no more bits than the sets
   may differ in shingles.
 
+A key that a large part of the records share is found in a sample beforehand; its rows
+are dealt to many tasks, each key's counts are put together from theirs. The sample
+decides only where rows meet, never which.
+
 Every comparison intersects the two whole sets. Shingles and sets are told apart by
 64-bit hashes. The result is whole: no key, record or pair is capped.
 """
@@ -41,6 +45,10 @@ STAR_GAIN, STAR_ROUNDS = 0.9, 8
 STAR_TRIES = 3
 #: Rows of a key that meet all others of it in one task, about.
 SALT_ROWS = 4096
+#: Frequent keys are sought in this part of the documents, at most about so many; one that
+#: so many of them have is dealt to ``HOT_SALTS`` tasks. At most ``HOT_KEYS``, the most
+#: frequent ones, are dealt, so they can be broadcast; others meet in one task each.
+HOT_PART, HOT_SAMPLE, HOT_HITS, HOT_SALTS, HOT_KEYS = 0.02, 20_000, 20, 64, 100_000
 #: 64-bit words of the filter that spares sending texts without candidates through a shuffle.
 FILTER_WORDS = 1 << 19
 
@@ -97,23 +105,58 @@ def _with_bounds(rows: DataFrame) -> DataFrame:
     return rows.withColumn("spare", (total - most).cast("long")).withColumn("wide", wide)
 
 
-def _met(rows: DataFrame) -> DataFrame:
-    """Rows whose key is met by another group's (``near`` and ``rows`` say how), and documents' own."""
-    key = Window.partitionBy("sig")
+def _hot_keys(docs: DataFrame) -> DataFrame | None:
+    """(sig) of the keys that many of a sample's records have, None where there are none; bounded by ``HOT_KEYS``."""
+    part = min(HOT_PART, HOT_SAMPLE / max(1, docs.count()))
+    found = _index_rows(docs.sample(part, seed=7)).groupBy("sig").count().filter(F.col("count") >= HOT_HITS)
+    found = materialize(found.orderBy(F.desc("count"), "sig").limit(HOT_KEYS).select("sig"), "hot")
+    if found.isEmpty():
+        discard(found)
+        return None
+    return found
+
+
+def _dealt(rows: DataFrame, hot: DataFrame | None) -> DataFrame:
+    """Adds ``salt``, 0 but for frequent keys, and brings rows of one (sig, salt) together."""
+    if hot is None:
+        return rows.repartition("sig").withColumn("salt", F.lit(0))
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("rec"), F.lit(HOT_SALTS)).cast("int") + 1).otherwise(0)
+    marked = rows.join(F.broadcast(hot.withColumn("hot", F.lit(True))), "sig", "left")
+    return marked.withColumn("salt", salt).drop("hot").repartition("sig", "salt")
+
+
+def _extent() -> dict[str, Column]:
+    """What must be known of a key's rows: the groups they lie in, by kind, and their number."""
     full, cut = F.when(F.col("kind") == 0, F.col("comp")), F.when(F.col("kind") == 1, F.col("comp"))
+    return {"f0": F.min(full), "f1": F.max(full), "c0": F.min(cut), "c1": F.max(cut), "rows": F.count("*")}
+
+
+def _near(rows: DataFrame) -> DataFrame:
+    """Adds ``near``: whether another group's rows of the key meet this one; drops the extent but for ``rows``."""
     other = lambda a, b: F.coalesce((F.col(a) != F.col("comp")) | (F.col(b) != F.col("comp")), F.lit(False))
-    met = rows.drop("ties").select(
-        "*",
-        F.min(full).over(key).alias("f0"),
-        F.max(full).over(key).alias("f1"),
-        F.min(cut).over(key).alias("c0"),
-        F.max(cut).over(key).alias("c1"),
-        F.count("*").over(key).alias("rows"),
-    )
-    met = met.withColumn(
-        "near", F.when((F.col("kind") == 0) & other("f0", "f1"), 2).when(other("f0", "f1") | ((F.col("kind") == 0) & other("c0", "c1")), 1)
-    )
-    return met.filter((F.col("band") == RECORD) | F.col("near").isNotNull()).drop("f0", "f1", "c0", "c1")
+    near = F.when((F.col("kind") == 0) & other("f0", "f1"), 2).when(other("f0", "f1") | ((F.col("kind") == 0) & other("c0", "c1")), 1)
+    return rows.withColumn("near", near).drop("f0", "f1", "c0", "c1")
+
+
+def _met(rows: DataFrame) -> DataFrame:
+    """Rows whose key is met by another group's (``near`` and ``rows`` say how), and documents' own, written.
+
+    Rows of frequent keys are all kept; ``_hot_met`` decides on them.
+    """
+    key = Window.partitionBy("sig", "salt")
+    met = _near(rows.drop("ties").select("*", *(c.over(key).alias(name) for name, c in _extent().items())))
+    return materialize(met.filter((F.col("band") == RECORD) | F.col("near").isNotNull() | (F.col("salt") > 0)), "met")
+
+
+def _hot_met(met: DataFrame, dealt: bool) -> DataFrame:
+    """``met``, where keys were ``dealt`` with the rows of frequent keys judged by the whole key; they are summed up in each task first."""
+    if not dealt:
+        return met
+    parts = met.filter("salt > 0").drop("near", "rows")
+    extent = parts.groupBy("sig").agg(*(c.alias(name) for name, c in _extent().items()))
+    # One row a key, HOT_KEYS at most.
+    judged = _near(parts.join(F.broadcast(extent), "sig")).filter(F.col("near").isNotNull())
+    return met.filter("salt = 0").unionByName(judged)
 
 
 def _able(met: DataFrame) -> DataFrame:
@@ -127,16 +170,16 @@ def _able(met: DataFrame) -> DataFrame:
     return materialize(met.drop("near", "rows").join(able, ["rec", "n", "band"]), "keys")
 
 
-def _peel(rows: DataFrame, passes: int) -> DataFrame:
+def _peel(rows: DataFrame, dealt: bool, passes: int) -> DataFrame:
     """Rows of records that can have a partner in another group (``comp``), with the keys' other records only.
 
     Each pass is exact; a pass may leave others with less, so there may be more. ``ties``
     says how many rows share the record's keys.
     """
     for _ in range(passes):
-        met = materialize(_met(rows), "met")
+        met = _met(rows)
         discard(rows)
-        rows = _able(met)
+        rows = _able(_hot_met(met, dealt))
         discard(met)
     return rows
 
@@ -145,9 +188,9 @@ def _star_pairs(rows: DataFrame, turn: int) -> DataFrame:
     """Each record with the records that come first in the most of its keys."""
     rank = F.when(F.lit(turn == 0), -F.col("ties")).otherwise(F.lit(0))
     who = F.struct(rank.alias("rank"), F.xxhash64("rec", F.lit(turn)).alias("order"), "rec", "n", "comp")
-    least = F.min(F.when(F.col("kind") == 0, who)).over(Window.partitionBy("sig"))
+    least = rows.filter("kind = 0").groupBy("sig").agg(F.min(who).alias("least"))
     pairs = (
-        rows.withColumn("least", least)
+        rows.join(least, "sig")
         .filter("least.comp <> comp and 5 * least(n, least.n) >= 4 * greatest(n, least.n)")
         .groupBy(F.col("least.rec").alias("a"), F.col("least.n").alias("na"), F.col("rec").alias("b"), F.col("n").alias("nb"))
         .agg(F.count("*").alias("keys"))
@@ -161,11 +204,11 @@ def _rest_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
 
     The pairs of a frequent key are dealt into several tasks.
     """
-    rows = rows.join(sets.select("rec", "n", "bits"), ["rec", "n"])
-    cost = F.count("*").over(Window.partitionBy("sig"))
+    costs = rows.groupBy("sig").agg(F.count("*").alias("cost"))
+    rows = rows.join(costs, "sig").join(sets.select("rec", "n", "bits"), ["rec", "n"])
     cheap = F.row_number().over(Window.partitionBy("rec", "n", "band").orderBy("cost", "sig"))
     held = F.count("*").over(Window.partitionBy("rec", "n", "band"))
-    rows = rows.withColumn("cost", cost).withColumn("salts", F.ceil(F.col("cost") / SALT_ROWS).cast("int"))
+    rows = rows.withColumn("salts", F.ceil(F.col("cost") / SALT_ROWS).cast("int"))
     # Of the keys that others share too, as many may be left out as are spare.
     needed = rows.withColumn("cheap", cheap).withColumn("held", held)
     needed = needed.filter(F.col("wide") | (F.col("cheap") <= F.col("held") - F.col("spare") + 1) | (F.col("spare") <= 0))
@@ -240,6 +283,8 @@ class _Join:
     of_docs: DataFrame
     recs: DataFrame
     rows: DataFrame
+    #: Whether frequent keys are dealt to several tasks.
+    dealt: bool
     sets: DataFrame
     #: Pairs of sets that the bands can't decide on, None where there are none.
     direct: DataFrame | None
@@ -247,15 +292,19 @@ class _Join:
 
 def _prepare(docs: DataFrame) -> _Join:
     # Shuffle the narrow rows; what follows from the tag is worked out after it.
-    rows = _index_rows(docs).repartition("sig").select(
-        "sig", "rec", "tag", "doc_id", F.shiftright("tag", SIZE_AT).alias("n"), _field(BAND_AT, 6).alias("band"),
+    hot = _hot_keys(docs)
+    dealt = hot is not None
+    rows = _dealt(_index_rows(docs), hot).select(
+        "sig", "salt", "rec", "tag", "doc_id", F.shiftright("tag", SIZE_AT).alias("n"), _field(BAND_AT, 6).alias("band"),
         _field(PART_AT, BAND_AT - PART_AT).alias("part"), F.col("tag").bitwiseAND(1).alias("kind"), F.col("rec").alias("comp"),
     )
-    met = materialize(_met(_with_bounds(rows).drop("tag")), "met")
+    met = _met(_with_bounds(rows).drop("tag"))
     of_docs = materialize(met.filter(F.col("band") == RECORD).select("doc_id", "rec", "n", (F.col("part") == 1).alias("overflow")), "records")
-    rows = _able(met.filter(F.col("band") != RECORD).drop("doc_id"))
+    rows = _able(_hot_met(met.filter(F.col("band") != RECORD).drop("doc_id"), dealt))
     discard(met)
-    rows = _peel(rows, 1)
+    if dealt:
+        discard(hot)
+    rows = _peel(rows, dealt, 1)
     recs = of_docs.filter("n > 0").groupBy("rec", "n").agg(F.min("doc_id").alias("doc_id"), F.bool_or("overflow").alias("overflow"))
     loose = materialize(recs.filter("overflow"), "loose")
     wanted = rows.select("rec", "n").distinct().join(recs.drop("overflow"), ["rec", "n"])
@@ -272,7 +321,7 @@ def _prepare(docs: DataFrame) -> _Join:
     wanted = materialize(wanted, "wanted")
     sets = _sets_of(docs, wanted)
     discard(wanted)
-    return _Join(of_docs, recs, rows, sets, direct)
+    return _Join(of_docs, recs, rows, dealt, sets, direct)
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
@@ -293,7 +342,7 @@ def near_copies(docs: DataFrame) -> DataFrame:
             grouped = groups.select(F.col("node").alias("rec"), F.col("component").alias("g"))
             grouped = materialize(rows.join(grouped, "rec", "left").withColumn("comp", F.coalesce("g", "comp")).drop("g"), "grouped")
             discard(rows)
-            rows = _peel(grouped, 2)
+            rows = _peel(grouped, start.dealt, 2)
             before, held = held, rows.count()
             if not held:
                 break
