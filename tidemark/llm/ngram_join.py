@@ -131,11 +131,10 @@ def _extent() -> dict[str, Column]:
     return {"f0": F.min(full), "f1": F.max(full), "c0": F.min(cut), "c1": F.max(cut), "rows": F.count("*")}
 
 
-def _near(rows: DataFrame) -> DataFrame:
-    """Adds ``near``: whether another group's rows of the key meet this one; drops the extent but for ``rows``."""
+def _near() -> Column:
+    """How the rows of another group meet this one, from the key's extent: 2 fully, 1 by a deletion, null not at all."""
     other = lambda a, b: F.coalesce((F.col(a) != F.col("comp")) | (F.col(b) != F.col("comp")), F.lit(False))
-    near = F.when((F.col("kind") == 0) & other("f0", "f1"), 2).when(other("f0", "f1") | ((F.col("kind") == 0) & other("c0", "c1")), 1)
-    return rows.withColumn("near", near).drop("f0", "f1", "c0", "c1")
+    return F.when((F.col("kind") == 0) & other("f0", "f1"), 2).when(other("f0", "f1") | ((F.col("kind") == 0) & other("c0", "c1")), 1)
 
 
 def _met(rows: DataFrame) -> DataFrame:
@@ -144,30 +143,39 @@ def _met(rows: DataFrame) -> DataFrame:
     Rows of frequent keys are all kept; ``_hot_met`` decides on them.
     """
     key = Window.partitionBy("sig", "salt")
-    met = _near(rows.drop("ties").select("*", *(c.over(key).alias(name) for name, c in _extent().items())))
-    return materialize(met.filter((F.col("band") == RECORD) | F.col("near").isNotNull() | (F.col("salt") > 0)), "met")
+    met = rows.drop("ties").select("*", *(c.over(key).alias(name) for name, c in _extent().items())).withColumn("near", _near())
+    met = met.filter((F.col("band") == RECORD) | F.col("near").isNotNull() | (F.col("salt") > 0))
+    return materialize(met.drop("f0", "f1", "c0", "c1"), "met")
 
 
-def _hot_met(met: DataFrame, dealt: bool) -> DataFrame:
-    """``met``, where keys were ``dealt`` with the rows of frequent keys judged by the whole key; they are summed up in each task first."""
+def _hot_met(met: DataFrame, dealt: bool) -> tuple[DataFrame, DataFrame | None]:
+    """``met``, where keys were ``dealt`` with the rows of frequent keys judged by the whole key, and the table for that.
+
+    A key's rows are summed up in each task first; the table has one row a key, ``HOT_KEYS`` at most.
+    """
     if not dealt:
-        return met
-    parts = met.filter("salt > 0").drop("near", "rows")
-    extent = parts.groupBy("sig").agg(*(c.alias(name) for name, c in _extent().items()))
-    # One row a key, HOT_KEYS at most.
-    judged = _near(parts.join(F.broadcast(extent), "sig")).filter(F.col("near").isNotNull())
-    return met.filter("salt = 0").unionByName(judged)
+        return met, None
+    extent = met.filter("salt > 0").groupBy("sig").agg(*(c.alias(name) for name, c in _extent().items()))
+    extent = materialize(extent.withColumnRenamed("rows", "all_rows"), "extent")
+    whole = F.col("salt") > 0
+    judged = met.join(F.broadcast(extent), "sig", "left").withColumn("near", F.when(whole, _near()).otherwise(F.col("near")))
+    judged = judged.withColumn("rows", F.when(whole, F.col("all_rows")).otherwise(F.col("rows"))).filter("near is not null")
+    return judged.drop("f0", "f1", "c0", "c1", "all_rows"), extent
 
 
-def _able(met: DataFrame) -> DataFrame:
+def _able(met: DataFrame, dealt: bool) -> DataFrame:
     """Rows of records that differ from the groups they meet by no more than a link allows."""
+    met, extent = _hot_met(met, dealt)
     place = F.when(F.col("wide"), F.col("part")).otherwise(F.col("sig")).alias("place")
     by_place = met.groupBy("rec", "n", "band", place).agg(
         F.max(F.when(F.col("wide"), F.col("near")).otherwise(1)).alias("lost"), F.max("spare").alias("spare"), F.sum("rows").alias("rows")
     )
     able = by_place.groupBy("rec", "n", "band").agg(F.sum("lost").alias("lost"), F.max("spare").alias("spare"), F.sum("rows").alias("ties"))
     able = able.filter("lost >= spare").select("rec", "n", "band", "ties")
-    return materialize(met.drop("near", "rows").join(able, ["rec", "n", "band"]), "keys")
+    keys = materialize(met.drop("near", "rows").join(able, ["rec", "n", "band"]), "keys")
+    if extent is not None:
+        discard(extent)
+    return keys
 
 
 def _peel(rows: DataFrame, dealt: bool, passes: int) -> DataFrame:
@@ -179,7 +187,7 @@ def _peel(rows: DataFrame, dealt: bool, passes: int) -> DataFrame:
     for _ in range(passes):
         met = _met(rows)
         discard(rows)
-        rows = _able(_hot_met(met, dealt))
+        rows = _able(met, dealt)
         discard(met)
     return rows
 
@@ -300,7 +308,7 @@ def _prepare(docs: DataFrame) -> _Join:
     )
     met = _met(_with_bounds(rows).drop("tag"))
     of_docs = materialize(met.filter(F.col("band") == RECORD).select("doc_id", "rec", "n", (F.col("part") == 1).alias("overflow")), "records")
-    rows = _able(_hot_met(met.filter(F.col("band") != RECORD).drop("doc_id"), dealt))
+    rows = _able(met.filter(F.col("band") != RECORD).drop("doc_id"), dealt)
     discard(met)
     if dealt:
         discard(hot)
