@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import table
-from tidemark.llm import licenses, mixing
+from tidemark.llm import centroids, licenses, mixing
+from tidemark.llm.balanced_packing import pack_balanced
+from tidemark.llm.conversations import repair
 from tidemark.llm.language_id import identify
 from tidemark.llm.ngram_join import near_copies
 from tidemark.llm.packing import pack_documents
@@ -63,6 +65,18 @@ def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), every=50, k=5)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair(table(spark, sf_dir, "conversations"))
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"), k=40, rounds=5, dim=64)
+
+
+def op13_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_balanced(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=4096)
+
+
 TOP_K_SQL = """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
@@ -72,4 +86,4 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5"""
 
 QUERIES = {name: f for name, f in sorted(globals().items()) if name.startswith("op") and callable(f)}
-ORACLE = {"op2_pfair_mixing": mixing.oracle(MIX_UNITS, BLOCK_CHARS), "op5_license_scan": licenses.oracle(), "op4_exact_top_k": TOP_K_SQL}
+ORACLE = {"op2_pfair_mixing": mixing.oracle(MIX_UNITS, BLOCK_CHARS), "op5_license_scan": licenses.oracle(), "op4_exact_top_k": TOP_K_SQL, "op12_centroid_clustering": centroids.oracle()}
