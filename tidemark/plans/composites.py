@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
+from tidemark.operators import bitemporal as B
 from tidemark.operators import ingest as I
 from tidemark.operators import pointintime as P
 from tidemark.plans.registry import ORACLE, query
@@ -32,21 +33,23 @@ def weather_daily(spark, sf_dir):
     return out.select("region", "day", F.round("mean_7", 10).alias("mean_7"), "hi_7", "lo_30", "days_7", S.true_flags({"incomplete_7d": F.col("days_7") < 7}).alias("missing_flags"))
 
 
-@query("trade_daily", f"""WITH {TRADE_SQL}, k AS (SELECT flow, period, max(known) AS known, sum(quantity) AS v FROM trade GROUP BY 1, 2), d AS (SELECT unnest(generate_series(DATE '1996-01-15', DATE '2001-01-15', INTERVAL 1 MONTH)) AS t), days AS (SELECT CAST(t AS DATE) AS day FROM d),
-r AS (SELECT flow, day, period, v, row_number() OVER (PARTITION BY flow, day ORDER BY period DESC) AS rn FROM k JOIN days ON known <= day AND period <= day)
-SELECT flow, day, max(CASE WHEN rn = 1 THEN period END) AS last_period, max(CASE WHEN rn = 1 THEN v END) AS volume, CASE WHEN count(CASE WHEN rn <= 3 THEN 1 END) = 3 THEN round(sum(CASE WHEN rn <= 3 THEN v END) / 3, 4) END AS mean_3, CASE WHEN count(CASE WHEN rn <= 12 THEN 1 END) = 12 THEN sum(CASE WHEN rn <= 12 THEN v END) END AS sum_12 FROM r GROUP BY 1, 2""")
+@query("trade_daily", f"""WITH {TRADE_SQL}, days AS (SELECT CAST(unnest(generate_series(DATE '1996-01-15', DATE '2001-01-15', INTERVAL 1 MONTH)) AS DATE) AS day),
+k AS (SELECT flow, day, period, sum(quantity) AS v, count(*) AS n FROM trade JOIN days ON known <= day AND last_day(period) <= day GROUP BY 1, 2, 3),
+r AS (SELECT *, row_number() OVER (PARTITION BY flow, day ORDER BY period DESC) AS rn FROM k)
+SELECT flow, day, max(CASE WHEN rn = 1 THEN period END) AS last_period, max(CASE WHEN rn = 1 THEN v END) AS volume, CASE WHEN count(CASE WHEN rn <= 3 THEN 1 END) = 3 THEN round(sum(CASE WHEN rn <= 3 THEN v END) / 3, 4) END AS mean_3, CASE WHEN count(CASE WHEN rn <= 12 THEN 1 END) = 12 THEN sum(CASE WHEN rn <= 12 THEN v END) END AS sum_12,
+  max(CASE WHEN rn = 1 THEN (SELECT v FROM k p WHERE p.flow = r.flow AND p.day = r.day AND p.period = r.period - INTERVAL 12 MONTH) END) AS past FROM r GROUP BY 1, 2""")
 def trade_daily(spark, sf_dir):
-    """Monthly flows as known on each day of a month grid.
+    """Monthly flows as known on each day of a month grid: a month counts with the rows known by then.
 
-    A month's windows change only when a month becomes known, so they are worked out
-    once per month and looked up as of each day. Months become known in order.
+    Totals are swept once over the days on which something becomes known, and looked up as of each day.
     """
-    k = trade(spark, sf_dir).groupBy("flow", "period").agg(F.max("known").alias("known"), F.sum("quantity").alias("v"))
-    steps = P.last_n_periods(k, ["flow"], "period", "v", 3, 12)
-    days = k.select("flow").distinct().select("flow", F.explode(F.expr("sequence(date '1996-01-15', date '2001-01-15', interval 1 month)")).alias("day"))
-    out = P.asof_backward(days, steps, ["flow"], "day", "known", ["period", "v", "mean_last", "sum_last"], ["period"])
-    got = out.filter("found is not null")
-    return got.select("flow", "day", F.col("found.period").alias("last_period"), F.col("found.v").alias("volume"), F.col("found.mean_last").alias("mean_3"), F.col("found.sum_last").alias("sum_12"))
+    c = F.col
+    changes = B.weighted_changes(trade(spark, sf_dir), None, [], ["flow"], "period", F.greatest("known", F.last_day("period")), c("quantity"), c("value"))
+    steps = B.newest_periods(changes, ["flow"], "period")
+    days = changes.select("flow").distinct().select("flow", F.explode(F.expr("sequence(date '1996-01-15', date '2001-01-15', interval 1 month)")).alias("day"))
+    got = P.asof_backward(days, steps, ["flow"], "day", "at", ["period", "volume", "mean", "sum", "past"]).filter("found is not null")
+    number = lambda n: c(f"found.{n}").cast("double")
+    return got.select("flow", "day", c("found.period").alias("last_period"), number("volume").alias("volume"), F.round(number("mean"), 4).alias("mean_3"), number("sum").alias("sum_12"), number("past").alias("past"))
 
 
 SELECT_SQL = """sel_{n} AS (SELECT metric, country, arg_max(value, (known, marketing_year, report_month)) AS value, max(known) AS as_of FROM balance WHERE known {op} {cut} GROUP BY 1, 2),

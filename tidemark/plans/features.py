@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
+from tidemark.operators import bitemporal as B
 from tidemark.operators import pointintime as P
 from tidemark.plans.registry import ORACLE, QUERIES, query
 from tidemark.plans.series import BARS_SQL, MONTHLY_SQL, RATES_SQL, WEATHER_SQL, bars, events, monthly, rates, weather
@@ -65,50 +66,85 @@ def product_weather_daily(spark, sf_dir):
 
 # --- trade -------------------------------------------------------------------------
 
-_FLOWS = {"export": "export", "import": "import", "re_export": "re_export"}
-_TRADE_COLUMNS = {"_volume_1m": "volume", "_volume_3m_avg": "mean_3", "_volume_12m_sum": "sum_12", "_value_1m": "value", "_yoy": "yoy"}
-TRADE_STEPS_SQL = f"""{TRADE_SQL}, pt AS (SELECT product, flow, period, sum(quantity * w) / 6 AS volume, CAST(sum(value * w) AS DOUBLE) / 6 AS value, max(known) AS known
-  FROM (SELECT trade.*, p.product, 6 // (1 + (CAST(split_part(code, '#', 2) AS INTEGER) + p.product) % 3) AS w FROM trade, range({PRODUCTS}) p(product)) GROUP BY 1, 2, 3),
-steps AS (SELECT a.*, CASE WHEN count(*) OVER w3 = 3 THEN avg(a.volume) OVER w3 END AS mean_3, CASE WHEN count(*) OVER w12 = 12 THEN sum(a.volume) OVER w12 END AS sum_12, round((a.volume - b.volume) / nullif(b.volume, 0), 6) AS yoy
-  FROM pt a LEFT JOIN pt b ON b.product = a.product AND b.flow = a.flow AND a.period = b.period + INTERVAL 12 MONTH
-  WINDOW w3 AS (PARTITION BY a.product, a.flow ORDER BY a.period ROWS 2 PRECEDING), w12 AS (PARTITION BY a.product, a.flow ORDER BY a.period ROWS 11 PRECEDING))"""
+#: Groups of rows whose months are totalled: flow and reporting nations (None: all).
+_TRADE_GROUPS = {"export": ("export", None), "import": ("import", None), "china_import": ("import", (2,)), "major_exporter": ("export", (1, 3, 5, 7)), "major_importer": ("import", (2, 4, 6, 8))}
+_MONTHS = {"_volume_1m": "volume", "_volume_3m_avg": "mean", "_volume_12m_sum": "sum", "_value_1m": "value", "_past": "past", "_period": "period"}
+_TRADE_FLAGS = {
+    "missing_export_volume": "export_volume_1m", "missing_import_volume": "import_volume_1m", "missing_3m_history": "export_volume_3m_avg", "missing_12m_history": "export_volume_12m_sum",
+    "missing_yoy_history": "trade_yoy_change", "missing_china_import_proxy": "china_import_volume_1m", "missing_major_exporter_proxy": "major_exporter_volume_1m", "missing_major_importer_proxy": "major_importer_volume_1m",
+}
+#: By code number and product: sixths of a weight, and from and until when it holds.
+TRADE_WEIGHTS_SQL = f"""tw AS (SELECT 'Brand#' || c AS code, p AS product, CAST(6 // (1 + (c + p) % 3) AS INTEGER) AS weight, CASE WHEN (c + p) % 5 = 1 THEN DATE '1997-01-01' ELSE DATE '1990-01-01' END AS effective_from,
+  CASE WHEN p = 3 THEN DATE '1999-06-30' WHEN (c + p) % 5 = 0 THEN DATE '1998-06-30' END AS effective_to FROM (SELECT 10 * a + b AS c FROM range(1, 6) x(a), range(1, 6) y(b)), range({PRODUCTS}) r(p)),
+tr AS (SELECT code, reporter, flow, period, last_day(period) AS period_end, known, CASE WHEN reporter <> 24 THEN quantity END AS volume, CASE WHEN reporter % 8 <> 3 THEN value END AS value FROM trade)"""
+
+
+def trade_weights(spark) -> DataFrame:
+    """The same weights as rows: 25 codes for each product."""
+    c, p = F.col("c"), F.col("product")
+    grid = spark.range(25 * PRODUCTS).select((10 * (1 + F.floor(F.col("id") / 5) % 5) + 1 + F.col("id") % 5).cast("int").alias("c"), F.floor(F.col("id") / 25).cast("long").alias("product"))
+    until = F.when(p == 3, F.lit("1999-06-30")).when((c + p) % 5 == 0, F.lit("1998-06-30")).cast("date")
+    return grid.select(F.concat(F.lit("Brand#"), c.cast("string")).alias("code"), "product", (6 / (1 + (c + p) % 3)).cast("int").alias("weight"), F.when((c + p) % 5 == 1, F.lit("1997-01-01")).otherwise(F.lit("1990-01-01")).cast("date").alias("effective_from"), until.alias("effective_to"))
 
 
 def _trade_sql(probes: str) -> str:
-    """Columns of ``probes`` (product, day) with the trade steps known then."""
-    return f"""SELECT *, round(export_volume_1m - import_volume_1m, 4) AS net_export_volume_1m, round(export_value_1m / nullif(export_volume_1m, 0), 6) AS export_unit_value, round(import_value_1m / nullif(import_volume_1m, 0), 6) AS import_unit_value,
-  round((export_volume_1m - import_volume_1m) / nullif(export_volume_1m + import_volume_1m, 0), 6) AS trade_balance_proxy, CAST(day - trade_as_of AS INTEGER) AS trade_lag_days FROM (
-  SELECT g.product, g.day, max(s.period) AS trade_period, max(s.known) AS trade_as_of, {_cases("s.flow", _FLOWS, {k: f"round(s.{v}, 4)" for k, v in _TRADE_COLUMNS.items()})}
-  FROM (SELECT p.product, p.day, f.flow FROM {probes} p, (SELECT DISTINCT flow FROM steps) f) g ASOF JOIN steps s ON s.product = g.product AND s.flow = g.flow AND s.known <= g.day GROUP BY 1, 2)"""
+    """Columns of ``probes`` (product, day) from all rows known then, each joined to each day. ``probes`` names a table."""
+    kind = " ".join(f"WHEN grp = '{g}' THEN flow = '{flow}'" + (f" AND reporter IN ({', '.join(map(str, only))})" if only else "") for g, (flow, only) in _TRADE_GROUPS.items())
+    flags = ", ".join(f"CASE WHEN {c} IS NULL THEN '{n}' END" for n, c in _TRADE_FLAGS.items())
+    cases = ", ".join(f"max(CASE WHEN grp = '{g}' AND rn = 1 THEN {c} END) AS {g}_{c}" for g in _TRADE_GROUPS for c in ("period", "volume", "value"))
+    windows = ", ".join(f"CASE WHEN count(CASE WHEN grp = '{g}' AND rn <= {n} THEN 1 END) = {n} THEN sum(CASE WHEN grp = '{g}' AND rn <= {n} THEN volume END) END AS {g}_{n}" for g in ("export", "import") for n in (3, 12))
+    return f"""WITH el AS (SELECT g.product, g.day, t.*, w.weight FROM {probes} g JOIN tw w ON w.product = g.product AND w.effective_from <= g.day AND (w.effective_to IS NULL OR w.effective_to >= g.day) JOIN tr t ON t.code = w.code AND t.known <= g.day AND t.period_end <= g.day),
+mo AS (SELECT product, day, grp, period, sum(volume * weight) / 6 AS volume, CAST(sum(value * weight) AS DOUBLE) / 6 AS value FROM el, (VALUES {", ".join(f"('{g}')" for g in _TRADE_GROUPS)}) x(grp) WHERE volume IS NOT NULL AND CASE {kind} END GROUP BY ALL),
+rk AS (SELECT a.*, b.volume AS past, row_number() OVER (PARTITION BY a.product, a.day, a.grp ORDER BY a.period DESC) AS rn FROM mo a LEFT JOIN mo b ON b.product = a.product AND b.day = a.day AND b.grp = a.grp AND b.period = a.period - INTERVAL 12 MONTH),
+wd AS (SELECT product, day, {cases}, {windows}, max(CASE WHEN grp = 'export' AND rn = 1 THEN past END) AS export_past, max(CASE WHEN grp = 'import' AND rn = 1 THEN past END) AS import_past FROM rk GROUP BY 1, 2),
+ao AS (SELECT product, day, max(known) AS trade_as_of FROM el GROUP BY 1, 2),
+aw AS (SELECT DISTINCT g.product, g.day FROM {probes} g JOIN tw w ON w.product = g.product AND w.effective_from <= g.day AND (w.effective_to IS NULL OR w.effective_to >= g.day)),
+fe AS (SELECT g.product, g.day, export_period AS trade_export_period, import_period AS trade_import_period, round(export_volume, 4) AS export_volume_1m, round(export_3 / 3, 4) AS export_volume_3m_avg, round(export_12, 4) AS export_volume_12m_sum, round(import_volume, 4) AS import_volume_1m, round(import_3 / 3, 4) AS import_volume_3m_avg, round(import_12, 4) AS import_volume_12m_sum,
+  round(export_volume - import_volume, 4) AS net_export_volume_1m, round(export_value, 4) AS export_value_1m, round(import_value, 4) AS import_value_1m, round(export_value / nullif(export_volume, 0), 6) AS export_unit_value, round(import_value / nullif(import_volume, 0), 6) AS import_unit_value, round(china_import_volume, 4) AS china_import_volume_1m, round(major_exporter_volume, 4) AS major_exporter_volume_1m,
+  round(major_importer_volume, 4) AS major_importer_volume_1m, round(export_volume - import_volume, 4) AS trade_balance_proxy, round(CASE WHEN export_volume IS NOT NULL THEN (export_volume - export_past) / nullif(export_past, 0) ELSE (import_volume - import_past) / nullif(import_past, 0) END, 6) AS trade_yoy_change,
+  trade_as_of, CAST(g.day - trade_as_of AS INTEGER) AS trade_lag_days, aw.day IS NOT NULL AS weighted FROM (SELECT DISTINCT product, day FROM {probes}) g LEFT JOIN wd ON wd.product = g.product AND wd.day = g.day LEFT JOIN ao ON ao.product = g.product AND ao.day = g.day LEFT JOIN aw ON aw.product = g.product AND aw.day = g.day)
+SELECT * EXCLUDE (weighted), CASE WHEN NOT weighted THEN 'no_product_trade_code_weights' WHEN trade_as_of IS NULL THEN 'no_trade_flows' ELSE nullif(concat_ws(',', {flags}), '') END AS trade_flags FROM fe"""
 
 
 def trade_as_of(spark, sf_dir, probes: DataFrame) -> DataFrame:
-    """``probes`` (product, day) with volumes, values, windows and yearly change as known on the day."""
+    """``probes`` (product, day), once each, with volumes, values, windows and yearly change of what was known on the day.
+
+    A row counts from the day on which it is known and its month is over. A month shows
+    with those of its rows that count, so its total grows while reporters publish, and
+    only under weights that hold on the day.
+    """
     c = F.col
-    code = F.split_part(c("code"), F.lit("#"), F.lit(2)).cast("int")
-    rows = trade(spark, sf_dir).withColumn("product", F.explode(F.array(*(F.lit(p).cast("long") for p in range(PRODUCTS)))))
-    rows = rows.withColumn("w", (6 / (1 + (code + c("product")) % 3)).cast("int"))
-    monthly = rows.groupBy("product", "flow", "period").agg((F.sum(c("quantity") * c("w")) / 6).alias("volume"), (F.sum(c("value") * c("w")).cast("double") / 6).alias("value"), F.max("known").alias("known"))
-    keys = ["product", "flow"]
-    w = Window.partitionBy(*keys).orderBy("period")
-    full = lambda n, f: F.when(F.count("*").over(w.rowsBetween(1 - n, 0)) == n, f("volume").over(w.rowsBetween(1 - n, 0)))
-    steps = P.year_change(monthly, keys, "period", "volume").withColumns({"mean_3": full(3, F.avg), "sum_12": full(12, F.sum)})
-    grid = probes.withColumn("flow", F.explode(F.array(*map(F.lit, _FLOWS))))
-    found = P.asof_backward(grid, steps, keys, "day", "known", ["period", *_TRADE_COLUMNS.values()], ["period"]).filter("found is not null")
-    wide = found.groupBy("product", "day").agg(F.max("found.period").alias("trade_period"), F.max("found.found_at").alias("trade_as_of"), *_pivoted("flow", _FLOWS, {k: F.round(f"found.{v}", 4) for k, v in _TRADE_COLUMNS.items()}))
+    rows = trade(spark, sf_dir).withColumns({"volume": F.when(c("reporter") != 24, c("quantity")), "value": F.when(c("reporter") % 8 != 3, c("value")), "since": F.greatest("known", F.last_day("period"))})
+    groups = F.array_compact(F.array(*(F.when((c("flow") == flow) & (c("reporter").isin(*only) if only else F.lit(True)), F.lit(g)) for g, (flow, only) in _TRADE_GROUPS.items())))
+    w, keys = trade_weights(spark), ["product", "grp"]
+    changes = B.weighted_changes(rows.withColumn("grp", F.explode(groups)), w, ["code"], keys, "period", c("since"), c("volume"), c("value"))
+    steps = B.newest_periods(changes, keys, "period")
+    days = probes.select("product", "day").distinct()
+    grid = days.withColumn("grp", F.explode(F.array(*map(F.lit, _TRADE_GROUPS))))
+    found = P.asof_backward(grid, steps, keys, "day", "at", ["period", "volume", "value", "mean", "sum", "past"])
+    sixth = {s: c(f"found.{n}") if n == "period" else c(f"found.{n}").cast("double") / 6 for s, n in _MONTHS.items()}
+    wide = found.groupBy("product", "day").agg(*_pivoted("grp", {g: g for g in _TRADE_GROUPS}, sixth))
+    known = B.known_through(rows, w, ["code"], ["product"], days, "day", c("since"), c("known")).withColumnRenamed("known", "trade_as_of")
+    holds = days.join(w, "product").filter("effective_from <= day and (effective_to is null or effective_to >= day)").select("product", "day").distinct().withColumn("weighted", F.lit(True))
+    wide = wide.join(known, ["product", "day"], "left").join(holds, ["product", "day"], "left")
     out, into = c("export_volume_1m"), c("import_volume_1m")
-    return wide.withColumns({
-        "net_export_volume_1m": F.round(out - into, 4), "export_unit_value": F.round(S.safe_ratio(c("export_value_1m"), out), 6), "import_unit_value": F.round(S.safe_ratio(c("import_value_1m"), into), 6),
-        "trade_balance_proxy": F.round(S.safe_ratio(out - into, out + into), 6), "trade_lag_days": F.date_diff("day", "trade_as_of"),
-    })
+    yoy = lambda g: S.safe_ratio(c(f"{g}_volume_1m") - c(f"{g}_past"), c(f"{g}_past"))
+    made = wide.select(
+        "product", "day", c("export_period").alias("trade_export_period"), c("import_period").alias("trade_import_period"), *(F.round(f"{g}{s}", 4).alias(f"{g}{s}") for g in ("export", "import") for s in list(_MONTHS)[:4]),
+        *(F.round(f"{g}_volume_1m", 4).alias(f"{g}_volume_1m") for g in list(_TRADE_GROUPS)[2:]), *(F.round(out - into, 4).alias(n) for n in ("net_export_volume_1m", "trade_balance_proxy")),
+        F.round(S.safe_ratio(c("export_value_1m"), out), 6).alias("export_unit_value"), F.round(S.safe_ratio(c("import_value_1m"), into), 6).alias("import_unit_value"),
+        F.round(F.when(out.isNotNull(), yoy("export")).otherwise(yoy("import")), 6).alias("trade_yoy_change"), "trade_as_of", F.date_diff("day", "trade_as_of").alias("trade_lag_days"), "weighted",
+    )
+    flags = S.true_flags({n: c(x).isNull() for n, x in _TRADE_FLAGS.items()})
+    return made.withColumn("trade_flags", F.when(c("weighted").isNull(), "no_product_trade_code_weights").when(c("trade_as_of").isNull(), "no_trade_flows").otherwise(flags)).drop("weighted")
 
 
-_TRADE_GRID = f"(SELECT p.product, CAST(d.d AS DATE) AS day FROM range({PRODUCTS}) p(product), (SELECT unnest(generate_series(DATE '1996-01-15', DATE '2001-01-15', INTERVAL 1 MONTH)) AS d) d)"
+_TRADE_GRID = f"(SELECT CAST(p.product AS BIGINT) AS product, CAST(d.d AS DATE) AS day FROM range({PRODUCTS}) p(product), (SELECT unnest(generate_series(DATE '1991-12-15', DATE '2001-01-15', INTERVAL 1 MONTH)) AS d) d)"
 
 
-@query("product_trade_daily", f"WITH {TRADE_STEPS_SQL} {_trade_sql(_TRADE_GRID)}")
+@query("product_trade_daily", f"WITH {TRADE_SQL}, {TRADE_WEIGHTS_SQL}, gr AS {_TRADE_GRID}, tx AS ({_trade_sql('gr')}) SELECT * FROM tx")
 def product_trade_daily(spark, sf_dir):
-    days = spark.range(PRODUCTS).select(F.col("id").alias("product"), F.explode(F.expr("sequence(date '1996-01-15', date '2001-01-15', interval 1 month)")).alias("day"))
+    days = spark.range(PRODUCTS).select(F.col("id").alias("product"), F.explode(F.expr("sequence(date '1991-12-15', date '2001-01-15', interval 1 month)")).alias("day"))
     return trade_as_of(spark, sf_dir, days)
 
 
@@ -216,11 +252,12 @@ def benchmark_group(spark, sf_dir, days: DataFrame) -> DataFrame:
 _NEWS = ("events_1d", "events_7d", "events_30d", "bullish_7d", "bearish_7d", "sentiment")
 _FLAGS = {"missing_fx": "click_rub", "missing_energy": "energy_0", "missing_benchmark": "benchmark_economy", "missing_weather": "weather_temperature_7d_mean", "missing_news": "news_events_30d", "missing_trade": "export_volume_1m", "missing_supply": "production"}
 _CAL_SQL = ORACLE["calendar"].replace("SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders", "SELECT DISTINCT CAST(ts + INTERVAL 3 HOUR AS DATE) AS day FROM events WHERE event_type IN ('purchase', 'view')")
-_WIDE_SQL = f"""WITH {BARS_SQL}, {RATES_SQL}, days AS ({_DAYS}), {FX_SQL}, {ENERGY_SQL}, {TRADE_STEPS_SQL}, {SUPPLY_SQL},
+_WIDE_SQL = f"""WITH {BARS_SQL}, {RATES_SQL}, days AS ({_DAYS}), {FX_SQL}, {ENERGY_SQL}, {TRADE_SQL}, {TRADE_WEIGHTS_SQL}, {SUPPLY_SQL},
 base AS (SELECT product, day, price_observations, price_first, price_last, price_min, price_max, price_delta_abs_1d, rolling_mean_3, rolling_mean_7, rolling_std_7, CASE WHEN price_observations > 1 THEN round(price_last - price_first, 6) END AS price_intraday_abs, CAST(day - INTERVAL {_BEFORE} MONTH AS DATE) AS past FROM ({ORACLE["product_daily"]})),
 wx AS (SELECT product, day, {", ".join(f"{n} AS weather_{n}" for n in _WEATHER)}, regions_used AS weather_regions_used, missing_flags AS weather_flags FROM ({PRODUCT_WEATHER_SQL})),
 nx AS (SELECT product AS letter, day, {", ".join(f"{n} AS news_{n}" for n in _NEWS)} FROM ({ORACLE["news_daily"]})),
-tx AS ({_trade_sql("(SELECT DISTINCT product % 4 AS product, past AS day FROM base)")}),
+pp AS (SELECT DISTINCT product % 4 AS product, past AS day FROM base),
+tx AS ({_trade_sql("pp")}),
 sx AS ({_supply_sql("(SELECT DISTINCT past AS day FROM base)")}),
 {BENCHMARK_SQL},
 cal AS ({_CAL_SQL}),
