@@ -77,9 +77,23 @@ def canonical_decimal(value: Column) -> Column:
     return F.regexp_replace(plain, r"\.$", "")
 
 
-def record_hash(*parts: Column) -> Column:
-    """SHA-256 of the parts as text, joined by a bar; nulls stand as empty."""
-    return F.sha2(F.concat_ws("|", *(F.coalesce(p.cast("string"), F.lit("")) for p in parts)), 256)
+def canonical_json(fields: dict, ordered: bool = True) -> Column:
+    """The fields as one line of JSON without blanks, by name unless ``ordered`` is false; nulls are written.
+
+    Values are columns, or mappings of their own. Numbers that have to be the same however
+    they are written are passed through ``canonical_decimal``.
+    """
+
+    def made(named: dict) -> Column:
+        names = sorted(named) if ordered else list(named)
+        return F.struct(*((made(named[n]) if isinstance(named[n], dict) else named[n]).alias(n) for n in names))
+
+    return F.to_json(made(fields), {"ignoreNullFields": "false"})
+
+
+def record_hash(fields: dict) -> Column:
+    """SHA-256 of the canonical JSON of the fields, so neither their order nor trailing zeros of canonical decimals matter, and null isn't empty."""
+    return F.sha2(canonical_json(fields), 256)
 
 
 def composite_id(explicit: Column, *parts: Column) -> Column:

@@ -7,15 +7,24 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions import scalars as S
+
 #: Statuses that need no attention.
 OK_STATUSES = ("pass", "skip", "info")
 
 
+def _folded(existing: DataFrame, incoming: DataFrame, keys: list[str], digest: str, order: list[str]) -> DataFrame:
+    """Stored rows (one a key: the least digest) and deliveries as one table with ``__side`` (0 stored) and ``__d``."""
+    stored = existing.groupBy(*keys).agg(F.min(digest).alias("__d")).withColumn("__side", F.lit(0))
+    delivered = incoming.withColumn("__d", F.col(digest)).withColumn("__side", F.lit(1))
+    return stored.unionByName(delivered, allowMissingColumns=True).withColumn("__nth", F.row_number().over(Window.partitionBy(*keys).orderBy("__side", *order, "__d")))
+
+
 def insert_if_absent(existing: DataFrame, incoming: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Incoming rows whose key is new, the first of each by ``order``."""
-    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    fresh = incoming.withColumn("__rn", first).filter("__rn = 1").drop("__rn")
-    return fresh.join(existing.select(*keys), keys, "left_anti")
+    """Incoming rows whose key is new, the first of each by ``order``; nulls equal nulls."""
+    none = F.lit(None).cast("string")
+    fresh = _folded(existing.withColumn("__none", none), incoming.withColumn("__none", none), keys, "__none", order)
+    return fresh.filter("__side = 1 and __nth = 1").select(*incoming.columns)
 
 
 def identity_match(incoming: DataFrame, existing: DataFrame, keys: list[str], found: str) -> DataFrame:
@@ -25,35 +34,104 @@ def identity_match(incoming: DataFrame, existing: DataFrame, keys: list[str], fo
     return incoming.join(other, same, "left").drop(*(f"__{k}" for k in keys))
 
 
-def merge_actions(existing: DataFrame, incoming: DataFrame, keys: list[str], digest: str) -> DataFrame:
+def merge_actions(existing: DataFrame, incoming: DataFrame, keys: list[str], digest: str, order: list[str] | None = None) -> DataFrame:
     """Incoming rows with ``action``: insert, skip (same digest) or conflict (never overwritten).
 
-    A stored row counts as there whatever its digest; nulls equal nulls.
+    Deliveries are taken in ``order`` (ties: by digest), so the first of a new key is
+    inserted and those after it are compared with it. A stored row counts as there whatever
+    its digest; of stored rows that repeat a key the least digest counts. Nulls equal
+    nulls, in keys and digests. Each incoming row comes out once. Rows of a key are
+    streamed through one task in this order; nothing of them is held.
     """
-    old = existing.select(*keys, F.col(digest).alias("__old"), F.lit(True).alias("__there"))
-    action = F.when(F.col("__there").isNull(), "insert").when(F.col("__old").eqNullSafe(F.col(digest)), "skip").otherwise("conflict")
-    return incoming.join(old, keys, "left").withColumn("action", action).drop("__old", "__there")
+    rows = _folded(existing, incoming, keys, digest, order or [])
+    run = Window.partitionBy(*keys).orderBy("__nth").rowsBetween(Window.unboundedPreceding, 0)
+    held = F.first(F.struct("__d")).over(run)["__d"]
+    action = F.when(F.col("__nth") == 1, "insert").when(held.eqNullSafe(F.col("__d")), "skip").otherwise("conflict")
+    return rows.withColumn("action", action).filter("__side = 1").select(*incoming.columns, "action")
 
 
-def bar_revisions(existing: DataFrame, incoming: DataFrame, keys: list[str], day: str, digest: str) -> DataFrame:
-    """As ``merge_actions``, but a change of the newest bar of a key is an update, an older one is rejected."""
-    merged = merge_actions(existing, incoming, [*keys, day], digest)
-    newest = existing.groupBy(*keys).agg(F.max(day).alias("__newest"))
-    changed = F.when(F.col(day) == F.col("__newest"), "update").otherwise("reject")
-    return merged.join(newest, keys, "left").withColumn("action", F.when(F.col("action") == "conflict", changed).otherwise(F.col("action"))).drop("__newest")
+def bar_revisions(existing: DataFrame, incoming: DataFrame, keys: list[str], day: str, digest: str, order: list[str] | None = None) -> DataFrame:
+    """As ``merge_actions``, but a change of the newest bar of a key is an update, an older one is rejected.
 
+    What is newest moves with the bars that earlier deliveries bring, and an update is
+    what later deliveries of its bar are compared with.
+    """
+    rows = _folded(existing, incoming, [*keys, day], digest, order or [])
+    moment = ["__side", *(order or []), day, "__d"]
+    rows = rows.withColumn("__newest", F.max(day).over(Window.partitionBy(*keys).orderBy(*moment).rowsBetween(Window.unboundedPreceding, 0)))
+    newest = F.coalesce(F.col(day) == F.col("__newest"), F.lit(False))
+    before = Window.partitionBy(*keys, day).orderBy("__nth").rowsBetween(Window.unboundedPreceding, -1)
+    held = F.last(F.when((F.col("__nth") == 1) | newest, F.struct("__d")), ignorenulls=True).over(before)["__d"]
+    action = F.when(F.col("__nth") == 1, "insert").when(held.eqNullSafe(F.col("__d")), "skip").when(newest, "update").otherwise("reject")
+    return rows.withColumn("action", action).filter("__side = 1").select(*incoming.columns, "action")
+
+
+def revision_numbers(changes: DataFrame, stored: DataFrame, keys: list[str], order: list[str], number: str = "revision") -> DataFrame:
+    """``changes`` numbered on from the highest stored number of their key; nulls equal nulls."""
+    last = stored.groupBy(*(F.col(k).alias(f"__{k}") for k in keys)).agg(F.max(number).alias("__last"))
+    same = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys))
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return changes.withColumn("__n", nth).join(last, same, "left").select(*changes.columns, (F.coalesce("__last", F.lit(0)) + F.col("__n")).cast("int").alias(number))
 
-def field_diff(old: DataFrame, new: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
-    """Rows with the names of fields that differ, in order."""
-    right = new.select(*keys, *(F.col(f).alias(f"__{f}") for f in fields))
-    differ = F.concat_ws(",", *(F.when(~F.col(f).eqNullSafe(F.col(f"__{f}")), F.lit(f)) for f in fields))
-    return old.join(right, keys).withColumn("changed", differ).filter("changed <> ''").select(*keys, "changed")
 
+def field_diff(old: DataFrame, new: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
+    """(keys, changed, diff): names of the fields that differ, in order, and each one's old and new value as JSON.
 
-def feature_upsert(existing: DataFrame, built: DataFrame, keys: list[str], same: Column) -> DataFrame:
-    """Keys of ``built`` with created, updated or skipped; ``same`` compares columns of x (old) and y (new), null-safe."""
-    pairs = existing.withColumn("__there", F.lit(True)).alias("x").join(built.alias("y"), keys, "right")
-    return pairs.select(*keys, F.when(F.col("x.__there").isNull(), "created").when(same, "skipped").otherwise("updated").alias("action"))
+    Decimals are told apart and written without trailing zeros; where both are there, their
+    difference and its share of the old value (8 digits, null for 0) are added. Nulls equal
+    nulls. Rows without a difference are left out, as are keys on one side only.
+    """
+    exact = {c for c, t in old.dtypes if t.startswith("decimal")}
+    right = new.select(*(F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)), *(F.col(f).alias(f"__new_{f}") for f in fields))
+    same = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)))
+    left, after = (lambda f: F.col(f)), (lambda f: F.col(f"__new_{f}"))
+    differ = {f: ~left(f).eqNullSafe(after(f)) for f in fields}
+
+    def piece(f: str) -> Column:
+        if f not in exact:
+            return S.canonical_json({"old": left(f), "new": after(f)}, ordered=False)
+        pair = {"old": S.canonical_decimal(left(f)), "new": S.canonical_decimal(after(f))}
+        change = after(f) - left(f)
+        more = {"diff_abs": S.canonical_decimal(change), "diff_pct": S.canonical_decimal(F.round(F.try_divide(change, left(f)), 8))}
+        return F.when(change.isNull(), S.canonical_json(pair, ordered=False)).otherwise(S.canonical_json(pair | more, ordered=False))
+
+    changed = F.concat_ws(",", *(F.when(d, F.lit(f)) for f, d in differ.items()))
+    diff = F.concat(F.lit("{"), F.concat_ws(",", *(F.when(d, F.concat(F.lit(f'"{f}":'), piece(f))) for f, d in differ.items())), F.lit("}"))
+    return old.join(right, same).select(*keys, changed.alias("changed"), diff.alias("diff")).filter("changed <> ''")
+
+
+def feature_upsert(existing: DataFrame, built: DataFrame, keys: list[str], same: Column, order: list[str] | None = None) -> DataFrame:
+    """Keys of ``built`` with created, updated or skipped; ``same`` compares columns of x (old) and y (new), null-safe.
+
+    Rows that are built more than once for a key are taken in ``order``: each is compared
+    with the one before it. Of stored rows that repeat a key the greatest counts; nulls
+    equal nulls. Each built row gives one row.
+    """
+    values = [c for c in existing.columns if c not in keys]
+    stored = existing.groupBy(*keys).agg(F.max(F.struct(*values) if values else F.lit(1)).alias("y")).withColumn("__side", F.lit(0))
+    built_ = built.select(*keys, F.struct(*(values or [F.lit(1)])).alias("y"), *(F.col(c).alias(f"__o{i}") for i, c in enumerate(order or [])), F.lit(1).alias("__side"))
+    if not values:
+        built_ = built_.withColumn("y", F.lit(1))
+    w = Window.partitionBy(*keys).orderBy("__side", *(f"__o{i}" for i in range(len(order or []))), "y")
+    pairs = stored.unionByName(built_, allowMissingColumns=True).withColumn("x", F.lag("y").over(w)).withColumn("__nth", F.row_number().over(w))
+    return pairs.filter("__side = 1").select(*keys, F.when(F.col("__nth") == 1, "created").when(same, "skipped").otherwise("updated").alias("action"))
+
+
+def run_summary(actions: DataFrame, run: str) -> DataFrame:
+    """Counts of each action by run, and success, partial_success or error.
+
+    ``actions`` has (run, action); actions are insert, skip, conflict, malformed, unmapped
+    and error. A run is a success if none of the last four occurred, and an error if they
+    are all it has (conflicts are rows found).
+    """
+    n = lambda x: F.count_if(F.col("action") == x)
+    out = actions.groupBy(run).agg(
+        F.count_if(~F.col("action").isin("error")).alias("found"), n("insert").alias("written"), n("skip").alias("skipped"), n("conflict").alias("conflicts"),
+        n("malformed").alias("malformed"), n("unmapped").alias("unmapped"), n("error").alias("errors"),
+    )
+    bad = F.col("conflicts") + F.col("malformed") + F.col("unmapped") + F.col("errors")
+    some = F.col("written") + F.col("skipped") + F.col("conflicts")
+    return out.withColumn("status", F.when(bad == 0, "success").when(some > 0, "partial_success").otherwise("error"))
 
 
 def row_checks(rows: DataFrame, row_id: list[Column], rules: dict[str, tuple[Column, str]]) -> DataFrame:

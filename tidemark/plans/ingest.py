@@ -15,7 +15,8 @@ from tidemark.session import table
 
 EXISTING_SQL = "existing AS (SELECT o_orderkey AS k, o_custkey AS c, CAST(round(o_totalprice * 100) AS BIGINT) AS cents, o_orderstatus AS s FROM orders WHERE o_orderkey % 3 <> 0)"
 INCOMING_SQL = "incoming AS (SELECT o_orderkey AS k, o_custkey AS c, CAST(round(o_totalprice * 100) AS BIGINT) + CASE WHEN o_orderkey % 5 = 0 THEN 100 ELSE 0 END AS cents, CASE WHEN o_orderkey % 11 = 0 THEN 'X' ELSE o_orderstatus END AS s FROM orders)"
-HASH_SQL = "sha256(concat_ws('|', CAST(k AS VARCHAR), CAST(c AS VARCHAR), CAST(cents AS VARCHAR), s))"
+_PLAIN = r"regexp_replace(regexp_replace(CAST(CAST({} AS DECIMAL(38,8)) AS VARCHAR), '(\.[0-9]*?)0+$', '\1'), '\.$', '')"
+HASH_SQL = f"sha256(CAST(to_json({{'about': {{'customer': c, 'note': CASE WHEN k % 4 <> 0 THEN s END}}, 'k': k, 'price': {_PLAIN.format('cents / 100.0')}, 's': s}}) AS VARCHAR))"
 
 
 def orders(spark, sf_dir) -> DataFrame:
@@ -23,7 +24,10 @@ def orders(spark, sf_dir) -> DataFrame:
 
 
 def hashed(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("h", S.record_hash(F.col("k"), F.col("c"), F.col("cents"), F.col("s")))
+    """With the digest of each row's canonical JSON: its price, written with or without zeros, and nested fields, some null."""
+    price = F.when(F.col("k") % 2 == 0, (F.col("cents") / 100).cast("decimal(18,2)").cast("string")).otherwise((F.col("cents") / 100).cast("decimal(18,6)").cast("string"))
+    about = {"note": F.when(F.col("k") % 4 != 0, F.col("s")), "customer": F.col("c")}
+    return rows.withColumn("h", S.record_hash({"s": F.col("s"), "price": S.canonical_decimal(price), "k": F.col("k"), "about": about}))
 
 
 def sides(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
@@ -39,10 +43,23 @@ def record_hash(spark, sf_dir):
     return sides(spark, sf_dir)[1].select("k", "h")
 
 
-@query("merge_actions", f"WITH {EXISTING_SQL}, {INCOMING_SQL} SELECT i.k, CASE WHEN e.k IS NULL THEN 'insert' WHEN e.cents = i.cents AND e.s = i.s AND e.c = i.c THEN 'skip' ELSE 'conflict' END AS action FROM incoming i LEFT JOIN existing e ON e.k = i.k")
+DELIVERIES_SQL = f"""{EXISTING_SQL}, {INCOMING_SQL}, deliveries AS (SELECT 1 AS n, * FROM incoming UNION ALL SELECT 2, k, c, cents + CASE WHEN k % 7 = 0 THEN 1 ELSE 0 END, s FROM incoming WHERE k % 2 = 0),
+base AS (SELECT k, first(cents ORDER BY n, cents, s) AS cents, first(s ORDER BY n, cents, s) AS s, min(n) AS n FROM (SELECT 0 AS n, k, c, cents, s FROM existing UNION ALL SELECT n, k, c, cents, s FROM deliveries) GROUP BY k)"""
+
+
+def deliveries(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """What is stored, and two deliveries: all rows, some changed, and a part of them again."""
+    existing, first = sides(spark, sf_dir)
+    again = hashed(first.drop("h").filter("k % 2 = 0").withColumn("cents", F.col("cents") + F.when(F.col("k") % 7 == 0, 1).otherwise(0)))
+    return existing, first.withColumn("n", F.lit(1)).unionByName(again.withColumn("n", F.lit(2)))
+
+
+@query("merge_actions", f"""WITH {DELIVERIES_SQL}
+SELECT d.n, d.k, CASE WHEN b.n = d.n THEN 'insert' WHEN b.cents = d.cents AND b.s = d.s THEN 'skip' ELSE 'conflict' END AS action FROM deliveries d JOIN base b USING (k)""")
 def merge_actions(spark, sf_dir):
-    existing, incoming = sides(spark, sf_dir)
-    return I.merge_actions(existing, incoming, ["k"], "h").select("k", "action")
+    """Two deliveries in order against what is stored: of a new key the first is inserted, the second skipped or a conflict."""
+    existing, rows = deliveries(spark, sf_dir)
+    return I.merge_actions(existing, rows, ["k"], "h", ["n"]).select("n", "k", "action")
 
 
 @query("insert_if_absent", f"WITH {EXISTING_SQL}, {INCOMING_SQL}, f AS (SELECT *, row_number() OVER (PARTITION BY c, s ORDER BY k) AS rn FROM incoming) SELECT k, c, s FROM f WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM existing e WHERE e.c = f.c AND e.s = f.s)")
@@ -79,32 +96,53 @@ def day_bars(spark, sf_dir) -> DataFrame:
     return rows.groupBy("seg", "day").agg(F.min_by("cents", "k").alias("open"), F.max_by("cents", "k").alias("close"), F.max("cents").alias("high"), F.min("cents").alias("low"))
 
 
+def bar_hash():
+    return S.record_hash({x: F.col(x) for x in ("open", "close", "high", "low")})
+
+
 def bar_sides(spark, sf_dir):
     b = day_bars(spark, sf_dir)
     newest = b.groupBy("seg").agg(F.max("day").alias("newest"))
     changed = (F.col("day") == F.col("newest")) | (F.col("day") == F.lit("1999-03-01").cast("date"))
     fresh = b.join(newest, "seg").withColumn("close", F.col("close") + F.when(changed, 5).otherwise(0)).drop("newest")
-    digest = S.record_hash(*(F.col(x) for x in ("open", "close", "high", "low")))
-    return b.withColumn("h", digest), fresh.withColumn("h", digest)
+    return b.withColumn("h", bar_hash()), fresh.withColumn("h", bar_hash())
 
 
-@query("bar_revisions", f"WITH {BAR_SQL} SELECT f.seg, f.day, CASE WHEN f.close = f.close2 THEN 'skip' WHEN f.day = n.day THEN 'update' ELSE 'reject' END AS action FROM fresh f JOIN newest n ON n.seg = f.seg")
+@query("bar_revisions", f"""WITH {BAR_SQL}, f AS (SELECT 1 AS n, seg, day, close2 FROM fresh UNION ALL SELECT 2, seg, day, close FROM fresh UNION ALL SELECT 2, seg, day + INTERVAL 400 DAY, close FROM fresh WHERE day IN (SELECT day FROM newest) UNION ALL SELECT 3, seg, day, close2 + 1 FROM fresh UNION ALL SELECT 3, seg, day + INTERVAL 400 DAY, close + 1 FROM fresh WHERE day IN (SELECT day FROM newest))
+SELECT f.n, f.seg, CAST(f.day AS DATE) AS day, CASE WHEN e.close IS NULL THEN CASE WHEN f.n = 2 THEN 'insert' WHEN f.day = l.day THEN 'update' ELSE 'reject' END WHEN f.n = 1 THEN CASE WHEN e.close = f.close2 THEN 'skip' WHEN f.day = w.day THEN 'update' ELSE 'reject' END
+  WHEN f.n = 2 THEN CASE WHEN f.day = w.day THEN 'update' ELSE 'skip' END ELSE 'reject' END AS action
+FROM f JOIN newest w ON w.seg = f.seg LEFT JOIN bars e ON e.seg = f.seg AND e.day = f.day JOIN (SELECT seg, max(day) AS day FROM f WHERE n = 2 GROUP BY 1) l ON l.seg = f.seg""")
 def bar_revisions(spark, sf_dir):
-    old, new = bar_sides(spark, sf_dir)
-    return I.bar_revisions(old, new, ["seg"], "day", "h").select("seg", "day", "action")
+    """Three deliveries: changed bars, then the old ones again and later bars, then changes of all, when only the latest bars may still move."""
+    old, first = bar_sides(spark, sf_dir)
+    newest = old.select("day", "seg").groupBy("seg").agg(F.max("day").alias("day")).select("day").distinct()
+    later = old.join(newest, "day", "left_semi").withColumn("day", F.date_add("day", 400))
+    more = lambda x, d: x.withColumn("close", F.col("close") + d)
+    parts = [(1, first), (2, old), (2, later), (3, more(first, 1)), (3, more(later, 1))]
+    rows = reduce(DataFrame.unionByName, (x.withColumn("n", F.lit(n)) for n, x in parts)).withColumn("h", bar_hash())
+    return I.bar_revisions(old, rows, ["seg"], "day", "h", ["n"]).select("n", "seg", "day", "action")
 
 
-@query("revision_number", f"WITH {BAR_SQL} SELECT seg, day, CAST(row_number() OVER (PARTITION BY seg ORDER BY day) AS INTEGER) AS revision FROM fresh WHERE close <> close2")
+@query("revision_number", f"WITH {BAR_SQL}, stored AS (SELECT seg, CAST(count(*) AS INTEGER) AS last FROM bars WHERE day < DATE '1993-01-01' AND seg <> 'BUILDING' GROUP BY 1) SELECT seg, day, CAST(coalesce(last, 0) + row_number() OVER (PARTITION BY seg ORDER BY day) AS INTEGER) AS revision FROM fresh LEFT JOIN stored USING (seg) WHERE close <> close2")
 def revision_number(spark, sf_dir):
+    """Changes of this delivery numbered on from the revisions that are stored; one segment has none yet."""
     old, new = bar_sides(spark, sf_dir)
     changed = I.merge_actions(old, new, ["seg", "day"], "h").filter("action = 'conflict'")
-    return changed.select("seg", "day", F.row_number().over(Window.partitionBy("seg").orderBy("day")).alias("revision"))
+    early = old.filter("day < date '1993-01-01' and seg <> 'BUILDING'")
+    stored = early.select("seg", F.row_number().over(Window.partitionBy("seg").orderBy("day")).alias("revision"))
+    return I.revision_numbers(changed.select("seg", "day"), stored, ["seg"], ["day"])
 
 
-@query("field_diff", f"WITH {EXISTING_SQL}, {INCOMING_SQL} SELECT e.k, concat_ws(',', CASE WHEN e.c IS DISTINCT FROM i.c THEN 'c' END, CASE WHEN e.cents IS DISTINCT FROM i.cents THEN 'cents' END, CASE WHEN e.s IS DISTINCT FROM i.s THEN 's' END) AS changed FROM existing e JOIN incoming i USING (k) WHERE e.cents IS DISTINCT FROM i.cents OR e.s IS DISTINCT FROM i.s")
+@query("field_diff", f"""WITH {EXISTING_SQL}, {INCOMING_SQL}, x AS (SELECT e.k, nullif(e.s, 'P') AS s, i.s AS s2, CASE WHEN e.k % 20 <> 0 THEN e.cents END AS p, i.cents AS p2 FROM existing e JOIN incoming i USING (k)),
+y AS (SELECT k, CASE WHEN p IS DISTINCT FROM p2 THEN '"price":{{"old":' || coalesce('"' || {_PLAIN.format('p / 100.0')} || '"', 'null') || ',"new":"' || {_PLAIN.format('p2 / 100.0')} || '"' || coalesce(',"diff_abs":"' || {_PLAIN.format('(p2 - p) / 100.0')} || '","diff_pct":"' || {_PLAIN.format('round((p2 - p) / p, 8)')} || '"', '') || '}}' END AS a,
+  CASE WHEN s IS DISTINCT FROM s2 THEN '"s":{{"old":' || coalesce('"' || s || '"', 'null') || ',"new":"' || s2 || '"}}' END AS b FROM x)
+SELECT k, concat_ws(',', CASE WHEN a IS NOT NULL THEN 'price' END, CASE WHEN b IS NOT NULL THEN 's' END) AS changed, '{{' || concat_ws(',', a, b) || '}}' AS diff FROM y WHERE a IS NOT NULL OR b IS NOT NULL""")
 def field_diff(spark, sf_dir):
-    existing, incoming = sides(spark, sf_dir)
-    return I.field_diff(existing, incoming, ["k"], ["c", "cents", "s"])
+    """Old and new values of changed prices and states; some old ones are null."""
+    price = (F.col("cents") / 100).cast("decimal(18,2)")
+    existing, incoming = (x.select("k", "s", price.alias("price")) for x in sides(spark, sf_dir))
+    existing = existing.withColumn("s", F.nullif(F.col("s"), F.lit("P"))).withColumn("price", F.when(F.col("k") % 20 != 0, F.col("price")))
+    return I.field_diff(existing, incoming, ["k"], ["price", "s"])
 
 
 @query("feature_upsert", f"WITH {EXISTING_SQL}, {INCOMING_SQL} SELECT i.k, CASE WHEN e.k IS NULL THEN 'created' WHEN e.cents = i.cents THEN 'skipped' ELSE 'updated' END AS action FROM incoming i LEFT JOIN existing e ON e.k = i.k")
@@ -118,13 +156,15 @@ def build_counters(spark, sf_dir):
     return feature_upsert(spark, sf_dir).groupBy("action").agg(F.count("*").alias("n"))
 
 
-@query("run_summary", f"""WITH {EXISTING_SQL}, {INCOMING_SQL}, a AS (SELECT i.k % 10 AS run, CASE WHEN e.k IS NULL THEN 'insert' WHEN e.cents = i.cents AND e.s = i.s THEN 'skip' ELSE 'conflict' END AS action FROM incoming i LEFT JOIN existing e ON e.k = i.k)
-SELECT run, count(*) AS found, count(*) FILTER (action = 'insert') AS written, count(*) FILTER (action = 'skip') AS skipped, count(*) FILTER (action = 'conflict') AS conflicts, CASE WHEN count(*) FILTER (action = 'conflict') = 0 THEN 'success' ELSE 'partial_success' END AS status FROM a GROUP BY 1""")
+@query("run_summary", f"""WITH {DELIVERIES_SQL}, a AS (SELECT d.k % 12 AS run, CASE WHEN d.k % 12 = 5 THEN 'malformed' WHEN d.k % 12 = 6 AND d.k % 5 = 0 THEN 'unmapped' WHEN b.n = d.n THEN 'insert' WHEN b.cents = d.cents AND b.s = d.s THEN 'skip' ELSE 'conflict' END AS action FROM deliveries d JOIN base b USING (k) UNION ALL SELECT 7, 'error' UNION ALL SELECT 99, 'error'),
+c AS (SELECT run, count(*) FILTER (action <> 'error') AS found, count(*) FILTER (action = 'insert') AS written, count(*) FILTER (action = 'skip') AS skipped, count(*) FILTER (action = 'conflict') AS conflicts, count(*) FILTER (action = 'malformed') AS malformed, count(*) FILTER (action = 'unmapped') AS unmapped, count(*) FILTER (action = 'error') AS errors FROM a GROUP BY 1)
+SELECT *, CASE WHEN conflicts + malformed + unmapped + errors = 0 THEN 'success' WHEN written + skipped + conflicts > 0 THEN 'partial_success' ELSE 'error' END AS status FROM c""")
 def run_summary(spark, sf_dir):
-    a = merge_actions(spark, sf_dir).groupBy((F.col("k") % 10).alias("run"))
-    n = lambda x: F.count_if(F.col("action") == x)
-    out = a.agg(F.count("*").alias("found"), n("insert").alias("written"), n("skip").alias("skipped"), n("conflict").alias("conflicts"))
-    return out.withColumn("status", F.when(F.col("conflicts") == 0, "success").otherwise("partial_success"))
+    """Twelve runs by key, of which one has malformed rows only, one unmapped rows, one an error besides; and one that is an error alone."""
+    run = (F.col("k") % 12).alias("run")
+    action = F.when(run == 5, "malformed").when((run == 6) & (F.col("k") % 5 == 0), "unmapped").otherwise(F.col("action"))
+    failed = spark.range(2).select(F.when(F.col("id") == 0, 7).otherwise(99).cast("long").alias("run"), F.lit("error").alias("action"))
+    return I.run_summary(merge_actions(spark, sf_dir).select(run, action.alias("action")).unionByName(failed), "run")
 
 
 @query("quarantine", "SELECT l_returnflag, CASE WHEN l_orderkey % 50 = 0 THEN 'malformed' WHEN l_linestatus = 'F' THEN 'skipped' ELSE 'parsed' END AS route, count(*) AS n FROM lineitem GROUP BY 1, 2")
