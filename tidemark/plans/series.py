@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
 from tidemark.operators import pointintime as P
+from tidemark.operators import ranges as R
 from tidemark.plans.registry import query
 from tidemark.session import table
 
@@ -263,3 +264,33 @@ def product_daily(spark, sf_dir):
         F.round("delta_abs", 6).alias("price_delta_abs_1d"), "rolling_mean_3", "rolling_mean_7", "rolling_std_7", "click_rate", "error_rate", "temperature",
         (F.weekday("day") + 1).alias("calendar_day_of_week"), S.true_flags(flags).alias("missing_flags"),
     )
+
+
+#: Few rows a range here, so that the frequent user is cut at every size of the tables.
+_PER_RANGE = 500
+_HOT_SQL = "h AS (SELECT CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END AS u, event_id, event_type, ts, CAST(ts AS DATE) AS day, CAST(CAST(value AS DECIMAL(18,6)) AS DOUBLE) AS value FROM events)"
+
+
+def hot_events(spark, sf_dir) -> DataFrame:
+    """Events of users of whom one has a third of all."""
+    user = F.when(F.col("user_id") % 3 == 0, 0).otherwise(F.col("user_id"))
+    return events(spark, sf_dir).select(user.alias("u"), "event_id", "event_type", "ts", F.col("utc_day").alias("day"), F.col("value").cast("double").alias("value"))
+
+
+@query("asof_hot_key", f"""WITH {_HOT_SQL}, c AS (SELECT u, ts, max(event_id) AS event_id, arg_max(value, event_id) AS value FROM h WHERE event_type = 'purchase' GROUP BY 1, 2)
+SELECT p.event_id, c.event_id AS found_id, c.value AS found_value FROM (SELECT * FROM h WHERE event_type <> 'purchase') p ASOF LEFT JOIN c ON c.u = p.u AND c.ts <= p.ts""")
+def asof_hot_key(spark, sf_dir):
+    """Every other event with its user's last purchase; one user has a third of both."""
+    h = hot_events(spark, sf_dir)
+    context = h.filter("event_type = 'purchase'").select("u", "ts", F.col("event_id").alias("id"), "value")
+    out = R.asof_backward(h.filter("event_type <> 'purchase'").select("u", "event_id", "ts"), context, ["u"], "ts", "ts", ["value"], ["id"], _PER_RANGE)
+    return out.select("event_id", F.col("found.id").alias("found_id"), F.col("found.value").alias("found_value"))
+
+
+@query("calendar_windows_hot_key", f"""WITH {_HOT_SQL} SELECT event_id, count(*) OVER w3 AS n_3, max(value) OVER w3 AS high_3, min(value) OVER w7 AS low_7, count(DISTINCT day) OVER w7 AS days_7 FROM h
+WINDOW w3 AS (PARTITION BY u ORDER BY day RANGE BETWEEN INTERVAL 2 DAY PRECEDING AND CURRENT ROW), w7 AS (PARTITION BY u ORDER BY day RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW)""")
+def calendar_windows_hot_key(spark, sf_dir):
+    """Windows of 3 and 7 days over every event's user; one user has a third of all."""
+    specs = {"n_3": (F.count("*"), 3), "high_3": (F.max("value"), 3), "low_7": (F.min("value"), 7), "days": (F.collect_set("day"), 7)}
+    out = R.calendar_windows(hot_events(spark, sf_dir), ["u"], "day", specs, _PER_RANGE)
+    return out.select("event_id", "n_3", "high_3", "low_7", F.size("days").cast("long").alias("days_7"))
