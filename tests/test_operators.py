@@ -87,14 +87,6 @@ def test_keywords_stand_for_themselves(spark):
     assert [r[0] for r in df.select(S.keyword_match(F.col("t"), "u.s.")).collect()] == [True, False, False]
 
 
-def test_malformed_trade_rows_and_payloads(spark):
-    texts = ['{"data": [{"reporter": 1, "period": "2024-02", "value": 1, "qty": 0, "tradeValue": 6}, 5, {"period": "202413", "reporter": 1, "tradeValue": 1}]}', "no json", '[{"reporter": "2", "period": "202401", "tradeValue": "8", "quantity": 4}]', None]
-    df = spark.createDataFrame(list(enumerate(texts)), "k int, p string")
-    out = {(r.k, r.pos): (r.reporter, r.unit_value, r.malformed) for r in A.parse_trade_json(df, ["k"], "p").collect()}
-    assert out[0, 0] == (1, None, False) and out[2, 0] == (2, 2.0, False)
-    assert all(out[at][2] for at in ((0, 1), (0, 2), (1, None), (3, None)))
-
-
 def test_scalars(spark):
     one = spark.range(1)
     get = lambda c: one.select(c).first()[0]
@@ -108,12 +100,6 @@ def test_scalars(spark):
     assert get(S.keyword_match(F.lit("soybeans rise"), "soybean")) is False
 
 
-def test_csv_with_a_bad_number_fails_whole(spark):
-    df = spark.createDataFrame([(1, "date,v\n2024-01-02,1.5\n2024-01-03,.\n"), (2, "date,v\n2024-01-02,1x\n2024-01-03,2\n")], "k int, p string")
-    out = sorted(map(tuple, A.parse_series_csv(df, "k", "p", ("date",), "v", "2024-01-01", "2024-01-31").collect()), key=str)
-    assert [(r[0], r[1], r[3]) for r in out] == [(1, day(2), False), (2, None, True)]
-
-
 def test_size_anomaly_of_one_large_source_is_dealt_by_ranges(spark):
     rng = random.Random(7)
     rows = [("big", n, rng.randrange(1, 400)) for n in range(3000)] + [(None, n, rng.randrange(1, 400)) for n in range(30)] + [("one", 5, 3), ("big", None, 7)]

@@ -24,10 +24,28 @@ def payload_kind(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", A.payload_kind(body).alias("kind"))
 
 
-@query("payload_checks", "SELECT page_id, CASE WHEN strlen(html) > 2000 THEN 'too_large' WHEN html NOT LIKE '%</html>%' THEN 'truncated' ELSE 'pass' END AS status FROM pages")
+_VALIDITY = {
+    "payload_non_empty": "m <> 1", "content_type_expected": "m <> 2", "size_within_limit": "m <> 3", "prefix_found": "m NOT IN (1, 4)", "parseable": "m NOT IN (1, 4, 5)",
+    "code_present": "m NOT IN (1, 4, 5, 6)", "value_present": "m NOT IN (1, 4, 5, 7)", "value_convertible": "m NOT IN (1, 4, 5, 7, 8)",
+}
+_WARNINGS = ("content_type_expected", "size_within_limit")
+
+
+@query("payload_checks", f"""SELECT page_id, c.check_name, CASE WHEN c.ok THEN 'pass' ELSE 'fail' END AS status, CASE WHEN c.check_name IN {_WARNINGS} THEN 'warning' ELSE 'error' END AS severity FROM (SELECT page_id, page_id % 11 AS m FROM pages) p,
+LATERAL (VALUES {", ".join(f"('{n}', {e})" for n, e in _VALIDITY.items())}) c(check_name, ok)""")
 def payload_checks(spark, sf_dir):
-    size = F.octet_length("html")
-    return table(spark, sf_dir, "pages").select("page_id", F.when(size > 2000, "too_large").when(~F.contains("html", F.lit("</html>")), "truncated").otherwise("pass").alias("status"))
+    """Eight checks of payloads of three kinds, each of them failed by some: nothing, a wrong type, too much, no prefix, broken, no code, no value, no number."""
+    k, m, part = F.col("page_id"), F.col("page_id") % 11, F.floor(F.col("page_id") / 11) % 3
+    kind = F.when(part == 0, "json").when(part == 1, "csv").otherwise("xml")
+    text = lambda *x: F.concat(*(F.lit(p) if isinstance(p, str) else p for p in x))
+    number = F.when(m == 7, "").when(m == 8, "none so far").otherwise(k.cast("string"))
+    code = F.when(m == 6, "other").otherwise(F.concat(F.lit("c"), k.cast("string")))
+    pad = F.when(m == 3, F.repeat(F.lit("x"), F.lit(5000))).otherwise("")
+    body = F.when(part == 0, text('{"', code, '": 1, "pad": "', pad, '", "last": "', number, '"}')).when(part == 1, text(code, ',"a, ""b""\nc', pad, '",', F.when(m == 7, "").otherwise(text('"', number, '"')))).otherwise(text("<quote><code>", code, "</code><pad>", pad, "</pad><value>", number, "</value></quote>"))
+    broken = F.when(m == 5, F.when(part == 1, F.concat(body, F.lit('"'))).otherwise(F.substring(body, F.lit(1), F.length(body) - 1))).otherwise(body)
+    whole = F.when(m == 1, "").when(m == 4, broken).otherwise(F.concat(F.lit("var q="), broken, F.lit(";")))
+    rows = table(spark, sf_dir, "pages").select("page_id", F.when(m == 2, "image/png").otherwise("Text/Plain; charset=utf-8").alias("mime"), kind.alias("kind"), whole.alias("payload"), text("c", k.cast("string")).alias("code"))
+    return A.payload_validity(rows, ["page_id"], "payload", "mime", "kind", ("text/plain", "application/json"), 4000, "var q=", "code", "$.last", 2)
 
 
 @query("parse_series_csv", """WITH d AS (SELECT event_type, CAST(ts AS DATE) AS day, CAST(round(sum(CAST(value AS DECIMAL(18,6))), 2) AS DOUBLE) AS value FROM events GROUP BY 1, 2)
@@ -51,23 +69,34 @@ def parse_props_json(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", F.try_variant_get(F.try_parse_json(plain), "$.k", "double").alias("k"))
 
 
-BARS_SQL = """SELECT c_mktsegment AS seg, CAST(date_trunc('month', o_orderdate) AS DATE) AS day, CAST(arg_min(o_totalprice, o_orderkey) AS DOUBLE) AS open, max(o_totalprice) AS high, min(o_totalprice) AS low, CAST(arg_max(o_totalprice, o_orderkey) AS DOUBLE) AS close
-FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1, 2"""
+BARS_SQL = """WITH b AS (SELECT c_mktsegment AS seg, CAST(date_trunc('month', o_orderdate) AS DATE) AS day, CAST(arg_min(o_totalprice, o_orderkey) AS DOUBLE) AS open, max(o_totalprice) AS high, min(o_totalprice) AS low, CAST(arg_max(o_totalprice, o_orderkey) AS DOUBLE) AS close, CAST(count(*) AS DOUBLE) AS volume
+FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1, 2), p AS (SELECT *, row_number() OVER (PARTITION BY seg ORDER BY day DESC) AS back FROM b)
+SELECT seg, day, open, high, low, close, volume, FALSE AS failed FROM p WHERE back <= 60 UNION ALL SELECT seg || ' lost', NULL, NULL, NULL, NULL, NULL, NULL, TRUE FROM (SELECT DISTINCT seg FROM p)"""
 
 
 @query("parse_bars", BARS_SQL)
 def parse_bars(spark, sf_dir):
-    """Round trip: monthly bars as one payload a segment, half named objects, half positional arrays."""
+    """Round trip: monthly bars as one payload a segment, of five shapes, the last 60 kept; and as many payloads that can't be read."""
     rows = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("c_custkey") == F.col("o_custkey"))
     bars = rows.groupBy(F.col("c_mktsegment").alias("seg"), F.to_date(F.trunc("o_orderdate", "month")).alias("day")).agg(
-        F.min_by("o_totalprice", "o_orderkey").alias("open"), F.max("o_totalprice").alias("high"), F.min("o_totalprice").alias("low"), F.max_by("o_totalprice", "o_orderkey").alias("close")
+        F.min_by("o_totalprice", "o_orderkey").alias("open"), F.max("o_totalprice").alias("high"), F.min("o_totalprice").alias("low"), F.max_by("o_totalprice", "o_orderkey").alias("close"), F.count("*").alias("volume")
     )
-    bar = F.struct((F.unix_date("day").cast("long") * 86_400_000).alias("time"), "open", "high", "low", "close")
-    grouped = bars.groupBy("seg").agg(F.array_sort(F.collect_list(bar)).alias("data"))
-    arrays = F.transform("data", lambda b: F.array(b["time"].cast("double"), b["open"], b["high"], b["low"], b["close"]))
-    named, plain = F.to_json(F.struct("data")), F.to_json(F.struct(arrays.alias("rows")))
-    body = F.when(F.col("seg") < "H", named).otherwise(plain)
-    return A.parse_bars(grouped.select("seg", F.concat(F.lit("var kline = "), body, F.lit(";")).alias("payload")), "seg", "payload")
+    grouped = bars.groupBy("seg").agg(F.array_sort(F.collect_list(F.struct("day", "open", "high", "low", "close", "volume"))).alias("d"))
+    of = lambda f: F.transform("d", f)
+    millis = lambda b: F.unix_date(b["day"]).cast("long") * 86_400_000
+    named = of(lambda b: F.struct(b["day"].cast("string").alias("day"), *(b[n].alias(n) for n in ("open", "high", "low", "close", "volume"))))
+    short = of(lambda b: F.struct(millis(b).alias("time"), *(F.replace(b[n].cast("string"), F.lit("."), F.lit(",")).alias(n[0]) for n in ("open", "high", "low")), b["close"].alias("price"), b["volume"].alias("vol")))
+    coded = of(lambda b: F.struct(millis(b).alias("time"), b["open"].alias("q1"), b["close"].alias("q2"), b["high"].alias("q3"), b["low"].alias("q4"), b["volume"].alias("q60")))
+    listed = of(lambda b: F.array(F.date_format(b["day"], "yyyy/MM/dd"), *(b[n].cast("string") for n in ("open", "high", "low", "close")), b["volume"].cast("string")))
+    wide = of(lambda b: F.array(F.date_format(b["day"], "yyyyMMdd"), *(b[n].cast("string") for n in ("open", "high", "low", "close")), F.lit("x"), F.lit("x"), F.lit("x"), F.lit("x"), b["volume"].cast("string")))
+    s = F.col("seg")
+    body = (
+        F.when(s == "AUTOMOBILE", F.to_json(F.struct(named.alias("list")))).when(s == "BUILDING", F.to_json(F.struct(F.struct(short.alias("klines")).alias("data"))))
+        .when(s == "FURNITURE", F.concat(F.lit('{"flag": 1, "data": {"FURNITURE": '), F.to_json(coded), F.lit("}}"))).when(s == "MACHINERY", F.to_json(listed)).otherwise(F.to_json(F.struct(wide.alias("rows"))))
+    )
+    docs = grouped.select(s, F.concat(F.lit("var kline = "), body, F.lit(";")).alias("payload"))
+    lost = docs.select(F.concat(s, F.lit(" lost")).alias("seg"), F.when(s < "F", F.left("payload", F.length("payload") - 3)).otherwise('{"data": {"note": "none"}}').alias("payload"))
+    return A.parse_bars(docs.unionByName(lost), "seg", "payload", "seg", 60)
 
 
 @query("parse_fx_xml", "SELECT CAST(ts AS DATE) AS day, upper(event_type) AS code, round(CAST(CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS DOUBLE) / 100, 6) AS rate FROM events GROUP BY 1, 2")
@@ -86,6 +115,22 @@ def zip_arrays(spark, sf_dir):
     return out.withColumns({c: F.round(F.col(c).cast("double"), 6) for c in ("mean", "rain")})
 
 
+@query("sheet_series", """WITH m AS (SELECT l_returnflag AS f, CAST(date_trunc('month', l_shipdate) AS DATE) AS period, sum(l_quantity) AS q FROM lineitem GROUP BY 1, 2), k AS (SELECT unnest([0, 1, 2]) AS sheet)
+SELECT sheet, CASE f WHEN 'A' THEN 'accepted' ELSE 'new' END AS series, period, last_day(period) AS period_end, q AS value FROM m, k WHERE f IN ('A', 'N') AND month(period) % 3 = sheet UNION ALL SELECT sheet, 'absent', NULL, NULL, NULL FROM k""")
+def sheet_series(spark, sf_dir):
+    """Round trip: monthly sums as three wide sheets with titles above, headers in different rows and columns, and notes in between."""
+    m = table(spark, sf_dir, "lineitem").groupBy(F.to_date(F.trunc("l_shipdate", "month")).alias("period")).pivot("l_returnflag", ["A", "N"]).agg(F.sum("l_quantity").cast("decimal(18,2)"))
+    n = F.month("period") % 3
+    month = F.when(n == 1, F.date_format("period", "yyyy-MM-dd")).otherwise(F.date_format("period", "yyyy'M'MM"))
+    cell = lambda c: F.coalesce(F.concat(F.lit('"'), F.format_number(c, 2), F.lit('"')), F.lit(".."))
+    line = F.when(n == 2, F.concat_ws(",", month, F.lit("x"), cell("N"), cell("A"))).otherwise(F.concat_ws(",", month, cell("A"), cell("N")))
+    body = m.groupBy(n.alias("sheet")).agg(F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("body"))
+    head = F.when(F.col("sheet") == 2, '"Prices, monthly",,\n\n,note,"New\n flow **",Accepted flow\n,,$,$\n').otherwise('Title\nUpdated,"1, 2"\nMonth,Accepted*  Flow,NEW FLOW\n')
+    sheets = body.select("sheet", F.concat(head, F.col("body"), F.lit("\nnot a month,1,2,3\n")).alias("payload"))
+    out = A.sheet_series(sheets, "sheet", "payload", {"accepted": ("accepted flow",), "new": ("Flow new", "New flow"), "absent": ("nowhere",)})
+    return out.withColumn("value", F.col("value").cast("double"))
+
+
 @query("unpivot_series", """WITH m AS (SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS period, sum(CASE WHEN l_returnflag = 'A' THEN l_quantity END) AS a, sum(CASE WHEN l_returnflag = 'N' THEN l_quantity END) AS n FROM lineitem GROUP BY 1)
 SELECT period, last_day(period) AS period_end, 'accepted' AS series, a AS value FROM m WHERE a IS NOT NULL UNION ALL SELECT period, last_day(period), 'new', n FROM m WHERE n IS NOT NULL""")
 def unpivot_series(spark, sf_dir):
@@ -124,7 +169,7 @@ def articles_from_pages(spark, sf_dir):
     title, bad = F.regexp_extract("html", "<title>([^<]*)</title>", 1), k % 25 == 7
     fields = F.struct(
         "url", title.alias("title"), F.when(k % 3 == 0, F.concat(F.lit("source "), (k % 9).cast("string"))).alias("domain"), F.lit("soon").alias("seendate"),
-        F.when((k % 2 == 0) & ~bad, F.date_format(day, "yyyyMMdd'T'HHmmss'Z'")).alias("published_at"), F.when((k % 2 == 1) & ~bad, F.date_format(day, "yyyy-MM-dd")).alias("date"),
+        F.when((k % 2 == 0) & ~bad, F.date_format(day, "yyyyMMdd")).alias("datetime"), F.when((k % 2 == 1) & ~bad, F.date_format(day, "yyyy-MM-dd")).alias("date"), F.when(~bad, "2001-01-01T00:00:00Z").alias("publishedAt"),
     )
     body = F.concat(F.when(k % 2 == 0, '{"articles": [').otherwise('{"articles": 1, "documents": ['), F.to_json(fields), F.lit("]}"))
     found = A.parse_article_json(table(spark, sf_dir, "pages").select("page_id", body.alias("payload")), ["page_id"], "payload").filter("not malformed")
@@ -140,30 +185,39 @@ def trade_rows(spark, sf_dir):
     fields = F.struct(
         F.when(even, F.col("l_orderkey")).alias("reporterCode"), F.when(~even, F.col("l_orderkey").cast("string")).alias("reporter"), F.col("l_linenumber").alias("lineNumber"),
         F.when(even, F.date_format("l_shipdate", "yyyyMM")).otherwise(F.date_format("l_shipdate", "yyyy-MM")).alias("period"),
-        F.when(even, q).alias("qty"), F.when(~even, q).alias("quantity"), F.when(even, F.col("l_extendedprice")).alias("primaryValue"), F.when(~even, F.col("l_extendedprice")).alias("tradeValue"),
+        F.when(even, q).alias("qty"), F.when(~even, q).alias("primaryQuantity"), F.when(even, F.col("l_extendedprice")).alias("primaryValue"), F.when(~even, F.col("l_extendedprice")).alias("cifvalue"),
     )
     lines = F.array_join(F.collect_list(F.to_json(fields)), ",")
-    docs = rows.groupBy("l_orderkey").agg(F.concat(F.when(F.first(even), '{"data": [').otherwise('{"count": 2, "results": ["n/a", 7, {"period": "199601"}, '), lines, F.lit("]}")).alias("payload"))
-    found = A.parse_trade_json(docs, [], "payload").filter("not malformed")
-    return found.groupBy(F.col("reporter").alias("l_orderkey"), F.col("line").alias("l_linenumber"), F.round("unit_value", 8).alias("unit_value"), F.date_format("period", "yyyyMM").alias("period")).agg(F.count("*").alias("n"))
+    docs = rows.groupBy("l_orderkey").agg(F.concat(F.when(F.first(even), '{"data": [').otherwise('{"count": 2, "results": ["n/a", 7, {"period": "1996-13"}, '), lines, F.lit("]}")).alias("payload"))
+    found = A.parse_trade_json(docs, [], "payload", {"reporter": ("reporterCode", "reporter"), "line": ("lineNumber",)}).filter("not malformed")
+    return found.groupBy(F.col("reporter").cast("long").alias("l_orderkey"), F.col("line").cast("int").alias("l_linenumber"), F.round("unit_value", 8).alias("unit_value"), F.date_format("period", "yyyyMM").alias("period")).agg(F.count("*").alias("n"))
 
 
 #: Metric names and codes, countries and years of the balance round trip.
 BALANCE_METRICS = {"1-urgent": "urgent", "2-high": "high", "3-medium": "medium"}
-BALANCE_SCOPE, BALANCE_YEARS = ("NATION_0", "NATION_1", "NATION_2", "NATION_7"), (1996, 1999)
+BALANCE_SCOPE, BALANCE_YEARS = tuple(f'Rep. of "NATION_{n}", The' for n in (0, 1, 2, 7)), (1996, 1999)
 
 
-@query("balance_rows", f"""WITH {BALANCE_SQL}, r AS (SELECT country, CASE lower(metric) {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in BALANCE_METRICS.items())} END AS metric, marketing_year, report_month, CASE WHEN NOT (report_month = 2 AND marketing_year = 1997) THEN CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) END AS value FROM balance)
-SELECT country, metric, CAST(marketing_year AS INTEGER) AS marketing_year, CAST(report_month AS INTEGER) AS report_month, value, make_date(marketing_year, 1, 1) AS year_start, make_date(marketing_year, 12, 31) AS year_end, CASE WHEN value IS NULL THEN 'malformed' WHEN metric IS NULL OR country NOT IN {BALANCE_SCOPE} OR marketing_year NOT BETWEEN 1996 AND 1999 THEN 'skipped' ELSE 'parsed' END AS route FROM r""")
+@query("balance_rows", f"""WITH {BALANCE_SQL}, r AS (SELECT 'Rep. of "' || country || '", The' AS country, CASE lower(metric) {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in BALANCE_METRICS.items())} END AS metric, marketing_year, CASE WHEN report_month = 7 THEN 11 ELSE report_month END AS report_month, CASE report_month % 3 WHEN 0 THEN 'projection' WHEN 1 THEN 'estimate' ELSE 'unknown' END AS estimate_type,
+  CASE WHEN NOT (report_month = 2 AND marketing_year = 1997) THEN CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) END AS value FROM balance)
+SELECT country, metric, CAST(marketing_year AS INTEGER) AS marketing_year, CAST(report_month AS INTEGER) AS report_month, estimate_type, value, make_date(marketing_year, 1, 1) AS year_start, make_date(marketing_year, 12, 31) AS year_end, CASE WHEN value IS NULL THEN 'malformed' WHEN metric IS NULL OR country NOT IN {BALANCE_SCOPE} OR marketing_year NOT BETWEEN 1996 AND 1999 THEN 'skipped' ELSE 'parsed' END AS route FROM r
+UNION ALL SELECT NULL, NULL, NULL, 11, 'unknown', NULL, NULL, NULL, 'malformed' FROM range(3)""")
 def balance_rows(spark, sf_dir):
-    """Round trip: balances as one CSV payload a country and year, headers written two ways, some values no numbers."""
+    """Round trip: balances as one payload a country and year, CSV with quoted names and numbers or JSON, some values no numbers, some months not given; and three payloads that can't be read."""
     b = balance(spark, sf_dir)
     bad = (F.col("report_month") == 2) & (F.col("marketing_year") == 1997)
-    value = F.when(bad, "not-a-number").otherwise(F.col("value").cast("decimal(18,2)").cast("string"))
-    line = F.concat_ws(",", "country", "metric", F.col("marketing_year").cast("string"), F.col("report_month").cast("string"), value)
-    head = F.when(F.col("marketing_year") % 2 == 0, "Country Name,Attribute Description,Market Year,Month,Value\n").otherwise("Country_Name,Attribute_Description,Market_Year,Month,Value\r\n")
-    docs = b.groupBy("country", "marketing_year").agg(F.concat(F.first(head), F.array_join(F.collect_list(line), "\n")).alias("payload"))
-    return A.parse_balance_csv(docs.select("payload"), [], "payload", BALANCE_METRICS, BALANCE_SCOPE, BALANCE_YEARS)
+    value = F.when(bad, "not-a-number").otherwise(F.format_number(F.col("value").cast("decimal(18,2)"), 2))
+    month = F.when(F.col("report_month") != 7, F.col("report_month").cast("string")).otherwise("")
+    name = F.concat(F.lit('Rep. of "'), "country", F.lit('", The'))
+    estimate = F.when(F.col("report_month") % 3 == 0, "Projected").when(F.col("report_month") % 3 == 1, " estimate").otherwise("guess")
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    line = F.concat_ws(",", quoted(name), "metric", F.col("marketing_year").cast("string"), month, quoted(value), estimate, F.lit('"a\nnote, ""quoted"""'))
+    row = F.to_json(F.struct(name.alias("country"), F.col("metric").alias("attribute"), F.col("marketing_year").alias("market_year"), month.alias("month"), estimate.alias("estimate_type"), value.alias("amount")))
+    head = F.when(F.col("marketing_year") % 3 == 0, "Country Name,Attribute-Description,Market Year,Month,Value,Estimate Type,Notes\n").otherwise("Country_Name,Attribute_Description,Market_Year,Month,Value,Estimate_Type,Notes\r\n")
+    grouped = b.select("country", "marketing_year", line.alias("line"), row.alias("row"), head.alias("head")).groupBy("country", "marketing_year")
+    docs = grouped.agg(F.when(F.col("marketing_year") % 3 == 1, F.concat(F.lit('{"rows": ['), F.array_join(F.collect_list("row"), ","), F.lit("]}"))).otherwise(F.concat(F.first("head"), F.array_join(F.collect_list("line"), "\r\n"))).alias("payload"))
+    lost = spark.range(3).select(F.when(F.col("id") == 0, "no header at all").when(F.col("id") == 1, 'Country Name,Value\n"open,1').otherwise('{"rows": 7}').alias("payload"))
+    return A.parse_balances(docs.select("payload").unionByName(lost), [], "payload", BALANCE_METRICS, BALANCE_SCOPE, BALANCE_YEARS, F.lit("2000-11-05").cast("date"))
 
 
 @query("parse_quotes", "SELECT event_id, CASE WHEN event_type <> 'error' AND event_id % 11 <> 0 THEN CAST(CAST(value AS DECIMAL(18,6)) AS DOUBLE) END AS price FROM events")
