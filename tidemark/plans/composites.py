@@ -11,6 +11,7 @@ from tidemark.functions import scalars as S
 from tidemark.operators import bitemporal as B
 from tidemark.operators import ingest as I
 from tidemark.operators import pointintime as P
+from tidemark.operators import selection as V
 from tidemark.plans.registry import ORACLE, query
 from tidemark.plans.series import WEATHER_SQL, product_daily, weather
 from tidemark.plans.weighted import BALANCE_SQL, BASKET, TRADE_SQL, balance, trade
@@ -52,45 +53,95 @@ def trade_daily(spark, sf_dir):
     return got.select("flow", "day", c("found.period").alias("last_period"), number("volume").alias("volume"), F.round(number("mean"), 4).alias("mean_3"), number("sum").alias("sum_12"), number("past").alias("past"))
 
 
-SELECT_SQL = """sel_{n} AS (SELECT metric, country, arg_max(value, (known, marketing_year, report_month)) AS value, max(known) AS as_of FROM balance WHERE known {op} {cut} GROUP BY 1, 2),
-pick_{n} AS (SELECT s.metric, sum(w * value) / sum(w) AS value, sum(w) AS there, max(as_of) AS as_of FROM sel_{n} s JOIN basket USING (country) GROUP BY 1)"""
+#: Entities, metrics, commodities, families and weights; since and until when.
+_MAPPINGS = [
+    (0, "production", "1-URGENT", "oil", 0.6, "1990-01-01", None), (0, "production", "2-HIGH", "oil", 0.4, "1990-01-01", None), (0, "stock_ratio", "3-MEDIUM", "oil", 1.0, "1990-01-01", None),
+    (1, "production", "3-MEDIUM", "grain", 1.0, "1990-01-01", "1998-12-31"), (1, "stock_ratio", "3-MEDIUM", "grain", 1.0, "1990-01-01", None), (1, "production", "4-NOT SPECIFIED", "grain", 0.5, "1997-01-01", None),
+    (2, "production", "2-HIGH", "oil", 0.5, "1990-01-01", None), (2, "production", "4-NOT SPECIFIED", "rare", 0.5, "1990-01-01", None), (2, "stock_ratio", "5-LOW", "oil", 1.0, "1990-01-01", None),
+]
+#: Entities, families, metrics (None: all), countries, weights and the least share that has to be known.
+_BASKETS = [
+    (0, "oil", "production", "NATION_0", 0.5, 0.75, "1990-01-01", None), (0, "oil", "production", "NATION_1", 0.3, 0.7, "1990-01-01", None), (0, "oil", "production", "NATION_2", 0.2, 0.5, "1990-01-01", None),
+    (2, "oil", None, "NATION_3", 0.9, 0.5, "1990-01-01", None), (2, "oil", None, "NATION_4", 0.1, 0.5, "1990-01-01", "1996-06-30"), (2, "oil", None, "NATION_9", 0.4, 0.5, "1990-01-01", None),
+    (2, "rare", "production", "NATION_5", 0.4, 0.6, "1996-01-01", None), (2, "rare", "production", "NATION_NONE", 0.6, 0.6, "1996-01-01", "1998-01-31"), (2, "rare", "production", "NATION_6", 0.0, 0.9, "1996-01-01", None),
+]
+_ADDITIVE, _RATIO, _ORDER = ("production",), "stock_ratio", ("marketing_year", "report_month", "id")
+
+
+def _literal(rows: list[tuple]) -> str:
+    text = lambda v: "NULL" if v is None else f"DATE '{v}'" if isinstance(v, str) and v[4:5] == "-" and v[:4].isdigit() else f"'{v}'" if isinstance(v, str) else f"CAST({v} AS DOUBLE)" if isinstance(v, float) else str(v)
+    return ", ".join(f"({', '.join(map(text, r))})" for r in rows)
+
+
+#: Reported rows; nation 24 reports the world's urgent ones, from 1995 on; nation 9 gives no values.
+SELECT_SQL = f"""{BALANCE_SQL}, obs AS (SELECT metric AS commodity, CASE WHEN country = 'NATION_24' AND metric = '1-URGENT' AND marketing_year >= 1995 THEN 'WLD' ELSE country END AS country, marketing_year, report_month, value, known, marketing_year * 100 + report_month AS id FROM balance WHERE country <> 'NATION_9'),
+mp(entity, metric, commodity, family, weight, effective_from, effective_to) AS (VALUES {_literal(_MAPPINGS)}), bk(entity, family, scope, country, share, least, effective_from, effective_to) AS (VALUES {_literal(_BASKETS)}),
+dd AS (SELECT CAST(unnest(generate_series(DATE '1992-02-20', DATE '1999-12-20', INTERVAL 5 MONTH)) AS DATE) AS day), pr AS (SELECT DISTINCT entity, metric, day, day AS known_by FROM mp, dd)"""
+
+
+def _selection_sql(n: str, probes: str) -> str:
+    """CTEs that end in ``sel_n``: every row known by every probe's day, ranked."""
+    return f"""ac_{n} AS (SELECT p.*, m.commodity, m.family, m.weight FROM {probes} p JOIN mp m ON m.entity = p.entity AND m.metric = p.metric AND m.effective_from <= p.day AND (m.effective_to IS NULL OR m.effective_to >= p.day)),
+kn_{n} AS (SELECT a.*, o.country, o.value, o.known, o.marketing_year, o.report_month, o.id, row_number() OVER (PARTITION BY a.entity, a.metric, a.day, a.commodity, o.country ORDER BY o.known DESC, o.marketing_year DESC, o.report_month DESC, o.id DESC) AS rn, row_number() OVER (PARTITION BY a.entity, a.metric, a.day, a.commodity ORDER BY o.known DESC, o.marketing_year DESC, o.report_month DESC, o.id DESC, o.country DESC) AS ra
+  FROM ac_{n} a JOIN obs o ON o.commodity = a.commodity AND o.known <= a.known_by),
+ba_{n} AS (SELECT a.entity, a.metric, a.day, a.commodity, b.country, b.share, b.least, b.scope FROM ac_{n} a JOIN bk b ON b.entity = a.entity AND b.family = a.family AND b.effective_from <= a.day AND (b.effective_to IS NULL OR b.effective_to >= a.day) AND b.share > 0),
+pt_{n} AS (SELECT k.entity, k.metric, k.day, k.known_by, k.commodity, any_value(k.weight) AS weight, max(CASE WHEN k.rn = 1 AND k.country = 'WLD' THEN (k.known, k.marketing_year, k.report_month, k.id, k.country, k.value) END) AS world, max(CASE WHEN k.ra = 1 THEN (k.known, k.marketing_year, k.report_month, k.id, k.country, k.value) END) AS latest,
+  (SELECT sum(share) FROM ba_{n} b WHERE b.entity = k.entity AND b.metric = k.metric AND b.day = k.day AND b.commodity = k.commodity AND (scope IS NULL OR scope = k.metric)) AS total, (SELECT max(least) FROM ba_{n} b WHERE b.entity = k.entity AND b.metric = k.metric AND b.day = k.day AND b.commodity = k.commodity AND (scope IS NULL OR scope = k.metric)) AS least,
+  (SELECT bool_or(scope IS NOT NULL) FROM ba_{n} b WHERE b.entity = k.entity AND b.metric = k.metric AND b.day = k.day AND b.commodity = k.commodity) AS scoped FROM kn_{n} k GROUP BY 1, 2, 3, 4, 5),
+bv_{n} AS (SELECT k.entity, k.metric, k.day, k.commodity, sum(share) AS there, sum(share * value) / sum(share) AS mean, max((k.known, k.marketing_year, k.report_month, k.id, k.country, k.value)) AS last FROM kn_{n} k JOIN ba_{n} b ON b.entity = k.entity AND b.metric = k.metric AND b.day = k.day AND b.commodity = k.commodity AND b.country = k.country WHERE k.rn = 1 AND (scope IS NULL OR scope = k.metric) GROUP BY 1, 2, 3, 4),
+mo_{n} AS (SELECT p.*, v.there, v.mean, v.last, CASE WHEN world IS NOT NULL THEN 'world' WHEN total IS NOT NULL AND p.metric <> 'production' THEN 'none' WHEN total IS NOT NULL AND there / total >= least - 1e-9 THEN CASE WHEN there < total - 1e-9 THEN 'partial' ELSE 'basket' END WHEN total IS NOT NULL THEN 'insufficient' WHEN p.metric = 'stock_ratio' AND scoped THEN 'none' ELSE 'latest' END AS mode
+  FROM pt_{n} p LEFT JOIN bv_{n} v ON v.entity = p.entity AND v.metric = p.metric AND v.day = p.day AND v.commodity = p.commodity),
+us_{n} AS (SELECT *, CASE mode WHEN 'world' THEN world[6] WHEN 'latest' THEN latest[6] WHEN 'insufficient' THEN NULL ELSE mean END AS v, CASE mode WHEN 'world' THEN world WHEN 'latest' THEN latest WHEN 'insufficient' THEN NULL ELSE last END AS used FROM mo_{n} WHERE mode <> 'none'),
+sel_{n} AS (SELECT entity, metric, day, known_by, CASE WHEN NOT bool_or(mode = 'insufficient') THEN sum(v * weight) / sum(CASE WHEN v IS NOT NULL THEN weight END) END AS value, CASE WHEN NOT bool_or(mode = 'insufficient') THEN max(used) END AS last, string_agg(DISTINCT mode, ',' ORDER BY mode) AS mode FROM us_{n} GROUP BY 1, 2, 3, 4)"""
+
+
+def selection_config(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Probes, observations, mappings and baskets of the selection queries."""
+    c = F.col
+    days = lambda df: df.withColumns({n: c(n).cast("date") for n in ("effective_from", "effective_to")})
+    mappings = days(spark.createDataFrame(_MAPPINGS, "entity int, metric string, commodity string, family string, weight double, effective_from string, effective_to string"))
+    baskets = days(spark.createDataFrame(_BASKETS, "entity int, family string, metric string, country string, weight double, least double, effective_from string, effective_to string"))
+    world = (c("country") == "NATION_24") & (c("metric") == "1-URGENT") & (c("marketing_year") >= 1995)
+    rows = balance(spark, sf_dir).filter("country <> 'NATION_9'").select(c("metric").alias("commodity"), F.when(world, "WLD").otherwise(c("country")).alias("country"), "marketing_year", "report_month", "value", "known", (c("marketing_year") * 100 + c("report_month")).alias("id"))
+    probes = mappings.select("entity", "metric").distinct().select("entity", "metric", F.explode(F.expr("sequence(date '1992-02-20', date '1999-12-20', interval 5 month)")).alias("day")).withColumn("known_by", c("day"))
+    return probes, rows, mappings, baskets
 
 
-def selection(rows: DataFrame) -> DataFrame:
-    """Per metric the latest known value of each basket country, weighted; insufficient baskets give nothing."""
-    last = P.latest_per_key(rows, ["metric", "country"], ["known", "marketing_year", "report_month"], ["value"])
-    w = F.element_at(F.create_map(*(F.lit(x) for kv in BASKET.items() for x in kv)), F.col("country"))
-    held = last.filter(F.col("country").isin(*BASKET)).withColumn("w", w)
-    return held.groupBy("metric").agg((F.sum(F.col("w") * F.col("value")) / F.sum("w")).alias("value"), F.sum("w").alias("there"), F.max("known").alias("as_of"))
+@query("metric_selection", f"WITH {SELECT_SQL}, {_selection_sql('a', 'pr')} SELECT entity, metric, day, round(value, 2) AS value, last[1] AS as_of, last[2] AS marketing_year, last[3] AS report_month, mode FROM sel_a")
+def metric_selection(spark, sf_dir):
+    """Metrics of three entities on a grid of days: world rows, full, partial and insufficient baskets, latest countries, and a ratio that has none."""
+    probes, rows, mappings, baskets = selection_config(spark, sf_dir)
+    out = V.select_metrics(probes, rows, mappings, baskets, _ADDITIVE, _RATIO, _ORDER)
+    return out.select("entity", "metric", "day", F.round("value", 2).alias("value"), "as_of", "marketing_year", "report_month", "mode")
 
 
-@query("metric_selection", f"WITH {BALANCE_SQL}, {_BASKET}, {SELECT_SQL.format(n='a', op='<=', cut=chr(68) + 'ATE ' + repr('2000-06-30'))} SELECT metric, CASE WHEN there >= 0.75 THEN round(value, 2) END AS value, as_of FROM pick_a")
-def metric_selection(spark, sf_dir):
-    s = selection(balance(spark, sf_dir).filter("known <= date '2000-06-30'"))
-    return s.select("metric", F.when(F.col("there") >= 0.75, F.round("value", 2)).alias("value"), "as_of")
+_REVISION_SQL = f"WITH {SELECT_SQL}, {_selection_sql('a', 'pr')}, qr AS (SELECT entity, metric, day, last[1] - 1 AS known_by FROM sel_a WHERE last IS NOT NULL), {_selection_sql('b', 'qr')}"
 
 
-@query("revision_delta", f"""WITH {BALANCE_SQL}, {_BASKET}, {SELECT_SQL.format(n='a', op='<=', cut="DATE '2000-06-30'")}, {SELECT_SQL.format(n='b', op='<', cut="(SELECT max(as_of) FROM pick_a)")}
-SELECT a.metric, round(a.value - b.value, 2) AS revision FROM pick_a a JOIN pick_b b USING (metric)""")
+@query("revision_delta", f"{_REVISION_SQL} SELECT a.entity, a.metric, a.day, round(a.value - b.value, 2) AS revision FROM sel_a a LEFT JOIN sel_b b USING (entity, metric, day)")
 def revision_delta(spark, sf_dir):
-    """The selection minus the one known strictly before its as-of day."""
-    rows = balance(spark, sf_dir)
-    now = selection(rows.filter("known <= date '2000-06-30'"))
-    cut = now.agg(F.max("as_of").alias("cut"))
-    before = selection(rows.join(F.broadcast(cut), rows["known"] < cut["cut"], "inner").drop("cut"))
-    return now.join(before.select("metric", F.col("value").alias("past")), "metric").select("metric", F.round(F.col("value") - F.col("past"), 2).alias("revision"))
+    """The selection minus the one known strictly before its as-of day, under the weights of the day."""
+    probes, rows, mappings, baskets = selection_config(spark, sf_dir)
+    now = V.select_metrics(probes, rows, mappings, baskets, _ADDITIVE, _RATIO, _ORDER)
+    return V.revisions(now, rows, mappings, baskets, _ADDITIVE, _RATIO, _ORDER).select("entity", "metric", "day", F.round("revision", 2).alias("revision"))
 
 
-@query("supply_demand_daily", f"""WITH {BALANCE_SQL}, m AS (SELECT metric, known, sum(value) AS v FROM balance WHERE country IN ('NATION_0', 'NATION_1', 'NATION_2') GROUP BY 1, 2), d AS (SELECT CAST(unnest(generate_series(DATE '1997-01-10', DATE '1999-12-10', INTERVAL 1 MONTH)) AS DATE) AS day),
-x AS (SELECT metric, day, (SELECT max(known) FROM m q WHERE q.metric = p.metric AND q.known <= day) AS as_of FROM (SELECT DISTINCT metric FROM m) p, d)
-SELECT x.metric, x.day, x.as_of, CAST(x.day - x.as_of AS INTEGER) AS lag_days, round(m.v, 2) AS value FROM x JOIN m ON m.metric = x.metric AND m.known = x.as_of""")
+@query("supply_demand_daily", f"""{_REVISION_SQL}, x AS (SELECT a.entity, a.metric, a.day, a.value, a.value - b.value AS revision, a.last, a.mode FROM sel_a a LEFT JOIN sel_b b USING (entity, metric, day)), g AS (SELECT DISTINCT entity, day FROM pr),
+w AS (SELECT g.entity, g.day, max(CASE WHEN metric = 'production' THEN value END) AS p, max(CASE WHEN metric = 'production' THEN revision END) AS pr, max(CASE WHEN metric = 'stock_ratio' THEN value END) AS s, max(CASE WHEN metric = 'stock_ratio' THEN revision END) AS sr, max(last[1]) AS supply_as_of, max(last[2]) AS marketing_year, bool_or(contains(mode, 'insufficient')) AS insufficient, bool_or(contains(mode, 'partial')) AS partial, count(x.metric) AS n FROM g LEFT JOIN x ON x.entity = g.entity AND x.day = g.day GROUP BY 1, 2)
+SELECT entity, day, round(p, 2) AS production, round(pr, 2) AS production_revision, round(s, 2) AS stock_ratio, round(sr, 2) AS stock_ratio_revision, supply_as_of, CAST(day - supply_as_of AS INTEGER) AS lag_days, marketing_year, nullif(concat_ws(',', CASE WHEN n = 0 THEN 'no_observations' END, CASE WHEN n > 0 AND p IS NULL THEN 'missing_production' END, CASE WHEN n > 0 AND s IS NULL THEN 'missing_stock_ratio' END, CASE WHEN insufficient THEN 'insufficient_basket' END, CASE WHEN partial THEN 'partial_basket' END), '') AS missing_flags FROM w""")
 def supply_demand_daily(spark, sf_dir):
-    """Totals as known on each day of a grid: the step function of change days, swept once."""
-    m = balance(spark, sf_dir).filter(F.col("country").isin("NATION_0", "NATION_1", "NATION_2")).groupBy("metric", "known").agg(F.sum("value").alias("v"))
-    days = m.select("metric").distinct().select("metric", F.explode(F.expr("sequence(date '1997-01-10', date '1999-12-10', interval 1 month)")).alias("day"))
-    out = P.asof_backward(days, m, ["metric"], "day", "known", ["v"]).filter("found is not null")
-    as_of = F.col("found.found_at")
-    return out.select("metric", "day", as_of.alias("as_of"), F.date_diff("day", as_of).alias("lag_days"), F.round("found.v", 2).alias("value"))
+    """Per entity and day the selected metrics, their revisions, as-of day, lag and flags; a row also where nothing is known yet."""
+    c = F.col
+    probes, rows, mappings, baskets = selection_config(spark, sf_dir)
+    now = V.revisions(V.select_metrics(probes, rows, mappings, baskets, _ADDITIVE, _RATIO, _ORDER), rows, mappings, baskets, _ADDITIVE, _RATIO, _ORDER)
+    of = lambda m, v: F.round(F.max(F.when(c("metric") == m, c(v))), 2)
+    wide = now.groupBy("entity", "day").agg(
+        of("production", "value").alias("production"), of("production", "revision").alias("production_revision"), of("stock_ratio", "value").alias("stock_ratio"), of("stock_ratio", "revision").alias("stock_ratio_revision"),
+        F.max("as_of").alias("supply_as_of"), F.max("marketing_year").alias("marketing_year"), F.bool_or(c("mode").contains("insufficient")).alias("insufficient"), F.bool_or(c("mode").contains("partial")).alias("partial"), F.lit(True).alias("some"),
+    )
+    out = probes.select("entity", "day").distinct().join(wide, ["entity", "day"], "left")
+    flags = {"no_observations": c("some").isNull(), "missing_production": c("some") & c("production").isNull(), "missing_stock_ratio": c("some") & c("stock_ratio").isNull(), "insufficient_basket": c("insufficient"), "partial_basket": c("partial")}
+    return out.withColumns({"lag_days": F.date_diff("day", "supply_as_of"), "missing_flags": S.true_flags(flags)}).drop("insufficient", "partial", "some")
 
 
 CELLS_SQL = f"{BALANCE_SQL}, cells AS (SELECT m.metric, b.country, y.y AS marketing_year, count(x.value) AS n FROM (SELECT DISTINCT metric FROM balance) m CROSS JOIN {{basket}} b CROSS JOIN (SELECT unnest([1994, 1996, 2000]) AS y) y LEFT JOIN balance x ON x.metric = m.metric AND x.country = b.country AND x.marketing_year = y.y AND x.report_month <= 6 GROUP BY 1, 2, 3)".replace("{basket}", "basket")
