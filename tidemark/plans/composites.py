@@ -221,10 +221,11 @@ def dataset_export(spark, sf_dir):
     return E.read_csv(spark, files, rows.columns)
 
 
-@query("export_manifest", f"SELECT count(*) AS n_rows, {len(_TEXT)} AS n_columns, '{','.join(sorted(_TEXT))}' AS columns, string_agg(DISTINCT CAST(product AS VARCHAR), ',' ORDER BY CAST(product AS VARCHAR)) AS entities, min(day) AS first_day, max(day) AS last_day, count(*) - count(missing_flags) AS unflagged, TRUE AS csv_equals_parquet FROM ({ORACLE['product_daily']})")
+@query("export_manifest", f"SELECT count(*) AS n_rows, {len(_TEXT)} AS n_columns, '{','.join(sorted(_TEXT))}' AS columns, string_agg(DISTINCT CAST(product AS VARCHAR), ',' ORDER BY CAST(product AS VARCHAR)) AS entities, min(day) AS first_day, max(day) AS last_day, count(*) - count(missing_flags) AS unflagged, TRUE AS csv_equals_parquet, 2 AS formats, TRUE AS files_listed, 0 AS n_markers FROM ({ORACLE['product_daily']})")
 def export_manifest(spark, sf_dir):
     rows = product_daily(spark, sf_dir)
     exact = rows.select(*(F.col(c).cast("decimal(18,6)") if t == "double" else F.col(c) for c, t in rows.dtypes))
     files = E.write_dataset(exact, f"{scratch_root(spark)}/tidemark/export-{uuid.uuid4().hex}", ["product", "day"])
-    m = E.manifest(spark, files, exact.schema, "product", "day", "missing_flags")
-    return m.select("n_rows", "n_columns", "columns", "entities", "first_day", "last_day", "unflagged", "csv_equals_parquet")
+    m = E.checked_manifest(spark, files, exact.schema, "product", "day", "missing_flags")
+    listed = (F.col("n_files") >= 2) & (F.col("bytes_size") > 0) & (F.length("files_sha256") == 64)
+    return m.select("n_rows", "n_columns", "columns", "entities", "first_day", "last_day", "unflagged", "csv_equals_parquet", "formats", listed.alias("files_listed"), F.size("markers").alias("n_markers"))

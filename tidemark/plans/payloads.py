@@ -2,19 +2,33 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
 from tidemark.plans.registry import query
 from tidemark.plans.series import events
 from tidemark.plans.weighted import BALANCE_SQL, balance
+from tidemark.session import scratch_root, table
+from tidemark.sources import landing as W
 from tidemark.sources import parsers as A
-from tidemark.session import table
 
 
-@query("land_payloads", "SELECT DISTINCT page_id % 5 AS source_code, sha256(html) AS sha256, CAST(strlen(html) AS INTEGER) AS size, 'html' AS extension FROM pages")
+@query("land_payloads", """WITH p AS (SELECT page_id, 'source ' || page_id % 5 AS s, page_id % 3 AS m, html FROM pages), r AS (SELECT 1 AS run, * FROM p WHERE page_id % 2 = 0 UNION ALL SELECT 2, * FROM p)
+SELECT DISTINCT replace(s, ' ', '_') AS source_code, 'run_' || run AS run_id, DATE '2024-01-31' + run AS fetch_date, sha256(html) AS sha256, CAST(strlen(html) AS BIGINT) AS bytes_size, replace(s, ' ', '_') || strftime(DATE '2024-01-31' + run, '/%Y/%m/%d/') || 'run_' || run || '/' || sha256(html) || CASE min(m) OVER (PARTITION BY s, run, sha256(html)) WHEN 0 THEN '.html' WHEN 1 THEN '.bin' ELSE '.csv' END AS path FROM r""")
 def land_payloads(spark, sf_dir):
-    return A.land_payloads(table(spark, sf_dir, "pages").withColumn("src", F.col("page_id") % 5), "src", "html", F.lit("text/html; charset=utf-8"))
+    """Two runs of payloads, the second landed twice, which writes nothing more; what has landed then."""
+    pages = table(spark, sf_dir, "pages")
+    m = F.col("page_id") % 3
+    mime = F.when(m == 0, "Text/HTML; charset=utf-8").when(m == 1, "text/plain").otherwise("text/csv")
+    rows = pages.select(F.concat(F.lit("source "), (F.col("page_id") % 5).cast("string")).alias("source_code"), mime.alias("content_type"), F.col("html").cast("binary").alias("payload"), "page_id", m.alias("m"))
+    at = lambda n: (F.expr(f"timestamp '2024-01-31 12:00:00' + interval {n} day") + F.make_dt_interval(secs=F.col("m"))).cast("timestamp").alias("fetched_at")
+    run = lambda n: rows.select("source_code", F.lit(f"run {n}").alias("run_id"), at(n), "content_type", "payload", "page_id")
+    folder = f"{scratch_root(spark)}/tidemark/landed-{uuid.uuid4().hex}"
+    for delivery in (run(1).filter("page_id % 2 = 0"), run(2), run(2)):
+        W.land(delivery, folder)
+    return W.landed(spark, folder).select("source_code", "run_id", "fetch_date", "sha256", "bytes_size", "path")
 
 
 @query("payload_kind", "SELECT page_id, CASE WHEN page_id % 4 = 1 THEN 'json_rows' WHEN page_id % 4 = 2 THEN 'csv' WHEN page_id % 4 = 3 THEN 'json_metadata' WHEN lower(ltrim(html, chr(32) || chr(10) || chr(9))) LIKE '<!doctype html%' OR lower(html) LIKE '<html%' THEN 'html' WHEN html LIKE '<%' THEN 'xml' ELSE 'unknown' END AS kind FROM pages")

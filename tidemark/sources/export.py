@@ -32,6 +32,48 @@ def read_csv(spark: SparkSession, files: dict[str, str], columns: list[str]) ->
     return rows.select(*(F.coalesce(c, F.lit("")).alias(c) for c in columns))
 
 
+# What no exported file may hold.
+MARKERS = ("DATABASE_URL", "postgresql+psycopg2://", "collector_password", "TELEGRAM_TOKEN")
+
+
+def file_entries(spark: SparkSession, files: dict[str, str], markers: tuple[str, ...] = MARKERS) -> DataFrame:
+    """(format, path, bytes_size, sha256, markers) of every file of a written dataset; ``markers`` are those of the given texts that it holds.
+
+    A task reads one file at a time; the writer's ``maxRecordsPerFile`` bounds their size.
+    """
+    out = None
+    for kind, folder in files.items():
+        rows = spark.read.format("binaryFile").option("pathGlobFilter", f"part-*.{kind}").option("recursiveFileLookup", True).load(folder)
+        held = F.array_compact(F.array(*(F.when(F.contains("content", F.lit(m).cast("binary")), F.lit(m)) for m in markers)))
+        own = rows.select(F.lit(kind).alias("format"), "path", F.col("length").alias("bytes_size"), F.sha2("content", 256).alias("sha256"), held.alias("markers"))
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
+def checked_manifest(spark: SparkSession, files: dict[str, str], schema: T.StructType, entity: str, day: str, flags: str) -> DataFrame:
+    """``manifest`` with the number and size of the files, one digest of their digests, and whether every CSV has the header.
+
+    An error if there are no rows or files, if days are out of order, if CSV and Parquet
+    differ, if a header isn't that of the schema, or if a file holds one of ``MARKERS``.
+    """
+    about = manifest(spark, files, schema, entity, day, flags)
+    entries = file_entries(spark, files)
+    listed = entries.agg(
+        F.count("*").alias("n_files"), F.sum("bytes_size").alias("bytes_size"), F.sha2(F.array_join(F.array_sort(F.collect_list("sha256")), ","), 256).alias("files_sha256"), F.array_distinct(F.flatten(F.collect_list("markers"))).alias("markers"), F.count_distinct("format").alias("formats")
+    )
+    lines = spark.read.text(files["csv"]).filter(F.col("value") == ",".join(schema.names)).agg(F.count("*").alias("n_headers"))
+    csvs = entries.filter("format = 'csv'").agg(F.count("*").alias("n_csv_files"))
+    row = about.crossJoin(listed).crossJoin(lines).crossJoin(csvs)  # one row each
+    (one,) = row.collect()
+    wrong = {
+        "it has no rows": one["n_rows"] <= 0, "its days are out of order": one["first_day"] is not None and one["first_day"] > one["last_day"], "it lists no files": one["n_files"] <= 0, "CSV and Parquet differ": not one["csv_equals_parquet"],
+        "a CSV file lacks its header": one["n_headers"] < one["n_csv_files"], f"files hold {', '.join(one['markers'])}": bool(one["markers"]),
+    }
+    if any(wrong.values()):
+        raise ValueError("; ".join(k for k, v in wrong.items() if v))
+    return row
+
+
 def manifest(spark: SparkSession, files: dict[str, str], schema: T.StructType, entity: str, day: str, flags: str) -> DataFrame:
     """One row about a written dataset: counts, columns, entities, days, a digest free of order, and whether both forms hold the same text."""
     typed = spark.read.schema(schema).parquet(files["parquet"])

@@ -13,13 +13,6 @@ from tidemark.sources import csvtext as C
 MISSING = ("", ".", "na", "n/a", "null", "-")
 
 
-def land_payloads(rows: DataFrame, source: str, payload: str, mime: Column) -> DataFrame:
-    """Content address, size and extension of each payload; a repeat of a source's payload is no new row."""
-    ext = F.when(mime.contains("json"), "json").when(mime.contains("html"), "html").when(mime.contains("xml"), "xml").when(mime.contains("csv"), "csv").otherwise("bin")
-    out = rows.select(F.col(source).alias("source_code"), F.sha2(payload, 256).alias("sha256"), F.octet_length(payload).alias("size"), ext.alias("extension"))
-    return out.dropDuplicates(["source_code", "sha256"])
-
-
 def payload_kind(payload: Column) -> Column:
     """zip, html, json_rows, json_metadata, json, csv or unknown, from the payload's beginning."""
     head = F.lower(F.ltrim(F.substring(payload, 1, 1024)))
