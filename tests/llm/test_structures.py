@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm import balanced_packing, centroids, conversations
+from tidemark.llm import balanced_packing, centroids, conversations, language_id
 from tidemark.llm.queries import ORACLE, QUERIES
 
 DATA = "/root/testdata/sf0.001"
@@ -355,3 +355,58 @@ def test_costs_are_more_even_than_first_fit():
         first_fit[s] += balanced_packing.cost(n)
     assert np.std([spent[s] for s in range(full)]) < 0.9 * np.std(first_fit[:-1])
     assert sum(v > 1 for v in cut.values()) < 0.05 * len(lengths)
+
+
+# Operator 8: learning of transitions, and long texts
+
+
+def test_expected_transitions_equal_enumeration():
+    rng = np.random.default_rng(1)
+    for lengths in ([5], [1], [2, 3, 1]):
+        scores, moves = rng.normal(size=(sum(lengths), 3)), rng.normal(size=(3, 3))
+        want, shares, at = np.zeros((3, 3)), [], 0
+        for n in lengths:
+            own, word = np.zeros((3, 3)), np.zeros((n, 3))
+            total = 0.0
+            for before in range(3):
+                for path in np.ndindex(*(3,) * n):
+                    p = np.exp(sum(scores[at + t, s] for t, s in enumerate(path)) + moves[before, path[0]] + sum(moves[a, b] for a, b in zip(path, path[1:])))
+                    total += p
+                    for a, b in zip((before, *path), path):
+                        own[a, b] += p
+                    for t, s in enumerate(path):
+                        word[t, s] += p
+            want += own / total
+            shares.append(word / total)
+            at += n
+        probs, pairs = language_id.expectations(scores, np.array(lengths), moves)
+        assert np.allclose(pairs, want) and np.allclose(probs, np.concatenate(shares))
+
+
+def test_a_long_text_in_parts_equals_the_whole():
+    rng = np.random.default_rng(2)
+    table, moves, rows = rng.normal(size=(50, 4)), rng.normal(size=(4, 4)), rng.integers(0, 50, 5000)
+    whole = language_id.marginals(table[rows], np.array([len(rows)]), moves).mean(axis=0)
+    for part in (137, 1000, 5000, 9999):
+        assert np.allclose(language_id.mean_marginals(table, rows, moves, part), whole)
+
+
+def test_switched_texts_are_labelled_word_by_word():
+    rng = random.Random(13)
+    words = {"xx": ["bab", "abba", "babab"], "yy": ["zoz", "ozzo", "zozoz"]}
+    model = language_id.fit([(lang, [rng.choice(own) for _ in range(30)]) for lang, own in words.items() for _ in range(60)])
+    off = model.moves[0, 1] + model.moves[1, 0]
+    assert off < model.moves[0, 0] + model.moves[1, 1]  # staying is likelier, switching isn't ruled out
+    labeller = language_id.Labeller(model)
+    rows = labeller._rows("bab abba babab bab zoz ozzo zoz zozoz")
+    probs = language_id.marginals(labeller._scores()[rows], np.array([8]), model.moves)
+    assert [model.labels[k] for k in probs.argmax(axis=1)] == ["xx"] * 4 + ["yy"] * 4
+
+
+def test_long_texts_are_not_learned_from_but_labelled(spark):
+    texts = ["the cat and the dog " * 3] * 40 + ["le chat et le chien " * 3] * 40 + ["the cat " * 60_000, "le chien " * 130_000]
+    docs = spark.createDataFrame([(i, t, "fr" if t.startswith("le") else "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    sample = language_id.training_sample(docs)
+    assert sample.agg(F.max(F.length("text"))).first()[0] <= language_id.MAX_TEXT_CHARS and sample.count() > 40
+    got = {r.doc_id: r.lang_pred for r in language_id.identify(docs).collect()}
+    assert got[80] == "en" and got[81] == "fr"

@@ -5,10 +5,12 @@ character n-grams and a lexicon score each word, learned transitions tie neighbo
 and forward-backward gives each word's label probabilities over the whole text. A
 document's language is the one with the most probability over its words.
 
-The field is fitted in one task to a bounded sample of labelled texts; prediction
-runs over every word of every text in Arrow batches. Chains are cut into stretches
-whose transfer matrices are multiplied first, so long texts cost no more a word than
-short ones.
+The field is fitted in one task to a bounded sample of labelled texts, some of them joined
+in pairs, so that switches of language are seen; transitions are learned from the exact
+posteriors of neighbouring labels. Prediction runs over every word of every text in Arrow
+batches. Chains are cut into stretches whose transfer matrices are multiplied first, so
+long texts cost no more a word than short ones; a very long text is worked on part by
+part, from both ends.
 """
 
 from __future__ import annotations
@@ -24,12 +26,16 @@ from zlib import crc32
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: The fit takes at most so many labelled texts, the first by a hash of the id, each whole.
 MAX_TEXTS = 1_500
+#: Longer texts aren't learned from; and no more characters in all.
+MAX_TEXT_CHARS, MAX_CHARS = 400_000, 40_000_000
+#: Every so many-th pair of texts is joined for learning.
+JOIN_EVERY = 4
 EPOCHS, RATE, DECAY = 2, 0.3, 1e-4
 BUCKETS = 1 << 15
 LEXICON = 400
@@ -84,8 +90,12 @@ def _stretches(emit: np.ndarray, lengths: np.ndarray):
     return cells, real, first, per, at
 
 
-def marginals(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray) -> np.ndarray:
-    """Each word's label probabilities; texts lie one after another, none is empty."""
+def _passes(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray, start: np.ndarray | None = None, end: np.ndarray | None = None):
+    """Emissions, transitions, and each word's forward and backward vectors, every one up to a factor.
+
+    ``start`` is the forward vector before the first word (uniform if not given), ``end``
+    the backward vector of what follows the last one, for a single text.
+    """
     emit = np.exp(scores - scores.max(axis=1, keepdims=True)) + 1e-12
     step = np.exp(moves - moves.max())
     cells, real, first, per, at = _stretches(emit, lengths)
@@ -96,6 +106,10 @@ def marginals(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray) -> np.
         moved = (whole[on] @ step) * cells[on, t][:, None, :]
         whole[on] = moved / moved.max(axis=(1, 2), keepdims=True)
     head, tail = np.full((n, k), 1.0 / k), np.ones((n, k))
+    if start is not None:
+        head[first] = start
+    if end is not None:
+        tail[first + per - 1] = end
     for s in range(1, int(per.max())):
         on = np.flatnonzero(per > s)
         h = np.einsum("ij,ijk->ik", head[first[on] + s - 1], whole[first[on] + s - 1])
@@ -112,17 +126,55 @@ def marginals(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray) -> np.
         beta[:, t] = tail
         moved = (cells[:, t] * tail) @ step.T
         tail = np.where(real[:, t, None], moved / moved.max(axis=1, keepdims=True), tail)
-    both = alpha[at] * beta[at]
+    return emit, step, alpha[at], beta[at]
+
+
+def _shares(alpha: np.ndarray, beta: np.ndarray) -> np.ndarray:
+    both = alpha * beta
     return both / both.sum(axis=1, keepdims=True)
 
 
-def _pairs(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray, probs: np.ndarray) -> np.ndarray:
-    """Expected transitions between neighbours, from their marginals' joint share."""
-    inner = np.ones(len(scores), dtype=bool)
-    inner[np.cumsum(lengths) - lengths] = False
-    now = np.flatnonzero(inner)
-    joint = probs[now - 1][:, :, None] * np.exp(moves)[None] * probs[now][:, None, :]
-    return (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+def marginals(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray) -> np.ndarray:
+    """Each word's label probabilities; texts lie one after another, none is empty."""
+    _, _, alpha, beta = _passes(scores, lengths, moves)
+    return _shares(alpha, beta)
+
+
+def expectations(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each word's label probabilities, and how often each label is expected to follow each.
+
+    A word's pair with the one before it has the probability alpha before, times the
+    transition, the emission and beta. The first word of a text follows any label alike.
+    """
+    emit, step, alpha, beta = _passes(scores, lengths, moves)
+    before = np.empty_like(alpha)
+    before[1:] = alpha[:-1]
+    before[np.cumsum(lengths) - lengths] = 1.0 / alpha.shape[1]
+    after, pairs = emit * beta, np.zeros_like(step)
+    for i in range(0, len(after), BATCH_WORDS):
+        joint = before[i : i + BATCH_WORDS, :, None] * step[None] * after[i : i + BATCH_WORDS, None, :]
+        pairs += (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+    return _shares(alpha, beta), pairs
+
+
+def mean_marginals(table: np.ndarray, rows: np.ndarray, moves: np.ndarray, part: int = BATCH_WORDS) -> np.ndarray:
+    """The mean of the marginals of one text whose words have these ``rows`` of scores, ``part`` words at a time.
+
+    A first run keeps the forward vector at the beginning of each part, a second one goes
+    back from the end with the backward vector.
+    """
+    cuts = range(0, len(rows), part)
+    one = lambda i: (table[rows[i : i + part]], np.array([min(part, len(rows) - i)]), moves)
+    starts: list[np.ndarray | None] = [None]
+    for i in cuts[:-1]:
+        starts.append(_passes(*one(i), start=starts[-1])[2][-1])
+    total, end = np.zeros(table.shape[1]), None
+    for i, start in zip(reversed(cuts), reversed(starts), strict=True):
+        emit, step, alpha, beta = _passes(*one(i), start=start, end=end)
+        total += _shares(alpha, beta).sum(axis=0)
+        end = step @ (emit[0] * beta[0])
+        end = end / end.max()
+    return total / len(rows)
 
 
 def fit(texts: list[tuple[str, list[str]]]) -> Field | None:
@@ -153,14 +205,18 @@ def fit(texts: list[tuple[str, list[str]]]) -> Field | None:
         order = rng.permutation(len(seqs))
         for b in range(0, len(order), 64):
             batch = [seqs[i] for i in order[b : b + 64]]
-            words, lengths = np.concatenate([w for _, w in batch]), np.array([len(w) for _, w in batch])
-            gold = np.repeat([k for k, _ in batch], lengths)
+            words, sizes_of = np.concatenate([w for _, w in batch]), np.array([len(w) for _, w in batch])
+            gold = np.repeat([k for k, _ in batch], sizes_of)
+            # Where texts begin: the second of some pairs goes on where the first ends.
+            joined = np.zeros(len(batch), dtype=bool)
+            joined[1 :: 2 * JOIN_EVERY] = True
+            lengths = np.add.reduceat(sizes_of, np.flatnonzero(~joined))
             some, back = np.unique(words, return_inverse=True)
             used = [flat[starts[i] : starts[i + 1]] for i in some]
             sizes = np.array([len(u) for u in used])
             feats = np.concatenate(used)
             per_type = np.add.reduceat(model.weights[feats], np.r_[0, np.cumsum(sizes)[:-1]], axis=0)
-            probs = marginals(per_type[back], lengths, model.moves)
+            probs, pairs = expectations(per_type[back], lengths, model.moves)
             miss = -probs
             miss[np.arange(len(gold)), gold] += 1
             by_type = np.zeros((len(some), len(labels)))
@@ -170,11 +226,17 @@ def fit(texts: list[tuple[str, list[str]]]) -> Field | None:
             grad = grad / 64 - DECAY * model.weights
             past += grad**2
             model.weights += RATE * grad / np.sqrt(past) * (grad != 0)
-            stay = np.bincount([k for k, _ in batch], weights=lengths - 1, minlength=len(labels))
-            step = (np.diag(stay) - _pairs(per_type[back], lengths, model.moves, probs)) / len(words) - DECAY * model.moves
+            begins = np.cumsum(lengths) - lengths
+            inner = np.ones(len(gold), dtype=bool)
+            inner[begins] = False
+            now = np.flatnonzero(inner)
+            seen = np.zeros_like(model.moves)
+            np.add.at(seen, (gold[now - 1], gold[now]), 1)
+            any_ = np.exp(model.moves - model.moves.max(axis=0))
+            np.add.at(seen.T, gold[begins], (any_ / any_.sum(axis=0)).T[gold[begins]])
+            step = (seen - pairs) / len(words) - DECAY * model.moves
             past_moves += step**2
             model.moves += RATE * step / np.sqrt(past_moves)
-    model.moves = np.clip(model.moves, model.moves.max() - 6, None)  # a switch stays possible
     return model
 
 
@@ -247,7 +309,10 @@ class Labeller(dict):
         for i, text in enumerate([*texts, None]):
             if i < len(texts) and text:
                 rows = self._rows(text)
-                if len(rows):
+                if len(rows) > BATCH_WORDS:
+                    mean = mean_marginals(self._scores(), rows, self.model.moves)
+                    labels[i], sure[i] = self.model.labels[int(mean.argmax())], float(min(1.0, mean.max()))
+                elif len(rows):
                     held.append((i, rows))
                     n += len(rows)
             if held and (n >= BATCH_WORDS or i == len(texts)):
@@ -279,11 +344,17 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def training_sample(docs: DataFrame) -> DataFrame:
-    """(doc_id, lang, text) of at most ``MAX_TEXTS`` learnable rows; of those with one id, the least."""
+    """(doc_id, lang, text) of at most ``MAX_TEXTS`` learnable rows of ``MAX_CHARS`` characters in all; of those with one id, the least.
+
+    Texts of more than ``MAX_TEXT_CHARS`` aren't learned from, as the fit is one task's.
+    """
     learnable = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     learnable = learnable.filter(~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    learnable = learnable.filter(F.length("text") <= MAX_TEXT_CHARS)
     # Ids first, so that the sort moves no texts; the sample is bounded, and so is what it broadcasts.
-    ids = learnable.select("doc_id", F.xxhash64("doc_id").alias("h")).distinct().orderBy("h", "doc_id").limit(MAX_TEXTS).select("doc_id")
+    first = learnable.groupBy("doc_id").agg(F.max(F.length("text")).cast("long").alias("chars")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_TEXTS)
+    so_far = F.sum("chars").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0))
+    ids = first.withColumn("so_far", so_far).filter(F.col("so_far") <= MAX_CHARS).select("doc_id")
     chosen = learnable.join(F.broadcast(ids), "doc_id", "left_semi")
     return chosen.groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("s")).select("doc_id", "s.lang", "s.text")
 
