@@ -410,3 +410,28 @@ def test_long_texts_are_not_learned_from_but_labelled(spark):
     assert sample.agg(F.max(F.length("text"))).first()[0] <= language_id.MAX_TEXT_CHARS and sample.count() > 40
     got = {r.doc_id: r.lang_pred for r in language_id.identify(docs).collect()}
     assert got[80] == "en" and got[81] == "fr"
+
+
+# Operator 4: rows, not ids
+
+
+def test_every_row_is_a_query_and_a_candidate_of_the_others(spark, monkeypatch):
+    from tidemark.llm import topk
+
+    monkeypatch.setattr(topk, "CELL_ROWS", 8)
+    monkeypatch.setattr(topk, "HELD_QUERIES", 3)
+    rng = np.random.default_rng(3)
+    rows = [(i % 120, rng.normal(size=4).round(2).tolist()) for i in range(400)] + [(50, [1.0, 0.0, 0.0, 0.0]), (50, [0.5, 0.5, 0.0, 0.0])] + [(100, [2.0, 0.0, 0.0, 0.0])] * 7 + [(0, [])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for name in ("v", "far", "pivot", "row", "times", "cell"):
+        df = df.withColumn(name, F.lit(1))
+    got = collections.Counter(map(tuple, topk.top_k(df, 50, 5).collect()))
+    whole = [(i, np.floor(256 * np.array((*v, *[0.0] * (4 - len(v))))).astype(np.int64)) for i, v in rows]
+    want = collections.Counter()
+    for n, (q, a) in enumerate(whole):
+        if q % 50 == 0:
+            best = sorted(((x, int(a @ b)) for m, (x, b) in enumerate(whole) if m != n), key=lambda p: (-p[1], p[0]))[:5]
+            want.update((q, rank, x, s) for rank, (x, s) in enumerate(best, 1))
+    assert got == want
+    pair = spark.createDataFrame([(50, [1.0]), (50, [2.0]), (1, [3.0]), (2, [4.0])], "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, topk.top_k(pair, 50, 5).collect())) == sorted([(50, 1, 2, 262144), (50, 2, 1, 196608), (50, 3, 50, 131072), (50, 1, 2, 524288), (50, 2, 1, 393216), (50, 3, 50, 131072)])

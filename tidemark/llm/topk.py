@@ -17,14 +17,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialize, parts_for
+from tidemark.llm.common import discard, materialize, parts_for
 
-#: Pivots are the first vectors by a hash of the id, so many at most; annuli of a pivot.
-MAX_PIVOTS, RINGS = 64, 16
+#: Pivots are the first vectors by a hash of the id, so many at most; annuli of a pivot. Both grow with the rows up to these.
+MAX_PIVOTS, MAX_RINGS = 128, 32
 #: Vectors in an annulus, in a block and in a block of queries, about.
 CELL_ROWS, BLOCK_ROWS, QUERY_ROWS = 1024, 2048, 512
 #: Annuli in a query's first scan.
 FIRST_CELLS = 2
+#: Queries whose best scores a task holds at once, and tasks whose scores are cut together.
+HELD_QUERIES, CUT_TASKS = 50_000, 32
 SCALE = 256
 
 
@@ -81,15 +83,15 @@ class Index:
 
 
 def _keyed(points: DataFrame, index: Index) -> DataFrame:
-    """(vec_id, v, pivot, far) with the nearest pivot and the distance to it."""
+    """(row, vec_id, v, pivot, far) with the nearest pivot and the distance to it."""
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            d = index.distances(_matrix(batch.column(1).to_pylist(), index.dim), query=False)
+            d = index.distances(_matrix(batch.column(2).to_pylist(), index.dim), query=False)
             best = d.argmin(axis=1) if len(d) else np.empty(0, dtype=np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(best.astype(np.int32)), pa.array(d[np.arange(len(d)), best])], ["vec_id", "v", "pivot", "far"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(best.astype(np.int32)), pa.array(d[np.arange(len(d)), best])], ["row", "vec_id", "v", "pivot", "far"])
 
-    return points.mapInArrow(key, "vec_id long, v binary, pivot int, far double")
+    return points.mapInArrow(key, "row long, vec_id long, v binary, pivot int, far double")
 
 
 def _packed(scaled_rows: DataFrame) -> DataFrame:
@@ -102,88 +104,122 @@ def _packed(scaled_rows: DataFrame) -> DataFrame:
     return scaled_rows.mapInArrow(pack, "vec_id long, v binary, norm2 double")
 
 
-def _blocks(rows: DataFrame, by: str, counts: list[tuple[int, int]], size: int) -> DataFrame:
-    """(by, part, ids, vs): rows of a cell in parts of about ``size``, dealt by a hash of id and vector."""
-    parts = F.array(*(F.lit(parts_for(n, size, 1)) for _, n in counts))
-    part = F.pmod(F.xxhash64("vec_id", "v"), F.element_at(parts, F.col(by).cast("int") + 1)).cast("int")
-    return rows.groupBy(by, part.alias("part")).agg(F.collect_list("vec_id").alias("ids"), F.collect_list("v").alias("vs"))
+def _celled(keyed: DataFrame, edges: list[np.ndarray], rings: int, number: np.ndarray | None = None) -> DataFrame:
+    """``keyed`` with ``cell``: pivot and annulus as one number, or what ``number`` makes of it."""
 
+    def cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pivot, far = batch.column(3).to_numpy(), batch.column(4).to_numpy()
+            ring = np.zeros(len(pivot), dtype=np.int64)
+            for p in np.unique(pivot):
+                ring[pivot == p] = np.searchsorted(edges[p], far[pivot == p], side="left")
+            raw = pivot * rings + ring
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array((raw if number is None else number[raw]).astype(np.int32))], [*batch.schema.names, "cell"])
+
+    return keyed.mapInArrow(cell, "row long, vec_id long, v binary, pivot int, far double, cell int")
+
+
+def _blocks(rows: DataFrame, sizes: list[int], size: int, *more: str) -> DataFrame:
+    """(cell, part, ids, vs, rows, more): rows of a cell in parts of about ``size``, dealt by a hash of the row."""
+    counts = F.broadcast(rows.sparkSession.createDataFrame([(i, parts_for(n, size)) for i, n in enumerate(sizes)], "cell int, __parts int"))  # a row a cell
+    dealt = rows.join(counts, "cell").withColumn("part", F.pmod(F.xxhash64("row"), F.col("__parts")).cast("int"))
+    lists = [F.collect_list(c).alias(n) for c, n in (("vec_id", "ids"), ("v", "vs"), ("row", "rows"), *((m, m) for m in more))]
+    return dealt.groupBy("cell", "part").agg(*lists)
 
-def _scan(pairs: DataFrame, queries: DataFrame, blocks: DataFrame, sizes: list[tuple[int, int]], index: Index, k: int) -> DataFrame:
-    """(query_id, vec_id, score): each query's k best of every block it is paired with.
 
-    ``pairs`` has (query block, query part, cell, wanted): which of the block's queries
-    scan the cell. Each part of a cell is met by itself, so a frequent vector's cell is
+def _scan(pairs: DataFrame, queries: DataFrame, blocks: DataFrame, index: Index, k: int) -> DataFrame:
+    """(query, vec_id, score): each query's k best of all blocks that a task has met.
+
+    ``pairs`` has (query block, query part, cell, part, wanted): which of the block's queries
+    scan the part of the cell. Parts are met one by one, so a frequent vector's cell is
     spread over tasks.
     """
-    last = F.array(*(F.lit(parts_for(n, BLOCK_ROWS) - 1) for _, n in sizes))
-    pairs = pairs.withColumn("part", F.explode(F.sequence(F.lit(0), F.element_at(last, F.col("cell") + 1))))
-    met = pairs.join(queries.select("qblock", "qpart", "qids", "qvs"), ["qblock", "qpart"]).join(blocks, ["cell", "part"])
+    met = pairs.join(queries.select("qblock", "qpart", "qrows", "qvs"), ["qblock", "qpart"]).join(blocks, ["cell", "part"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[np.ndarray]] = {}
+
+        def cut() -> pa.RecordBatch:
+            found = [np.concatenate(parts) for parts in held.values()]
+            best = [x[np.lexsort((x[:, 0], -x[:, 1]))[:k]] for x in found]
+            rows = np.concatenate([np.column_stack([np.full(len(x), q), x]) for q, x in zip(held, best, strict=True)]) if held else np.empty((0, 3), dtype=np.int64)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(rows[:, c].astype(np.int64)) for c in range(3)], ["query", "vec_id", "score"])
+
         for batch in batches:
             for n in range(batch.num_rows):
-                wanted, qids, qvs, ids, vs = (batch.column(i)[n].as_py() for i in range(5))
+                wanted, qrows, qvs, ids, vs, rows = (batch.column(i)[n].as_py() for i in range(6))
                 q, x = _matrix([qvs[i] for i in wanted], index.dim), _matrix(vs, index.dim)
-                qid, ids = np.array([qids[i] for i in wanted]), np.array(ids)
+                ids, rows = np.array(ids), np.array(rows)
                 scores = _products(q, x)
-                out: list[np.ndarray] = []
-                for i in range(len(q)):
-                    own = ids != qid[i]
+                for i, j in enumerate(wanted):
+                    own = rows != qrows[j]
                     order = np.lexsort((ids[own], -scores[i][own]))[:k]
-                    best = np.stack([ids[own][order], scores[i][own][order]], axis=1)
-                    out.append(np.column_stack([np.full(len(best), qid[i]), best]))
-                rows = np.concatenate(out) if out else np.empty((0, 3), dtype=np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(rows[:, c].astype(np.int64)) for c in range(3)], ["query_id", "vec_id", "score"])
+                    parts = held.setdefault(qrows[j], [])
+                    parts.append(np.stack([ids[own][order], scores[i][own][order]], axis=1))
+                    if len(parts) >= 64:
+                        one = np.concatenate(parts)
+                        held[qrows[j]] = [one[np.lexsort((one[:, 0], -one[:, 1]))[:k]]]
+            if len(held) >= HELD_QUERIES:
+                yield cut()
+        yield cut()
 
-    return met.select("wanted", "qids", "qvs", "ids", "vs").mapInArrow(scan, "query_id long, vec_id long, score long")
+    return met.select("wanted", "qrows", "qvs", "ids", "vs", "rows").mapInArrow(scan, "query long, vec_id long, score long")
 
 
 def _best(scores: DataFrame, k: int) -> DataFrame:
-    """(query_id, best): the k best scores of each query, first the highest, ties to the smaller id.
+    """(query, best): the k best scores of each query, first the highest, ties to the smaller id.
 
-    Each block gives a query k rows at most; they are cut to k again before and after the shuffle.
+    A task gives a query k rows, but for those it had to let go in between. They are cut
+    to k for every ``CUT_TASKS`` tasks first, so no list holds more than those tasks' rows
+    or one for each such group.
     """
     entry = F.struct((-F.col("score")).alias("minus"), F.col("vec_id").alias("vec_id"))
-    return scores.groupBy("query_id").agg(F.slice(F.sort_array(F.collect_list(entry)), 1, k).alias("best"))
+    first = lambda lists: F.slice(F.sort_array(lists), 1, k)
+    some = scores.groupBy("query", F.floor(F.spark_partition_id() / CUT_TASKS).alias("tasks")).agg(first(F.collect_list(entry)).alias("best"))
+    return some.groupBy("query").agg(first(F.flatten(F.collect_list("best"))).alias("best"))
 
 
 def top_k(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     """(query_id, rank, vec_id, score): exact top k of each row whose id is divisible by ``every``.
 
     Vectors that are null or hold null or non-finite components take no part; shorter
-    ones, empty ones too, count as filled up with zeros. A query's own id is no candidate
-    of it. Repeated rows are candidates each, and one query where they are queries. Fewer
-    than k candidates are all returned; no rows give no rows. Scores beyond 64 bits stop
-    at the limit.
+    ones, empty ones too, count as filled up with zeros. Every row is a query of its own
+    where its id says so, and all other rows are its candidates, those of its own id too;
+    so rows that are there twice are in each other's lists, and their lists come twice.
+    Fewer than k candidates are all returned; no rows give no rows. Scores beyond 64 bits
+    stop at the limit.
     """
-    points = materialize(_packed(scaled(vectors)), "points")
+    points = materialize(_packed(scaled(vectors)).select(F.monotonically_increasing_id().alias("row"), "vec_id", "v", "norm2"), "points")
     n, dim, radius2 = points.agg(F.count("*"), F.max(F.length("v") / 8), F.max("norm2")).first()
     empty = points.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     if not n:
         return empty
-    dim, cells_wanted = max(1, int(dim)), min(MAX_PIVOTS * RINGS, parts_for(n, CELL_ROWS))
-    count = max(1, min(MAX_PIVOTS, round((cells_wanted * MAX_PIVOTS / RINGS) ** 0.5)))
+    dim, cells_wanted = max(1, int(dim)), min(MAX_PIVOTS * MAX_RINGS, parts_for(n, CELL_ROWS))
+    count = max(1, min(MAX_PIVOTS, round((cells_wanted * MAX_PIVOTS / MAX_RINGS) ** 0.5)))
     seeds = points.orderBy(F.xxhash64("vec_id"), "v").limit(count).select("v").collect()  # MAX_PIVOTS rows at most
     index = Index(dim, float(radius2), _matrix([bytes(r["v"]) for r in seeds], dim))
     rings = max(1, -(-cells_wanted // count))
-    keyed = materialize(_keyed(points.select("vec_id", "v"), index), "keyed")
-    marks = [i / rings for i in range(1, rings)] or [1.0]
-    edges = keyed.groupBy("pivot").agg(F.percentile_approx("far", marks, 1000).alias("edges")).collect()  # pivots x rings
-    table = {r["pivot"]: sorted(set(r["edges"])) if rings > 1 else [] for r in edges}
-    edge = F.array(*(F.array(*(F.lit(float(e)) for e in table.get(p, []))).cast("array<double>") for p in range(count)))
-    ring = F.size(F.filter(F.element_at(edge, F.col("pivot") + 1), lambda e: F.col("far") > e))
-    celled = keyed.withColumn("raw", F.col("pivot") * rings + ring)
-    found = celled.groupBy("raw").agg(F.min("far").alias("near"), F.max("far").alias("far"), F.count("*").alias("n")).orderBy("raw").collect()
-    index.cells = [(r["raw"] // rings, r["near"], r["far"], r["n"]) for r in found]
-    number = F.element_at(F.create_map(*(F.lit(x) for i, r in enumerate(found) for x in (r["raw"], i))), F.col("raw"))
-    celled = celled.withColumn("cell", number)
-    sizes = [(i, r["n"]) for i, r in enumerate(found)]
-    blocks = materialize(_blocks(celled, "cell", sizes, BLOCK_ROWS), "blocks")
-    # A query block holds queries of one cell, so that they want the same annuli.
-    queries = _blocks(celled.filter(F.col("vec_id") % every == 0).dropDuplicates(["vec_id", "v"]), "cell", sizes, QUERY_ROWS)
-    queries = materialize(queries.select(F.col("cell").alias("qblock"), F.col("part").alias("qpart"), F.col("ids").alias("qids"), F.col("vs").alias("qvs")), "queries")
+    keyed = materialize(_keyed(points.select("row", "vec_id", "v"), index), "keyed")
+    discard(points)
+    edges = [np.empty(0)] * count
+    if rings > 1:
+        marks = [i / rings for i in range(1, rings)]
+        for r in keyed.groupBy("pivot").agg(F.percentile_approx("far", marks, 1000).alias("edges")).collect():  # pivots x rings
+            edges[r["pivot"]] = np.unique(np.array(r["edges"], dtype=np.float64))
+    found = _celled(keyed, edges, rings).groupBy("cell").agg(F.min("far").alias("near"), F.max("far").alias("far"), F.count("*").alias("n")).orderBy("cell").collect()  # pivots x rings
+    index.cells = [(r["cell"] // rings, r["near"], r["far"], r["n"]) for r in found]
+    number = np.zeros(count * rings, dtype=np.int64)
+    number[[r["cell"] for r in found]] = np.arange(len(found))
+    celled, sizes = _celled(keyed, edges, rings, number).select("row", "vec_id", "v", "cell"), [r["n"] for r in found]
+    blocks = materialize(_blocks(celled, sizes, BLOCK_ROWS), "blocks")
+    # Equal rows ask the same: one of them asks for all. A query block holds queries of one cell, so that they want the same annuli.
+    asking = celled.filter(F.col("vec_id") % every == 0).groupBy("vec_id", "v").agg(F.min("row").alias("row"), F.min("cell").alias("cell"), F.count("*").alias("times"))
+    queries = _blocks(asking, sizes, QUERY_ROWS, "times")
+    queries = materialize(queries.select(F.col("cell").alias("qblock"), F.col("part").alias("qpart"), F.col("rows").alias("qrows"), F.col("ids").alias("qids"), F.col("vs").alias("qvs"), "times"), "queries")
+    discard(keyed)
     slack = 1e-6 * (1.0 + radius2**0.5)
+    parts = [parts_for(size, BLOCK_ROWS) for size in sizes]
 
     def choose(first: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,23 +239,26 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
                         kth = np.array([-np.inf if s is None else float(s) for s in row["kth"]])
                         reach = ((q**2).sum(axis=1) + index.radius2)[:, None] - np.maximum(0.0, low - slack) ** 2
                         wanted = ~early & (reach / 2 + slack >= kth[:, None])
-                    rows = [(c, np.flatnonzero(wanted[:, c]).tolist()) for c in np.flatnonzero(wanted.any(axis=0)).tolist()]
+                    rows = [(c, p, np.flatnonzero(wanted[:, c]).tolist()) for c in np.flatnonzero(wanted.any(axis=0)).tolist() for p in range(parts[c])]
                     size = len(rows)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([row["qblock"]] * size, pa.int32()), pa.array([row["qpart"]] * size, pa.int32()), pa.array([c for c, _ in rows], pa.int32()), pa.array([w for _, w in rows], pa.list_(pa.int32()))],
-                        ["qblock", "qpart", "cell", "wanted"],
+                        [pa.array([row["qblock"]] * size, pa.int32()), pa.array([row["qpart"]] * size, pa.int32()), pa.array([c for c, _, _ in rows], pa.int32()), pa.array([p for _, p, _ in rows], pa.int32()), pa.array([w for _, _, w in rows], pa.list_(pa.int32()))],
+                        ["qblock", "qpart", "cell", "part", "wanted"],
                     )
 
         return run
 
-    schema = "qblock int, qpart int, cell int, wanted array<int>"
-    one = materialize(_best(_scan(queries.mapInArrow(choose(True), schema), queries, blocks, sizes, index, k), k), "first")
+    schema = "qblock int, qpart int, cell int, part int, wanted array<int>"
+    asked = queries.select("qblock", "qpart", "qvs")
+    one = materialize(_best(_scan(asked.mapInArrow(choose(True), schema), queries, blocks, index, k), k), "first")
     # The k-th score of each query, in the order of its block.
-    spread = queries.select("qblock", "qpart", F.posexplode("qids").alias("i", "query_id"))
+    spread = queries.select("qblock", "qpart", F.posexplode("qrows").alias("i", "query"))
     kth = F.when(F.size("best") >= k, -F.get("best", k - 1)["minus"])
-    known = spread.join(one.select("query_id", kth.alias("kth")), "query_id", "left")
+    known = spread.join(one.select("query", kth.alias("kth")), "query", "left")
     lists = known.groupBy("qblock", "qpart").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "kth"))), lambda s: s["kth"]).alias("kth"))
-    two = _scan(queries.join(lists, ["qblock", "qpart"]).mapInArrow(choose(False), schema), queries, blocks, sizes, index, k)
-    earlier = one.select("query_id", F.inline("best")).select("query_id", "vec_id", (-F.col("minus")).alias("score"))
-    best = _best(earlier.unionByName(two), k).select("query_id", F.posexplode("best").alias("rank", "b"))
-    return best.select("query_id", (F.col("rank") + 1).cast("int").alias("rank"), F.col("b.vec_id").alias("vec_id"), (-F.col("b.minus")).alias("score"))
+    two = _scan(asked.join(lists, ["qblock", "qpart"]).mapInArrow(choose(False), schema), queries, blocks, index, k)
+    earlier = one.select("query", F.inline("best")).select("query", "vec_id", (-F.col("minus")).alias("score"))
+    best = _best(earlier.unionByName(two), k).select("query", F.posexplode("best").alias("rank", "b"))
+    asks = queries.select(F.inline(F.arrays_zip(F.col("qrows").alias("query"), F.col("qids").alias("query_id"), "times")))
+    ranked = best.join(asks, "query").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))
+    return ranked.select("query_id", (F.col("rank") + 1).cast("int").alias("rank"), F.col("b.vec_id").alias("vec_id"), (-F.col("b.minus")).alias("score"))
