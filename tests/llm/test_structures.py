@@ -419,7 +419,7 @@ def test_every_row_is_a_query_and_a_candidate_of_the_others(spark, monkeypatch):
     from tidemark.llm import topk
 
     monkeypatch.setattr(topk, "CELL_ROWS", 8)
-    monkeypatch.setattr(topk, "HELD_QUERIES", 3)
+    monkeypatch.setattr(topk, "HELD_ROWS", 40)
     rng = np.random.default_rng(3)
     rows = [(i % 120, rng.normal(size=4).round(2).tolist()) for i in range(400)] + [(50, [1.0, 0.0, 0.0, 0.0]), (50, [0.5, 0.5, 0.0, 0.0])] + [(100, [2.0, 0.0, 0.0, 0.0])] * 7 + [(0, [])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")

@@ -25,8 +25,8 @@ MAX_PIVOTS, MAX_RINGS = 128, 32
 CELL_ROWS, BLOCK_ROWS, QUERY_ROWS = 1024, 2048, 512
 #: Annuli in a query's first scan.
 FIRST_CELLS = 2
-#: Queries whose best scores a task holds at once, and tasks whose scores are cut together.
-HELD_QUERIES, CUT_TASKS = 50_000, 32
+#: Scores that a task holds before it cuts them to k a query, and tasks whose scores are cut together.
+HELD_ROWS, CUT_TASKS = 500_000, 32
 SCALE = 256
 
 
@@ -137,32 +137,38 @@ def _scan(pairs: DataFrame, queries: DataFrame, blocks: DataFrame, index: Index,
     met = pairs.join(queries.select("qblock", "qpart", "qrows", "qvs"), ["qblock", "qpart"]).join(blocks, ["cell", "part"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[np.ndarray]] = {}
+        held, n_held = [np.empty((0, 3), dtype=np.int64)], 0
 
-        def cut() -> pa.RecordBatch:
-            found = [np.concatenate(parts) for parts in held.values()]
-            best = [x[np.lexsort((x[:, 0], -x[:, 1]))[:k]] for x in found]
-            rows = np.concatenate([np.column_stack([np.full(len(x), q), x]) for q, x in zip(held, best, strict=True)]) if held else np.empty((0, 3), dtype=np.int64)
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(rows[:, c].astype(np.int64)) for c in range(3)], ["query", "vec_id", "score"])
+        def cut() -> np.ndarray:
+            """The k best rows of each query held, ties to the smaller id."""
+            x = np.concatenate(held)
+            x = x[np.lexsort((x[:, 1], -x[:, 2], x[:, 0]))]
+            begins = np.flatnonzero(np.r_[True, x[1:, 0] != x[:-1, 0]]) if len(x) else np.empty(0, dtype=np.int64)
+            nth = np.arange(len(x)) - np.repeat(begins, np.diff(np.r_[begins, len(x)]))
+            return x[nth < k]
+
+        def out(x: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(x[:, c]) for c in range(3)], ["query", "vec_id", "score"])
 
         for batch in batches:
             for n in range(batch.num_rows):
                 wanted, qrows, qvs, ids, vs, rows = (batch.column(i)[n].as_py() for i in range(6))
                 q, x = _matrix([qvs[i] for i in wanted], index.dim), _matrix(vs, index.dim)
-                ids, rows = np.array(ids), np.array(rows)
-                scores = _products(q, x)
-                for i, j in enumerate(wanted):
-                    own = rows != qrows[j]
-                    order = np.lexsort((ids[own], -scores[i][own]))[:k]
-                    parts = held.setdefault(qrows[j], [])
-                    parts.append(np.stack([ids[own][order], scores[i][own][order]], axis=1))
-                    if len(parts) >= 64:
-                        one = np.concatenate(parts)
-                        held[qrows[j]] = [one[np.lexsort((one[:, 0], -one[:, 1]))[:k]]]
-            if len(held) >= HELD_QUERIES:
-                yield cut()
-        yield cut()
+                asked, ids = np.array(qrows, dtype=np.int64)[wanted], np.array(ids, dtype=np.int64)
+                scores, own = _products(q, x), asked[:, None] == np.array(rows, dtype=np.int64)[None, :]
+                scores[own] = -(2**63)
+                # All that reach the k-th score of their query, ties too.
+                least = np.partition(scores, len(ids) - k, axis=1)[:, len(ids) - k] if len(ids) > k else np.full(len(asked), -(2**63))
+                i, j = np.nonzero((scores >= least[:, None]) & ~own)
+                held.append(np.column_stack([asked[i], ids[j], scores[i, j]]))
+                n_held += len(i)
+                if n_held >= HELD_ROWS:
+                    held[:] = [cut()]
+                    n_held = len(held[0])
+                    if n_held >= HELD_ROWS // 2:
+                        yield out(held[0])
+                        held, n_held = [np.empty((0, 3), dtype=np.int64)], 0
+        yield out(cut())
 
     return met.select("wanted", "qrows", "qvs", "ids", "vs", "rows").mapInArrow(scan, "query long, vec_id long, score long")
 
