@@ -192,13 +192,20 @@ def _peel(rows: DataFrame, dealt: bool, passes: int) -> DataFrame:
     return rows
 
 
+def _with_key(rows: DataFrame, keyed: DataFrame) -> DataFrame:
+    """``rows`` with the one row that ``keyed`` has of their key; the rows of a dealt key stay in the tasks that they were dealt to."""
+    dealt = rows.filter("salt > 0").select("sig", "salt").distinct()
+    spread = keyed.withColumn("salt", F.lit(0).cast(rows.schema["salt"].dataType)).unionByName(dealt.join(keyed, "sig"))
+    return rows.join(spread, ["sig", "salt"])
+
+
 def _star_pairs(rows: DataFrame, turn: int) -> DataFrame:
     """Each record with the records that come first in the most of its keys."""
     rank = F.when(F.lit(turn == 0), -F.col("ties")).otherwise(F.lit(0))
     who = F.struct(rank.alias("rank"), F.xxhash64("rec", F.lit(turn)).alias("order"), "rec", "n", "comp")
     least = rows.filter("kind = 0").groupBy("sig").agg(F.min(who).alias("least"))
     pairs = (
-        rows.join(least, "sig")
+        _with_key(rows, least)
         .filter("least.comp <> comp and 5 * least(n, least.n) >= 4 * greatest(n, least.n)")
         .groupBy(F.col("least.rec").alias("a"), F.col("least.n").alias("na"), F.col("rec").alias("b"), F.col("n").alias("nb"))
         .agg(F.count("*").alias("keys"))
@@ -213,7 +220,7 @@ def _rest_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
     The pairs of a frequent key are dealt into several tasks.
     """
     costs = rows.groupBy("sig").agg(F.count("*").alias("cost"))
-    rows = rows.join(costs, "sig").join(sets.select("rec", "n", "bits"), ["rec", "n"])
+    rows = _with_key(rows, costs).drop("salt").join(sets.select("rec", "n", "bits"), ["rec", "n"])
     cheap = F.row_number().over(Window.partitionBy("rec", "n", "band").orderBy("cost", "sig"))
     held = F.count("*").over(Window.partitionBy("rec", "n", "band"))
     rows = rows.withColumn("salts", F.ceil(F.col("cost") / SALT_ROWS).cast("int"))
