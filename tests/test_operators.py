@@ -123,3 +123,21 @@ def test_all_orders_pass_through_observations_in_bounded_documents(spark):
     orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
     want = sorted((r.o_orderpriority, r.o_orderkey, float(r.o_totalprice)) for r in orders.collect() if r.o_orderkey % 7)
     assert sorted(map(tuple, payloads.observations(orders, 50).collect())) == want
+
+
+def test_sources_are_compared_day_by_day(spark):
+    history = spark.createDataFrame([("a", day(1), 10.0), ("a", day(2), 10.0), ("a", day(3), 10.0), ("a", day(4), 1.0), ("b", day(1), 1.0), ("c", day(1), None), ("c", None, 2.0)], "k string, d date, v double")
+    current = spark.createDataFrame([("a", day(1), 10.0), ("a", day(2), 9.95), ("a", day(3), 5.0), ("a", day(4), 0.0), ("b", day(9), 1.0), ("c", day(1), 1.0), ("z", day(1), 1.0)], "k string, d date, p double")
+    got = sorted((r.k, r.d and r.d.day, r.diff_abs and round(r.diff_abs, 6), r.diff_pct and round(r.diff_pct, 6), r.status) for r in I.compare_sources(history, current, "k", "d", "v", "p").collect())
+    assert got == [
+        ("a", 1, 0.0, 0.0, "match_close"), ("a", 2, 0.05, 0.005025, "small_diff"), ("a", 3, 5.0, 1.0, "large_diff"), ("a", 4, 1.0, None, "large_diff"),
+        ("b", None, None, None, "no_overlap"), ("c", None, None, None, "not_comparable"),
+    ]
+
+
+def test_prefixes_tell_whether_they_reach_the_threshold(spark):
+    shares = spark.createDataFrame([("m", c, s) for c, s in (("x", 0.5), ("y", 0.3), ("z", 0.2))], "k string, c string, s double")
+    see = lambda least, most: [(r.c, r.status) for r in P.coverage_prefix(shares, ["k"], "s", "c", least, most).orderBy("rank").collect()]
+    assert see(0.6, None) == [("x", "threshold_reached"), ("y", "threshold_reached")]
+    assert see(0.6, 1) == [("x", "coverage_requires_review")]
+    assert see(2.0, None) == [(c, "threshold_not_reached") for c in "xyz"]

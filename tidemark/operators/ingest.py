@@ -117,6 +117,23 @@ def feature_upsert(existing: DataFrame, built: DataFrame, keys: list[str], same:
     return pairs.filter("__side = 1").select(*keys, F.when(F.col("__nth") == 1, "created").when(same, "skipped").otherwise("updated").alias("action"))
 
 
+def compare_sources(history: DataFrame, current: DataFrame, key: str, day: str, value: str, price: str) -> DataFrame:
+    """(key, day, value, price, diff_abs, diff_pct, status) of days that both have, and one row of each key of ``history`` with none.
+
+    A match is exact, a small difference at most a hundredth of the price, any other
+    large, as one from a price of 0. Keys without a common day are ``no_overlap``, those
+    without any value and day ``not_comparable``; their other columns are null.
+    """
+    usable = history.filter(F.col(day).isNotNull() & F.col(value).isNotNull()).select(key, day, value)
+    both = usable.join(current.filter(F.col(price).isNotNull()).select(key, day, price), [key, day])
+    gap = F.col(value) - F.col(price)
+    share = F.try_divide(gap, F.col(price))
+    status = F.when(gap == 0, "match_close").when(F.abs(share) <= 0.01, "small_diff").otherwise("large_diff")
+    matched = both.select(key, day, value, price, gap.alias("diff_abs"), share.alias("diff_pct"), status.alias("status"))
+    none = history.groupBy(key).agg(F.count_if(F.col(day).isNotNull() & F.col(value).isNotNull()).alias("__n")).join(matched.select(key).distinct(), key, "left_anti")
+    return matched.unionByName(none.select(key, F.when(F.col("__n") > 0, "no_overlap").otherwise("not_comparable").alias("status")), allowMissingColumns=True)
+
+
 def run_summary(actions: DataFrame, run: str) -> DataFrame:
     """Counts of each action by run, and success, partial_success or error.
 

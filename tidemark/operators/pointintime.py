@@ -122,11 +122,18 @@ def weighted_mean(value: Column, weight: Column) -> Column:
     return F.try_divide(F.sum(value.cast("double") * w.cast("double")), F.sum(w.cast("double")))
 
 
-def coverage_prefix(rows: DataFrame, keys: list[str], share: str, name: str, threshold: float) -> DataFrame:
-    """The smallest set of largest shares that reaches the threshold, with ranks and running shares."""
+def coverage_prefix(rows: DataFrame, keys: list[str], share: str, name: str, threshold: float, most: int | None = None) -> DataFrame:
+    """The smallest set of largest shares that reaches the threshold, with ranks, running shares and ``status``.
+
+    At most ``most`` of a key are taken. The status says whether those taken reach the
+    threshold, and if not, whether that has to be reviewed, as there was a cap.
+    """
     w = Window.partitionBy(*keys).orderBy(F.desc(share), name)
     out = rows.withColumn("rank", F.row_number().over(w)).withColumn("running", F.sum(share).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return out.filter(F.col("running") - F.col(share) < threshold)
+    taken = out.filter(F.col("running") - F.col(share) < threshold)
+    taken = taken.filter(F.col("rank") <= most) if most is not None else taken
+    reached = F.max("running").over(Window.partitionBy(*keys)) >= threshold
+    return taken.withColumn("status", F.when(reached, "threshold_reached").otherwise("threshold_not_reached" if most is None else "coverage_requires_review"))
 
 
 def residual_weights(rows: DataFrame, keys: list[str], weight: str, name: str, scale: int = 8) -> DataFrame:

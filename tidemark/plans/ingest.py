@@ -310,14 +310,21 @@ def export_strings(spark, sf_dir):
     return table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"), F.coalesce(status, F.lit("")).alias("o_orderstatus"))
 
 
-@query("compare_sources", """WITH a AS (SELECT l_orderkey AS k, CAST(round(sum(l_extendedprice) * 100) AS BIGINT) AS x FROM lineitem GROUP BY 1), b AS (SELECT o_orderkey AS k, CAST(round(o_totalprice * 100) AS BIGINT) AS y FROM orders WHERE o_orderkey % 4 <> 0)
-SELECT a.k, CASE WHEN b.k IS NULL THEN 'no_overlap' WHEN abs(x - y) * 100 <= y THEN 'match_close' WHEN abs(x - y) * 2 <= y THEN 'small_diff' ELSE 'large_diff' END AS status FROM a LEFT JOIN b ON a.k = b.k""")
+@query("compare_sources", """WITH h AS (SELECT l_partkey % 40 AS product, CAST(l_shipdate AS DATE) AS day, CASE WHEN l_partkey % 40 <> 38 THEN CAST(sum(l_quantity) AS DOUBLE) END AS value FROM lineitem GROUP BY 1, 2, l_partkey % 40),
+c AS (SELECT product, day, value * CASE CAST(day(day) AS INTEGER) % 4 WHEN 0 THEN 1.0 WHEN 1 THEN 1.0078125 WHEN 2 THEN 1.5 ELSE 0.0 END AS price FROM h WHERE product < 35 AND day(day) < 20 AND value IS NOT NULL),
+m AS (SELECT product, day, value, price, value - price AS diff_abs, CASE WHEN price <> 0 THEN (value - price) / price END AS diff_pct FROM h JOIN c USING (product, day))
+SELECT product, day, value, price, diff_abs, round(diff_pct, 8) AS diff_pct, CASE WHEN diff_abs = 0 THEN 'match_close' WHEN abs(diff_pct) <= 0.01 THEN 'small_diff' ELSE 'large_diff' END AS status FROM m
+UNION ALL SELECT product, NULL, NULL, NULL, NULL, NULL, CASE WHEN count(value) > 0 THEN 'no_overlap' ELSE 'not_comparable' END FROM h WHERE product NOT IN (SELECT product FROM m) GROUP BY 1""")
 def compare_sources(spark, sf_dir):
-    a = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.round(F.sum("l_extendedprice") * 100).cast("long").alias("x"))
-    b = orders(spark, sf_dir).filter("k % 4 <> 0").select("k", F.col("cents").alias("y"))
-    gap = F.abs(F.col("x") - F.col("y"))
-    status = F.when(F.col("y").isNull(), "no_overlap").when(gap * 100 <= F.col("y"), "match_close").when(gap * 2 <= F.col("y"), "small_diff").otherwise("large_diff")
-    return a.join(b, "k", "left").select("k", status.alias("status"))
+    """Daily sums of forty products against another source's: equal, near, far and zero prices, products that it lacks and one without values."""
+    c = F.col
+    h = table(spark, sf_dir, "lineitem").groupBy((c("l_partkey") % 40).alias("product"), F.to_date("l_shipdate").alias("day")).agg(F.sum("l_quantity").cast("double").alias("value"))
+    h = h.withColumn("value", F.when(c("product") != 38, c("value")))
+    n = F.dayofmonth("day") % 4
+    price = c("value") * F.when(n == 0, 1.0).when(n == 1, 1.0078125).when(n == 2, 1.5).otherwise(0.0)
+    current = h.filter((c("product") < 35) & (F.dayofmonth("day") < 20)).select("product", "day", price.alias("price"))
+    out = I.compare_sources(h, current, "product", "day", "value", "price")
+    return out.withColumn("diff_pct", F.round("diff_pct", 8))
 
 
 @query("seed_idempotent", "SELECT n_nationkey, CASE WHEN n_nationkey % 4 = 0 THEN 'created' WHEN n_nationkey % 6 = 1 THEN 'updated' ELSE 'skipped' END AS action FROM nation")

@@ -252,6 +252,14 @@ def canonical_decimal(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber", d.alias("d")).agg(F.count("*").alias("n"))
 
 
+@query("quantize", "SELECT l_orderkey, l_linenumber, CAST(round(CAST(l_extendedprice AS DECIMAL(14,2)) * CAST(0.125 AS DECIMAL(4,3)), 2) AS DOUBLE) AS p2, CAST(round(CAST(-l_quantity AS DECIMAL(12,2)) * CAST(0.0625 AS DECIMAL(5,4)), 1) AS DOUBLE) AS q1, count(*) AS n FROM lineitem GROUP BY ALL")
+def quantize(spark, sf_dir):
+    """Decimals rounded half away from zero to the places of their field, negative ones too."""
+    price = F.col("l_extendedprice").cast("decimal(14,2)") * F.lit("0.125").cast("decimal(4,3)")
+    quantity = (-F.col("l_quantity")).cast("decimal(12,2)") * F.lit("0.0625").cast("decimal(5,4)")
+    return table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber", S.quantize(price, 2).alias("p2"), S.quantize(quantity, 1).alias("q1")).agg(F.count("*").alias("n"))
+
+
 @query("lenient_casts", "SELECT o_orderkey, CASE WHEN o_orderkey % 9 <> 0 THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) END AS v FROM orders")
 def lenient_casts(spark, sf_dir):
     text = F.when(F.col("o_orderkey") % 9 == 0, "N/A").otherwise(F.concat(F.lit('"'), F.format_number("o_totalprice", 2), F.lit('" ')))

@@ -186,9 +186,19 @@ def share_of_total(spark, sf_dir):
     return shares(spark, sf_dir).select("metric", "country", F.round("share", 6).alias("share"), F.when(F.col("share") >= 0.04, "included").otherwise("below_minimum").alias("status"))
 
 
-@query("coverage_prefix", f"WITH {SHARE_SQL}, r AS (SELECT metric, country, share, row_number() OVER w AS rank, sum(share) OVER (w ROWS UNBOUNDED PRECEDING) AS running FROM s WINDOW w AS (PARTITION BY metric ORDER BY share DESC, country)) SELECT metric, country, CAST(rank AS INTEGER) AS rank, round(running, 6) AS running FROM r WHERE running - share < 0.6")
+_PREFIX_SQL = "r{n} AS (SELECT metric, country, share, row_number() OVER w AS rank, sum(share) OVER (w ROWS UNBOUNDED PRECEDING) AS running FROM s WINDOW w AS (PARTITION BY metric ORDER BY share DESC, country)), t{n} AS (SELECT * FROM r{n} WHERE running - share < {least} AND rank <= {most})"
+
+
+@query("coverage_prefix", f"""WITH {SHARE_SQL}, {_PREFIX_SQL.format(n=1, least=0.6, most=999)}, {_PREFIX_SQL.format(n=2, least=0.6, most=5)}, {_PREFIX_SQL.format(n=3, least=1.5, most=999)}
+SELECT 'open' AS kind, metric, country, CAST(rank AS INTEGER) AS rank, round(running, 6) AS running, 'threshold_reached' AS status FROM t1 UNION ALL SELECT 'capped', metric, country, CAST(rank AS INTEGER), round(running, 6), CASE WHEN max(running) OVER (PARTITION BY metric) >= 0.6 THEN 'threshold_reached' ELSE 'coverage_requires_review' END FROM t2
+UNION ALL SELECT 'beyond', metric, country, CAST(rank AS INTEGER), round(running, 6), 'threshold_not_reached' FROM t3""")
 def coverage_prefix(spark, sf_dir):
-    return P.coverage_prefix(shares(spark, sf_dir), ["metric"], "share", "country", 0.6).select("metric", "country", "rank", F.round("running", 6).alias("running"))
+    """Countries by share up to a threshold, with a cap that doesn't reach it, and up to one that nothing reaches."""
+    s = shares(spark, sf_dir)
+    kinds = {"open": (0.6, None), "capped": (0.6, 5), "beyond": (1.5, None)}
+    parts = [P.coverage_prefix(s, ["metric"], "share", "country", least, most).withColumn("kind", F.lit(kind)) for kind, (least, most) in kinds.items()]
+    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return out.select("kind", "metric", "country", "rank", F.round("running", 6).alias("running"), "status")
 
 
 @query("gap_fill", f"WITH {SHARE_SQL}, m AS (SELECT metric, country, share, sum(share) OVER (PARTITION BY metric ORDER BY share DESC, country ROWS UNBOUNDED PRECEDING) - share AS before FROM s WHERE country >= 'NATION_2') SELECT metric, country, round(share, 6) AS share FROM m WHERE before < 0.3")
