@@ -246,6 +246,14 @@ def test_secrets_equal_brute_force_and_the_ledger_is_incremental(spark, texts):
     _, ledger = secret_scan.scan_versions(df)
     again, new = secret_scan.scan_versions(df.union(df.limit(1).withColumn("text", F.lit("token = abcdefghijkl99"))), ledger)
     assert new.count() == 1 and again.count() == len(every) + 1
+    rows = lambda d: sorted(map(tuple, d.collect()), key=str)
+    assert rows(secret_scan.scan_in_two(df)) == rows(secret_scan.scan_documents(df))
+    unnamed = df.withColumn("doc_id", F.lit(None).cast("long"))
+    assert rows(secret_scan.scan_in_two(unnamed)) == rows(secret_scan.scan_documents(unnamed))
+    assert secret_scan.scan_in_two(df.limit(0)).count() == 0
+    half = df.filter("doc_id < 150")
+    _, kept = secret_scan.scan_deliveries([half, df, df])
+    assert kept.count() == kept.select("blob").distinct().count() == len({t or "" for t in every})
     clean = secret_scan.redact(df)
     assert clean.columns == df.columns and clean.count() == len(every)
     assert secret_scan.scan_documents(clean).filter("n_assign + n_access + n_hex > 0").count() == 0
@@ -548,7 +556,7 @@ def test_pipeline_of_nothing_and_of_more_columns(spark):
 def test_operators_of_nothing_and_of_repeated_rows(spark):
     none, labels = frame(spark, ["x"]).limit(0), spark.createDataFrame([], "doc_id long, quality int")
     runs = {
-        "op1": lambda d: prefix_tokens.count_tokens(d, BYTE), "op2": lambda d: mixing.mix(d, {"src1": 1, "other": 1}), "op3": secret_scan.scan_documents,
+        "op1": lambda d: prefix_tokens.count_tokens(d, BYTE), "op2": lambda d: mixing.mix(d, {"src1": 1, "other": 1}), "op3": secret_scan.scan_in_two,
         "op5": licenses.scan_licenses, "op6": lambda d: packing.pack_documents(d, WORD), "op7": near_copies, "op8": language_id.identify,
         "op9": pii.summarize, "op10": lambda d: quality_rules.judge(d, labels),
     }

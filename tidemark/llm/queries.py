@@ -15,7 +15,7 @@ from tidemark.llm.packing import pack_documents
 from tidemark.llm.pii import summarize
 from tidemark.llm.prefix_tokens import count_tokens
 from tidemark.llm.quality_rules import judge
-from tidemark.llm.secret_scan import scan_documents
+from tidemark.llm.secret_scan import scan_in_two
 from tidemark.llm.topk import top_k
 
 
@@ -33,7 +33,7 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan_documents(table(spark, sf_dir, "documents"))
+    return scan_in_two(table(spark, sf_dir, "documents"))
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

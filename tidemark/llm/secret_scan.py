@@ -115,10 +115,39 @@ def scan_versions(versions: DataFrame, ledger: DataFrame | None = None) -> tuple
 def scan_documents(docs: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, base_sha256, spans, blob) of every row of ``docs``."""
     found, _ = scan_versions(docs.select("doc_id", "text"), ledger)
+    return _columns(found)
+
+
+def _columns(found: DataFrame) -> DataFrame:
     names = ("n_assign", "n_access", "n_hex", "base_sha256", "spans", "blob")
     return found.select(F.col("doc_id").cast("long"), *(F.col(f"finding.{n}").alias(n) for n in names))
 
 
+def scan_deliveries(deliveries: list[DataFrame], ledger: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Findings of the last delivery's rows, as ``scan_versions`` gives them, and the whole ledger.
+
+    Deliveries come in order; each meets the ledger that those before it left, so that a
+    text which an earlier one held is scanned no more.
+    """
+    for versions in deliveries:
+        found, new = scan_versions(versions, ledger)
+        ledger = new if ledger is None else ledger.unionByName(new)
+    return found, ledger
+
+
+def scan_in_two(docs: DataFrame) -> DataFrame:
+    """As ``scan_documents``, by two deliveries: first the rows up to the middle of the ids, then all.
+
+    The second finds the first's texts in the ledger and scans the others only. Rows
+    without an id come with the second; a table without ids has an empty first delivery.
+    """
+    versions = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    low, high = versions.agg(F.min("doc_id"), F.max("doc_id")).first()
+    earlier = versions.filter(F.lit(False) if low is None else F.col("doc_id") <= (low + high) // 2)
+    found, _ = scan_deliveries([earlier, versions])
+    return _columns(found)
+
+
 def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     """``docs`` with every found span of ``text`` replaced; texts without one and nulls stay."""
     text = docs.schema["text"].dataType
