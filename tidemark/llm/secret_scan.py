@@ -90,6 +90,27 @@ def scan_blobs(blobs: DataFrame) -> DataFrame:
     return blobs.select("blob", "text").mapInArrow(scan, LEDGER)
 
 
+def scan_unseen(versions: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
+    """The ledger's new rows, written: one for each text of ``versions`` that it lacks under the current rules; null counts as empty."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    unseen = versions.select(F.sha2(text, 256).alias("blob"), text.alias("text"))
+    if ledger is not None:
+        unseen = unseen.join(_current(ledger).select("blob").distinct(), "blob", "left_anti")
+    return materialize(scan_blobs(unseen.dropDuplicates(["blob"])), "ledger")
+
+
+def _current(ledger: DataFrame) -> DataFrame:
+    return ledger.filter(F.col("rule_version") == RULE_VERSION)
+
+
+def join_findings(versions: DataFrame, ledger: DataFrame) -> DataFrame:
+    """``versions`` with the findings of their texts as struct ``finding``; ``ledger`` has one current row for each text."""
+    finding = ledger.select("blob", F.struct(*ledger.columns).alias("finding"))
+    addressed = versions.withColumn("__blob", F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256))
+    joined = addressed.join(finding, addressed["__blob"] == finding["blob"])
+    return joined.select(*(addressed[c] for c in versions.columns), "finding")
+
+
 def scan_versions(versions: DataFrame, ledger: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Findings of every row of ``versions`` (text and anything else), and the ledger's new rows.
 
@@ -98,18 +119,10 @@ def scan_versions(versions: DataFrame, ledger: DataFrame | None = None) -> tuple
     ``finding``. The new rows are written before they are joined; append them to the
     ledger. Rows of the ledger from other rule versions play no part.
     """
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    unseen = versions.select(F.sha2(text, 256).alias("blob"), text.alias("text"))
-    if ledger is not None:
-        known = ledger.filter(F.col("rule_version") == RULE_VERSION).select("blob").distinct()
-        unseen = unseen.join(known, "blob", "left_anti")
-    new = materialize(scan_blobs(unseen.dropDuplicates(["blob"])), "ledger")
-    old = ledger.filter(F.col("rule_version") == RULE_VERSION).select(new.columns) if ledger is not None else None
+    new = scan_unseen(versions, ledger)
     # A ledger that was appended to twice for a blob still gives each path one finding.
-    finding = (new if old is None else new.unionByName(old).dropDuplicates(["blob"])).select("blob", F.struct(*new.columns).alias("finding"))
-    addressed = versions.withColumn("__blob", F.sha2(text, 256))
-    joined = addressed.join(finding, addressed["__blob"] == finding["blob"])
-    return joined.select(*(addressed[c] for c in versions.columns), "finding"), new
+    whole = new if ledger is None else new.unionByName(_current(ledger).select(new.columns)).dropDuplicates(["blob"])
+    return join_findings(versions, whole), new
 
 
 def scan_documents(docs: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
@@ -123,29 +136,29 @@ def _columns(found: DataFrame) -> DataFrame:
     return found.select(F.col("doc_id").cast("long"), *(F.col(f"finding.{n}").alias(n) for n in names))
 
 
-def scan_deliveries(deliveries: list[DataFrame], ledger: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Findings of the last delivery's rows, as ``scan_versions`` gives them, and the whole ledger.
+def scan_deliveries(deliveries: list[DataFrame], ledger: DataFrame | None = None) -> DataFrame:
+    """The ledger after ``deliveries`` of versions in their order, one row for each text.
 
-    Deliveries come in order; each meets the ledger that those before it left, so that a
-    text which an earlier one held is scanned no more.
+    Each delivery meets the ledger that those before it left, so that a text which an
+    earlier one held is scanned no more. ``ledger`` has one row for each text.
     """
     for versions in deliveries:
-        found, new = scan_versions(versions, ledger)
-        ledger = new if ledger is None else ledger.unionByName(new)
-    return found, ledger
+        new = scan_unseen(versions, ledger)
+        ledger = new if ledger is None else _current(ledger).select(new.columns).unionByName(new)
+    return ledger
 
 
 def scan_in_two(docs: DataFrame) -> DataFrame:
-    """As ``scan_documents``, by two deliveries: first the rows up to the middle of the ids, then all.
+    """As ``scan_documents``, by two deliveries: the rows up to the middle of the ids, then the others.
 
-    The second finds the first's texts in the ledger and scans the others only. Rows
-    without an id come with the second; a table without ids has an empty first delivery.
+    The second scans only texts that the first left out of the ledger, whose findings
+    are then joined to all rows. Rows without an id come with the second; a table without
+    ids has an empty first delivery.
     """
     versions = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     low, high = versions.agg(F.min("doc_id"), F.max("doc_id")).first()
-    earlier = versions.filter(F.lit(False) if low is None else F.col("doc_id") <= (low + high) // 2)
-    found, _ = scan_deliveries([earlier, versions])
-    return _columns(found)
+    earlier = F.lit(False) if low is None else F.coalesce(F.col("doc_id") <= (low + high) // 2, F.lit(False))
+    return _columns(join_findings(versions, scan_deliveries([versions.filter(earlier), versions.filter(~earlier)])))
 
 
 def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
