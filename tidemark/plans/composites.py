@@ -11,6 +11,7 @@ from tidemark.functions import scalars as S
 from tidemark.operators import bitemporal as B
 from tidemark.operators import ingest as I
 from tidemark.operators import pointintime as P
+from tidemark.operators import scope as C
 from tidemark.operators import selection as V
 from tidemark.plans.registry import ORACLE, query
 from tidemark.plans.series import WEATHER_SQL, product_daily, weather
@@ -176,14 +177,14 @@ def basket_readiness(spark, sf_dir):
     return r.select("metric", "marketing_year", F.round("there", 6).alias("coverage"), F.round(F.greatest(0.75 - t, F.lit(0.0)), 6).alias("gap"), status.alias("status"))
 
 
-@query("collection_plan", f"WITH {_BASKET}, {CELLS_SQL}, p AS (SELECT country, marketing_year, string_agg(metric, ',' ORDER BY metric) AS metrics, max(w) AS impact FROM cells JOIN basket USING (country) WHERE n = 0 GROUP BY 1, 2) SELECT country, marketing_year, metrics, impact, CAST(row_number() OVER (ORDER BY impact DESC, country, marketing_year) AS INTEGER) AS rank FROM p")
+@query("collection_plan", f"""WITH {_BASKET}, {CELLS_SQL}, c AS (SELECT metric, country, marketing_year, n, w, sum(w) OVER g AS total, sum(CASE WHEN n > 0 THEN w ELSE 0 END) OVER g AS have FROM cells JOIN basket USING (country) WINDOW g AS (PARTITION BY metric, marketing_year)),
+m AS (SELECT *, round((have + sum(w) OVER (PARTITION BY metric, marketing_year ORDER BY w DESC, country ROWS UNBOUNDED PRECEDING) - w) / total, 9) AS before, w / total AS impact, greatest(0.75 - have / total, 0) AS gap FROM c WHERE n = 0),
+p AS (SELECT country, marketing_year, string_agg(metric, ',' ORDER BY metric) AS metrics, round(max(impact), 6) AS impact, round(max(least(impact, gap)), 6) AS gap_reduction FROM m WHERE before < 0.75 GROUP BY 1, 2)
+SELECT *, CAST(row_number() OVER (ORDER BY gap_reduction DESC, impact DESC, marketing_year, country) AS INTEGER) AS rank FROM p""")
 def collection_plan(spark, sf_dir):
-    """Missing cells by country and year, the weightiest first; the plan is as long as the configured grid."""
-    from pyspark.sql import Window
-
+    """What to collect so that each basket is known to three quarters, the largest part of a gap first."""
     w = F.element_at(F.create_map(*(F.lit(x) for kv in BASKET.items() for x in kv)), F.col("country"))
-    p = cells(spark, sf_dir).filter("n = 0").groupBy("country", "marketing_year").agg(F.array_join(F.array_sort(F.collect_list("metric")), ",").alias("metrics"), F.max(w).alias("impact"))
-    return p.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("impact"), "country", "marketing_year")))
+    return C.collection_plan(cells(spark, sf_dir).select("metric", "country", "marketing_year", w.alias("weight"), (F.col("n") > 0).alias("there")), 0.75)
 
 
 @query("health_status", """WITH k AS (SELECT event_type, user_id, max(CASE WHEN value > 5 THEN ts END) AS s, max(CASE WHEN NOT value > 5 THEN ts END) AS f, count(*) FILTER (value > 5 AND ts >= TIMESTAMP '2024-01-29 00:00:00') AS ns, count(*) FILTER (NOT value > 5 AND ts >= TIMESTAMP '2024-01-29 00:00:00') AS nf, max(ts) AS t FROM events GROUP BY 1, 2),

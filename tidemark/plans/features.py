@@ -6,6 +6,8 @@ days asked for; groups that all products share are swept over distinct days.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,7 +17,8 @@ from tidemark.operators import pointintime as P
 from tidemark.plans.registry import ORACLE, QUERIES, query
 from tidemark.plans.series import BARS_SQL, MONTHLY_SQL, RATES_SQL, WEATHER_SQL, bars, events, monthly, rates, weather
 from tidemark.plans.weighted import BALANCE_SQL, BASKET, LEAST_WEIGHT, TRADE_SQL, VALID, WEIGHTS_SQL, balance, trade, weights
-from tidemark.session import table
+from tidemark.session import scratch_root, table
+from tidemark.sources import export as E
 
 PRODUCTS = 4
 #: Smallest share by which a basket counts, less what sums of shares may lose.
@@ -293,3 +296,12 @@ def product_features(spark, sf_dir):
     wide = wide.join(wx, ["part", "day"], "left").join(nx, ["letter", "day"], "left").join(tx, ["part", "past"], "left").join(sx, ["past"], "left").join(bx, ["past"], "left")
     wide = wide.withColumns(S.calendar_features(c("day")))
     return wide.withColumn("missing_flags", S.true_flags({n: c(x).isNull() for n, x in _FLAGS.items()})).drop("past", "part", "letter")
+
+
+@query("features_export", _WIDE_SQL)
+def features_export(spark, sf_dir):
+    """The wide row written as Parquet and CSV, both checked by the manifest, and the Parquet read back."""
+    rows = product_features(spark, sf_dir)
+    files = E.write_dataset(rows, f"{scratch_root(spark)}/tidemark/features-{uuid.uuid4().hex}", ["product", "day"])
+    E.checked_manifest(spark, files, rows.schema, "product", "day", "missing_flags")
+    return spark.read.schema(rows.schema).parquet(files["parquet"])

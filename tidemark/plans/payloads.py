@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
+from tidemark.operators import scope as C
 from tidemark.plans.registry import query
 from tidemark.plans.series import events
 from tidemark.plans.weighted import BALANCE_SQL, balance
@@ -327,3 +330,17 @@ def select_entities(spark, sf_dir):
     seen = table(spark, sf_dir, "orders").filter("o_orderdate < timestamp_ntz '1995-03-01'").join(table(spark, sf_dir, "customer"), F.col("c_custkey") == F.col("o_custkey"))
     all_ = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("segment")).distinct()
     return all_.join(seen.select(F.col("c_mktsegment").alias("segment")), "segment", "left_semi")
+
+
+# Families of market segments under older names, and groups of several.
+_ALIASES = {"cars": "AUTOMOBILE"}
+_GROUPS = {"home": ("FURNITURE", "HOUSEHOLD"), "all": None}
+
+
+@query("family_entities", "SELECT 'cars' AS asked, c_custkey FROM customer WHERE c_acctbal > 0 AND c_mktsegment = 'AUTOMOBILE' UNION ALL SELECT 'home', c_custkey FROM customer WHERE c_acctbal > 0 AND c_mktsegment IN ('FURNITURE', 'HOUSEHOLD') UNION ALL SELECT 'all', c_custkey FROM customer WHERE c_acctbal > 0 UNION ALL SELECT 'BUILDING', c_custkey FROM customer WHERE c_acctbal > 0 AND c_mktsegment = 'BUILDING'")
+def family_entities(spark, sf_dir):
+    """Customers with a positive balance by what is asked for: an alias, a group, all, or a segment."""
+    seg = F.col("c_mktsegment")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", seg.alias("code"), seg.alias("family"), (F.col("c_acctbal") > 0).alias("active"))
+    asked = (C.select_entities(customers, family=f, aliases=_ALIASES, groups=_GROUPS).select(F.lit(f).alias("asked"), "c_custkey") for f in ("cars", "home", "all", "BUILDING"))
+    return reduce(DataFrame.unionByName, asked)

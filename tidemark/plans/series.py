@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import scalars as S
 from tidemark.operators import pointintime as P
 from tidemark.operators import ranges as R
+from tidemark.operators import scope as C
 from tidemark.plans.registry import query
 from tidemark.session import table
 
@@ -55,6 +56,13 @@ def date_bounds(spark, sf_dir):
     return agg.withColumn("last", F.greatest("last", F.lit("2024-02-05").cast("date")))
 
 
+@query("feature_bounds", "SELECT min(CAST(ts + INTERVAL 3 HOUR AS DATE)) AS first, greatest(max(CAST(ts + INTERVAL 3 HOUR AS DATE)), (SELECT max(CAST(ts AS DATE)) + 12 FROM events)) AS last FROM events WHERE event_type IN ('purchase', 'view')")
+def feature_bounds(spark, sf_dir):
+    """Days from the first price to the last day on which an event becomes available, 12 days after it."""
+    e = events(spark, sf_dir)
+    return C.date_bounds(e.select(F.col("utc_day").alias("day")), prices(spark, sf_dir).select("day"), e.select(F.date_add("utc_day", 12).alias("day")))
+
+
 @query("date_spine", "SELECT e.event_type, CAST(d.day AS DATE) AS day FROM (SELECT DISTINCT event_type FROM events) e, (SELECT unnest(generate_series(min(CAST(ts AS DATE)), max(CAST(ts AS DATE)), INTERVAL 1 DAY)) AS day FROM events) d")
 def date_spine(spark, sf_dir):
     e = events(spark, sf_dir)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
 from tidemark.operators import pointintime as P
+from tidemark.operators import scope as C
 from tidemark.plans.registry import query
 from tidemark.plans.series import WEATHER_SQL, events, weather
 from tidemark.session import table
@@ -61,6 +62,25 @@ def coverage_rollup(spark, sf_dir):
     return agg.select("product", "day", used.alias("used"), (F.col("n") - F.col("m")).alias("missing"), status.alias("status"))
 
 
+@query("coverage_flags", f"""WITH {WEIGHTS_SQL}, {WEATHER_SQL}, held AS (SELECT * FROM weights UNION ALL SELECT 5, 12, 1.0, DATE '2024-01-01', NULL),
+f AS (SELECT region, day, day + CAST((region + day(day)) % 11 = 0 AS INTEGER) AS known, mean, hi = lo AS single_reading FROM weather WHERE region <> 12 OR day >= DATE '2024-01-10'),
+g AS (SELECT p.p AS product, d.day FROM range(6) p(p), (SELECT DISTINCT day FROM weather) d),
+h AS (SELECT d.product, d.day, w.region FROM g d JOIN held w ON w.product = d.product AND {VALID}),
+a AS (SELECT h.*, f.known IS NOT NULL AND f.known <= h.day AS taken, f.known, f.mean, CASE WHEN f.known IS NULL THEN ['missing_region:' || h.region] WHEN f.known > h.day THEN ['future_as_of:' || h.region]
+  ELSE list_filter([CASE WHEN f.mean IS NULL THEN h.region || ':no_temperature' END, CASE WHEN f.single_reading THEN h.region || ':single_reading' END], lambda x: x IS NOT NULL) END AS said FROM h ASOF LEFT JOIN f ON f.region = h.region AND f.day <= h.day),
+r AS (SELECT product, day, max(CASE WHEN taken THEN known END) AS as_of, string_agg(CASE WHEN taken AND mean IS NOT NULL THEN CAST(region AS VARCHAR) END, ',' ORDER BY region) AS used, flatten(list(said ORDER BY region)) AS said, count(*) AS n, count(CASE WHEN taken THEN 1 END) AS k FROM a GROUP BY 1, 2)
+SELECT g.product, g.day, as_of, used, CASE WHEN n IS NULL THEN 'missing_weights' ELSE nullif(concat_ws(',', nullif(array_to_string(said, ','), ''), CASE WHEN k = 0 THEN 'missing_all_regions' WHEN k < n THEN 'partial_regions' END, CASE WHEN k > 0 AND used IS NULL THEN 'missing_all_values' END), '') END AS flags
+FROM g LEFT JOIN r USING (product, day)""")
+def coverage_flags(spark, sf_dir):
+    """Regions behind each product's weather: one opens late, some rows are known a day late, product 4 has no weights, product 5 the late region alone."""
+    c = F.col
+    x = weather(spark, sf_dir).filter("region <> 12 or day >= date '2024-01-10'")
+    x = x.withColumn("at", F.date_add("day", F.when((c("region") + F.dayofmonth("day")) % 11 == 0, 1).otherwise(0)))
+    one = spark.range(1).select(F.lit(5).alias("product"), F.lit(12).cast("long").alias("region"), F.lit(1.0).alias("weight"), F.lit("2024-01-01").cast("date").alias("effective_from"), F.lit(None).cast("date").alias("effective_to"))
+    probes = x.select("day").distinct().select(F.explode(F.sequence(F.lit(0), F.lit(5))).alias("product"), "day")
+    return C.coverage(probes, weights(spark).unionByName(one), x, "product", "region", "at", c("mean").isNotNull(), {"no_temperature": c("mean").isNull(), "single_reading": c("hi") == c("lo")})
+
+
 TRADE_SQL = """trade AS (SELECT p_brand AS code, s_nationkey AS reporter, CASE l_returnflag WHEN 'A' THEN 'export' WHEN 'N' THEN 'import' ELSE 're_export' END AS flow, CAST(date_trunc('month', l_shipdate) AS DATE) AS period,
   sum(l_quantity) AS quantity, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS value, last_day(date_trunc('month', l_shipdate)) + (40 + s_nationkey % 20) AS known
   FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey GROUP BY ALL)"""
