@@ -54,3 +54,15 @@ def test_plan_takes_as_few_countries_as_the_gap_needs(spark):
     got = [tuple(r) for r in C.collection_plan(df, 0.6).orderBy("rank").collect()]
     assert got == [("E", 2, "o", 1.0, 0.6, 1), ("B", 1, "m", 0.2, 0.1, 2)]
     assert [r.country for r in C.collection_plan(df, 0.75).orderBy("rank").collect()] == ["E", "B", "C"]
+
+
+def test_contract_cells_take_the_worst_status(spark):
+    required = spark.createDataFrame([(m, c) for m in "pq" for c in "ABC"], "metric string, country string")
+    raw = spark.createDataFrame([("p", "A", "x", 0), ("p", "A", "y", 0), ("p", "B", "x", 1), ("p", "B", "x", 2), ("q", "A", None, 1), ("q", "Z", "x", 0), (None, "A", "x", 0)], "metric string, country string, name string, fault int")
+    cells = C.contract_cells(required, raw, ["metric", "country"], "name", {"mismatch": F.col("fault") == 2, "unreadable": F.col("fault") >= 1})
+    got = {(r.metric, r.country): (r.raw_rows, r.normalized_rows, r.names, r.status) for r in cells.collect()}
+    assert got == {
+        ("p", "A"): (2, 2, "x,y", "available"), ("p", "B"): (2, 0, "x", "mismatch"), ("p", "C"): (0, 0, None, "missing_raw_row"),
+        ("q", "A"): (1, 0, None, "unreadable"), ("q", "B"): (0, 0, None, "missing_raw_row"), ("q", "C"): (0, 0, None, "missing_raw_row"),
+    }
+    assert {tuple(r) for r in C.contract_metrics(cells, "metric").collect()} == {("p", 1, 2, 1), ("q", 0, 3, 1)}

@@ -84,6 +84,30 @@ def coverage(probes: DataFrame, weights: DataFrame, features: DataFrame, entity:
     return out.withColumn("flags", F.nullif(F.coalesce("flags", F.lit("missing_weights")), F.lit("")))
 
 
+def contract_cells(required: DataFrame, raw: DataFrame, keys: list[str], name: str, problems: dict[str, Column]) -> DataFrame:
+    """Each of ``required`` (keys; distinct) with its raw rows: (raw_rows, normalized_rows, names, status).
+
+    ``problems`` gives a condition for each status, the worst first; a cell has the worst
+    that any of its rows meets, ``missing_raw_row`` without rows, else ``available``. Only an
+    available cell's rows count as normalized. ``names`` are the distinct names, sorted and
+    joined. Null keys match nothing.
+    """
+    worst = F.coalesce(*(F.when(c, F.lit(i)) for i, c in enumerate(problems.values())))
+    have = raw.groupBy(*keys).agg(F.count("*").alias("raw_rows"), F.array_join(F.array_sort(F.collect_set(name)), ",").alias("names"), F.min(worst).alias("worst"))
+    found = F.element_at(F.array(*map(F.lit, problems)), F.col("worst") + 1)
+    status = F.when(F.col("raw_rows").isNull(), "missing_raw_row").when(F.col("worst").isNotNull(), found).otherwise("available")
+    cells = required.select(*keys).join(have, keys, "left").withColumn("status", status)
+    return cells.select(
+        *keys, F.coalesce("raw_rows", F.lit(0)).alias("raw_rows"), F.when(F.col("status") == "available", F.col("raw_rows")).otherwise(0).alias("normalized_rows"), F.nullif("names", F.lit("")).alias("names"), "status"
+    )
+
+
+def contract_metrics(cells: DataFrame, metric: str, expected: tuple[str, ...] = ("available", "missing_raw_row")) -> DataFrame:
+    """Per metric of ``contract_cells``: cells available and not, and those whose status isn't an ``expected`` one."""
+    status = F.col("status")
+    return cells.groupBy(metric).agg(F.count_if(status == "available").alias("available"), F.count_if(status != "available").alias("missing"), F.count_if(~status.isin(*expected)).alias("unexpected"))
+
+
 def collection_plan(cells: DataFrame, threshold: float) -> DataFrame:
     """(country, marketing_year, metrics, impact, gap_reduction, rank): what to collect so that every basket reaches ``threshold``.
 

@@ -162,6 +162,28 @@ def contract_cells(spark, sf_dir):
     return cells(spark, sf_dir).withColumn("status", F.when(F.col("n") == 0, "missing").when(F.col("n") < 6, "partial").otherwise("available"))
 
 
+_AUDIT_SQL = f"""WITH {_BASKET}, {CELLS_SQL}, raw AS (SELECT *, CASE WHEN report_month % 2 = 0 THEN lower(metric) ELSE metric END AS name, CASE WHEN country = 'NATION_0' AND marketing_year = 1996 AND report_month = 3 THEN 0 WHEN metric = '5-LOW' AND report_month <= 3 THEN 1 WHEN metric = '2-HIGH' AND marketing_year = 1996 THEN 2 END AS p FROM balance WHERE report_month <= 6),
+r AS (SELECT metric, country, marketing_year, count(*) AS k, string_agg(DISTINCT name, ',' ORDER BY name) AS names, min(p) AS p FROM raw GROUP BY 1, 2, 3),
+audit AS (SELECT metric, country, marketing_year, coalesce(k, 0) AS raw_rows, CASE WHEN p IS NULL THEN coalesce(k, 0) ELSE 0 END AS normalized_rows, names, CASE WHEN k IS NULL THEN 'missing_raw_row' WHEN p = 0 THEN 'identity_mismatch' WHEN p = 1 THEN 'mapping_gap' WHEN p = 2 THEN 'parser_failure' ELSE 'available' END AS status FROM cells LEFT JOIN r USING (metric, country, marketing_year))"""
+
+
+@query("contract_audit", f"{_AUDIT_SQL} SELECT * FROM audit")
+def contract_audit(spark, sf_dir):
+    """Required cells against raw rows of which some name another country, lack a mapping or can't be read."""
+    c, keys = F.col, ["metric", "country", "marketing_year"]
+    raw = balance(spark, sf_dir).filter("report_month <= 6").withColumn("name", F.when(c("report_month") % 2 == 0, F.lower("metric")).otherwise(c("metric")))
+    problems = {
+        "identity_mismatch": (c("country") == "NATION_0") & (c("marketing_year") == 1996) & (c("report_month") == 3),
+        "mapping_gap": (c("metric") == "5-LOW") & (c("report_month") <= 3), "parser_failure": (c("metric") == "2-HIGH") & (c("marketing_year") == 1996),
+    }
+    return C.contract_cells(cells(spark, sf_dir), raw, keys, "name", problems)
+
+
+@query("contract_metrics", f"{_AUDIT_SQL} SELECT metric, count(CASE WHEN status = 'available' THEN 1 END) AS available, count(CASE WHEN status <> 'available' THEN 1 END) AS missing, count(CASE WHEN status NOT IN ('available', 'missing_raw_row') THEN 1 END) AS unexpected FROM audit GROUP BY 1")
+def contract_metrics(spark, sf_dir):
+    return C.contract_metrics(contract_audit(spark, sf_dir), "metric")
+
+
 @query("source_contract", f"WITH {_BASKET}, {CELLS_SQL} SELECT country, marketing_year, count(*) AS required, count(CASE WHEN n > 0 THEN 1 END) AS available, CASE WHEN bool_and(n > 0) THEN 'ready' ELSE 'blocked' END AS status FROM cells GROUP BY 1, 2")
 def source_contract(spark, sf_dir):
     some = F.col("n") > 0
