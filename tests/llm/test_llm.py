@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import itertools
+import math
 import random
 import re
 import time
@@ -600,3 +601,75 @@ def test_license_windows_with_their_longest_pairs_changed(spark):
     changed = " ".join("x" if k in longest else w for k, w in enumerate(words))
     found = licenses.scan_licenses(frame(spark, [f"some words before it\n{changed} and some more after it", changed])).collect()
     assert {(r.doc_id, r.license) for r in found} == {(0, "GPL-grant"), (1, "GPL-grant")}
+
+
+def every_window(text, notices, least=0.8):
+    """By trying all windows: what ``scan_licenses`` tells of them, and all that match, by notice as (start, end)."""
+    split = lambda x: re.findall("[a-z0-9]+", x.lower())
+    grams = lambda w: {*itertools.pairwise(w)}
+    dice = lambda g, h: 2 * len(g & h) / (len(g) + len(h))
+    lines = [split(x) for x in text.split("\n")]
+    words, line_of = [w for x in lines for w in x], [i for i, x in enumerate(lines) for _ in x]
+    told, matches = {}, {}
+    for name, notice in notices.items():
+        g = grams(split(notice))
+        need, most = math.ceil(len(g) * least / (2 - least) - 1e-9), int(len(g) * (2 - least) / least + 1e-9)
+        best = {}
+        for a in range(len(words) - 1):
+            for n in range(1, min(most, len(words) - a - 1) + 1):
+                d = dice(g, grams(words[a : a + n + 1]))
+                if d >= least:
+                    matches.setdefault(name, []).append((a, a + n))
+                    if (words[a], words[a + 1]) in g:
+                        best[a] = min(best.get(a, (0, 0, 0)), (-d, a, n))
+        at = sorted(best)
+        while at:
+            d, a, n = min(best[x] for x in at if x < at[0] + need)
+            told.setdefault(name, []).append((line_of[a], -d, a, a + n, dice(g, grams(lines[line_of[a]])) >= least))
+            at = [x for x in at if x >= a + n]
+    return told, matches
+
+
+def test_license_windows_equal_trying_all(spark):
+    rng = random.Random(11)
+    notices = {k: licenses.TEMPLATES[k] for k in ("MIT", "all-rights", "GPL-3.0", "BSD-grant", "MIT-grant")} | {"twice": "to be or not to be or to be"}
+    texts = []
+    for _ in range(150):
+        parts = []
+        for _ in range(rng.randint(1, 4)):
+            w = re.findall("[A-Za-z0-9]+", notices[rng.choice(list(notices))])
+            for _ in range(rng.randint(0, 4)):
+                k = rng.randrange(len(w))
+                w[k : k + rng.randint(0, 1)] = rng.choice(([], ["x"], [w[k]], ["the"], [w[k], "license"]))
+                w = w or ["x"]
+            parts += [*w, *(rng.choice("the license of x to be".split()) for _ in range(rng.choice((0, 0, 3, 12))))]
+        texts.append("".join(w + rng.choice(("  ", " ", " ", ", ", "\n")) for w in parts))
+    got = collections.Counter((r.doc_id, r.line, r.license, r.dice) for r in licenses.scan_licenses(frame(spark, texts), notices).collect())
+    want, seen = collections.Counter(), 0
+    for i, text in enumerate(texts):
+        told, matches = every_window(text, notices)
+        for name, found in told.items():
+            want.update((i, line, name, round(d, 6)) for line, d, _, _, own in found if not own)
+        for name, found in matches.items():
+            seen += len(found)
+            assert all(any(a < end and start < b for _, _, start, end, _ in told[name]) for a, b in found), (i, name)
+        for line, part in enumerate(text.split("\n")):
+            w = re.findall("[a-z0-9]+", part.lower())
+            h = {*itertools.pairwise(w)} or {*w}
+            for name, notice in notices.items():
+                g = {*itertools.pairwise(re.findall("[a-z0-9]+", notice.lower()))}
+                if w and 2 * len(g & h) / (len(g) + len(h)) >= 0.8:
+                    want[i, line, name, round(2 * len(g & h) / (len(g) + len(h)), 6)] += 1
+    assert got == want
+    assert seen > 1000
+
+
+def test_license_texts_whole_and_many_in_one_text(spark):
+    wrapped = "\n".join(" * " + x for x in re.findall(r"(?:\S+\s+){1,9}", licenses.TEMPLATES["ISC-text"] + " "))
+    changed = re.sub("(?i)the author", "THE COPYRIGHT HOLDER", wrapped)
+    many = "Released under the MIT License. foo bar baz\n" * 3000
+    copies = (licenses.TEMPLATES["Zlib-text"].replace("\n", " ") + " ") * 40
+    found = licenses.scan_licenses(frame(spark, [wrapped, changed, many, copies])).groupBy("doc_id", "license").agg(F.count("*").alias("n"), F.max("dice").alias("dice"))
+    found = {(r.doc_id, r.license): (r.n, r.dice) for r in found.collect()}
+    assert found[0, "ISC-text"] == (1, 1.0) and found[1, "ISC-text"][0] == 1 and 0.8 < found[1, "ISC-text"][1] < 1
+    assert found[2, "MIT"] == (3000, 1.0) and found[3, "Zlib-text"] == (40, 1.0)
