@@ -668,7 +668,7 @@ def test_license_texts_whole_and_many_in_one_text(spark):
     wrapped = "\n".join(" * " + x for x in re.findall(r"(?:\S+\s+){1,9}", licenses.TEMPLATES["ISC-text"] + " "))
     changed = re.sub("(?i)the author", "THE COPYRIGHT HOLDER", wrapped)
     many = "Released under the MIT License. foo bar baz\n" * 3000
-    copies = (licenses.TEMPLATES["Zlib-text"].replace("\n", " ") + " ") * 40
+    copies = "\n".join(re.findall(r"(?:\S+\s+){1,9}", (licenses.TEMPLATES["Zlib-text"].replace("\n", " ") + " ") * 40))
     found = licenses.scan_licenses(frame(spark, [wrapped, changed, many, copies])).groupBy("doc_id", "license").agg(F.count("*").alias("n"), F.max("dice").alias("dice"))
     found = {(r.doc_id, r.license): (r.n, r.dice) for r in found.collect()}
     assert found[0, "ISC-text"] == (1, 1.0) and found[1, "ISC-text"][0] == 1 and 0.8 < found[1, "ISC-text"][1] < 1
