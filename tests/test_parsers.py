@@ -113,3 +113,23 @@ def test_headers_are_found_within_the_first_rows(spark):
         (0, "gold", "2024-02-01", "2024-02-29", 4.0), (0, "oil", "2024-01-01", "2024-01-31", 1000.0), (0, "oil", "2024-02-01", "2024-02-29", 3.0),
         (1, "gold", none, none, None), (1, "oil", none, none, None), (2, "gold", "2024-03-01", "2024-03-31", 7.0), (2, "oil", none, none, None),
     ]
+
+
+def test_observations_of_all_shapes(spark):
+    good = '{"code": " ru ", "day": "2024-02-29", "value": 1.50}'
+    docs = [
+        (0, f"[{good}]"), (1, f'{{"observations": [{good}], "inventory": [1, 2]}}'), (2, f'{{"inventory": [{good}, 7]}}'), (3, '{"observations": {}, "inventory": []}'),
+        (4, '[{"code": "", "day": "2024-02-30", "value": "x"}, {"code": "a", "day": "2024-02-30", "value": "x"}, {"code": "a", "day": "2024-2-3", "value": 1}, {"code": "a", "day": "2024-01-01", "value": "x"}]'),
+        (5, None), (6, ""), (7, "[]"), (8, "{"), (9, '{"observations": null, "inventory": []}'),
+    ]
+    rows = spark.createDataFrame(docs, "id int, payload string").withColumn("row", F.lit(1))
+    got = A.load_json_observations(rows, ["id"], "payload", ["code"], ["day"], ["value"], upper=["code"]).collect()
+    by = {}
+    for r in sorted(got, key=lambda r: (r.id, r.pos or 0)):
+        by.setdefault(r.id, []).append(r.problem)
+    assert by == {
+        0: [None], 1: [None], 2: [None, "no object"], 3: ["payload"], 4: ["missing: code", "date: day", "date: day", "number: value"],
+        5: ["payload"], 6: ["payload"], 8: ["payload"], 9: ["payload"],
+    }
+    first = next(r for r in got if r.id == 0)
+    assert (first.code, str(first.day), float(first.value)) == ("RU", "2024-02-29", 1.5)

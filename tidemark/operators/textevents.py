@@ -78,3 +78,21 @@ def event_products(events: DataFrame, family: str, bridge: dict[str, tuple[str,
     spark = events.sparkSession
     pairs = spark.range(1).select(F.inline(F.array(*(F.struct(F.lit(f).alias(family), F.lit(p).alias("product")) for f, ps in bridge.items() for p in ps))))
     return events.join(F.broadcast(pairs.distinct()), family).distinct()
+
+
+def product_articles(rows: DataFrame, text: str, rules: list[Rule], words: dict[str, tuple[str, ...]], bridge: dict[str, tuple[str, ...]]) -> DataFrame:
+    """One row per article and product of its families, without the text, with its ``events`` (none too); one pass and no join."""
+    of_family = F.create_map(*(x for f, ps in bridge.items() for x in (F.lit(f), F.array(*map(F.lit, ps)))))
+    found = with_hits(rows, text, rules, words).drop(text).select("*", _events(rules).alias("events"), _families(words).alias("families"))
+    products = F.array_distinct(F.flatten(F.transform("families", lambda f: F.coalesce(F.element_at(of_family, f), F.array().cast("array<string>")))))
+    return found.select("*", F.explode(products).alias("product")).drop(HITS, "families")
+
+
+def news_counts(articles: DataFrame, keys: list[str], rules: list[Rule]) -> DataFrame:
+    """By ``keys`` the articles, their events, and these by direction and by category (``n_`` and the name)."""
+    having = lambda field, value: F.sum(F.size(F.filter("events", lambda e: e[field] == value)))
+    directions, categories = dict.fromkeys(("bullish", "bearish", "mixed")), dict.fromkeys(r.name for r in rules)
+    return articles.groupBy(*keys).agg(
+        F.count("*").alias("articles"), F.sum(F.size("events")).alias("events"),
+        *(having("direction", d).alias(d) for d in directions), *(having("category", c).alias(f"n_{c}") for c in categories),
+    )

@@ -16,6 +16,7 @@ from tidemark.operators import bitemporal as B
 from tidemark.operators import pointintime as P
 from tidemark.plans.registry import ORACLE, QUERIES, query
 from tidemark.plans.series import BARS_SQL, MONTHLY_SQL, RATES_SQL, WEATHER_SQL, bars, events, monthly, rates, weather
+from tidemark.plans.textevents import RULES
 from tidemark.plans.weighted import BALANCE_SQL, BASKET, LEAST_WEIGHT, TRADE_SQL, VALID, WEIGHTS_SQL, balance, trade, weights
 from tidemark.session import scratch_root, table
 from tidemark.sources import export as E
@@ -204,7 +205,6 @@ def basket_supply_daily(spark, sf_dir):
 _CURRENCIES = {"click": "click", "signup": "signup", "error": "error"}
 _ENERGY = {str(k): f"energy_{k}" for k in range(4)}
 _BENCHMARKS = {t: f"benchmark_{t.lower()}" for t in ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")}
-_SHIFTS = {"value": 0, "value_1d": 1, "value_7d": 7}
 #: Months by which the tables of orders lie before the events.
 _BEFORE = 312
 _DAYS = "SELECT DISTINCT day FROM bars"
@@ -214,7 +214,7 @@ fx AS (SELECT g.day, max(s.rate_day) AS fx_as_of, {_cases("s.currency", _CURRENC
 ENERGY_SQL = f"""es AS (SELECT CAST(user_id % 4 AS VARCHAR) AS series, CAST(ts AS DATE) AS ad, CAST(arg_max(CAST(value AS DECIMAL(18,6)), (ts, event_id)) AS DOUBLE) AS value FROM events WHERE event_type = 'error' GROUP BY 1, 2),
 eg AS (SELECT day, series FROM days, (SELECT DISTINCT series FROM es)),
 ej AS (SELECT g.day, g.series, a.ad, a.value, b.value AS b, c.value AS c FROM eg g ASOF LEFT JOIN es a ON a.series = g.series AND a.ad <= g.day ASOF LEFT JOIN es b ON b.series = g.series AND b.ad <= g.day - INTERVAL 1 DAY ASOF LEFT JOIN es c ON c.series = g.series AND c.ad <= g.day - INTERVAL 7 DAY),
-energy AS (SELECT day, {_cases("series", _ENERGY, {"": "value", "_delta_1d": "round(value - b, 6)", "_delta_7d": "round(value - c, 6)"})} FROM ej GROUP BY 1)"""
+energy AS (SELECT day, max(ad) AS energy_as_of, {_cases("series", _ENERGY, {"": "value", "_as_of": "ad", "_delta_1d": "round(value - b, 6)", "_delta_7d": "round(value - c, 6)"})} FROM ej GROUP BY 1)"""
 
 BENCHMARK_SQL = f"""{MONTHLY_SQL.replace("s AS (", "bm AS (", 1)},
 bg AS (SELECT d.day, m.series FROM (SELECT DISTINCT past AS day FROM base) d, (SELECT DISTINCT series FROM bm) m),
@@ -232,14 +232,16 @@ def fx_group(spark, sf_dir, days: DataFrame) -> DataFrame:
 
 
 def energy_group(spark, sf_dir, days: DataFrame) -> DataFrame:
-    """Per day each energy series' last value and its changes against those a day and a week before."""
+    """Per day each energy series' last value, its day, and its changes against those a day and a week before."""
     day = F.col("day")
     e = events(spark, sf_dir).filter("event_type = 'error'").withColumn("series", (F.col("user_id") % 4).cast("string"))
-    s = P.daily_bar(e, ["series"], "utc_day", "ts", "value", "event_id").select("series", F.col("utc_day").alias("at"), F.col("last").cast("double").alias("value"))
+    level = F.struct(F.col("last").cast("double").alias("value"), F.col("utc_day").alias("at"))
+    s = P.daily_bar(e, ["series"], "utc_day", "ts", "value", "event_id").select("series", F.col("utc_day").alias("at"), level.alias("level"))
     probes = days.withColumn("series", F.explode(F.array(*map(F.lit, _ENERGY))))
-    got = P.asof_offsets(probes, s, ["series"], "day", "at", "value", {n: F.date_sub(day, k) for n, k in _SHIFTS.items()})
-    change = lambda past: F.round(F.col("value") - F.col(past), 6)
-    return got.groupBy("day").agg(*_pivoted("series", _ENERGY, {"": F.col("value"), "_delta_1d": change("value_1d"), "_delta_7d": change("value_7d")}))
+    got = P.asof_offsets(probes, s, ["series"], "day", "at", "level", {"now": day, "before": F.date_sub(day, 1), "week": F.date_sub(day, 7)})
+    change = lambda past: F.round(F.col("now.value") - F.col(f"{past}.value"), 6)
+    columns = {"": F.col("now.value"), "_as_of": F.col("now.at"), "_delta_1d": change("before"), "_delta_7d": change("week")}
+    return got.groupBy("day").agg(F.max("now.at").alias("energy_as_of"), *_pivoted("series", _ENERGY, columns))
 
 
 def benchmark_group(spark, sf_dir, days: DataFrame) -> DataFrame:
@@ -252,7 +254,10 @@ def benchmark_group(spark, sf_dir, days: DataFrame) -> DataFrame:
     return got.groupBy("day").agg(F.max("now.at").alias("benchmark_as_of"), *_pivoted("series", _BENCHMARKS, columns))
 
 
-_NEWS = ("events_1d", "events_7d", "events_30d", "bullish_7d", "bearish_7d", "sentiment")
+_NEWS = (
+    *(f"{c}_{n}d" for c in ("articles", "events") for n in (1, 7, 30)), "bullish_7d", "bearish_7d", "mixed_7d",
+    *(f"{r.name}_30d" for r in RULES), "sentiment", "as_of", "missing_flags",
+)
 _FLAGS = {"missing_fx": "click_rub", "missing_energy": "energy_0", "missing_benchmark": "benchmark_economy", "missing_weather": "weather_temperature_7d_mean", "missing_news": "news_events_30d", "missing_trade": "export_volume_1m", "missing_supply": "production"}
 _CAL_SQL = ORACLE["calendar"].replace("SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders", "SELECT DISTINCT CAST(ts + INTERVAL 3 HOUR AS DATE) AS day FROM events WHERE event_type IN ('purchase', 'view')")
 _WIDE_SQL = f"""WITH {BARS_SQL}, {RATES_SQL}, days AS ({_DAYS}), {FX_SQL}, {ENERGY_SQL}, {TRADE_SQL}, {TRADE_WEIGHTS_SQL}, {SUPPLY_SQL},

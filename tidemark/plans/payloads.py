@@ -173,6 +173,31 @@ def observations(o, chunk_rows=10_000):
     return rows.filter("value is not null").withColumn("value", F.col("value").cast("double"))
 
 
+_KEPT = "o_orderkey % 7 <> 0"
+_SHAPE = "CASE o_orderpriority WHEN '1-URGENT' THEN 'list' WHEN '2-HIGH' THEN 'inventory' ELSE 'observations' END"
+
+
+@query("json_observations", f"""SELECT {_SHAPE} AS shape, o_orderpriority AS metric, CASE WHEN o_orderkey % 11 = 3 THEN NULL ELSE CAST(o_orderkey AS VARCHAR) END AS code,
+  CASE WHEN o_orderkey % 13 = 5 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS day, CASE WHEN o_orderkey % 17 = 7 OR NOT {_KEPT} THEN NULL ELSE CAST(o_totalprice AS DECIMAL(38,6)) END AS value,
+  CASE WHEN o_orderkey % 11 = 3 OR NOT {_KEPT} THEN 'missing: ' || concat_ws(',', CASE WHEN o_orderkey % 11 = 3 THEN 'code' END, CASE WHEN NOT {_KEPT} THEN 'value' END)
+    WHEN o_orderkey % 13 = 5 THEN 'date: day' WHEN o_orderkey % 17 = 7 THEN 'number: value' END AS problem
+FROM orders UNION ALL SELECT 'unreadable', NULL, NULL, NULL, NULL, 'payload' FROM (SELECT DISTINCT o_orderpriority FROM orders)""")
+def json_observations(spark, sf_dir):
+    """Round trip: all orders as documents of three shapes, some fields blank, no dates or no numbers; and documents without a list."""
+    o, key = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    chunks = max(1, -(-o.count() // 10_000))
+    day = F.when(key % 13 == 5, F.date_format("o_orderdate", "dd.MM.yyyy")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    value = F.when(key % 7 != 0, F.when(key % 17 == 7, "n/a").otherwise(F.col("o_totalprice").cast("string")))
+    row = F.struct(F.lower("o_orderpriority").alias("metric"), F.when(key % 11 == 3, " ").otherwise(F.concat(F.lit(" "), key.cast("string"))).alias("code"), day.alias("day"), value.alias("value"))
+    grouped = o.groupBy("o_orderpriority", F.pmod(F.xxhash64("o_orderkey"), F.lit(chunks)).alias("chunk")).agg(F.to_json(F.collect_list(row)).alias("rows"))
+    inside = lambda name: F.concat(F.lit(f'{{"note": 1, "{name}": '), F.col("rows"), F.lit("}"))
+    p = F.col("o_orderpriority")
+    shape = F.when(p == "1-URGENT", "list").when(p == "2-HIGH", "inventory").otherwise("observations")
+    docs = grouped.select(shape.alias("shape"), F.when(p == "1-URGENT", F.col("rows")).when(p == "2-HIGH", inside("inventory")).otherwise(inside("observations")).alias("payload"))
+    odd = o.select("o_orderpriority").distinct().select(F.lit("unreadable").alias("shape"), F.when(p < "3", '{"rows": [1]}').when(p < "5", '{"observations": "none", "inventory": [1]}').otherwise('[{"a": ').alias("payload"))
+    return A.load_json_observations(docs.unionByName(odd), ["shape"], "payload", ["metric", "code"], ["day"], ["value"], upper=["metric"]).drop("pos")
+
+
 @query("normalize_url", r"SELECT page_id, lower(regexp_extract(url, '^([^:]+://[^/?#]*)', 1)) || regexp_replace(regexp_replace(regexp_extract(url, '^[^:]+://[^/]*(.*)$', 1), '[?#].*$', ''), '/+$', '') AS url FROM pages")
 def normalize_url(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", S.normalize_url(F.col("url")).alias("url"))

@@ -136,11 +136,43 @@ def conditional_counts(spark, sf_dir):
     return d.select("product", "day", "bullish_7d", "bearish_7d", F.round(S.safe_ratio(F.col("bullish_7d") - F.col("bearish_7d"), F.col("events_7d")), 6).alias("sentiment"))
 
 
-@query("news_daily", f"WITH {DAILY_SQL} SELECT product, day, events_1d, events_7d, events_30d, bullish_7d, bearish_7d, round(CAST(bullish_7d - bearish_7d AS DOUBLE) / nullif(events_7d, 0), 6) AS sentiment, CASE WHEN events_30d = 0 THEN 'no_events' END AS missing_flags FROM f")
+def _news_sql() -> str:
+    over = {"articles": ("articles", (1, 7, 30)), "events": ("events", (1, 7, 30))} | {d: (d, (7,)) for d in ("bullish", "bearish", "mixed")} | {r.name: (f"n_{r.name}", (30,)) for r in RULES}
+    windows = ", ".join(f"CAST(sum({column}) OVER w{n} AS BIGINT) AS {name}_{n}d" for name, (column, days) in over.items() for n in days)
+    by_direction = ", ".join(f"count(*) FILTER (direction = '{d}') AS {d}" for d in ("bullish", "bearish", "mixed"))
+    by_category = ", ".join(f"count(*) FILTER (category = '{r.name}') AS n_{r.name}" for r in RULES)
+    zero = ", ".join(f"coalesce({c}, 0) AS {c}" for c, _ in over.values())
+    frames = ", ".join(f"w{n} AS (PARTITION BY product ORDER BY day RANGE BETWEEN INTERVAL {n - 1} DAY PRECEDING AND CURRENT ROW)" for n in (1, 7, 30))
+    names = ", ".join(f"{name}_{n}d" for name, (_, days) in over.items() for n in days)
+    return f"""{PRODUCT_SQL}, art AS (SELECT DISTINCT doc_id, day, product FROM x JOIN fam USING (doc_id) JOIN bridge USING (family)),
+spine AS (SELECT p.product, CAST(d.d AS DATE) AS day FROM (SELECT DISTINCT product FROM bridge) p, (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2024-01-30', INTERVAL 1 DAY)) AS d) d),
+ca AS (SELECT product, day, count(*) AS articles FROM art GROUP BY 1, 2), ce AS (SELECT product, day, count(*) AS events, {by_direction}, {by_category} FROM pe GROUP BY 1, 2),
+dense AS (SELECT product, day, {zero} FROM spine LEFT JOIN ca USING (product, day) LEFT JOIN ce USING (product, day)),
+w AS (SELECT product, day, {windows}, max(CASE WHEN articles > 0 THEN day END) OVER w30 AS as_of FROM dense WINDOW {frames})
+SELECT product, day, {names}, as_of, round(CAST(bullish_7d - bearish_7d AS DOUBLE) / nullif(events_7d, 0), 6) AS sentiment,
+  nullif(concat_ws(',', CASE WHEN NOT EXISTS (SELECT 1 FROM art) THEN 'no_news_articles' END, CASE WHEN NOT EXISTS (SELECT 1 FROM pe) THEN 'no_commodity_events' END,
+    CASE WHEN EXISTS (SELECT 1 FROM pe) AND events_30d = 0 THEN 'no_matching_events' END, CASE WHEN articles_30d = 0 OR events_30d = 0 THEN 'partial_source_coverage' END), '') AS missing_flags FROM w"""
+
+
+@query("news_daily", f"WITH {_news_sql()}")
 def news_daily(spark, sf_dir):
-    d = daily(spark, sf_dir)
-    return d.select(
-        "product", "day", "events_1d", "events_7d", "events_30d", "bullish_7d", "bearish_7d",
-        F.round(S.safe_ratio(F.col("bullish_7d") - F.col("bearish_7d"), F.col("events_7d")), 6).alias("sentiment"),
-        S.true_flags({"no_events": F.col("events_30d") == 0}).alias("missing_flags"),
-    )
+    """Per product and day the articles and events of windows of days, by direction and category, sentiment and flags.
+
+    The texts are read once; what follows has one row a product and day.
+    """
+    counts = T.news_counts(T.product_articles(articles(spark, sf_dir), "t", RULES, FAMILIES, BRIDGE), ["product", "day"], RULES)
+    names = [c for c in counts.columns if c not in ("product", "day")]
+    bounds = spark.range(1).select(F.lit("2024-01-01").cast("date").alias("first"), F.lit("2024-01-30").cast("date").alias("last"))
+    products = spark.range(1).select(F.explode(F.array(*map(F.lit, sorted({p for ps in BRIDGE.values() for p in ps})))).alias("product"))
+    dense = P.date_spine(products, bounds).join(counts, ["product", "day"], "left").fillna(0, names)
+    specs = {f"{c}_{n}d": (F.sum(c), n) for c in ("articles", "events") for n in (1, 7, 30)} | {f"{d}_7d": (F.sum(d), 7) for d in ("bullish", "bearish", "mixed")}
+    specs |= {f"{r.name}_30d": (F.sum(f"n_{r.name}"), 30) for r in RULES} | {"as_of": (F.max(F.when(F.col("articles") > 0, F.col("day"))), 30)}
+    # One row for the whole table.
+    totals = counts.agg(F.coalesce(F.sum("articles"), F.lit(0)).alias("all_articles"), F.coalesce(F.sum("events"), F.lit(0)).alias("all_events"))
+    out = P.calendar_windows(dense, ["product"], "day", specs).crossJoin(F.broadcast(totals))
+    flags = {
+        "no_news_articles": F.col("all_articles") == 0, "no_commodity_events": F.col("all_events") == 0,
+        "no_matching_events": (F.col("all_events") > 0) & (F.col("events_30d") == 0), "partial_source_coverage": (F.col("articles_30d") == 0) | (F.col("events_30d") == 0),
+    }
+    sentiment = F.round(S.safe_ratio(F.col("bullish_7d") - F.col("bearish_7d"), F.col("events_7d")), 6)
+    return out.select("product", "day", *specs, sentiment.alias("sentiment"), S.true_flags(flags).alias("missing_flags"))

@@ -295,3 +295,35 @@ def unpivot_series(rows: DataFrame, ids: list[str], headers: dict[str, str], nam
     """A wide sheet as a long series; ``headers`` maps columns to series names."""
     renamed = rows.select(*ids, *(F.col(c).cast("double").alias(n) for c, n in headers.items()))
     return renamed.unpivot(ids, list(headers.values()), name, value).filter(F.col(value).isNotNull())
+
+
+#: Keys under which a document of observations holds its list.
+OBSERVATION_ROWS = ("observations", "inventory")
+
+
+def load_json_observations(payloads: DataFrame, keys: list[str], payload: str, required: list[str], dates: list[str], numbers: list[str] = (), upper: list[str] = ()) -> DataFrame:
+    """(keys, pos, the fields, problem) of each observation of JSON documents: a list, or an object that holds one.
+
+    An object's ``observations`` go before its ``inventory``, also where they are no list.
+    ``required`` fields are trimmed texts, those in ``upper`` in upper case; ``dates`` have
+    to be yyyy-MM-dd, ``numbers`` decimals of 6 digits. ``problem`` is null for an observation
+    that can be used, else the first of: ``payload`` (unreadable or without a list, then
+    with pos null), ``no object``, ``missing`` and the fields that lack or are blank, ``date``
+    or ``number`` and the fields that are none. Nothing is left out; an empty list gives no row.
+    """
+    doc = F.try_parse_json(payload)
+    first, second = (F.try_variant_get(doc, f"$.{n}", "variant") for n in OBSERVATION_ROWS)
+    held = F.when(F.schema_of_variant(doc).startswith("OBJECT"), F.coalesce(first, second)).otherwise(doc)
+    listed = payloads.select(*keys, F.try_variant_get(held, "$", "array<variant>").alias("__list"))
+    rows = listed.filter("__list is null or size(__list) > 0").select(*keys, F.posexplode_outer("__list").alias("pos", "row"))
+    text = lambda n: F.nullif(F.trim(F.try_variant_get("row", f"$.{n}", "string")), F.lit(""))
+    fields = list(dict.fromkeys([*required, *dates, *numbers]))
+    object_ = F.try_variant_get("row", "$", "map<string,variant>").isNotNull()
+    read = rows.select(*keys, "pos", F.coalesce(object_, F.lit(False)).alias("__object"), *((F.upper(text(n)) if n in upper else text(n)).alias(n) for n in fields))
+    day = lambda n: F.when(F.col(n).rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.try_to_date(F.col(n), "yyyy-MM-dd"))
+    amount = lambda n: F.col(n).try_cast("decimal(38,6)")
+    of = lambda what, some, bad: F.when(F.array_size(F.array_compact(F.array(*(F.when(bad(n), F.lit(n)) for n in some)))) > 0, F.concat(F.lit(f"{what}: "), F.concat_ws(",", *(F.when(bad(n), F.lit(n)) for n in some))))
+    problems = [F.when(F.col("pos").isNull(), "payload"), F.when(~F.col("__object"), "no object"), of("missing", fields, lambda n: F.col(n).isNull())]
+    problems += [of(what, some, lambda n, p=parsed: p(n).isNull()) for what, some, parsed in (("date", dates, day), ("number", numbers, amount)) if some]
+    typed = [(day(n) if n in dates else amount(n) if n in numbers else F.col(n)).alias(n) for n in fields]
+    return read.select(*keys, "pos", *typed, F.coalesce(*problems).alias("problem"))
