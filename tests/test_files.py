@@ -53,3 +53,23 @@ def test_a_missing_header_is_an_error(spark, tmp_path):
     other = spark.createDataFrame([], "k string, d date, flag string").schema
     with pytest.raises(ValueError, match="header"):
         E.checked_manifest(spark, files, other, "k", "d", "flag")
+
+
+def test_rows_are_checked_before_export(spark):
+    day = dt.date(2024, 1, 1)
+    checks = lambda rows: {r.check: (r.status, r.n) for r in E.row_checks(spark.createDataFrame(rows, "n string, day date"), "n", "day").collect()}
+    good = checks([("a", day), ("b", day), ("a", day + dt.timedelta(1))])
+    assert good == {"has_rows": ("pass", 3), "entity_present": ("pass", 0), "day_present": ("pass", 0), "keys_unique": ("pass", 0)}
+    bad = checks([("a", day), ("a", day), ("a ", day), (" ", day), (None, day), (None, day), ("b", None), ("b", None)])
+    assert bad == {"has_rows": ("pass", 8), "entity_present": ("fail", 3), "day_present": ("fail", 2), "keys_unique": ("fail", 1)}
+    assert checks([])["has_rows"] == ("fail", 0)
+
+
+def test_scan_of_features(spark):
+    day = lambda n: dt.date(2024, 1, n)
+    rows = spark.createDataFrame([(1, day(1), 1.0, "x"), (1, day(2), 2.0, "y"), (2, day(3), 3.0, "z"), (9, day(2), 4.0, "q"), (None, day(2), 5.0, "r"), (1, None, 6.0, "s")], "id int, day date, v double, name string")
+    names = spark.createDataFrame([(1, "one"), (2, "two"), (3, "three")], "id int, name string")
+    scan = lambda *ends: sorted(map(tuple, E.scan_features(rows, names, "id", "day", ["name", "day", "v"], *ends).collect()), key=str)
+    assert scan("2024-01-02", "2024-01-03") == [("one", day(2), 2.0), ("two", day(3), 3.0)]
+    assert scan(None, "2024-01-01") == [("one", day(1), 1.0)]
+    assert len(scan()) == 4

@@ -310,3 +310,38 @@ def features_export(spark, sf_dir):
     files = E.write_dataset(rows, f"{scratch_root(spark)}/tidemark/features-{uuid.uuid4().hex}", ["product", "day"])
     E.checked_manifest(spark, files, rows.schema, "product", "day", "missing_flags")
     return spark.read.schema(rows.schema).parquet(files["parquet"])
+
+
+#: The columns of the scan: who, when, as of when, and some of each group.
+_SCANNED = ["product_code", "product_name", "day", "as_of", "price_last", "price_delta_abs_1d", "calendar_day_of_week", "click_rub", "energy_0", "weather_temperature_7d_mean", "news_articles_30d", "news_events_30d", "export_volume_1m", "benchmark_economy", "missing_flags"]
+_RANGE = ("2024-01-05", "2024-01-20")
+_AS_OF = ("fx_as_of", "energy_as_of", "news_as_of")
+
+
+@query("feature_scan", f"""SELECT {", ".join(_SCANNED)} FROM (SELECT f.*, 'P' || lpad(CAST(f.product AS VARCHAR), 5, '0') AS product_code, p_name AS product_name, greatest({", ".join(_AS_OF)}) AS as_of
+FROM ({_WIDE_SQL}) f JOIN part ON p_partkey = f.product) WHERE day BETWEEN DATE '{_RANGE[0]}' AND DATE '{_RANGE[1]}'""")
+def feature_scan(spark, sf_dir):
+    """The wide row of a range of days with the parts' names, its latest as-of day, and a projection."""
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("product"), F.concat(F.lit("P"), F.lpad(F.col("p_partkey").cast("string"), 5, "0")).alias("product_code"), F.col("p_name").alias("product_name"))
+    rows = product_features(spark, sf_dir).withColumn("as_of", F.greatest(*_AS_OF))
+    return E.scan_features(rows, parts, "product", "day", _SCANNED, *_RANGE)
+
+
+_CHECKED_SQL = """SELECT user_id % 20 AS product, CASE WHEN event_id % 500 <> 3 THEN CAST(ts AS DATE) END AS day FROM events"""
+
+
+def _checks_sql(rows: str, subject: str) -> str:
+    faults = {"has_rows": ("sum(n)", "sum(n) = 0"), "entity_present": ("sum(n) FILTER (product IS NULL)", None), "day_present": ("sum(n) FILTER (day IS NULL)", None), "keys_unique": ("count(*) FILTER (product IS NOT NULL AND day IS NOT NULL AND n > 1)", None)}
+    return " UNION ALL ".join(
+        f"SELECT '{subject}' AS subject, '{check}' AS \"check\", CASE WHEN {fault or f'coalesce({n}, 0) > 0'} THEN 'fail' ELSE 'pass' END AS status, CAST(coalesce({n}, 0) AS BIGINT) AS n FROM (SELECT product, day, count(*) AS n FROM ({rows}) GROUP BY 1, 2)"
+        for check, (n, fault) in faults.items()
+    )
+
+
+@query("export_checks", f"{_checks_sql(ORACLE['daily_last'], 'bars')} UNION ALL {_checks_sql(_CHECKED_SQL, 'events')}")
+def export_checks(spark, sf_dir):
+    """What an export would check, of rows by product and day (one each) and of the events that they come from (many, some without a day)."""
+    raw = events(spark, sf_dir).select((F.col("user_id") % 20).alias("product"), F.when(F.col("event_id") % 500 != 3, F.to_date("ts")).alias("day"))
+    some = {"bars": QUERIES["daily_last"](spark, sf_dir), "events": raw}
+    parts = [E.row_checks(rows, "product", "day").select(F.lit(name).alias("subject"), "*") for name, rows in some.items()]
+    return parts[0].unionByName(parts[1])

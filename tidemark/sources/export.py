@@ -7,6 +7,41 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def scan_features(rows: DataFrame, dimension: DataFrame, key: str, day: str, columns: list[str], first: str | None = None, last: str | None = None) -> DataFrame:
+    """The named ``columns`` of feature rows whose entity the dimension knows, days within both ends where given.
+
+    Days are filtered, and other columns left out, before the join. Rows have no order; a
+    writer sorts where it is wanted. A row with a null key or day (where an end is given) isn't there.
+    """
+    if first is not None:
+        rows = rows.filter(F.col(day) >= F.lit(first).cast("date"))
+    if last is not None:
+        rows = rows.filter(F.col(day) <= F.lit(last).cast("date"))
+    own = [c for c in rows.columns if c == key or (c in columns and c not in dimension.columns)]
+    names = dimension.select(key, *(c for c in dimension.columns if c in columns and c != key))
+    return rows.select(*own).join(names, key).select(*columns)
+
+
+def row_checks(rows: DataFrame, entity: str, day: str) -> DataFrame:
+    """(check, status, n) of rows that are to be exported: ``has_rows``, ``entity_present``, ``day_present``, ``keys_unique``.
+
+    ``n`` is the number of rows at fault, of keys at fault for ``keys_unique``, and of all
+    rows for ``has_rows``. A blank entity counts as absent. Keys are counted in one
+    aggregation, whose partial sums leave each task as one row a key.
+    """
+    name = F.nullif(F.trim(F.col(entity).cast("string")), F.lit(""))
+    keys = rows.groupBy(name.alias("entity"), F.col(day).alias("day")).agg(F.count("*").alias("n"))
+    whole = F.col("entity").isNotNull() & F.col("day").isNotNull()
+    total = lambda c: F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0))
+    sums = keys.agg(total(F.lit(True)).alias("all"), total(F.col("entity").isNull()).alias("entity"), total(F.col("day").isNull()).alias("day"), F.count_if(whole & (F.col("n") > 1)).alias("keys"))
+    state = lambda check, n, fault: F.struct(F.lit(check).alias("check"), F.when(fault, "fail").otherwise("pass").alias("status"), n.alias("n"))
+    c = F.col
+    return sums.select(F.inline(F.array(
+        state("has_rows", c("all"), c("all") == 0), state("entity_present", c("entity"), c("entity") > 0),
+        state("day_present", c("day"), c("day") > 0), state("keys_unique", c("keys"), c("keys") > 0),
+    )))
+
+
 def write_dataset(rows: DataFrame, folder: str, keys: list[str]) -> dict[str, str]:
     """Writes ``rows`` to ``folder``/parquet (typed) and /csv (text, nulls as empty) and gives both paths.
 
