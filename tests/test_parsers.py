@@ -133,3 +133,13 @@ def test_observations_of_all_shapes(spark):
     }
     first = next(r for r in got if r.id == 0)
     assert (first.code, str(first.day), float(first.value)) == ("RU", "2024-02-29", 1.5)
+
+
+def test_missing_currencies(spark):
+    one = lambda code, value, nominal="1": f"<Valute><CharCode>{code}</CharCode><Nominal>{nominal}</Nominal><Value>{value}</Value></Valute>"
+    doc = lambda *items: f'<ValCurs Date="02.01.2024">{"".join(items)}</ValCurs>'
+    docs = [doc(one("USD", "90,5"), one("EUR", "99,1"), one("X", "1")), doc(one("USD", "n/a"), one("EUR", "1", "0")), doc(one("USD", "x"), one("USD", "1,5")), doc(), None, "", "<broken"]
+    rows = spark.createDataFrame(list(enumerate(docs)), "id int, payload string").withColumn("x", F.lit(1))
+    got = {r.id: (r.day and str(r.day), r.missing) for r in A.missing_currencies(rows, ["id"], "payload", ["USD", "EUR", "USD"]).collect()}
+    assert got[0] == ("2024-01-02", None) and got[1] == ("2024-01-02", "EUR,USD") and got[2] == ("2024-01-02", "EUR")
+    assert all(got[i][1] == "EUR,USD" for i in (3, 4, 5, 6)) and len(got) == 7

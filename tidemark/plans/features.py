@@ -43,6 +43,8 @@ _WEATHER = {
     "precipitation_7d_sum": ("CAST(sum(rain) OVER {w} AS DOUBLE)", 7), "precipitation_14d_sum": ("CAST(sum(rain) OVER {w} AS DOUBLE)", 14), "precipitation_30d_sum": ("CAST(sum(rain) OVER {w} AS DOUBLE)", 30),
     "heat_days_7d": ("count(CASE WHEN hi >= 30 THEN 1 END)", 7), "heat_days_30d": ("count(CASE WHEN hi >= 30 THEN 1 END)", 30), "frost_days_7d": ("count(CASE WHEN lo <= 0 THEN 1 END)", 7), "frost_days_30d": ("count(CASE WHEN lo <= 0 THEN 1 END)", 30),
     "degree_days_7d": ("sum(CASE WHEN mean IS NOT NULL THEN greatest(mean - 10, 0) END)", 7), "degree_days_30d": ("sum(CASE WHEN mean IS NOT NULL THEN greatest(mean - 10, 0) END)", 30),
+    # The month's precipitation stands for drought: little of it is much of the other.
+    "drought_proxy_30d": ("CAST(sum(rain) OVER {w} AS DOUBLE)", 30),
 }
 _OVER = ", ".join(f"w{n} AS (PARTITION BY region ORDER BY day RANGE BETWEEN INTERVAL {n - 1} DAY PRECEDING AND CURRENT ROW)" for n in (7, 14, 30))
 _W = "round(sum({n} * weight) / nullif(sum(CASE WHEN {n} IS NOT NULL THEN weight END), 0), 5) AS {n}"
@@ -60,7 +62,7 @@ def product_weather_daily(spark, sf_dir):
     rows = weather(spark, sf_dir).join(rain.agg(F.sum(c("value").cast("decimal(18,4)")).alias("rain")), ["region", "day"], "left")
     heat, frost = F.count_if(c("hi") >= 30), F.count_if(c("lo") <= 0)
     degrees = F.sum(F.when(c("mean").isNotNull(), F.greatest(c("mean") - S.gdd_base(F.lit("wheat")), F.lit(0.0))))
-    of = {"temperature_min": F.min("lo"), "temperature_max": F.max("hi"), "temperature": F.avg("mean"), "precipitation": F.sum("rain"), "heat": heat, "frost": frost, "degree": degrees}
+    of = {"temperature_min": F.min("lo"), "temperature_max": F.max("hi"), "temperature": F.avg("mean"), "precipitation": F.sum("rain"), "drought": F.sum("rain"), "heat": heat, "frost": frost, "degree": degrees}
     specs = {n: (next(a for k, a in of.items() if n.startswith(k)), days) for n, (_, days) in _WEATHER.items()}
     held = P.interval_join(P.calendar_windows(rows, ["region"], "day", specs), weights(spark), "day", ["region"])
     used = F.nullif(F.array_join(F.array_sort(F.collect_list(F.when(c("mean").isNotNull(), c("region")))).cast("array<string>"), ","), F.lit(""))

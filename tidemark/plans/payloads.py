@@ -119,10 +119,25 @@ def parse_bars(spark, sf_dir):
 @query("parse_fx_xml", "SELECT CAST(ts AS DATE) AS day, upper(event_type) AS code, round(CAST(CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS DOUBLE) / 100, 6) AS rate FROM events GROUP BY 1, 2")
 def parse_fx_xml(spark, sf_dir):
     d = table(spark, sf_dir, "events").groupBy(F.to_date("ts").alias("day"), F.upper("event_type").alias("code")).agg(F.sum(F.col("value").cast("decimal(18,2)")).cast("decimal(18,2)").alias("v"))
+    return A.parse_fx_xml(fx_docs(d), "payload")
+
+
+def fx_docs(d):
+    """Rates (day, code, v) as one XML a day."""
     text = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))
     item = text("<Valute><CharCode>", F.col("code"), "</CharCode><Nominal>100</Nominal><Value>", F.replace(F.col("v").cast("string"), F.lit("."), F.lit(",")), "</Value></Valute>")
-    docs = d.groupBy("day").agg(text('<ValCurs Date="', F.first(F.date_format("day", "dd.MM.yyyy")), '">', F.array_join(F.collect_list(item), ""), "</ValCurs>").alias("payload"))
-    return A.parse_fx_xml(docs, "payload")
+    return d.groupBy("day").agg(text('<ValCurs Date="', F.first(F.date_format("day", "dd.MM.yyyy")), '">', F.array_join(F.collect_list(item), ""), "</ValCurs>").alias("payload"))
+
+
+@query("fx_missing", """WITH r AS (SELECT CAST(ts AS DATE) AS day, upper(event_type) AS code, sum(CAST(value AS DECIMAL(18,2))) AS v FROM events GROUP BY 1, 2)
+SELECT day, nullif(concat_ws(',', CASE WHEN NOT coalesce(bool_or(code = 'CLICK' AND v > 0 AND day(day) % 3 <> 0), FALSE) THEN 'CLICK' END, CASE WHEN NOT coalesce(bool_or(code = 'ERROR' AND v > 0 AND day(day) % 4 <> 0), FALSE) THEN 'ERROR' END, 'NONE'), '') AS missing
+FROM r WHERE NOT (code = 'CLICK' AND day(day) % 3 = 0) GROUP BY 1""")
+def fx_missing(spark, sf_dir):
+    """Which of the wanted codes each day's XML lacks: one on every third day, one whose rate is no number on every fourth, one always."""
+    d = table(spark, sf_dir, "events").groupBy(F.to_date("ts").alias("day"), F.upper("event_type").alias("code")).agg(F.sum(F.col("value").cast("decimal(18,2)")).cast("decimal(18,2)").cast("string").alias("v"))
+    kept = d.filter("not (code = 'CLICK' and day(day) % 3 = 0)")
+    docs = fx_docs(kept.withColumn("v", F.when((F.col("code") == "ERROR") & (F.day("day") % 4 == 0), "n/a").otherwise(F.col("v"))))
+    return A.missing_currencies(docs, [], "payload", ["NONE", "CLICK", "ERROR"])
 
 
 @query("zip_arrays", """SELECT vec_id, CAST(p.p AS INTEGER) AS pos, CAST(p.p AS INTEGER) AS time, round(CAST(embedding[p.p + 1] AS DOUBLE), 6) AS mean, CASE WHEN p.p < 6 THEN round(CAST(embedding[p.p + 9] AS DOUBLE), 6) END AS rain, 'rain' AS missing FROM embeddings, range(8) p(p)""")

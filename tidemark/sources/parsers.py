@@ -149,15 +149,30 @@ def payload_validity(payloads: DataFrame, keys: list[str], payload: str, mime: s
     return I.row_checks(held, keys, rules)
 
 
+_VALUTES = "`_Date` string, Valute array<struct<CharCode:string,Nominal:string,Value:string>>"
+
+
 def parse_fx_xml(payloads: DataFrame, payload: str) -> DataFrame:
     """(day, code, rate) from an XML of valutes with decimal commas; rate is per one unit."""
-    schema = "`_Date` string, Valute array<struct<CharCode:string,Nominal:string,Value:string>>"
-    doc = payloads.select(F.from_xml(F.col(payload), schema).alias("x"))
+    doc = payloads.select(F.from_xml(F.col(payload), _VALUTES).alias("x"))
     rows = doc.select(F.try_to_date(F.col("x._Date"), "dd.MM.yyyy").alias("day"), F.inline("x.Valute"))
     number = lambda c: F.replace(F.col(c), F.lit(","), F.lit(".")).try_cast("double")
     return rows.select("day", F.col("CharCode").alias("code"), F.round(F.try_divide(number("Value"), number("Nominal")), 6).alias("rate"))
 
 
+def missing_currencies(payloads: DataFrame, keys: list[str], payload: str, wanted: list[str]) -> DataFrame:
+    """(keys, day, missing) of every XML of valutes: the ``wanted`` codes, sorted, without a rate that is a number; null if none lacks.
+
+    A code counts with any rate above 0 under it. A payload that can't be read has no day and lacks all.
+    """
+    doc = payloads.select(*keys, F.from_xml(F.col(payload), _VALUTES).alias("x"))
+    number = lambda text: F.replace(text, F.lit(","), F.lit(".")).try_cast("double")
+    rated = F.filter("x.Valute", lambda v: F.try_divide(number(v["Value"]), number(v["Nominal"])) > 0)
+    held = F.coalesce(F.transform(rated, lambda v: v["CharCode"]), F.array().cast("array<string>"))
+    lacking = F.array_except(F.array(*map(F.lit, sorted(set(wanted)))), held)
+    return doc.select(*keys, F.try_to_date(F.col("x._Date"), "dd.MM.yyyy").alias("day"), F.nullif(F.array_join(lacking, ","), F.lit("")).alias("missing"))
+
+
 def zip_arrays(rows: DataFrame, key: list[str], times: str, arrays: dict[str, str]) -> DataFrame:
     """Parallel arrays as one row per time; short arrays give nulls and are named in ``missing``."""
     short = F.concat_ws(",", *(F.when(F.coalesce(F.size(a), F.lit(0)) < F.size(times), F.lit(n)) for n, a in arrays.items()))
