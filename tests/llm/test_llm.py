@@ -189,6 +189,32 @@ def test_near_copies_with_frequent_keys_dealt(spark, monkeypatch):
     assert sorted(map(tuple, near_copies(docs).collect())) == components(rows)
 
 
+def _copies(rng, n):
+    vocab, rows = [f"w{i}" for i in range(400)], []
+    for size in (30, 90, 250):
+        words = [rng.choice(vocab) for _ in range(size)]
+        for _ in range(n):
+            copy = list(words)
+            copy[rng.randrange(size)] = rng.choice(vocab)
+            rows.append((len(rows), " ".join(copy)))
+    return rows
+
+
+def test_near_copies_in_small_groups_are_listed_without_rounds(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "_star_pairs", lambda *_: pytest.fail("a round of stars"))
+    rows = _copies(random.Random(9), 4)
+    assert sorted(map(tuple, near_copies(frame(spark, [t for _, t in rows], True)).collect())) == components(rows)
+
+
+def test_near_copies_in_large_groups_take_rounds(spark, monkeypatch):
+    turns, star = [], ngram_join._star_pairs
+    monkeypatch.setattr(ngram_join, "LIST_ROWS", 2)
+    monkeypatch.setattr(ngram_join, "_star_pairs", lambda rows, turn: turns.append(turn) or star(rows, turn))
+    rows = _copies(random.Random(10), 8)
+    assert sorted(map(tuple, near_copies(frame(spark, [t for _, t in rows], True)).collect())) == components(rows)
+    assert turns
+
+
 def test_near_copies_of_nothing(spark):
     assert near_copies(frame(spark, ["x"]).limit(0)).count() == 0
 

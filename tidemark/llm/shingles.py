@@ -118,19 +118,16 @@ class Bands:
         segment = ((tokens >> _S33) % np.uint64(self.segments[band])).astype(np.int64)
         order = np.argsort(segment, kind="stable")
         segment, value = segment[order], mix(tokens[order] ^ _C)
-        at = np.flatnonzero(np.r_[True, segment[1:] != segment[:-1]])
-        return segment[at], np.diff(np.r_[at, len(segment)]), np.add.reduceat(value, at), segment, value
+        at = np.concatenate(([0], np.flatnonzero(segment[1:] != segment[:-1]) + 1))
+        return segment[at], np.diff(at, append=len(segment)), np.add.reduceat(value, at), segment, value
 
     def overflows(self, tokens: np.ndarray) -> bool:
         """Whether too many segments are empty to prove anything; such sets are compared directly."""
-        return any(
-            not self.wide[b] and len(self.sums(tokens, b)[0]) <= self.most_apart(len(tokens), b)
-            for b in self.of(len(tokens))
-        )
-
-    def signatures(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(signature, tag) rows of a set, for each band that it counts in."""
-        sigs, tags = [], []
+        return self.signatures(tokens)[2]
+
+    def signatures(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, bool]:
+        """(signature, tag) rows of a set, for each band that it counts in, and whether it overflows one."""
+        sigs, tags, overflow = [], [], False
         for band in self.of(len(tokens)):
             some, count, total, segment, value = self.sums(tokens, band)
             salt = np.full(1, band + 1, dtype=np.uint64) * _B
@@ -143,10 +140,11 @@ class Bands:
             if not self.wide[band]:
                 sigs.append(key(some, count, total))
                 tags.append(np.full(len(some), tag | ((m - len(some)) << PART_AT), dtype=np.int64))
+                overflow |= len(some) <= self.most_apart(len(tokens), band)
                 continue
             full_count, full_total = np.zeros(m, dtype=np.int64), np.zeros(m, dtype=np.uint64)
             full_count[some], full_total[some] = count, total
             every = np.arange(m)
             sigs += [key(every, full_count, full_total), key(segment, full_count[segment] - 1, full_total[segment] - value)]
             tags += [tag | (every << PART_AT), tag | (segment << PART_AT) | 1]
-        return np.concatenate(sigs), np.concatenate(tags)
+        return np.concatenate(sigs), np.concatenate(tags), overflow
