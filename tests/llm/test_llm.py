@@ -215,6 +215,15 @@ def test_near_copies_in_large_groups_take_rounds(spark, monkeypatch):
     assert turns
 
 
+def test_near_copies_list_no_pairs_within_large_groups(spark, monkeypatch):
+    listed, rest = [], ngram_join._rest_pairs
+    monkeypatch.setattr(ngram_join, "KEY_ROWS", 50)
+    monkeypatch.setattr(ngram_join, "_rest_pairs", lambda rows, sets: listed.append(rest(rows, sets).count()) or rest(rows, sets))
+    rows = _copies(random.Random(11), 14)
+    assert sorted(map(tuple, near_copies(frame(spark, [t for _, t in rows], True)).collect())) == components(rows)
+    assert sum(listed) < 3 * 14  # 273 pairs of copies
+
+
 def test_near_copies_of_nothing(spark):
     assert near_copies(frame(spark, ["x"]).limit(0)).count() == 0
 

@@ -9,8 +9,8 @@ with one shingle deleted, are the index keys. Then, all in Spark:
   this leaves near copies and little else, also where a passage is in many documents;
 * one record of each key, first the best connected one, is compared with the others.
   Copies soon hang together, however many there are, without listing their pairs. This
-  is repeated with other records while listing would still take too many, and left out
-  where listing takes few from the start;
+  is repeated with other records while it finds links and listing would still take too
+  many, and left out where listing takes few from the start;
 * keys whose records still lie in different groups are peeled again, now counting only
   other groups' records, and each record that remains takes its cheapest keys, just
   as many as the bound asks for, and meets the other groups' records there. Of these
@@ -43,7 +43,9 @@ from tidemark.llm.shingles import BAND_AT, PARITY_WORDS, PART_AT, RECORD, SIZE_A
 #: this part of the rows, or after so many.
 STAR_GAIN, STAR_ROUNDS = 0.9, 8
 #: Rows of a key that each of its rows meets, on average, where all pairs are listed without such rounds.
-LIST_ROWS = 32
+LIST_ROWS = 4
+#: Index keys that a task sends at once, about.
+KEY_ROWS = 100_000
 #: Candidates of one record in such a round; what they miss is left for the last step.
 STAR_TRIES = 3
 #: Rows of a key that meet all others of it in one task, about.
@@ -70,15 +72,24 @@ def _index_rows(docs: DataFrame) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, bands, seen, count = word_hashes(), Bands(), {}, 0
         names = ["sig", "rec", "tag", "doc_id"]
+
+        def key_rows(out: list[tuple]) -> pa.RecordBatch:
+            keys = [pa.array(np.concatenate(c)) for c in zip(*out, strict=True)]
+            return pa.RecordBatch.from_arrays([*keys, pa.nulls(len(keys[0]), pa.int64())], names)
+
         for batch in batches:
             out: list[tuple] = []
-            recs, tags = [], []
+            recs, tags, held = [], [], 0
             for text in batch.column(1).to_pylist():
                 tokens = shingle_set(text, hashes)
                 rec, n = set_id(tokens), len(tokens)
                 if n and (rec, n) not in seen:
                     sig, tag, seen[rec, n] = bands.signatures(tokens)
                     out.append((sig.view(np.int64), np.full(len(sig), rec), tag))
+                    held += len(sig)
+                    if held >= KEY_ROWS:
+                        yield key_rows(out)
+                        out, held = [], 0
                 recs.append(rec)
                 tags.append(n << SIZE_AT | RECORD << BAND_AT | seen.get((rec, n), False) << PART_AT)
             recs = np.array(recs, dtype=np.int64)
@@ -86,8 +97,7 @@ def _index_rows(docs: DataFrame) -> DataFrame:
             count += len(recs)
             yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(recs), pa.array(tags, pa.int64()), batch.column(0)], names)
             if out:
-                keys = [pa.array(np.concatenate(c)) for c in zip(*out, strict=True)]
-                yield pa.RecordBatch.from_arrays([*keys, pa.nulls(len(keys[0]), pa.int64())], names)
+                yield key_rows(out)
 
     return _texts(docs).mapInArrow(emit, "sig long, rec long, tag long, doc_id long")
 
@@ -117,13 +127,18 @@ def _hot_keys(docs: DataFrame) -> DataFrame | None:
     return found
 
 
+def _key() -> Column:
+    """One number for (sig, salt): rows are sorted by it faster than by both. Keys that fall together are met by more rows, which is safe."""
+    return F.when(F.col("salt") > 0, F.xxhash64("sig", "salt")).otherwise(F.col("sig"))
+
+
 def _dealt(rows: DataFrame, hot: DataFrame | None) -> DataFrame:
     """Adds ``salt``, 0 but for frequent keys, and brings rows of one (sig, salt) together."""
     if hot is None:
         return rows.repartition("sig").withColumn("salt", F.lit(0))
     salt = F.when(F.col("hot"), F.pmod(F.xxhash64("rec"), F.lit(HOT_SALTS)).cast("int") + 1).otherwise(0)
     marked = rows.join(F.broadcast(hot.withColumn("hot", F.lit(True))), "sig", "left")
-    return marked.withColumn("salt", salt).drop("hot").repartition("sig", "salt")
+    return marked.withColumn("salt", salt).drop("hot").repartition(_key())
 
 
 def _extent() -> dict[str, Column]:
@@ -143,7 +158,7 @@ def _met(rows: DataFrame) -> DataFrame:
 
     Rows of frequent keys are all kept; ``_hot_met`` decides on them.
     """
-    key = Window.partitionBy("sig", "salt")
+    key = Window.partitionBy(_key())
     met = rows.drop("ties", "rows").select("*", *(c.over(key).alias(name) for name, c in _extent().items())).withColumn("near", _near())
     met = met.filter((F.col("band") == RECORD) | F.col("near").isNotNull() | (F.col("salt") > 0))
     return materialize(met.drop("f0", "f1", "c0", "c1"), "met")
@@ -174,7 +189,7 @@ def _able(met: DataFrame, dealt: bool, once: bool = False) -> DataFrame:
     )
     able = by_place.groupBy("rec", "n", "band").agg(F.sum("lost").alias("lost"), F.max("spare").alias("spare"), F.sum("rows").alias("ties"))
     able = able.filter("lost >= spare").select("rec", "n", "band", "ties")
-    keys = met.drop("near").join(able, ["rec", "n", "band"])
+    keys = met.drop("near").join(able.hint("shuffle_hash"), ["rec", "n", "band"])  # one row a record, so no sort of the keys
     if once:
         keys = keys.dropDuplicates(["rec", "n", "band", "sig", "salt", "part", "kind"])
     keys = materialize(keys, "keys")
@@ -362,9 +377,9 @@ def near_copies(docs: DataFrame) -> DataFrame:
     recs, rows, sets = start.recs, start.rows, start.sets
     links = materialize(_verify(start.direct, sets), "links") if start.direct else None
     groups = components(links) if links else None
-    turn, (held, listed) = 0, _load(rows)
+    turn, stuck, (held, listed) = 0, False, _load(rows)  # stuck: a round found no link, so groups and rows stay as they are
     while held:
-        if groups is not None:
+        if groups is not None and not stuck:
             grouped = groups.select(F.col("node").alias("rec"), F.col("component").alias("g"))
             grouped = materialize(rows.join(grouped, "rec", "left").withColumn("comp", F.coalesce("g", "comp")).drop("g"), "grouped")
             discard(rows)
@@ -373,11 +388,14 @@ def near_copies(docs: DataFrame) -> DataFrame:
             if not held:
                 break
             listed = few or held > STAR_GAIN * before or turn == STAR_ROUNDS
+        listed |= stuck
         new = materialize(_verify(_rest_pairs(rows, sets) if listed else _star_pairs(rows, turn), sets), "links")
-        links = new if links is None else links.unionByName(new)
-        if groups is not None:
-            discard(groups)
-        groups = components(links)
+        stuck = new.isEmpty()
+        if not stuck:
+            links = new if links is None else links.unionByName(new)
+            if groups is not None:
+                discard(groups)
+            groups = components(links)
         turn += 1
         if listed:
             break

@@ -56,7 +56,8 @@ def shingle_set(text: str | None, hashes: WordHashes) -> np.ndarray:
     x = np.full(n, width, dtype=np.uint64)
     for k in range(width):
         x = x * _A + h[k : k + n]
-    return np.unique(mix(x))
+    x = np.sort(mix(x))
+    return x[np.concatenate(([True], x[1:] != x[:-1]))]
 
 
 def set_id(tokens: np.ndarray) -> int:
@@ -114,12 +115,12 @@ class Bands:
         return (size + min(size * 5 // 4, partner)) // 9 if size > partner else size // 4
 
     def sums(self, tokens: np.ndarray, band: int):
-        """Non-empty segments, their shingle counts and sums, the shingles' order by segment and mixed values."""
-        segment = ((tokens >> _S33) % np.uint64(self.segments[band])).astype(np.int64)
-        order = np.argsort(segment, kind="stable")
-        segment, value = segment[order], mix(tokens[order] ^ _C)
+        """Non-empty segments, their shingle counts and sums, the segment and mixed value of each shingle (in their order)."""
+        segment = ((tokens >> _S33) * np.uint64(self.segments[band]) >> _S31).astype(np.int64)  # tokens are sorted, so segments are
+        value = mix(tokens ^ _C)
         at = np.concatenate(([0], np.flatnonzero(segment[1:] != segment[:-1]) + 1))
-        return segment[at], np.diff(at, append=len(segment)), np.add.reduceat(value, at), segment, value
+        ends = np.concatenate((at[1:], [len(segment)]))
+        return segment[at], ends - at, np.add.reduceat(value, at), segment, value
 
     def overflows(self, tokens: np.ndarray) -> bool:
         """Whether too many segments are empty to prove anything; such sets are compared directly."""
