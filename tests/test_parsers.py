@@ -76,6 +76,16 @@ def test_malformed_trade_rows_and_payloads(spark):
     assert (given.period, given.malformed) == (dt.date(2020, 5, 1), False)
 
 
+def test_trade_rows_are_read_once(spark):
+    texts = ['{"items": [{"a": [1, {"b": null}], "c": {"d": 1.50}, "e": null, "f": true, "period": 202401, "qty": 1e2, "reporter": " x "}, null, [1]]}']
+    more = {n: (n,) for n in ("reporter", "a", "c", "e", "f", "none")}
+    found = A.parse_trade_json(frame(spark, texts), ["k"], "p", more).filter("not malformed")
+    row = found.first()
+    assert [row[n] for n in ("pos", *more, "quantity")] == [0, "x", '[1,{"b":null}]', '{"d":1.5}', None, "true", None, 100.0]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_variant_get") <= len(A.TRADE_ROWS) + 2
+
+
 def test_the_first_date_that_reads_counts(spark):
     article = lambda **more: json.dumps({"articles": [{"url": "http://A.b/c", "title": "t", **more}]})
     texts = [article(date="20240102", published_at="2024-01-03"), article(seendate="soon", publishedAt="2024-01-04T01:00:00+02:00"), article(datetime="20240105T060708Z", source="S"), article(), article(date="20240106070809")]

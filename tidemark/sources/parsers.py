@@ -222,9 +222,11 @@ def parse_trade_json(payloads: DataFrame, keys: list[str], payload: str, more: d
     a payload without rows.
     """
     default = F.lit(None).cast("string") if default_period is None else default_period
-    rows = payloads.select(*keys, default.alias("__default"), F.posexplode_outer(_rows_of(F.col(payload), TRADE_ROWS)).alias("pos", "row"))
-    object_ = F.try_variant_get("row", "$", "map<string,variant>").isNotNull()
-    text = rows.select(*keys, "pos", "__default", object_.alias("__object"), *(_field(F.col("row"), names).alias(n) for n, names in (TRADE_FIELDS | (more or {})).items()))
+    # A row's fields are read once, in the generator, so that no filter on the result reads them again.
+    objects = F.transform(_rows_of(F.col(payload), TRADE_ROWS), lambda row: F.try_variant_get(row, "$", "map<string,string>"))
+    rows = payloads.select(*keys, default.alias("__default"), F.posexplode_outer(objects).alias("pos", "row"))
+    field = lambda names: F.coalesce(*(F.nullif(F.trim(F.try_element_at("row", F.lit(n))), F.lit("")) for n in names))
+    text = rows.select(*keys, "pos", "__default", F.col("row").isNotNull().alias("__object"), *(field(names).alias(n) for n, names in (TRADE_FIELDS | (more or {})).items()))
     number = lambda n: F.col(n).try_cast("double")
     said = F.coalesce("period", "__default")
     period = F.try_to_date(F.concat(F.regexp_extract(said, "^([0-9]{4})-?([0-9]{2})$", 1), F.lit("-"), F.regexp_extract(said, "^([0-9]{4})-?([0-9]{2})$", 2), F.lit("-01")), "yyyy-MM-dd")
